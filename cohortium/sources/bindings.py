@@ -200,5 +200,114 @@ SQL = {
 
 def sql_with(roles, body: str, ctes=()) -> str:
     """``WITH <roles>, <extra ctes> <body>`` for the oracle."""
-    parts = [f"{r} AS ({SQL[r]})" for r in roles] + [f"{n} AS ({q})" for n, q in ctes]
+    ordered = []
+    for r in roles:
+        for dep in DEPENDS.get(r, []):
+            if dep not in ordered:
+                ordered.append(dep)
+        if r not in ordered:
+            ordered.append(r)
+    parts = [f"{r} AS ({SQL[r]})" for r in ordered] + [f"{n} AS ({q})" for n, q in ctes]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+
+
+# --------------------------------------------------------------------------
+# Raw document collections. The stored events are clean, so the documents a
+# store would hold are *rendered* from every event by fixed rules: the id
+# lands under one of three key names (and is text with a junk prefix on some
+# documents), the timestamp is text in one of four formats or junk, 'view'
+# events carry no duration, durations are shifted by −5 s (negatives appear),
+# and every 'purchase' event is delivered twice. No row is dropped.
+
+_DOC_TS = {
+    0: ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "%Y-%m-%dT%H:%M:%S.%fZ"),
+    1: ("yyyy-MM-dd'T'HH:mm:ss'Z'", "%Y-%m-%dT%H:%M:%SZ"),
+    2: ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"),
+    3: ("yyyy-MM-dd", "%Y-%m-%d"),
+}
+
+
+def activity_docs(spark: SparkSession, d: str) -> DataFrame:
+    e = _t(spark, d, "events")
+    uid = F.col("user_id").cast("string")
+    r3 = F.col("event_id") % 3
+    r5 = F.col("event_id") % 5
+    docs = e.select(
+        "event_id",
+        F.when(r3 == 0, uid).alias("customer_id"),
+        F.when(r3 == 1, uid).alias("customerId"),
+        F.when(r3 == 2, F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("u"), uid)).otherwise(uid)).alias("userId"),
+        F.when(r5 == 4, F.lit("not a date")).otherwise(F.coalesce(*[
+            F.when(r5 == k, F.date_format("ts", fmt)) for k, (fmt, _) in _DOC_TS.items()])).alias("timestamp"),
+        "event_type",
+        F.when(F.col("event_type") != "view", F.col("value") - 5).alias("session_duration_sec"),
+    )
+    return docs.unionByName(docs.where(F.col("event_type") == "purchase"))
+
+
+def nps_docs(spark: SparkSession, d: str) -> DataFrame:
+    e = _t(spark, d, "events")
+    uid = F.col("user_id").cast("string")
+    score = (F.get_json_object("props", "$.k").cast("int") % 13 - 1).cast("string")
+    even = F.col("event_id") % 2 == 0
+    return e.select(
+        F.col("event_id").alias("response_id"),
+        F.when(even, uid).alias("customer_id"),
+        F.when(~even, uid).alias("userId"),
+        F.when(even, score).alias("nps_score"),
+        F.when(~even, score).alias("score"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"))
+
+
+def onboarding_docs(spark: SparkSession, d: str) -> DataFrame:
+    e = _t(spark, d, "events")
+    uid = F.col("user_id").cast("string")
+    r3 = F.col("event_id") % 3
+    noisy = F.when(r3 == 0, F.col("event_type")).when(r3 == 1, F.upper("event_type")) \
+        .otherwise(F.concat(F.lit("  "), F.initcap("event_type"), F.lit(" ")))
+    even = F.col("event_id") % 2 == 0
+    docs = e.select(
+        "event_id",
+        F.when(even, uid).alias("customerId"),
+        F.when(~even, uid).alias("customer_id"),
+        F.when(even, noisy).alias("step"),
+        F.when(~even, noisy).alias("event_step"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"))
+    return docs.unionByName(docs.where(F.col("step").isNotNull() & (F.lower(F.trim("step")) == "signup")))
+
+
+_TS_SQL = " ".join(f"WHEN event_id % 5 = {k} THEN strftime(ts, '{py}')" for k, (_, py) in _DOC_TS.items())
+SQL["activity_docs_once"] = f"""SELECT event_id,
+    CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS customer_id,
+    CASE WHEN event_id % 3 = 1 THEN CAST(user_id AS VARCHAR) END AS customerId,
+    CASE WHEN event_id % 3 = 2 THEN CASE WHEN event_id % 7 = 0 THEN 'u' || CAST(user_id AS VARCHAR)
+         ELSE CAST(user_id AS VARCHAR) END END AS userId,
+    CASE WHEN event_id % 5 = 4 THEN 'not a date' {_TS_SQL} END AS "timestamp",
+    event_type,
+    CASE WHEN event_type <> 'view' THEN value - 5 END AS session_duration_sec
+    FROM events"""
+SQL["activity_docs"] = """SELECT * FROM activity_docs_once
+    UNION ALL SELECT * FROM activity_docs_once WHERE event_type = 'purchase'"""
+SQL["nps_docs"] = """SELECT event_id AS response_id,
+    CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) END AS customer_id,
+    CASE WHEN event_id % 2 <> 0 THEN CAST(user_id AS VARCHAR) END AS userId,
+    CASE WHEN event_id % 2 = 0 THEN CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 13 - 1 AS VARCHAR) END
+      AS nps_score,
+    CASE WHEN event_id % 2 <> 0 THEN CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 13 - 1 AS VARCHAR) END
+      AS score,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp" FROM events"""
+SQL["onboarding_docs_once"] = """SELECT event_id,
+    CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) END AS customerId,
+    CASE WHEN event_id % 2 <> 0 THEN CAST(user_id AS VARCHAR) END AS customer_id,
+    CASE WHEN event_id % 2 = 0 THEN (CASE WHEN event_id % 3 = 0 THEN event_type WHEN event_id % 3 = 1
+         THEN upper(event_type) ELSE '  ' || upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) || ' '
+         END) END AS step,
+    CASE WHEN event_id % 2 <> 0 THEN (CASE WHEN event_id % 3 = 0 THEN event_type WHEN event_id % 3 = 1
+         THEN upper(event_type) ELSE '  ' || upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) || ' '
+         END) END AS event_step,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp" FROM events"""
+SQL["onboarding_docs"] = """SELECT * FROM onboarding_docs_once UNION ALL
+    SELECT * FROM onboarding_docs_once WHERE step IS NOT NULL AND lower(trim(step)) = 'signup'"""
+
+# roles that need other roles first
+DEPENDS = {"activity_docs": ["activity_docs_once"], "onboarding_docs": ["onboarding_docs_once"]}
