@@ -1,3 +1,3 @@
 """Query registrations, one module per analysis family."""
 
-from cohortium.entries import cleaning, subscriptions  # noqa: F401
+from cohortium.entries import activity, cleaning, subscriptions  # noqa: F401
