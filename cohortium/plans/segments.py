@@ -51,6 +51,9 @@ def segment_customers(features: DataFrame, k: int = 4, seeds=range(42, 52), max_
     from pyspark.ml.feature import VectorAssembler
 
     vec = VectorAssembler(inputCols=["z_" + c for c in FEATURES], outputCol="features").transform(features)
+    # the fits iterate over the same rows many times: cut the lineage once
+    # (reliable checkpoint in the shared checkpoint folder), not per fit
+    vec = vec.select("customer_id", "features").checkpoint(eager=True)
     best = None
     for s in seeds:
         model = KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features", predictionCol="_cluster").fit(vec)
