@@ -1,3 +1,3 @@
 """Query registrations, one module per analysis family."""
 
-from cohortium.entries import activity, cleaning, customer, subscriptions  # noqa: F401
+from cohortium.entries import activity, cleaning, customer, dedupe, subscriptions  # noqa: F401

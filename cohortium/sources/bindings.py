@@ -311,3 +311,38 @@ SQL["onboarding_docs"] = """SELECT * FROM onboarding_docs_once UNION ALL
 
 # roles that need other roles first
 DEPENDS = {"activity_docs": ["activity_docs_once"], "onboarding_docs": ["onboarding_docs_once"]}
+
+
+# --------------------------------------------------------------------------
+# Duplicate-account roles: every part is an account (name = p_name, e-mail
+# domain from the brand); its team members are the suppliers of its line
+# items (domain = supplier nation).
+
+# Binding parameters: the first ten brands and first five nations play the
+# part of the generic (free-mail) domains.
+TEST_GENERIC_ACCOUNT_DOMAINS = [f"brand{i}.example" for i in range(1, 11)]
+TEST_GENERIC_TEAM_DOMAINS = [f"nation_{i}.com" for i in range(5)]
+
+
+def accounts(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "part").select(
+        F.col("p_partkey").alias("customer_id"), F.col("p_name").alias("company_name"),
+        F.concat(F.lit("sales@"), F.lower(F.replace("p_brand", F.lit("#"), F.lit(""))), F.lit(".example"))
+        .alias("contact_email"))
+
+
+def account_team_members(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem").select("l_partkey", "l_suppkey")
+    s = _t(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = _t(spark, d, "nation").select("n_nationkey", "n_name")
+    j = li.join(s, li.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
+    return j.select(F.col("l_partkey").alias("customer_id"),
+                    F.concat(F.lower(F.replace("s_name", F.lit("#"), F.lit("."))), F.lit("@"),
+                             F.lower("n_name"), F.lit(".com")).alias("email"))
+
+
+SQL["accounts"] = """SELECT p_partkey AS customer_id, p_name AS company_name,
+    'sales@' || lower(replace(p_brand, '#', '')) || '.example' AS contact_email FROM part"""
+SQL["account_team_members"] = """SELECT l.l_partkey AS customer_id,
+    lower(replace(s.s_name, '#', '.')) || '@' || lower(n.n_name) || '.com' AS email
+    FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey"""
