@@ -130,7 +130,7 @@ def user_step_lists(spark, d):
 @register("top_engaged_users", sql_with(["plans", "subscriptions", "activity"], f"""
 SELECT customer_id, plan_tier,
        {sbround('''least(total_events / 500, 1.0) * 30 + least(avg_d / 7200, 1.0) * 25
-                 + least(event_type_count / 14, 1.0) * 25 + greatest(1.0 - least(days, 90.0) / 90, 0.0) * 20''', 2)}
+                 + least(event_type_count / 14, 1.0) * 25 + least(greatest(1.0 - least(days, 90.0) / 90, 0.0), 1.0) * 20''', 2)}
          AS engagement_score,
        total_events, total_sessions, event_type_count, {sbround('avg_d', 1)} AS avg_session_duration_sec,
        {sbround('days', 0)} AS days_since_last_activity

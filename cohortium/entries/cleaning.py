@@ -54,11 +54,12 @@ def scan_table_counts(spark, d):
 
 
 @register("scan_json_documents", sql_with(["activity_docs"], """
-SELECT customer_id, customerId, NULL::VARCHAR AS customerID, NULL::VARCHAR AS user_id, userId,
-       NULL::VARCHAR AS userID, "timestamp", event_type, session_duration_sec FROM activity_docs"""))
+SELECT customer_id, customerId, NULL::VARCHAR AS customerID_, NULL::VARCHAR AS user_id, userId,
+       NULL::VARCHAR AS userID_, "timestamp", event_type, session_duration_sec FROM activity_docs"""))
 def scan_json_documents(spark, d):
     """Documents serialised to JSON text (absent keys omitted), then read back with the
-    superset schema: keys a document lacks come back NULL."""
+    superset of keys: keys a document lacks come back NULL; keys that differ only
+    by case keep distinct columns."""
     from cohortium.sources.tables import parse_json_documents
     docs = B.activity_docs(spark, d).drop("event_id")
     text = docs.select(F.to_json(F.struct(*docs.columns)).alias("doc"))

@@ -11,8 +11,19 @@ SURVEY_ID_ALIASES = ["customer_id", "customerId", "customerID", "userId", "userI
 
 
 def coalesce_present(df: DataFrame, names) -> Column:
-    """First non-null among the alias columns the frame actually has (NULL if none)."""
-    present = [F.col(n).cast("string") for n in names if n in df.columns]
+    """First non-null among the alias columns the frame actually has (NULL if none).
+
+    An alias that differs from another only by case is looked up under its
+    distinct column name (``customerID`` → ``customerID_``).
+    """
+    from cohortium.sources.tables import column_name
+
+    present = []
+    for n in names:
+        for cand in (column_name(n), n):
+            if cand in df.columns:
+                present.append(F.col(cand).cast("string"))
+                break
     return F.coalesce(*present) if present else F.lit(None).cast("string")
 
 

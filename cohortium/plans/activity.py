@@ -168,7 +168,9 @@ def top_engaged_users(activity: DataFrame, lookup: DataFrame, tier: str, as_of=N
     """Top-k customers of one tier by a 0-100 engagement score.
 
     The tier filter is applied *before* aggregating (semi-join of events to
-    the tier's customers); ``as_of`` defaults to the latest event time.
+    the tier's customers); ``as_of`` defaults to the latest event time. The
+    recency term is clamped to [0, 1] on both sides (activity after
+    ``as_of`` does not push the score above 100).
     """
     as_of_c = activity.select(F.max("ts")).scalar() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
     members = lookup.where(F.col("plan_tier") == tier).select("customer_id", "plan_tier")
@@ -179,8 +181,8 @@ def top_engaged_users(activity: DataFrame, lookup: DataFrame, tier: str, as_of=N
         F.least(F.col("total_events") / caps["events"], F.lit(1.0)) * weights["events"]
         + F.least(F.col("avg_session_duration") / caps["avg_duration_sec"], F.lit(1.0)) * weights["avg_duration_sec"]
         + F.least(F.col("event_type_count") / caps["event_types"], F.lit(1.0)) * weights["event_types"]
-        + F.greatest(F.lit(1.0) - F.least(days, F.lit(float(caps["recency_days"]))) / caps["recency_days"],
-                     F.lit(0.0)) * weights["recency_days"])
+        + F.least(F.greatest(F.lit(1.0) - F.least(days, F.lit(float(caps["recency_days"]))) / caps["recency_days"],
+                             F.lit(0.0)), F.lit(1.0)) * weights["recency_days"])
     out = m.select("customer_id", "plan_tier", snap_bround(score, 2).alias("engagement_score"),
                    "total_events", "total_sessions", "event_type_count",
                    snap_bround(F.col("avg_session_duration"), 1).alias("avg_session_duration_sec"),

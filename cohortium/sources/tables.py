@@ -33,30 +33,42 @@ def scan_table_counts(spark: SparkSession, sf_dir: str, names=TABLES) -> DataFra
     return out
 
 
-# Superset schema of an activity document. Id and timestamp fields vary in
-# name and type between documents, so they are read as strings and typed later.
-ACTIVITY_DOC_SCHEMA = T.StructType([
-    T.StructField("_id", T.StringType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("customerId", T.StringType()),
-    T.StructField("customerID", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("userId", T.StringType()),
-    T.StructField("userID", T.StringType()),
-    T.StructField("timestamp", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("session_duration_sec", T.DoubleType()),
-])
-
-
-def read_json_documents(spark: SparkSession, path: str, schema: T.StructType = ACTIVITY_DOC_SCHEMA) -> DataFrame:
-    """``find({}, {_id: 0})``: all documents, surrogate id dropped, absent keys NULL."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path).drop("_id")
-
-
-def parse_json_documents(docs: DataFrame, text_col: str, schema: T.StructType = ACTIVITY_DOC_SCHEMA) -> DataFrame:
+# Superset of the keys an activity document may carry. Ids and timestamps
+# vary in name and type between documents; every value is read as text and
+# typed later. Spark resolves column names case-insensitively, so keys that
+# differ only by case get distinct column names (see ``column_name``).
+ACTIVITY_DOC_KEYS = ["customer_id", "customerId", "customerID", "user_id", "userId", "userID",
+                     "timestamp", "event_type", "session_duration_sec"]
+NUMERIC_KEYS = {"session_duration_sec"}
+CASE_CLASH = {"customerID": "customerID_", "userID": "userID_"}
+
+
+def column_name(key: str) -> str:
+    return CASE_CLASH.get(key, key)
+
+
+def _from_doc_text(text: F.Column, keys) -> list[F.Column]:
+    """Look keys up case-sensitively in the parsed document (a string map).
+
+    A value stored as a typed date (``{"$date": ...}``) is unwrapped to its text.
+    """
+    m = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    cols = []
+    for k in keys:
+        v = F.element_at(m, F.lit(k))
+        v = F.coalesce(F.get_json_object(v, "$.$date"), v) if k == "timestamp" else v
+        cols.append((v.try_cast("double") if k in NUMERIC_KEYS else v).alias(column_name(k)))
+    return cols
+
+
+def read_json_documents(spark: SparkSession, path: str, keys=ACTIVITY_DOC_KEYS) -> DataFrame:
+    """``find({}, {_id: 0})``: all documents, ``_id`` not read, absent keys NULL."""
+    return spark.read.text(path).select(*_from_doc_text(F.col("value"), keys))
+
+
+def parse_json_documents(docs: DataFrame, text_col: str, keys=ACTIVITY_DOC_KEYS) -> DataFrame:
     """Same as :func:`read_json_documents` for documents held in a string column."""
-    return docs.select(F.from_json(F.col(text_col), schema).alias("d")).select("d.*").drop("_id")
+    return docs.select(*_from_doc_text(F.col(text_col), keys))
 
 
 def with_columns_if_absent(df: DataFrame, defaults: dict[str, F.Column]) -> DataFrame:
