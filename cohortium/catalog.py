@@ -8,13 +8,13 @@ money and ratios leave as DOUBLE after the snap rounding, counts as BIGINT.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortium.sources import bindings as B
-from cohortium.sources.bindings import sql_with
+from cohortium.deploy import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,7 +22,12 @@ ORACLE: dict[str, str] = {}
 
 def register(key: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[key] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[key] = run
         if sql is not None:
             ORACLE[key] = sql
         return fn

@@ -38,6 +38,8 @@ def get_spark(master: str | None = None, app: str = "cohortium",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    from cohortium.deploy import ship_package
+    ship_package(spark)
     return spark
 
 
