@@ -131,14 +131,9 @@ def downgrades_after_tickets(subs: DataFrame, plans: DataFrame, tier_levels: Dat
                    & (F.col("tier_level") < F.col("prev_tier_level"))
                    & (F.col("start_date") >= F.date_sub(max_start, recent_days)))
           .join(customers.select("customer_id", "company_name", "contact_name", "contact_email"), "customer_id"))
-    t = tickets.select(F.col("customer_id").alias("_tc"), F.col("ticket_id"), F.col("created_at").alias("_tat"))
-    # only tickets of customers that downgraded take part in the interval join
-    t = t.join(rd.select(F.col("customer_id").alias("_tc")).distinct(), "_tc", "left_semi")
-    lo = F.date_sub(F.col("start_date"), before_days).cast("timestamp_ntz")
-    hi = F.col("start_date").cast("timestamp_ntz")
-    j = rd.join(t, (rd.customer_id == t._tc) & (t._tat >= lo) & (t._tat < hi), "left")
-    keys = [c for c in rd.columns]
-    counted = j.groupBy(*keys).agg(F.count("ticket_id").alias("tickets_before_downgrade"))
+    counts = count_in_window_before(rd.select("subscription_id", "customer_id", "start_date"), tickets, before_days)
+    counted = rd.join(counts, "subscription_id", "left").withColumn(
+        "tickets_before_downgrade", F.coalesce(F.col("tickets_before_downgrade"), F.lit(0)).cast("long"))
     return counted.where(F.col("tickets_before_downgrade") > min_tickets).select(
         "customer_id", "company_name", "contact_name",
         F.col("prev_plan_name").alias("previous_plan"), F.col("prev_plan_tier").alias("previous_tier"),
@@ -150,6 +145,30 @@ def downgrades_after_tickets(subs: DataFrame, plans: DataFrame, tier_levels: Dat
     ).orderBy(F.desc("tickets_before_downgrade"), F.desc("mrr_loss"), "customer_id", "downgrade_date")
 
 
+def count_in_window_before(events: DataFrame, tickets: DataFrame, days: int) -> DataFrame:
+    """Tickets of the same customer in ``[start_date − days, start_date)`` per event row.
+
+    Interval join without a per-customer cross product: tickets are bucketed
+    by ``days``-wide day buckets, each event looks up the (at most two)
+    buckets its window overlaps, and the equi-join runs on (customer,
+    bucket) with the exact range as a residual. It is an inner join, so AQE
+    may split a hot customer on either side; events without tickets get
+    their 0 from the caller's left join on the unique event key.
+    """
+    width = max(int(days), 1)
+    day = F.unix_date(F.col("created_at").cast("date"))
+    t = tickets.select(F.col("customer_id").alias("_tc"), "ticket_id", F.col("created_at").alias("_tat"),
+                       F.floor(day / width).alias("_b"))
+    lo_day = F.unix_date(F.date_sub(F.col("start_date"), days))
+    hi_day = F.unix_date(F.col("start_date")) - 1
+    e = events.select("subscription_id", "customer_id", "start_date",
+                      F.explode(F.sequence(F.floor(lo_day / width), F.floor(hi_day / width))).alias("_b"))
+    lo = F.date_sub(F.col("start_date"), days).cast("timestamp_ntz")
+    hi = F.col("start_date").cast("timestamp_ntz")
+    j = e.join(t, (e.customer_id == t._tc) & (e._b == t._b) & (t._tat >= lo) & (t._tat < hi))
+    return j.groupBy("subscription_id").agg(F.count("ticket_id").alias("tickets_before_downgrade"))
+
+
 def plan_scorecard(plans: DataFrame, subs: DataFrame, tickets: DataFrame, months: int = 6) -> DataFrame:
     """Per plan: active customers, mean MRR, tickets of the last ``months`` months and
     the ticket rate per customer per month.

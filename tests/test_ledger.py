@@ -279,3 +279,21 @@ def test_L32_L33_weeks_and_duration_populations(spark):
     m = A.customer_activity_metrics(act).first()
     assert abs(m.avg_session_duration - 50.0) < 1e-12  # all events, NULL → 0
     assert w.p50_session_duration_sec == 100.0         # sessions only
+
+
+def test_bucketed_interval_join_matches_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    ev = [(i, rnd.randint(1, 3), D0(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 120))) for i in range(60)]
+    tk = [(1000 + i, rnd.randint(1, 3), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 170000)))
+          for i in range(400)]
+    events = spark.createDataFrame(ev, "subscription_id long, customer_id long, start_date date")
+    tickets = spark.createDataFrame(tk, "ticket_id long, customer_id long, created_at timestamp_ntz")
+    for days in (1, 7, 30):
+        got = {r.subscription_id: r.tickets_before_downgrade
+               for r in S.count_in_window_before(events, tickets, days).collect()}
+        for sid, cid, start in ev:
+            lo = dt.datetime.combine(start - dt.timedelta(days=days), dt.time())
+            hi = dt.datetime.combine(start, dt.time())
+            n = sum(1 for _, c, t in tk if c == cid and lo <= t < hi)
+            assert got.get(sid, 0) == n, (days, sid)
