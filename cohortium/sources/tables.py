@@ -19,6 +19,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def register_views(spark: SparkSession, sf_dir: str, names=TABLES, database: str | None = None) -> list[str]:
+    """Namespace selection for SQL users: each table becomes a temp view
+    (optionally after ``USE database``), so ``spark.sql`` can name tables
+    without paths. Views are lazy; nothing is read here."""
+    if database:
+        spark.catalog.setCurrentDatabase(database)
+    for n in names:
+        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+    return list(names)
+
+
 def scan_table_counts(spark: SparkSession, sf_dir: str, names=TABLES) -> DataFrame:
     """(table, n_rows) for every table: the load log of a full extract.
 
