@@ -125,11 +125,15 @@ def downgrades_after_tickets(subs: DataFrame, plans: DataFrame, tier_levels: Dat
     """Downgrades in the last ``recent_days`` (before the latest start date) with
     more than ``min_tickets`` tickets in ``[downgrade − before_days, downgrade)``.
     """
-    sh = plan_changes(subs, plans, tier_levels)
     max_start = subs.select(F.max("start_date")).scalar()
+    recent = F.col("start_date") >= F.date_sub(max_start, recent_days)
+    # only customers with a subscription in the window need their history
+    # ordered; all of their rows are kept, so the lag values are unchanged
+    movers = subs.where(recent).select("customer_id").distinct()
+    sh = plan_changes(subs.join(movers, "customer_id", "left_semi"), plans, tier_levels)
     rd = (sh.where(F.col("prev_tier_level").isNotNull()
                    & (F.col("tier_level") < F.col("prev_tier_level"))
-                   & (F.col("start_date") >= F.date_sub(max_start, recent_days)))
+                   & recent)
           .join(customers.select("customer_id", "company_name", "contact_name", "contact_email"), "customer_id"))
     counts = count_in_window_before(rd.select("subscription_id", "customer_id", "start_date"), tickets, before_days)
     counted = rd.join(counts, "subscription_id", "left").withColumn(
