@@ -117,7 +117,7 @@ def named_master_df(spark, d):
     m = master_df(spark, d)
     names = G.name_segments(G.segment_profile(m, "industry")).select(
         F.col("segment").alias("industry"), "segment_name")
-    return m.join(F.broadcast(names), "industry", "left")
+    return m.join(names, "industry", "left")
 
 
 def _profile_sql():

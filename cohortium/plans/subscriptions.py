@@ -276,7 +276,9 @@ def churn_rate_rolling(subs_end: DataFrame, plans: DataFrame, as_of=None) -> Dat
     """Churn rate per tier-month, 3-row rolling mean and a 2× alert flag.
 
     Rows exist only for months with active subscriptions (inner join in the
-    reference), so the 3-row frame can span a gap. The rounded rate is kept
+    reference), so the 3-row frame can span a gap. The rate can exceed 100:
+    a subscription that starts and ends inside one month is counted as
+    churned but was never active at a month start. The rounded rate is kept
     as an exact DECIMAL, so the frame mean and the alert compare exactly.
     """
     ma = active_by_month(subs_end, plans, as_of)
