@@ -8,36 +8,34 @@ from pyspark.sql import functions as F
 # Fixed values from the reference: the accepted timestamp text formats, in
 # the order they are tried (Python strptime notation):
 #   %Y-%m-%dT%H:%M:%S.%fZ   %Y-%m-%dT%H:%M:%SZ   %Y-%m-%d %H:%M:%S   %Y-%m-%d
-# Each is matched by a pattern capturing year, month, day, hour, minute,
-# second and fraction; the value is built with try_make_timestamp_ntz, which
-# does not depend on the session time zone and gives NULL for impossible dates.
-_D = r"(\d{4})-(\d{1,2})-(\d{1,2})"
-_T = r"(\d{1,2}):(\d{1,2}):(\d{1,2})"
-TS_PATTERNS = [
-    "^" + _D + "T" + _T + r"\.(\d{1,6})Z$",
-    "^" + _D + "T" + _T + "Z$",
-    "^" + _D + " " + _T + "$",
-    "^" + _D + "$",
+# as Spark patterns (single letters accept one or two digits, like strptime):
+TS_FORMATS = [
+    "yyyy-M-d'T'H:m:s.SSSSSS'Z'",
+    "yyyy-M-d'T'H:m:s'Z'",
+    "yyyy-M-d H:m:s",
+    "yyyy-M-d",
 ]
 # Fixed value from the reference: the document store's stand-in for a missing timestamp.
 DEFAULT_TS = "2024-01-01 00:00:00"
+_EPOCH = "1970-01-01 00:00:00"
 
 
-def _parse_one(c: Column, pattern: str) -> Column:
-    groups = pattern.count("(")
-    g = [F.regexp_extract(c, pattern, i) for i in range(1, groups + 1)]
-    if groups >= 6:
-        secs = g[5] if groups == 6 else F.concat(g[5], F.lit("."), F.rpad(g[6], 6, "0"))
-        hms = (g[3].cast("int"), g[4].cast("int"), secs.cast("decimal(16,6)"))
-    else:
-        hms = (F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
-    ts = F.try_make_timestamp_ntz(g[0].cast("int"), g[1].cast("int"), g[2].cast("int"), *hms)
-    return F.when(c.rlike(pattern), ts)
+def _parse_wall_clock(c: Column, fmt: str) -> Column:
+    """Text → timestamp_ntz without the session time zone.
+
+    The text is parsed as a UTC instant (an explicit +0000 offset is
+    appended), and the same wall-clock reading is rebuilt as
+    ``epoch_ntz + micros``. A local time that does not exist in the
+    session's zone (a DST gap) is therefore kept as written. Junk and
+    impossible dates give NULL.
+    """
+    instant = F.try_to_timestamp(F.concat(c, F.lit(" +0000")), F.lit(fmt + " Z"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
-def parse_mixed_timestamp(c: Column, patterns=TS_PATTERNS) -> Column:
-    """First format that matches wins; junk, impossible dates and NULL give NULL."""
-    return F.coalesce(*[_parse_one(c, p) for p in patterns])
+def parse_mixed_timestamp(c: Column, formats=TS_FORMATS) -> Column:
+    """First format that parses wins; junk, impossible dates and NULL give NULL."""
+    return F.coalesce(*[_parse_wall_clock(c, f) for f in formats])
 
 
 def parse_with_default(c: Column, default: str = DEFAULT_TS) -> Column:
