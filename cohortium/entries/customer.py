@@ -207,9 +207,10 @@ def _kpi_sql(src, where=""):
        {sround('AVG(CASE WHEN is_churned = 1 THEN total_ltv END)', 2)} AS avg_ltv_churned{src}{where}"""
 
 
-@register("kpi_cards", c360_sql(_kpi_sql(" FROM c360")))
+@register("kpi_cards", master_sql(_kpi_sql(", COUNT(DISTINCT segment_name) AS segment_count FROM named_master"),
+                                   NAMES_CTES))
 def kpi_cards(spark, d):
-    return M.kpi_cards(customer_360_df(spark, d))
+    return M.kpi_cards(named_master_df(spark, d))
 
 
 @register("kpi_cards_by_tier", c360_sql(_kpi_sql(" FROM c360", f" WHERE plan_tier = '{TEST_TIERS[-1]}'")))

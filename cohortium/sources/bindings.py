@@ -346,3 +346,13 @@ SQL["accounts"] = """SELECT p_partkey AS customer_id, p_name AS company_name,
 SQL["account_team_members"] = """SELECT l.l_partkey AS customer_id,
     lower(replace(s.s_name, '#', '.')) || '@' || lower(n.n_name) || '.com' AS email
     FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey"""
+
+
+def roles(spark: SparkSession, d: str):
+    """All input roles of the end-to-end job (:mod:`cohortium.jobs`) over the test tables."""
+    from cohortium.jobs import Roles
+
+    return Roles(customers=customers(spark, d), plans=plans(spark, d),
+                 subscriptions=subscriptions(spark, d, with_end=True), invoices=invoices(spark, d),
+                 tickets=tickets(spark, d), activity_docs=activity_docs(spark, d), nps_docs=nps_docs(spark, d),
+                 onboarding_docs=onboarding_docs(spark, d))

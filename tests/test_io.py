@@ -60,3 +60,20 @@ def test_streaming_clean_matches_batch(spark):
     q.awaitTermination(120)
     got = {r.customer_id: r.session_duration for r in spark.read.parquet(out + "/table").collect()}
     assert got == {1: 0.0, 2: 0.0}
+
+
+def test_export_dashboard_end_to_end(spark):
+    from cohortium.jobs import export_dashboard
+    from cohortium.sources.bindings import roles
+
+    out = tempfile.mkdtemp(prefix="cohortium-export-")
+    paths = export_dashboard(roles(spark, "/root/testdata/sf0.001"), out, seeds=range(42, 45))
+    assert set(paths) >= {"customer_master", "monthly_churn_by_tier", "support_tickets", "monthly_engagement",
+                          "plans", "churn_reasons"}
+    master = spark.read.option("header", True).csv(paths["customer_master"])
+    assert master.count() == spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+    assert {"segment", "segment_name", "high_engagement", "recency_days"} <= set(master.columns)
+    plans = spark.read.option("header", True).csv(paths["plans"])
+    assert plans.count() == 5
+    kpi = spark.read.option("header", True).csv(paths["kpi_cards"]).first()
+    assert int(kpi["segment_count"]) >= 1
