@@ -12,7 +12,6 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortium.deploy import ship_package
 
