@@ -22,6 +22,7 @@ from cohortium.plans import marts as M
 from cohortium.plans import segments as G
 from cohortium.plans import stats as T
 from cohortium.plans import subscriptions as S
+from cohortium.session import ensure_checkpoint_dir
 from cohortium.sources.sinks import write_mart
 
 
@@ -54,6 +55,7 @@ def export_dashboard(r: Roles, out_dir: str, as_of=None, k: int = 4, seeds=range
     Returns {name: path}. ``as_of`` fixes "today" for recency (default: the
     latest activity in the data).
     """
+    ensure_checkpoint_dir(r.customers.sparkSession)
     c360 = build_customer_360(r).checkpoint(eager=True)
     feats = G.segment_features(c360, as_of)
     segs = G.segment_customers(feats, k=k, seeds=seeds)

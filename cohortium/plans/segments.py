@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortium.functions.numeric import snap_bround
 from cohortium.functions.time import days_between
+from cohortium.session import ensure_checkpoint_dir
 
 FEATURES = ["recency_days", "total_events", "total_ltv", "avg_session_duration", "distinct_features"]
 # Fixed value from the reference: recency of a customer without activity.
@@ -59,6 +60,7 @@ def segment_customers(features: DataFrame, k: int = 4, seeds=range(42, 52), max_
     vec = VectorAssembler(inputCols=["z_" + c for c in FEATURES], outputCol="features").transform(features)
     # the fits iterate over the same rows many times: cut the lineage once
     # (reliable checkpoint in the shared checkpoint folder), not per fit
+    ensure_checkpoint_dir(features.sparkSession)
     vec = vec.select("customer_id", "features").checkpoint(eager=True)
 
     def fit(seed):

@@ -44,13 +44,21 @@ def get_spark(master: str | None = None, app: str = "cohortium",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, choosing a scratch one only when unset."""
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    """Return the shared checkpoint folder, choosing a scratch one only when unset.
+
+    Order: a folder already set on the SparkContext, then the
+    ``spark.checkpoint.dir`` setting of the session/cluster, and only when
+    neither exists (local runs, tests) a fresh local scratch folder.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="cohortium-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
