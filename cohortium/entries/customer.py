@@ -9,6 +9,7 @@ from cohortium.entries.activity import (ENGAGEMENT_CTE, NPS_AGG_CTE, ONB_CTE, cl
                                         clean_onboarding_df, snap6)
 from cohortium.entries.cleaning import CLEAN_ACTIVITY_CTES, CLEAN_NPS_CTES, CLEAN_ONB_CTES, sql_strip
 from cohortium.operators.ordinals import group_percentiles
+from cohortium.operators.scalars import attach_one_row
 from cohortium.plans import activity as A
 from cohortium.plans import cleaning as C
 from cohortium.plans import customer360 as X
@@ -96,8 +97,8 @@ def master_df(spark, d):
     as_of = m.select(F.max("last_activity")).scalar()
     m = m.withColumn("recency_days", G.recency_days(F.col("last_activity"), as_of))
     med = group_percentiles(m.withColumn("_g", F.lit(0)), ["_g"], "total_events", {"median": 0.5}, ["customer_id"])
-    m = m.withColumn("_k", F.lit(1)).join(F.broadcast(med.select("median").withColumn("_k", F.lit(1))), "_k")
-    return m.withColumn("high_engagement", (F.col("total_events") > F.col("median")).cast("int")).drop("_k", "median")
+    m = attach_one_row(m, med.select("median"))
+    return m.withColumn("high_engagement", (F.col("total_events") > F.col("median")).cast("int")).drop("median")
 
 
 MASTER_CTE = ("master", """SELECT c360.*,

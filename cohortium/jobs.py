@@ -91,6 +91,8 @@ def _high_engagement(c360: DataFrame) -> DataFrame:
     """customer → 1 when total_events is above the exact median (as in the chi-square test)."""
     from cohortium.operators.ordinals import group_percentiles
 
+    from cohortium.operators.scalars import attach_one_row
+
     med = group_percentiles(c360.withColumn("_g", F.lit(0)), ["_g"], "total_events", {"m": 0.5}, ["customer_id"])
-    j = c360.select("customer_id", "total_events").withColumn("_g", F.lit(0)).join(F.broadcast(med), "_g")
+    j = attach_one_row(c360.select("customer_id", "total_events"), med.select("m"))
     return j.select("customer_id", (F.col("total_events") > F.col("m")).cast("int").alias("high_engagement"))

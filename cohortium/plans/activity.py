@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cohortium.functions.numeric import safe_div, snap_bround, snap_round
 from cohortium.functions.time import days_between, hours_between, week_key
 from cohortium.operators.ordinals import group_percentiles
+from cohortium.operators.scalars import attach_one_row
 
 UNKNOWN_TIER = "unknown"
 # Fixed values from the reference: engagement score caps and weights.
@@ -133,7 +134,7 @@ def funnel_step_gaps(onboarding: DataFrame, steps) -> DataFrame:
     med = group_percentiles(long, ["gap"], "hrs", {"p50": 0.5}, ["customer_id"])
     one = med.agg(*[F.max(F.when(F.col("gap") == n, snap6(F.col("p50")))).alias(f"median_{n}") for n in names])
     total = onboarding.agg(F.count_distinct("customer_id").alias("total_customers"))
-    return one.withColumn("_k", F.lit(1)).join(total.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return attach_one_row(one, total)
 
 
 def user_step_lists(onboarding: DataFrame) -> DataFrame:

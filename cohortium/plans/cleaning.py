@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortium.functions.ids import ACTIVITY_ID_ALIASES, SURVEY_ID_ALIASES, normalized_customer_id
 from cohortium.functions.text import compact_name, normalize_company_name, strip_ws
 from cohortium.functions.time import parse_mixed_timestamp
+from cohortium.operators.scalars import attach_one_row
 
 # Fixed value from the reference: the one customer id flagged as a known duplicate.
 DEFAULT_FLAGGED_IDS = [1202]
@@ -104,12 +105,7 @@ def quality_report_activity(docs: DataFrame, customers: DataFrame) -> DataFrame:
         F.count_if(known & (F.col("session_duration") < 0)).alias("negative_durations"),
         F.count_if(known).alias("rows_after"),
     )
-    return _one_row_join(before, after)
-
-
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side-by-side of two one-row aggregates (join on a constant key)."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return attach_one_row(before, after)
 
 
 def clean_nps(docs: DataFrame, aliases=SURVEY_ID_ALIASES) -> DataFrame:

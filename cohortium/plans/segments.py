@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortium.functions.numeric import snap_bround
 from cohortium.functions.time import days_between
+from cohortium.operators.scalars import attach_one_row
 from cohortium.session import ensure_checkpoint_dir
 
 FEATURES = ["recency_days", "total_events", "total_ltv", "avg_session_duration", "distinct_features"]
@@ -22,10 +23,6 @@ NO_ACTIVITY_DAYS = 999
 SEGMENT_NAMES = ["Champions", "Engaged Free/Low-Tier", "At-Risk / Dormant", "Steady Users"]
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.withColumn("_k", F.lit(1)).join(F.broadcast(b.withColumn("_k", F.lit(1))), "_k").drop("_k")
-
-
 def recency_days(last_activity, as_of) -> F.Column:
     """Whole days since the last activity (floor), 999 when there is none."""
     return F.coalesce(F.floor(days_between(as_of, last_activity)).cast("long"), F.lit(NO_ACTIVITY_DAYS).cast("long"))
@@ -37,7 +34,7 @@ def segment_features(c360: DataFrame, as_of=None) -> DataFrame:
     f = c360.select("customer_id", recency_days(F.col("last_activity"), as_of_c).cast("double").alias("recency_days"),
                     *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES[1:]])
     stats = f.agg(*[F.avg(c).alias("_m_" + c) for c in FEATURES], *[F.stddev_pop(c).alias("_s_" + c) for c in FEATURES])
-    j = _one_row_join(f, stats)
+    j = attach_one_row(f, stats)
     z = {"z_" + c: F.when(F.col("_s_" + c) > 0, (F.col(c) - F.col("_m_" + c)) / F.col("_s_" + c)).otherwise(F.lit(0.0))
          for c in FEATURES}
     return j.withColumns(z).drop(*[x for x in j.columns if x.startswith("_m_") or x.startswith("_s_")])

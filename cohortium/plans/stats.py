@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortium.operators.ordinals import group_percentiles
+from cohortium.operators.scalars import attach_one_row
 
 # Fixed values from the reference: effect-size band edges and labels.
 EFFECT_BANDS = [(0.2, "negligible"), (0.5, "small"), (0.8, "medium")]
@@ -138,7 +139,7 @@ def churn_contingency(df: DataFrame, value: str = "total_events", flag: str = "i
     """2×2 table: high engagement (value > exact median) × churn flag, zero cells included."""
     med = group_percentiles(df.withColumn("_g", F.lit(0)), ["_g"], value, {"median": 0.5},
                             ["customer_id"]).select("median")
-    m = df.withColumn("_k", F.lit(1)).join(med.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    m = attach_one_row(df, med)
     hi = (F.col(value) > F.col("median")).cast("int")
     return m.groupBy(hi.alias("high_engagement")).agg(
         F.count_if(F.col(flag) == 0).alias("churned_0"), F.count_if(F.col(flag) == 1).alias("churned_1"))

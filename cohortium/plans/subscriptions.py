@@ -229,6 +229,21 @@ def _months_from(first: F.Column, d: F.Column) -> F.Column:
     return k + F.when(F.dayofmonth(d) > 1, 1).otherwise(0)
 
 
+def month_calendar(subs_end: DataFrame, as_of=None) -> DataFrame:
+    """One row: the first month start and the number of month starts of the calendar.
+
+    The calendar runs from the month of the earliest start to the latest of
+    ``end_date`` / ``as_of`` (``as_of`` defaults to the latest date in the
+    data). All bounds come from a single aggregate pass.
+    """
+    b = subs_end.agg(F.trunc(F.min("start_date"), "MM").alias("first"), F.max("start_date").alias("max_start"),
+                     F.max("end_date").alias("max_end"), F.count_if(F.col("end_date").isNull()).alias("open_n"))
+    as_of_c = F.greatest("max_start", "max_end") if as_of is None else F.lit(as_of).cast("date")
+    # MAX(COALESCE(end_date, as_of)) from the same row
+    last = F.when(F.col("open_n") > 0, F.greatest(F.col("max_end"), as_of_c)).otherwise(F.col("max_end"))
+    return b.select("first", (F.months_between(F.trunc(last, "MM"), F.col("first")).cast("int") + 1).alias("n_points"))
+
+
 def active_by_month(subs_end: DataFrame, plans: DataFrame, as_of=None) -> DataFrame:
     """Subscriptions active at each month start, per tier (interval stabbing).
 
@@ -236,19 +251,12 @@ def active_by_month(subs_end: DataFrame, plans: DataFrame, as_of=None) -> DataFr
     every span to every month, each subscription contributes +1 at the first
     month start it covers and −1 at the first month start after it ends; a
     running sum over the (tier, month) totals gives the counts. Input work is
-    linear; the running sum runs over tiers × months rows.
-
-    The calendar runs from the month of the earliest start to the latest of
-    ``end_date`` / ``as_of`` (default: latest date in the data), month starts
-    aligned to the 1st.
+    linear; the running sum runs over tiers × months rows. The one-row
+    calendar (:func:`month_calendar`) enters as two merged scalar subqueries.
     """
-    if as_of is None:
-        as_of_c = subs_end.select(F.greatest(F.max("start_date"), F.max("end_date"))).scalar()
-    else:
-        as_of_c = F.lit(as_of).cast("date")
-    first = subs_end.select(F.trunc(F.min("start_date"), "MM")).scalar()
-    last = subs_end.select(F.max(F.coalesce(F.col("end_date"), as_of_c))).scalar()
-    n_points = F.months_between(F.trunc(last, "MM"), first).cast("int") + 1
+    cal = month_calendar(subs_end, as_of)
+    # two scalar subqueries over the same one-row aggregate: merged and run once
+    first, n_points = cal.select("first").scalar(), cal.select("n_points").scalar()
     s = subs_end.join(plans.select("plan_id", "plan_tier"), "plan_id").select(
         "plan_tier",
         _months_from(first, F.col("start_date")).alias("k0"),

@@ -15,7 +15,9 @@ def _optimized(df):
 
 def test_no_cartesian_or_nested_loop(spark):
     for key in ("active_by_month", "churn_rate_rolling", "downgrades_after_tickets", "duplicate_candidates",
-                "name_prefix_signals", "team_domain_overlap", "feature_retention", "plan_scorecard"):
+                "name_prefix_signals", "team_domain_overlap", "feature_retention", "plan_scorecard",
+                "quality_report_activity", "funnel_step_gaps", "churn_contingency", "segment_features",
+                "mart_customer_master", "kpi_cards", "customer_360", "ltv_rank_by_tier"):
         p = _plan(E.queries()[key](spark, SF))
         assert "CartesianProduct" not in p, key
         assert "BroadcastNestedLoopJoin" not in p, key
