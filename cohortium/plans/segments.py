@@ -1,9 +1,9 @@
 """RFM-style segmentation: features, standardisation, k-means, profiles and names.
 
-Standardisation statistics are one aggregate row joined back; k-means is
-Spark ML's distributed ``KMeans`` (k-means|| initialisation), fitted for
-several seeds with the lowest training cost kept. Cluster ids are arbitrary,
-so they are relabelled by descending centre LTV to make runs comparable.
+Standardisation statistics are one aggregate row attached to every row;
+k-means is best-of-n k-means++/Lloyd with all starts sharing each pass over
+the data (:mod:`cohortium.operators.kmeans`). Cluster ids are arbitrary, so
+they are relabelled by descending centre LTV to make runs comparable.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortium.functions.numeric import snap_bround
 from cohortium.functions.time import days_between
+from cohortium.operators.kmeans import assign_clusters, multi_start_kmeans
 from cohortium.operators.scalars import attach_one_row
 from cohortium.session import ensure_checkpoint_dir
 
@@ -40,37 +41,25 @@ def segment_features(c360: DataFrame, as_of=None) -> DataFrame:
     return j.withColumns(z).drop(*[x for x in j.columns if x.startswith("_m_") or x.startswith("_s_")])
 
 
-def segment_customers(features: DataFrame, k: int = 4, seeds=range(42, 52), max_iter: int = 20,
-                      parallel_fits: int = 4) -> DataFrame:
-    """K-means on the z-scores, best of ``len(seeds)`` fits by training cost
-    (ties: lowest seed).
+def segment_customers(features: DataFrame, k: int = 4, seeds=range(42, 52), max_iter: int = 300,
+                      tol: float = 1e-4) -> DataFrame:
+    """K-means on the z-scores: k-means++ seeding, best of ``len(seeds)`` starts by
+    inertia (ties: first start).
 
-    The fits are independent distributed jobs; up to ``parallel_fits`` run
-    concurrently from driver threads. Returns (customer_id, segment) with
+    All starts advance in the same passes over the data
+    (:mod:`cohortium.operators.kmeans`). Returns (customer_id, segment) with
     segment 0 = highest centre LTV.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    vec = VectorAssembler(inputCols=["z_" + c for c in FEATURES], outputCol="features").transform(features)
-    # the fits iterate over the same rows many times: cut the lineage once
-    # (reliable checkpoint in the shared checkpoint folder), not per fit
+    zcols = ["z_" + c for c in FEATURES]
+    # the starts iterate over the same rows many times: cut the lineage once
+    # (reliable checkpoint in the shared checkpoint folder)
     ensure_checkpoint_dir(features.sparkSession)
-    vec = vec.select("customer_id", "features").checkpoint(eager=True)
-
-    def fit(seed):
-        m = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="_cluster").fit(vec)
-        return m.summary.trainingCost, seed, m
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
-        fits = list(pool.map(fit, list(seeds)))
-    model = min(fits, key=lambda x: (x[0], x[1]))[2]
+    data = features.select("customer_id", *zcols).checkpoint(eager=True)
+    centres, _, _ = multi_start_kmeans(data, "customer_id", zcols, k, seeds, max_iter=max_iter, tol=tol)
     ltv_pos = FEATURES.index("total_ltv")
-    order = sorted(range(len(model.clusterCenters())), key=lambda i: -model.clusterCenters()[i][ltv_pos])
+    order = sorted(range(len(centres)), key=lambda i: (-centres[i][ltv_pos], i))
     relabel = F.create_map(*[x for new, old in enumerate(order) for x in (F.lit(old), F.lit(new))])
-    return model.transform(vec).select("customer_id", relabel[F.col("_cluster")].alias("segment"))
+    return data.select("customer_id", relabel[assign_clusters(zcols, centres)].alias("segment"))
 
 
 def segment_profile(master: DataFrame, segment_col: str = "segment") -> DataFrame:
