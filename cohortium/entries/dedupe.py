@@ -69,16 +69,20 @@ def team_domain_overlap(spark, d):
 def _score_sql():
     nt = """CASE WHEN exact_group_size > 1 THEN 'EXACT_MATCH'
                  WHEN n_shorter_prefix_names + n_longer_names > 0 THEN 'PREFIX_MATCH' END"""
+    corp = "COALESCE(d.is_corporate_domain AND d.domain_group_size > 1, false)"
+    shared = "COALESCE(t.shared_domains, 0)"
     return f"""SELECT * FROM (
-  SELECT n.customer_id, n.norm_name, {nt} AS name_match_type, n.exact_group_size, n.n_shorter_prefix_names,
-         n.n_longer_names, d.email_domain, (d.is_corporate_domain AND d.domain_group_size > 1) AS corporate_domain_match,
-         d.domain_group_size, CAST(COALESCE(t.shared_domains, 0) AS BIGINT) AS team_domain_overlaps,
-         t.overlapping_domains,
+  SELECT COALESCE(n.customer_id, t.customer_id) AS customer_id, n.norm_name, {nt} AS name_match_type,
+         CAST(COALESCE(n.exact_group_size, 0) AS BIGINT) AS exact_group_size,
+         CAST(COALESCE(n.n_shorter_prefix_names, 0) AS BIGINT) AS n_shorter_prefix_names,
+         CAST(COALESCE(n.n_longer_names, 0) AS BIGINT) AS n_longer_names, d.email_domain,
+         {corp} AS corporate_domain_match, CAST(COALESCE(d.domain_group_size, 0) AS BIGINT) AS domain_group_size,
+         CAST({shared} AS BIGINT) AS team_domain_overlaps, t.overlapping_domains,
          (CASE WHEN exact_group_size > 1 THEN 50 WHEN n_shorter_prefix_names + n_longer_names > 0 THEN 30 ELSE 0 END
-          + CASE WHEN d.is_corporate_domain AND d.domain_group_size > 1 THEN 30 ELSE 0 END
-          + CASE WHEN COALESCE(t.shared_domains, 0) >= 2 THEN 30 WHEN COALESCE(t.shared_domains, 0) = 1 THEN 15
-                 ELSE 0 END) AS duplicate_confidence_score
-  FROM name_sig n JOIN dom_sig d ON n.customer_id = d.customer_id LEFT JOIN team_sig t ON n.customer_id = t.customer_id
+          + CASE WHEN {corp} THEN 30 ELSE 0 END
+          + CASE WHEN {shared} >= 2 THEN 30 WHEN {shared} = 1 THEN 15 ELSE 0 END) AS duplicate_confidence_score
+  FROM name_sig n JOIN dom_sig d ON n.customer_id = d.customer_id
+  FULL OUTER JOIN team_sig t ON n.customer_id = t.customer_id
 ) x WHERE duplicate_confidence_score >= 30 ORDER BY duplicate_confidence_score DESC, customer_id LIMIT 50"""
 
 

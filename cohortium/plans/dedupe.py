@@ -101,18 +101,27 @@ def duplicate_candidates(accounts: DataFrame, team_members: DataFrame, min_score
 
 def score_candidates(n: DataFrame, d: DataFrame, t: DataFrame, min_score: int = MIN_SCORE,
                      k: int | None = TOP_K, weights=WEIGHTS) -> DataFrame:
-    j = n.join(d, "customer_id").join(t, "customer_id", "left")
+    """Score accounts from the name, domain and team signals.
+
+    Name and domain signals cover the same (named) accounts; the team signal is
+    full-outer-joined on the account id, so an account whose only signal is
+    shared team domains (no usable name) is still scored.
+    """
+    j = n.join(d, "customer_id").join(t, "customer_id", "full")
     name_type = (F.when(F.col("exact_group_size") > 1, F.lit("EXACT_MATCH"))
                  .when(F.col("n_shorter_prefix_names") + F.col("n_longer_names") > 0, F.lit("PREFIX_MATCH")))
     shared = F.coalesce(F.col("shared_domains"), F.lit(0))
-    corp = F.col("is_corporate_domain") & (F.col("domain_group_size") > 1)
+    corp = F.coalesce(F.col("is_corporate_domain") & (F.col("domain_group_size") > 1), F.lit(False))
     score = (F.when(name_type == "EXACT_MATCH", weights["exact"]).when(name_type == "PREFIX_MATCH", weights["prefix"])
              .otherwise(0)
              + F.when(corp, weights["domain"]).otherwise(0)
              + F.when(shared >= 2, weights["team_two"]).when(shared == 1, weights["team_one"]).otherwise(0))
-    out = j.select("customer_id", "norm_name", name_type.alias("name_match_type"), "exact_group_size",
-                   "n_shorter_prefix_names", "n_longer_names", "email_domain", corp.alias("corporate_domain_match"),
-                   "domain_group_size", shared.cast("long").alias("team_domain_overlaps"), "overlapping_domains",
+    zero = {c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+            for c in ("exact_group_size", "n_shorter_prefix_names", "n_longer_names", "domain_group_size")}
+    out = j.select("customer_id", "norm_name", name_type.alias("name_match_type"), zero["exact_group_size"],
+                   zero["n_shorter_prefix_names"], zero["n_longer_names"], "email_domain",
+                   corp.alias("corporate_domain_match"), zero["domain_group_size"],
+                   shared.cast("long").alias("team_domain_overlaps"), "overlapping_domains",
                    score.alias("duplicate_confidence_score"))
     out = out.where(F.col("duplicate_confidence_score") >= min_score) \
         .orderBy(F.desc("duplicate_confidence_score"), "customer_id")

@@ -19,6 +19,10 @@ def test_signals_match_brute_force(spark):
         rows.append((i, name, f"x{i}@{dom}" if dom else f"x{i}"))
         for _ in range(rnd.randint(0, 3)):
             team.append((i, f"m@{rnd.choice(['t1.com', 't2.com', 't3.com', 'gmail.com', 'solo' + str(i)])}"))
+    # accounts without a usable name, and a team member of an unknown account:
+    # scored on shared team domains alone (full outer join of the signals)
+    rows += [(200, "", "x@acme.io"), (201, " . ", "y@acme.io")]
+    team += [(200, "m@t1.com"), (200, "m@t2.com"), (201, "m@t3.com"), (900, "m@t1.com"), (901, "m@solo901")]
     acc = spark.createDataFrame(rows, "customer_id long, company_name string, contact_email string")
     tm = spark.createDataFrame(team, "customer_id long, email string")
     got = {r.customer_id: r for r in D.duplicate_candidates(acc, tm, min_score=0, k=None).collect()}
@@ -37,14 +41,22 @@ def test_signals_match_brute_force(spark):
         longer = sum(norm[j].startswith(norm[i]) and norm[i] != norm[j] for j in others)
         corp = dom[i] != "" and dom[i] not in D.GENERIC_ACCOUNT_DOMAINS
         dsize = sum(dom[j] == dom[i] for j in norm) if corp else 0
-        shared = sum(any(d in tdom.get(j, set()) for j in others) for d in tdom.get(i, set()))
+        shared = sum(any(d in tdom[j] for j in tdom if j != i) for d in tdom.get(i, set()))
         score = (50 if exact > 1 else 30 if shorter + longer else 0) + (30 if corp and dsize > 1 else 0) \
             + (30 if shared >= 2 else 15 if shared == 1 else 0)
         r = got[i]
         assert (r.exact_group_size, r.n_shorter_prefix_names, r.n_longer_names) == (exact, shorter, longer), i
         assert r.domain_group_size == dsize and r.team_domain_overlaps == shared, i
         assert r.duplicate_confidence_score == score, i
-    assert set(got) == set(norm)
+    team_only = {i for i in tdom if i not in norm
+                 and any(d in tdom[j] for d in tdom[i] for j in tdom if j != i)}
+    assert team_only == {200, 201, 900}
+    for i in team_only:
+        shared = sum(any(d in tdom[j] for j in tdom if j != i) for d in tdom[i])
+        r = got[i]
+        assert r.norm_name is None and r.name_match_type is None and not r.corporate_domain_match
+        assert r.team_domain_overlaps == shared and r.duplicate_confidence_score == (30 if shared >= 2 else 15), i
+    assert set(got) == set(norm) | team_only
 
 
 def test_top_k_is_a_report(spark):
