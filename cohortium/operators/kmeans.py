@@ -71,6 +71,8 @@ def _seed_centres(data: DataFrame, id_col: str, xcols: list[str], k: int, seeds:
             _, d2 = _nearest(xs, [[F.col(f"_c{j}_{i}") for i in range(len(xs))] for j in range(step)])
             key = F.when(d2 > 0, -F.log(u) / d2)
         picked = {r["_s"]: r["_p"] for r in e.groupBy("_s").agg(F.min_by(point, key).alias("_p")).collect()}
+        if step == 0 and not any(p is not None for p in picked.values()):
+            return None, mean_var  # no rows
         for s in starts:
             # fewer distinct points than k: repeat the first centre
             p = picked.get(s)
@@ -106,6 +108,7 @@ def _pass(data: DataFrame, xcols: list[str], centres, starts: list[int], k: int)
 def multi_start_kmeans(data: DataFrame, id_col: str, xcols: list[str], k: int, seeds, max_iter: int = 300,
                        tol: float = 1e-4, init_centres=None):
     """Fit k-means from ``len(seeds)`` starts; return (best centres, inertia per start, iterations per start).
+    Without rows: ``(None, [], [])``.
 
     ``data`` is read once per seeding step and once per iteration; persist or
     checkpoint it first. ``init_centres`` (starts × k × d) skips the seeding.
@@ -117,6 +120,8 @@ def multi_start_kmeans(data: DataFrame, id_col: str, xcols: list[str], k: int, s
         centres = [[list(map(float, c)) for c in cs] for cs in init_centres]
         v = data.agg(*[F.var_pop(c).alias(f"v{j}") for j, c in enumerate(xcols)]).first()
         mean_var = sum(v[f"v{j}"] or 0.0 for j in range(len(xcols))) / len(xcols)
+    if centres is None:
+        return None, [], []
     tol_abs = tol * mean_var
     active = list(range(len(centres)))
     iters = [0] * len(centres)

@@ -56,6 +56,8 @@ def segment_customers(features: DataFrame, k: int = 4, seeds=range(42, 52), max_
     ensure_checkpoint_dir(features.sparkSession)
     data = features.select("customer_id", *zcols).checkpoint(eager=True)
     centres, _, _ = multi_start_kmeans(data, "customer_id", zcols, k, seeds, max_iter=max_iter, tol=tol)
+    if centres is None:  # no customers
+        return data.select("customer_id", F.lit(None).cast("int").alias("segment"))
     ltv_pos = FEATURES.index("total_ltv")
     order = sorted(range(len(centres)), key=lambda i: (-centres[i][ltv_pos], i))
     relabel = F.create_map(*[x for new, old in enumerate(order) for x in (F.lit(old), F.lit(new))])

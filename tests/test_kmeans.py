@@ -56,3 +56,8 @@ def test_seeding_does_not_depend_on_partitioning(spark):
     b = multi_start_kmeans(_frame(spark, x, 7), "id", ["a", "b", "c"], 3, seeds=[1, 2], max_iter=5)
     np.testing.assert_allclose(np.array(a[0]), np.array(b[0]), rtol=1e-9)
     assert a[2] == b[2]
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "id long, a double, b double, c double")
+    assert multi_start_kmeans(df, "id", ["a", "b", "c"], 4, seeds=range(3)) == (None, [], [])
