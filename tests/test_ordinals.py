@@ -57,3 +57,16 @@ def test_percentiles_match_builtin(spark):
     assert len(rows) == exp.where("e50 is not null").count()
     for r in rows:
         assert abs(r.p25 - r.e25) < 1e-9 and abs(r.p50 - r.e50) < 1e-9 and abs(r.p75 - r.e75) < 1e-9
+
+
+def test_hot_group_is_spread_over_many_tasks(spark):
+    """Half the rows share one group; its numbering runs in several tasks, not one."""
+    df = _skewed(spark, 4000)
+    got = within_group_ordinals(df, ["g"], [Key("v")], ["id"], num_partitions=8)
+    per_task = got.where(F.col("g") == "hot").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    n_hot = df.where(F.col("g") == "hot").count()
+    assert len(per_task) >= 3
+    assert max(r["count"] for r in per_task) < 0.6 * n_hot
+    # and the numbers still run 1..n without gaps across the tasks
+    rn = got.where(F.col("g") == "hot").agg(F.min("rn"), F.max("rn"), F.count_distinct("rn")).first()
+    assert tuple(rn) == (1, n_hot, n_hot)
