@@ -48,6 +48,12 @@ def _centre_table(spark, centres: list[list[list[float]]], starts: list[int]) ->
     return spark.createDataFrame(rows, cols)
 
 
+def _mean_variance(data: DataFrame, xcols: list[str]) -> float:
+    """Mean over the features of their population variance (one aggregate row)."""
+    v = data.agg(*[F.var_pop(c).alias(f"v{j}") for j, c in enumerate(xcols)]).first()
+    return sum(v[f"v{j}"] or 0.0 for j in range(len(xcols))) / len(xcols)
+
+
 def _seed_centres(data: DataFrame, id_col: str, xcols: list[str], k: int, seeds: list[int]):
     """k-means++ seeding for every start (one pass per centre index); also returns
     the mean feature variance."""
@@ -55,8 +61,7 @@ def _seed_centres(data: DataFrame, id_col: str, xcols: list[str], k: int, seeds:
     xs = [F.col(c) for c in xcols]
     point = F.array(*xs)
     starts = list(range(len(seeds)))
-    v = data.agg(*[F.var_pop(c).alias(f"v{j}") for j, c in enumerate(xcols)]).first()
-    mean_var = sum(v[f"v{j}"] or 0.0 for j in range(len(xcols))) / len(xcols)
+    mean_var = _mean_variance(data, xcols)
     centres: list[list[list[float]]] = [[] for _ in starts]
     for step in range(k):
         rows = [(s, seeds[s], *[float(x) for c in centres[s] for x in c]) for s in starts]
@@ -118,8 +123,7 @@ def multi_start_kmeans(data: DataFrame, id_col: str, xcols: list[str], k: int, s
         centres, mean_var = _seed_centres(data, id_col, xcols, k, seeds)
     else:
         centres = [[list(map(float, c)) for c in cs] for cs in init_centres]
-        v = data.agg(*[F.var_pop(c).alias(f"v{j}") for j, c in enumerate(xcols)]).first()
-        mean_var = sum(v[f"v{j}"] or 0.0 for j in range(len(xcols))) / len(xcols)
+        mean_var = _mean_variance(data, xcols)
     if centres is None:
         return None, [], []
     tol_abs = tol * mean_var
