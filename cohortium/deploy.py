@@ -1,10 +1,14 @@
 """Make the package importable by Python workers.
 
 Pandas UDFs and ``mapInPandas`` functions are pickled by reference to this
-package, so every executor's Python worker must be able to import it. When
-the package is not installed on the executors, :func:`ship_package` zips it
-once per SparkContext and distributes it with ``addPyFile`` (Spark's own
-file distribution; the zip only needs to exist on the driver).
+package, so every executor's Python worker must be able to import it.
+
+On a cluster the package is shipped the standard way, with the job
+(``spark-submit --py-files cohortium.zip`` or an installed wheel), and
+nothing is written to a machine-local folder. Only in local mode (one
+machine, workers started from the driver's environment) does
+:func:`ship_package` zip the package once per SparkContext and add it with
+``addPyFile``.
 """
 
 from __future__ import annotations
@@ -37,5 +41,7 @@ def ship_package(spark: SparkSession) -> None:
     key = sc.applicationId
     if key in _shipped:
         return
-    sc.addPyFile(_zip_package())
+    submitted = ",".join(sc.getConf().get(k, "") for k in ("spark.submit.pyFiles", "spark.files"))
+    if sc.master.startswith("local") and "cohortium" not in submitted:
+        sc.addPyFile(_zip_package())
     _shipped.add(key)
