@@ -56,12 +56,12 @@ def _mean_variance(data: DataFrame, xcols: list[str]) -> float:
 
 def _seed_centres(data: DataFrame, id_col: str, xcols: list[str], k: int, seeds: list[int]):
     """k-means++ seeding for every start (one pass per centre index); also returns
-    the mean feature variance."""
+    the mean feature variance (from the first pass)."""
     spark = data.sparkSession
     xs = [F.col(c) for c in xcols]
     point = F.array(*xs)
     starts = list(range(len(seeds)))
-    mean_var = _mean_variance(data, xcols)
+    mean_var = 0.0
     centres: list[list[list[float]]] = [[] for _ in starts]
     for step in range(k):
         rows = [(s, seeds[s], *[float(x) for c in centres[s] for x in c]) for s in starts]
@@ -75,9 +75,14 @@ def _seed_centres(data: DataFrame, id_col: str, xcols: list[str], k: int, seeds:
         else:
             _, d2 = _nearest(xs, [[F.col(f"_c{j}_{i}") for i in range(len(xs))] for j in range(step)])
             key = F.when(d2 > 0, -F.log(u) / d2)
-        picked = {r["_s"]: r["_p"] for r in e.groupBy("_s").agg(F.min_by(point, key).alias("_p")).collect()}
-        if step == 0 and not any(p is not None for p in picked.values()):
-            return None, mean_var  # no rows
+        # step 0 also yields the feature variances: every start's group holds each row once
+        var = [F.var_pop(c).alias(f"_v{j}") for j, c in enumerate(xcols)] if step == 0 else []
+        got = e.groupBy("_s").agg(F.min_by(point, key).alias("_p"), *var).collect()
+        picked = {r["_s"]: r["_p"] for r in got}
+        if step == 0:
+            if not any(p is not None for p in picked.values()):
+                return None, mean_var  # no rows
+            mean_var = sum(got[0][f"_v{j}"] or 0.0 for j in range(len(xcols))) / len(xcols)
         for s in starts:
             # fewer distinct points than k: repeat the first centre
             p = picked.get(s)
