@@ -24,6 +24,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,85 +36,120 @@ SHARD_ITEMS = 20_000
 FAN_IN = 8
 CARRY = 4096
 SLACK = 16
-CACHE_CHUNKS = 400_000
+BATCH_CHARS = 12_000_000
+# fixed value: how byte-level BPE vocabularies of this family split a text before merging
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = "item long, bin long, at long, fill long, up boolean"
 
 
-class _Chunks(dict):
-    """Token ids (as bytes) of a text between two single spaces, kept per worker."""
+class Tokens:
+    """Token ids of whole batches of texts, by a byte-level BPE file.
+
+    A byte-level BPE never merges across a single space between two other
+    characters. Texts are cut there, each distinct piece of a batch is encoded
+    once (all in one call; token lengths tell where each ends), and the texts are
+    put together from the pieces. Texts with other spacing are encoded whole.
+    """
 
     def __init__(self, path: str):
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-
-    def fill(self, chunks) -> None:
-        new = list({c for c in chunks if c not in self})
-        if len(self) + len(new) > CACHE_CHUNKS:
-            self.clear()
-            new = list(set(chunks))
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for c, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False)):
-                self[c] = np.asarray(e.ids, dtype="<u4").tobytes()
-
-    def ids(self, text: str) -> bytes:
-        """A byte-level BPE never merges across a single space that stands between
-        two other characters, so the text is cut there and the cuts are cached."""
-        chunks = _cut(text)
-        try:
-            return b"".join(map(self.__getitem__, chunks))
-        except KeyError:
-            self.fill(chunks)
-            return b"".join(map(self.__getitem__, chunks))
-
-
-def _cut(text: str) -> list[str]:
-    if ("  " in text or " \n" in text or "\n " in text or text.startswith(" ") or text.endswith(" ")
-            or not text.replace("\n", "").isprintable()):
-        return _cut_carefully(text)
-    first, *rest = text.split(" ")
-    return [first, *(" " + r for r in rest)]
-
-
-def _cut_carefully(text: str) -> list[str]:
-    """Cut before a space only where neither neighbour is white space."""
-    out, at, find = [], 0, text.find
-    i = find(" ", 1)
-    while i > 0:
-        if i + 1 < len(text) and not text[i - 1].isspace() and not text[i + 1].isspace():
-            out.append(text[at:i])
-            at = i
-        i = find(" ", i + 1)
-    out.append(text[at:])
-    return [c for c in out if c]
+        import json
+
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if spec["model"]["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec.get("normalizer"):
+            raise ValueError(f"{path} is not a byte-level BPE")
+        special = {t["content"] for t in spec["added_tokens"]}
+        # the printable stand-ins that a byte-level vocabulary has for bytes
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in plain}
+        byte |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        ranks = {bytes(byte[c] for c in name): i for name, i in spec["model"]["vocab"].items() if name not in special}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        ids = [spec["model"]["vocab"]["".join(m)] for m in merges]
+        if ids != sorted(ids):
+            raise ValueError(f"{path}: ids don't follow the merges")
+        self.bpe = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(max(ranks.values()) + 1, "i8")
+        for name, i in ranks.items():
+            self.sizes[i] = len(name)
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.bpe.encode_ordinary(text), "u4")
+
+    def batch(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, each text followed by ``end``, and where each text begins."""
+        whole = [_odd(t) for t in texts]
+        cut = pc.split_pattern(pa.array(["" if odd else t for t, odd in zip(texts, whole)], pa.string()), " ")
+        starts = np.asarray(cut.offsets)
+        coded = cut.values.dictionary_encode()
+        index = np.asarray(coded.indices).astype("i8")
+        pieces = coded.dictionary
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces), " ")[0].as_py()
+        ids = self.encode(" " + joined) if len(pieces) else np.zeros(0, "u4")
+        at = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+        ends = np.cumsum(np.asarray(pc.binary_length(pieces)).astype("i8") + 1)
+        stops = np.searchsorted(at, ends)
+        if (at[stops] != ends).any():
+            raise ValueError("a token crosses a cut")
+        # the first piece of a text has no space before it; a text that isn't cut is one piece
+        firsts = [self.encode(t if odd else t.partition(" ")[0]) for t, odd in zip(texts, whole)]
+        index[starts[:-1]] = len(pieces) + np.arange(len(texts))
+        index = np.insert(index, starts[1:], len(pieces) + len(texts))
+        sizes = np.concatenate([np.diff(stops, prepend=0), [len(x) for x in firsts], [1]]).astype("i8")
+        lists = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]),
+                                              np.concatenate([ids, *firsts, np.array([end], "u4")]))
+        flat = np.asarray(lists.take(pa.array(index)).flatten())
+        before = np.concatenate([[0], np.cumsum(sizes[index])])
+        return flat, before[np.concatenate([[0], starts[1:] + np.arange(1, len(texts) + 1)])]
+
+
+def _odd(text: str) -> bool:
+    return (not text or "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " "
+            or not text.replace("\n", "").isprintable())
+
+
+_tokens: dict[str, Tokens] = {}
+
+
+def _tokenizer(path: str) -> Tokens:
+    """One per Python worker, which serves many tasks."""
+    if path not in _tokens:
+        _tokens[path] = Tokens(path)
+    return _tokens[path]
+
+
+def _slices(docs: list, texts: list[str]):
+    at = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > BATCH_CHARS:
+            yield docs[at:i], texts[at:i]
+            at, size = i, 0
+        size += len(t)
+    if at < len(texts):
+        yield docs[at:], texts[at:]
 
 
 def _pieces(path: str, capacity: int, keep_ids: bool):
     def run(batches):
-        chunks = _Chunks(path)
-        end = np.asarray([END_ID], dtype="<u4").tobytes()
+        tokens = _tokenizer(path)
+        kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(),
+                 "ids_crc32": pa.int64()} | ({"ids": pa.list_(pa.int32())} if keep_ids else {})
         for b in batches:
-            out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = (chunks.ids(text) if text else b"") + end
-                n = len(ids) // 4
-                at, size, k = 0, (n - 1) % capacity + 1, 0
-                while at < n:
-                    part = ids[4 * at:4 * (at + size)]
-                    for name, v in zip(out, (doc, k, at, size, zlib.crc32(part), np.frombuffer(part, "<u4").astype("i4") if keep_ids else None)):
-                        out[name].append(v)
-                    at, size, k = at + size, capacity, k + 1
-            kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(),
-                     "ids_crc32": pa.int64(), "ids": pa.list_(pa.int32())}
-            names = [c for c in out if c != "ids" or keep_ids]
-            yield pa.RecordBatch.from_arrays([pa.array(out[c], kinds[c]) for c in names], names=names)
+            for docs, texts in _slices(b.column("doc_id").to_pylist(), [t or "" for t in b.column("text").to_pylist()]):
+                flat, bounds = tokens.batch(texts, END_ID)
+                raw = memoryview(flat.astype("<u4").tobytes())
+                rows = []
+                for doc, first, last in zip(docs, bounds[:-1].tolist(), bounds[1:].tolist()):
+                    at, size, k = first, (last - first - 1) % capacity + 1, 0
+                    while at < last:
+                        row = (doc, k, at - first, size, zlib.crc32(raw[4 * at:4 * (at + size)]))
+                        rows.append((*row, flat[at:at + size].astype("i4")) if keep_ids else row)
+                        at, size, k = at + size, capacity, k + 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
     return run
 
 
