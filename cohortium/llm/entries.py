@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortium.deploy import ship_package
 from cohortium.llm.common import table
@@ -37,3 +38,105 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cohortium.llm.bestfit_packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register("op5_warc_transactions", """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha256(coalesce(html, '')) AS hash FROM pages
+), q AS (
+  SELECT page_id, strlen(body) AS payload_bytes, hash, min(page_id) OVER (PARTITION BY hash) AS origin FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, hash AS payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> origin THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> origin THEN origin END AS refers_to
+FROM q
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.warc_transactions import archive_and_assemble
+
+    got = archive_and_assemble(table(spark, sf_dir, "pages"), with_payload=False)
+    return got.selectExpr("metadata.page_id AS page_id", "response.payload_bytes AS payload_bytes",
+                          "response.payload_digest AS payload_digest", "response.record_type AS record_type",
+                          "refers_to_page AS refers_to")
+
+
+@register("op9_prefix_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.prefix_hash import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op4_simhash_near_duplicates")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.simhash_wildcards import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[0-9a-z\\x{80}-\\x{10FFFF}]+')")
+
+
+@register("op2_winnowing_decontamination", f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, k, list_slice(w, p + 1, p + k) AS g FROM (SELECT *, unnest(range(len(w) - k + 1)) AS p FROM i)),
+ks AS (SELECT DISTINCT k FROM iw),
+dw AS (SELECT doc_id, p, k, list_slice(w, p + 1, p + k) AS g
+       FROM (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS p FROM d, ks WHERE len(w) >= k)),
+hit AS (SELECT DISTINCT doc_id, p, dw.k, item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.g = iw.g),
+cover AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS word FROM hit) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN found USING (doc_id)
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.winnowing import contamination
+
+    got = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op8_kneser_ney_langid")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.kn_langid import predict_documents
+
+    return predict_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op7_randomness_secrets")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.secret_battery import KINDS, scan, span_text
+
+    found = scan(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["kind"] < 3)
+    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))
+
+
+@register("op10_patience_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.line_alignment import dedupe_lines
+
+    got = dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", F.size("_removed").cast("long").alias("n_removed"), F.col("_removed").alias("removed_lines"),
+                      F.col("_partners").alias("partner_ids"), "text")
+
+
+@register("op1_ordinal_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.ordinal_toxicity import severity
+
+    return severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op3_attention_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.mil_quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
