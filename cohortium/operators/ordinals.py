@@ -1,25 +1,24 @@
-"""Row numbers and ranks inside groups without a per-group window task.
+"""Row numbers, ranks, lags and percentiles inside groups without a per-group task.
 
 ``Window.partitionBy(g).orderBy(k)`` moves every row of a group into one
 task. With a handful of tiers, or one customer holding a third of all rows,
-that single task sorts a third of the data. The operator here gives the
-same ``row_number`` and ``rank`` values using only range partitioning:
+that single task sorts a third of the data. The operators here give the
+values of ``row_number``, ``rank`` and ``lag`` using only range partitioning:
 
 1. ``repartitionByRange(g, k, tiebreak)`` spreads a hot group (and even a
    hot tie) over many partitions; equal keys may straddle a boundary.
-2. Each partition is sorted and numbered locally in Arrow batches
-   (``mapInPandas``): local row number, local rank, and whether the row
-   belongs to the partition's first group / first tie.
-3. One statistics row per partition (first and last key, last local
-   numbers) goes through a partial aggregate. Offsets are a running sum
-   over those rows; their count is the number of partitions, so the
-   offset table is broadcast with a proven size bound.
-4. Rows that continue a group or a tie from earlier partitions receive
-   the offset; all others keep their local numbers.
-
-Everything else (lag, percentiles, medians) is derived from ``rn`` with
-equi-joins, which hash-partition on (group, rn) and so never concentrate a
-group either.
+2. Each partition is sorted and numbered locally in Arrow batches: partition
+   number, local row number, local rank, the previous row's values, and
+   whether a row belongs to the partition's first group / first tie. The
+   result is checkpointed once, so the partition number is a stored property
+   of a row: whatever Spark does above it (coalesce, union, another
+   partitioning, no exchange reuse), both uses below read the same numbers.
+3. One statistics row per partition (first and last key, last local numbers)
+   is collected, at most the number of partitions; running sums over them
+   give each partition's offsets, which are broadcast.
+4. Rows that continue a group or a tie from earlier partitions receive the
+   offset, the first row of a partition the last row before it; all others
+   keep their local values. A partition without an offset is an error.
 """
 
 from __future__ import annotations
@@ -27,12 +26,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortium.session import shuffle_partitions
+from cohortium.session import ensure_checkpoint_dir, shuffle_partitions
 
 
 @dataclass(frozen=True)
@@ -55,32 +55,110 @@ def _as_keys(cols) -> list[Key]:
     return [c if isinstance(c, Key) else Key(c) for c in cols]
 
 
-def _changed(frame: pd.DataFrame, cols: list[str], prev: tuple | None) -> np.ndarray:
-    """True where the key tuple differs from the previous row (null == null)."""
-    n = len(frame)
+def _changed(rows: pa.Table, cols: list[str]) -> np.ndarray:
+    """For each row but the first: does its key differ from the row before (NULL = NULL, NaN = NaN)?"""
+    n = rows.num_rows - 1
     out = np.zeros(n, dtype=bool)
-    if n == 0:
-        return out
-    for i, c in enumerate(cols):
-        a = frame[c].to_numpy()
-        na = pd.isna(a)
-        if n > 1:
-            eq = np.asarray(a[1:] == a[:-1], dtype=bool) | (na[1:] & na[:-1])
-            out[1:] |= ~eq
-        if prev is not None and not _same((a[0],), (prev[i],)):
-            out[0] = True
-    if prev is None:
-        out[0] = True
+    for c in cols:
+        col = rows.column(c).combine_chunks()
+        a, b = col.slice(1), col.slice(0, n)
+        same = pc.fill_null(pc.equal(a, b), False)
+        same = pc.or_(same, pc.and_(pc.is_null(a), pc.is_null(b)))
+        if pa.types.is_floating(col.type):
+            same = pc.or_(same, pc.and_(pc.fill_null(pc.is_nan(a), False), pc.fill_null(pc.is_nan(b), False)))
+        out |= ~np.asarray(same)
     return out
 
 
-def _same(a: tuple, b: tuple) -> bool:
-    for x, y in zip(a, b):
-        if pd.isna(x) and pd.isna(y):
-            continue
-        if pd.isna(x) or pd.isna(y) or x != y:
-            return False
-    return True
+def _same(a, b) -> bool:
+    return all(x == y or (x is None and y is None) or (x is not None and y is not None and x != x and y != y)
+               for x, y in zip(a, b))
+
+
+def _number_locally(g: list[str], k: list[str], lag: list[str]):
+    def run(batches):
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        last = None
+        seq = rn_last = rk_last = g_seen = k_seen = 0
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            rows = pa.Table.from_batches([b])
+            if last is None:
+                new_g, new_k = np.zeros(n, bool), np.zeros(n, bool)
+                new_g[1:] = _changed(rows, g)
+                new_k[1:] = new_g[1:] | _changed(rows, k)
+                new_g[0] = new_k[0] = True
+                before = pa.concat_tables([rows.slice(0, 1), rows])
+            else:
+                before = pa.concat_tables([last, rows])
+                new_g = _changed(before, g)
+                new_k = new_g | _changed(before, k)
+            at = np.arange(n)
+            g_start = np.maximum.accumulate(np.where(new_g, at, -1))
+            rn = np.where(g_start >= 0, at - g_start + 1, rn_last + at + 1)
+            k_start = np.maximum.accumulate(np.where(new_k, at, -1))
+            rk = np.where(k_start >= 0, rn[np.maximum(k_start, 0)], rk_last)
+            g_count, k_count = g_seen + np.cumsum(new_g), k_seen + np.cumsum(new_k)
+            cols = [pa.array(np.full(n, pid, "i4")), pa.array(seq + at), pa.array(rn.astype("i8")), pa.array(rk.astype("i8")),
+                    pa.array(g_count == 1), pa.array(k_count == 1)]
+            names = ["_pid", "_seq", "_lrn", "_lrk", "_head_g", "_head_k"]
+            for c in lag:
+                col = before.column(c).combine_chunks().slice(0, n)
+                cols.append(pc.if_else(pa.array(new_g), pa.scalar(None, col.type), col))
+                names.append("_lag_" + c)
+            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *names])
+            last = rows.slice(n - 1, 1)
+            rn_last, rk_last, g_seen, k_seen = int(rn[-1]), int(rk[-1]), int(g_count[-1]), int(k_count[-1])
+            seq += n
+    return run
+
+
+def _numbered(df: DataFrame, group_cols, order_cols, tiebreak_cols, lag_cols, num_partitions) -> DataFrame:
+    """Locally numbered rows (checkpointed) with the offsets of their partition."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    g, lag = list(group_cols), list(lag_cols)
+    keys, ties = _as_keys(order_cols), _as_keys(tiebreak_cols)
+    k = [x.name for x in keys]
+    sort_cols = [F.col(c).asc_nulls_first() for c in g] + [x.sort_col() for x in [*keys, *ties]]
+    ranged = df.repartitionByRange(num_partitions or shuffle_partitions(spark), *sort_cols).sortWithinPartitions(*sort_cols)
+    helper = [T.StructField("_pid", T.IntegerType()), T.StructField("_seq", T.LongType()),
+              T.StructField("_lrn", T.LongType()), T.StructField("_lrk", T.LongType()),
+              T.StructField("_head_g", T.BooleanType()), T.StructField("_head_k", T.BooleanType())]
+    helper += [T.StructField("_lag_" + c, df.schema[c].dataType) for c in lag]
+    local = ranged.mapInArrow(_number_locally(g, k, lag), T.StructType([*df.schema.fields, *helper])).checkpoint()
+
+    def ends(pick, cols):
+        return pick(F.struct(F.lit(0).alias("_"), *cols), F.col("_seq"))
+
+    stats = local.groupBy("_pid").agg(
+        ends(F.min_by, g).alias("first_g"), ends(F.min_by, k).alias("first_k"),
+        ends(F.max_by, g).alias("last_g"), ends(F.max_by, k).alias("last_k"), ends(F.max_by, lag).alias("last_values"),
+        F.max_by("_lrn", "_seq").alias("lrn"), F.max_by("_lrk", "_seq").alias("lrk"))
+    rows = []
+    before = None  # (group, key, rows of the group so far, rank of the last tie, lag values)
+    for s in sorted(stats.collect(), key=lambda r: r["_pid"]):  # at most one row per partition
+        first_g, first_k, last_g, last_k = (tuple(s[c])[1:] for c in ("first_g", "first_k", "last_g", "last_k"))
+        goes_on = before is not None and _same(first_g, before[0])
+        offset = before[2] if goes_on else 0
+        carry = before[3] if goes_on and _same(first_k, before[1]) else None
+        rows.append((s["_pid"], offset, carry, *(before[4] if goes_on else [None] * len(lag))))
+        whole_g = _same(first_g, last_g)
+        rank = (offset if whole_g else 0) + s["lrk"]
+        if whole_g and _same(first_k, last_k) and carry is not None:
+            rank = carry
+        before = (last_g, last_k, (offset if whole_g else 0) + s["lrn"], rank, tuple(s["last_values"])[1:])
+    schema = T.StructType([T.StructField("_pid", T.IntegerType()), T.StructField("_g_off", T.LongType()),
+                           T.StructField("_k_carry", T.LongType()),
+                           *(T.StructField("_last_" + c, df.schema[c].dataType) for c in lag)])
+    offsets = F.broadcast(spark.createDataFrame(rows, schema))
+    joined = local.join(offsets, "_pid", "left")
+    missing = F.raise_error(F.concat(F.lit("no offset for partition "), F.col("_pid").cast("string"))).cast("long")
+    return joined.withColumn("_g_off", F.when(F.col("_head_g"), F.coalesce("_g_off", missing)).otherwise(F.lit(0)))
 
 
 def within_group_ordinals(df: DataFrame, group_cols, order_cols, tiebreak_cols=(),
@@ -92,161 +170,55 @@ def within_group_ordinals(df: DataFrame, group_cols, order_cols, tiebreak_cols=(
     ``rn`` deterministic. Same values as the window functions
     ``row_number()/rank() OVER (PARTITION BY g ORDER BY k, tiebreak)``.
     """
-    spark = df.sparkSession
-    g = list(group_cols)
-    keys = _as_keys(order_cols)
-    ties = _as_keys(tiebreak_cols)
-    k = [x.name for x in keys]
-    n_parts = num_partitions or shuffle_partitions(spark)
-    sort_cols = [F.col(c).asc_nulls_first() for c in g] + [x.sort_col() for x in keys] + [x.sort_col() for x in ties]
-    ranged = df.repartitionByRange(n_parts, *sort_cols).sortWithinPartitions(*sort_cols)
-
-    helper = [
-        T.StructField("_pid", T.IntegerType(), False),
-        T.StructField("_seq", T.LongType(), False),
-        T.StructField("_lrn", T.LongType(), False),
-        T.StructField("_lrk", T.LongType(), False),
-        T.StructField("_head_g", T.BooleanType(), False),
-        T.StructField("_head_k", T.BooleanType(), False),
-    ]
-    local_schema = T.StructType(list(df.schema.fields) + helper)
-    gk = g + k
-
-    def number_locally(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        seq0 = 0
-        prev_g = prev_k = None
-        rn_prev = rk_prev = 0
-        g_changes = k_changes = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            g_chg = _changed(pdf, g, prev_g) if g else np.r_[prev_g is None, np.zeros(n - 1, bool)]
-            k_chg = g_chg | _changed(pdf, k, None if prev_k is None else prev_k[len(g):])
-            if prev_k is None:
-                k_chg[0] = True
-            idx = np.arange(n)
-            gstart = np.maximum.accumulate(np.where(g_chg, idx, -1))
-            rn = np.where(gstart >= 0, idx - gstart + 1, rn_prev + idx + 1)
-            kstart = np.maximum.accumulate(np.where(k_chg, idx, -1))
-            rk = np.where(kstart >= 0, rn[np.clip(kstart, 0, None)], rk_prev)
-            gc = g_changes + np.cumsum(g_chg)
-            kc = k_changes + np.cumsum(k_chg)
-            out = pdf.copy()
-            out["_pid"] = np.int32(pid)
-            out["_seq"] = seq0 + idx
-            out["_lrn"] = rn.astype(np.int64)
-            out["_lrk"] = rk.astype(np.int64)
-            out["_head_g"] = gc == 1
-            out["_head_k"] = kc == 1
-            last = pdf.iloc[-1]
-            prev_g = tuple(last[c] for c in g)
-            prev_k = tuple(last[c] for c in gk)
-            rn_prev, rk_prev = int(rn[-1]), int(rk[-1])
-            g_changes, k_changes = int(gc[-1]), int(kc[-1])
-            seq0 += n
-            yield out
-
-    local = ranged.mapInPandas(number_locally, local_schema)
-
-    aggs = []
-    for c in gk:
-        aggs.append(F.min_by(F.col(c), F.col("_seq")).alias("first_" + c))
-        aggs.append(F.max_by(F.col(c), F.col("_seq")).alias("last_" + c))
-    aggs += [F.max_by("_lrn", "_seq").alias("last_lrn"), F.max_by("_lrk", "_seq").alias("last_lrk")]
-    stats = local.groupBy("_pid").agg(*aggs)
-
-    off_schema = T.StructType([
-        T.StructField("_pid", T.IntegerType(), False),
-        T.StructField("_g_off", T.LongType(), False),
-        T.StructField("_k_carry", T.LongType(), True),
-    ])
-
-    def running_offsets(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values("_pid", kind="stable")
-        cur_g = cur_gk = None
-        cur_cnt = 0
-        cur_rank = None
-        rows = []
-        for d in pdf.to_dict("records"):
-            fg = tuple(d["first_" + c] for c in g)
-            fgk = tuple(d["first_" + c] for c in gk)
-            lg = tuple(d["last_" + c] for c in g)
-            lgk = tuple(d["last_" + c] for c in gk)
-            cont_g = cur_g is not None and _same(fg, cur_g)
-            g_off = cur_cnt if cont_g else 0
-            carry = cur_rank if (cont_g and cur_gk is not None and _same(fgk, cur_gk)) else None
-            rows.append((int(d["_pid"]), int(g_off), carry))
-            one_g = _same(fg, lg)
-            cur_cnt = (g_off if one_g else 0) + int(d["last_lrn"])
-            if one_g and _same(fgk, lgk) and carry is not None:
-                cur_rank = carry
-            else:
-                cur_rank = (g_off if one_g else 0) + int(d["last_lrk"])
-            cur_g, cur_gk = lg, lgk
-        yield pd.DataFrame(rows, columns=["_pid", "_g_off", "_k_carry"]).astype({"_k_carry": "Int64"})
-
-    # one row per partition: bounded by the partition count, so one task and a broadcast are safe
-    offsets = stats.coalesce(1).mapInPandas(running_offsets, off_schema)
-
-    j = local.join(F.broadcast(offsets), "_pid", "left")
-    g_off = F.when(F.col("_head_g"), F.coalesce(F.col("_g_off"), F.lit(0))).otherwise(F.lit(0))
-    out = j.withColumn(rn_col, F.col("_lrn") + g_off)
+    x = _numbered(df, group_cols, order_cols, tiebreak_cols, (), num_partitions)
+    out = {rn_col: F.col("_lrn") + F.col("_g_off")}
     if rank_col:
-        out = out.withColumn(
-            rank_col,
-            F.when(F.col("_head_k") & F.col("_k_carry").isNotNull(), F.col("_k_carry"))
-            .otherwise(F.col("_lrk") + g_off))
-    return out.drop("_pid", "_seq", "_lrn", "_lrk", "_head_g", "_head_k", "_g_off", "_k_carry")
+        out[rank_col] = (F.when(F.col("_head_k") & F.col("_k_carry").isNotNull(), F.col("_k_carry"))
+                         .otherwise(F.col("_lrk") + F.col("_g_off")))
+    return x.select(*df.columns, *(c.alias(n) for n, c in out.items()))
 
 
 def lag_within_groups(df: DataFrame, group_cols, order_cols, tiebreak_cols, lag_cols,
-                      prefix: str = "prev_") -> DataFrame:
+                      prefix: str = "prev_", num_partitions: int | None = None) -> DataFrame:
     """``LAG(c) OVER (PARTITION BY g ORDER BY k, tiebreak)`` for each c in ``lag_cols``.
 
-    Numbers rows with :func:`within_group_ordinals`, then equi-joins row n
-    to row n-1 of the same group: the join hashes on (group, rn), so a hot
-    group is spread over all reducers.
+    Rows are sorted within range partitions, so the previous row is at hand;
+    only a partition's first row takes the last row of the partition before
+    it, through the broadcast offsets. One shuffle, no join of rows.
     """
-    g = list(group_cols)
-    numbered = within_group_ordinals(df, g, order_cols, tiebreak_cols, rn_col="_rn", rank_col=None)
-    prev = numbered.select(*[F.col(c).alias("_pg_" + c) for c in g],
-                           (F.col("_rn") + 1).alias("_prn"),
-                           *[F.col(c).alias(prefix + c) for c in lag_cols])
-    cond = [numbered[c].eqNullSafe(prev["_pg_" + c]) for c in g] + [numbered["_rn"] == prev["_prn"]]
-    out = numbered.join(prev, cond, "left")
-    return out.drop(*["_pg_" + c for c in g], "_prn", "_rn")
+    x = _numbered(df, group_cols, order_cols, tiebreak_cols, lag_cols, num_partitions)
+    first = F.col("_seq") == 0
+    return x.select(*df.columns, *(F.when(first, F.col("_last_" + c)).otherwise(F.col("_lag_" + c)).alias(prefix + c) for c in lag_cols))
 
 
 def group_percentiles(df: DataFrame, group_cols, value_col: str, probs: dict[str, float],
-                      tiebreak_cols=()) -> DataFrame:
+                      tiebreak_cols=(), few_groups: bool = False) -> DataFrame:
     """Exact interpolated percentiles per group (``percentile``/``quantile_cont``).
 
     Position 1 + p·(n−1) in the value order; linear interpolation between
     the two neighbouring rows. Null values are ignored. No group is ever
     gathered into one task: only the two rows at each position are kept.
+    ``few_groups`` says that the groups are bounded (tiers, funnel steps, one
+    constant): their positions, two per group and probability, are broadcast,
+    so the values are not shuffled again.
     """
     g = list(group_cols)
     vals = df.select(*g, value_col, *[c for c in tiebreak_cols]).where(F.col(value_col).isNotNull())
     numbered = within_group_ordinals(vals, g, [value_col], tiebreak_cols, rn_col="_rn", rank_col=None)
-    sizes = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = numbered.groupBy(*g).agg(F.max("_rn").alias("_n"))
     want = []
     for name, p in probs.items():
         pos = F.lit(1.0) + F.lit(float(p)) * (F.col("_n") - 1)
         want.append(F.struct(F.lit(name).alias("pname"), pos.alias("pos")))
-    positions = sizes.select(*g, "_n", F.explode(F.array(*want)).alias("w")).select(
+    positions = sizes.where("_n IS NOT NULL").select(*g, F.explode(F.array(*want)).alias("w")).select(
         *g, F.col("w.pname").alias("_pname"), F.col("w.pos").alias("_pos"))
     positions = positions.select(*g, "_pname", "_pos", F.explode(F.array_distinct(F.array(
         F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))).alias("_rn"))
+    if few_groups:
+        positions = F.broadcast(positions)
     nums = numbered.select(*[F.col(c).alias("_v_" + c) for c in g], F.col("_rn").alias("_v_rn"), value_col)
     cond = [positions[c].eqNullSafe(nums["_v_" + c]) for c in g] + [positions["_rn"] == nums["_v_rn"]]
-    joined = positions.join(nums, cond, "inner")
+    joined = nums.join(positions, cond, "inner")
     per = joined.groupBy(*g, "_pname", "_pos").agg(
         F.min_by(value_col, "_rn").alias("_lo"), F.max_by(value_col, "_rn").alias("_hi"))
     frac = F.col("_pos") - F.floor("_pos")

@@ -1,6 +1,5 @@
 """Driver contract and a full oracle sweep at the smallest scale factor."""
 
-import os
 
 import duckdb
 import pytest
@@ -54,8 +53,6 @@ def _rows(cols, rows):
 
 
 KEYS = sorted(E.oracle_sql())
-if os.environ.get("COHORTIUM_FAST_TESTS"):
-    KEYS = KEYS[:10]
 
 
 @pytest.mark.parametrize("key", KEYS)
