@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortium.catalog import register, sbround, sdiv, sround
-from cohortium.entries.cleaning import CLEAN_ACTIVITY_CTES, CLEAN_NPS_CTES, CLEAN_ONB_CTES
+from cohortium.entries.cleaning import (ACT_NORM, CLEAN_ACTIVITY_CTES, CLEAN_NPS_CTES, CLEAN_ONB_CTES, PREPARED_CTE,
+                                         RAW_ONB_CTES)
+from cohortium.entries.rounding import snap6, snapped
 from cohortium.entries.subscriptions import _CURRENT_SQL
 from cohortium.plans import activity as A
 from cohortium.plans import cleaning as C
@@ -18,22 +20,33 @@ LOOKUP = ("lookup", f"SELECT customer_id, plan_tier FROM ({_CURRENT_SQL}) c")
 UPSELL_TIER = TEST_TIERS[0]
 
 
-def snap6(x):
-    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), 6) AS DOUBLE)"
+# The activity analyses are bound to the dirty documents after id, time and duration
+# cleaning but before unknown ids are removed, so NULL ids and NULL times reach them.
+ACT_CTES = [ACT_NORM, PREPARED_CTE]
+
+
+def _activity(spark, d):
+    return C.prepared_activity(B.activity_docs(spark, d)).select("event_id", "customer_id", "ts", "event_type", "session_duration")
+
+
+def _onboarding(spark, d):
+    """Cleaned onboarding documents, with NULL ids (junk) and NULL times (no format) among them."""
+    return C.clean_onboarding(B.onboarding_docs(spark, d, dirty=True)).select("event_id", "customer_id", "ts", "step")
 
 
 def _lookup(spark, d):
     return S.customer_tier_lookup(B.subscriptions(spark, d), B.plans(spark, d))
 
 
-@register("sessions_per_week_by_tier", sql_with(["plans", "subscriptions", "activity"], f"""
+@register("sessions_per_week_by_tier", sql_with(["plans", "subscriptions", "activity_docs"], f"""
 SELECT t.*, {snap6('p.p25')} AS p25_session_duration_sec, {snap6('p.p50')} AS p50_session_duration_sec,
        {snap6('p.p75')} AS p75_session_duration_sec
-FROM t LEFT JOIN p ON t.plan_tier = p.plan_tier""", [
+FROM t LEFT JOIN p ON t.plan_tier = p.plan_tier""", ACT_CTES + [
     LOOKUP,
     ("s", """SELECT a.customer_id, a.event_id, a.session_duration AS dur, COALESCE(l.plan_tier, 'unknown') AS plan_tier,
        strftime(a.ts, '%G-W%V') AS year_week
-       FROM activity a LEFT JOIN lookup l ON a.customer_id = l.customer_id WHERE COALESCE(a.session_duration, 0) > 0"""),
+       FROM activity a LEFT JOIN lookup l ON a.customer_id = l.customer_id
+       WHERE a.session_duration > 0 AND a.customer_id IS NOT NULL AND a.ts IS NOT NULL"""),
     ("w", "SELECT customer_id, year_week, plan_tier, COUNT(*) AS n FROM s GROUP BY 1, 2, 3"),
     ("u", "SELECT customer_id, plan_tier, AVG(n) AS avg_w FROM w GROUP BY 1, 2"),
     ("t", f"""SELECT plan_tier, COUNT(*) AS user_count, {sbround('AVG(avg_w)', 2)} AS avg_sessions_per_user_per_week,
@@ -43,25 +56,27 @@ FROM t LEFT JOIN p ON t.plan_tier = p.plan_tier""", [
        quantile_cont(dur, 0.75) AS p75 FROM s GROUP BY plan_tier"""),
 ]))
 def sessions_per_week_by_tier(spark, d):
-    return A.sessions_per_week_by_tier(B.activity(spark, d), _lookup(spark, d))
+    out = A.sessions_per_week_by_tier(_activity(spark, d), _lookup(spark, d))
+    return snapped(out, *(f"{p}_session_duration_sec" for p in ("p25", "p50", "p75")))
 
 
-@register("feature_dau", sql_with(["activity"], f"""
+@register("feature_dau", sql_with(["activity_docs"], f"""
 SELECT event_type AS feature, {snap6('AVG(dau)')} AS avg_dau, MAX(dau) AS max_dau, MIN(dau) AS min_dau,
        COUNT(*) AS total_days_with_activity
 FROM (SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, COUNT(DISTINCT customer_id) AS dau
-      FROM activity WHERE event_type IS NOT NULL GROUP BY 1, 2) x GROUP BY 1"""))
+      FROM activity WHERE event_type IS NOT NULL AND customer_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2) x
+GROUP BY 1""", ACT_CTES))
 def feature_dau(spark, d):
-    return A.feature_dau(B.activity(spark, d))
+    return snapped(A.feature_dau(_activity(spark, d)), "avg_dau")
 
 
 def _retention_sql(days):
-    return sql_with(["activity"], f"""
+    return sql_with(["activity_docs"], f"""
 SELECT event_type AS feature, COUNT(*) AS total_users, CAST(SUM(retained) AS BIGINT) AS retained_users,
        {sbround(sdiv('SUM(retained)', 'COUNT(*)') + ' * 100', 2)} AS retention_rate_pct
-FROM pu GROUP BY 1""", [
+FROM pu GROUP BY 1""", ACT_CTES + [
         ("f", """SELECT event_type, customer_id, MIN(ts) AS first_use FROM activity
-           WHERE event_type IS NOT NULL GROUP BY 1, 2"""),
+           WHERE event_type IS NOT NULL AND customer_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2"""),
         ("pu", f"""SELECT f.event_type, f.customer_id,
            MAX(CASE WHEN a.ts > f.first_use AND a.ts <= f.first_use + INTERVAL {days} DAY THEN 1 ELSE 0 END) AS retained
            FROM f JOIN activity a ON a.event_type = f.event_type AND a.customer_id = f.customer_id GROUP BY 1, 2"""),
@@ -70,12 +85,12 @@ FROM pu GROUP BY 1""", [
 
 @register("feature_retention", _retention_sql(7))
 def feature_retention(spark, d):
-    return A.feature_retention(B.activity(spark, d), days=7)
+    return A.feature_retention(_activity(spark, d), days=7)
 
 
 @register("feature_retention_1d", _retention_sql(1))
 def feature_retention_1d(spark, d):
-    return A.feature_retention(B.activity(spark, d), days=1)
+    return A.feature_retention(_activity(spark, d), days=1)
 
 
 @register("funnel_step_counts", sql_with(["onboarding"], """
@@ -107,34 +122,36 @@ def funnel_dropoff(spark, d):
 _PAIRS = list(zip(TEST_STEPS, TEST_STEPS[1:]))
 
 
-@register("funnel_step_gaps", sql_with(["onboarding"], "SELECT " + ", ".join(
+@register("funnel_step_gaps", sql_with(["onboarding_docs_dirty"], "SELECT " + ", ".join(
     f"""{snap6(f'quantile_cont((epoch_us("{b}") - epoch_us("{a}")) / 3.6e9, 0.5)')} AS median_{a}_to_{b}_hrs"""
-    for a, b in _PAIRS) + ", (SELECT COUNT(DISTINCT customer_id) FROM onboarding) AS total_customers FROM w", [
+    for a, b in _PAIRS) + ", (SELECT COUNT(DISTINCT customer_id) FROM onboarding) AS total_customers FROM w", RAW_ONB_CTES + [
     ("w", "SELECT customer_id, " + ", ".join(
         f"""MIN(CASE WHEN step = '{s}' THEN ts END) AS "{s}\"""" for s in TEST_STEPS)
-     + " FROM onboarding GROUP BY customer_id"),
+     + " FROM onboarding WHERE customer_id IS NOT NULL AND ts IS NOT NULL GROUP BY customer_id"),
 ]))
 def funnel_step_gaps(spark, d):
-    return A.funnel_step_gaps(B.onboarding(spark, d), TEST_STEPS)
+    out = A.funnel_step_gaps(_onboarding(spark, d), TEST_STEPS)
+    return snapped(out, *(c for c in out.columns if c.startswith("median_")))
 
 
-@register("user_step_lists", sql_with(["onboarding"], """
+@register("user_step_lists", sql_with(["onboarding_docs_dirty"], """
 SELECT customer_id, string_agg(step || '@' || strftime(t, '%Y-%m-%d %H:%M:%S.%f'), '>' ORDER BY t, step) AS step_path,
        COUNT(*) AS n_steps
-FROM (SELECT customer_id, step, MIN(ts) AS t FROM onboarding WHERE step IS NOT NULL GROUP BY 1, 2) f
-GROUP BY customer_id"""))
+FROM (SELECT customer_id, step, MIN(ts) AS t FROM onboarding
+      WHERE step IS NOT NULL AND customer_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2) f
+GROUP BY customer_id""", RAW_ONB_CTES))
 def user_step_lists(spark, d):
-    return A.user_step_lists(B.onboarding(spark, d)).withColumn("n_steps", F.col("n_steps").cast("long"))
+    return A.user_step_lists(_onboarding(spark, d)).withColumn("n_steps", F.col("n_steps").cast("long"))
 
 
-@register("top_engaged_users", sql_with(["plans", "subscriptions", "activity"], f"""
+@register("top_engaged_users", sql_with(["plans", "subscriptions", "activity_docs"], f"""
 SELECT customer_id, plan_tier,
        {sbround('''least(total_events / 500, 1.0) * 30 + least(avg_d / 7200, 1.0) * 25
                  + least(event_type_count / 14, 1.0) * 25 + least(greatest(1.0 - least(days, 90.0) / 90, 0.0), 1.0) * 20''', 2)}
          AS engagement_score,
        total_events, total_sessions, event_type_count, {sbround('avg_d', 1)} AS avg_session_duration_sec,
        {sbround('days', 0)} AS days_since_last_activity
-FROM x ORDER BY engagement_score DESC, customer_id LIMIT 20""", [
+FROM x ORDER BY engagement_score DESC, customer_id LIMIT 20""", ACT_CTES + [
     LOOKUP,
     ("m", f"""SELECT customer_id, COUNT(*) AS total_events, COUNT(DISTINCT event_type) AS event_type_count,
        AVG(COALESCE(session_duration, 0)) AS avg_d, MAX(ts) AS last_activity,
@@ -142,10 +159,10 @@ FROM x ORDER BY engagement_score DESC, customer_id LIMIT 20""", [
        FROM activity WHERE customer_id IN (SELECT customer_id FROM lookup WHERE plan_tier = '{UPSELL_TIER}')
        GROUP BY 1"""),
     ("x", f"""SELECT m.*, '{UPSELL_TIER}' AS plan_tier,
-       (epoch_us((SELECT MAX(ts) FROM activity)) - epoch_us(last_activity)) / 8.64e10 AS days FROM m"""),
+       COALESCE((epoch_us((SELECT MAX(ts) FROM activity)) - epoch_us(last_activity)) / 8.64e10, 90.0) AS days FROM m"""),
 ]))
 def top_engaged_users(spark, d):
-    return A.top_engaged_users(B.activity(spark, d), _lookup(spark, d), tier=UPSELL_TIER, k=20)
+    return A.top_engaged_users(_activity(spark, d), _lookup(spark, d), tier=UPSELL_TIER, k=20)
 
 
 # -- per-customer aggregates of the cleaned collections (customer-360 inputs) --
@@ -154,6 +171,15 @@ def clean_activity_df(spark, d):
     return C.clean_activity(B.activity_docs(spark, d), B.customers(spark, d))
 
 
+def engagement_df(spark, d):
+    out = A.engagement_by_customer(C.prepared_activity(B.activity_docs(spark, d)), B.customers(spark, d))
+    return snapped(out, "avg_session_duration", "total_session_time")
+
+
+def nps_df(spark, d):
+    return snapped(A.nps_by_customer(clean_nps_df(spark, d)), "avg_nps_mongo")
+
+
 def clean_nps_df(spark, d):
     return C.clean_nps(B.nps_docs(spark, d))
 
@@ -177,12 +203,12 @@ ONB_CTE = ("onb_steps", """SELECT customer_id, COUNT(DISTINCT step) AS onboardin
 @register("engagement_by_customer", sql_with(["activity_docs", "customers"], "SELECT * FROM engagement",
                                              CLEAN_ACTIVITY_CTES + [ENGAGEMENT_CTE]))
 def engagement_by_customer(spark, d):
-    return A.engagement_by_customer(clean_activity_df(spark, d))
+    return engagement_df(spark, d)
 
 
 @register("nps_by_customer", sql_with(["nps_docs"], "SELECT * FROM nps_agg", CLEAN_NPS_CTES + [NPS_AGG_CTE]))
 def nps_by_customer(spark, d):
-    return A.nps_by_customer(clean_nps_df(spark, d))
+    return nps_df(spark, d)
 
 
 @register("onboarding_depth", sql_with(["onboarding_docs"], "SELECT * FROM onb_steps", CLEAN_ONB_CTES + [ONB_CTE]))

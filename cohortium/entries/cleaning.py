@@ -22,8 +22,10 @@ def sql_ts(c):
 
 
 def sql_id(*aliases):
-    v = f"TRY_CAST(COALESCE({', '.join(aliases)}) AS DOUBLE)"
-    return f"CASE WHEN {v} = floor({v}) THEN CAST({v} AS BIGINT) END"
+    text = f"CAST(COALESCE({', '.join(aliases)}) AS VARCHAR)"
+    v = f"TRY_CAST({text} AS DOUBLE)"
+    return f"""CASE WHEN regexp_full_match(trim({text}), '[+-]?[0-9]+') THEN TRY_CAST({text} AS BIGINT)
+      WHEN {v} = floor({v}) AND abs({v}) <= 9007199254740992 THEN CAST({v} AS BIGINT) END"""
 
 
 def sql_strip(c):
@@ -90,23 +92,39 @@ def duplicate_company_names(spark, d):
         "customer_id", "company_name", "name_key", "name_count", "is_duplicate_name")
 
 
+# some ids near 2^53 and near 2^63, where DOUBLE is no longer exact, and some spelt as decimals
+_BIG = ("big", """SELECT event_id, CASE WHEN event_id % 11 = 0 THEN CAST(9007199254740993 + event_id AS VARCHAR)
+    WHEN event_id % 11 = 1 THEN CAST(9223372036800000001 + event_id AS VARCHAR)
+    WHEN event_id % 11 = 2 THEN customer_id || '.0' ELSE customer_id END AS customer_id, customerId, userId
+    FROM activity_docs""")
+
+
 @register("coalesce_id_aliases", sql_with(["activity_docs"], f"""
 SELECT event_id, customer_id AS raw_customer_id, customerId AS raw_customerId, userId AS raw_userId,
-       {sql_id('customer_id', 'customerId', 'userId')} AS customer_id FROM activity_docs"""))
+       {sql_id('customer_id', 'customerId', 'userId')} AS customer_id FROM big""", [_BIG]))
 def coalesce_id_aliases(spark, d):
     docs = B.activity_docs(spark, d)
+    r = F.col("event_id") % 11
+    docs = docs.withColumn("customer_id", F.when(r == 0, (F.col("event_id") + 9007199254740993).cast("string"))
+                           .when(r == 1, (F.col("event_id") + 9223372036800000001).cast("string"))
+                           .when(r == 2, F.concat("customer_id", F.lit(".0"))).otherwise(F.col("customer_id")))
     return docs.select("event_id", F.col("customer_id").alias("raw_customer_id"),
                        F.col("customerId").alias("raw_customerId"), F.col("userId").alias("raw_userId"),
                        normalized_customer_id(docs).alias("customer_id"))
 
 
+# every ninth document has no time at all
+_NO_TIME = ("timed", """SELECT event_id, CASE WHEN event_id % 9 <> 0 THEN "timestamp" END AS "timestamp" FROM activity_docs""")
+
+
 @register("parse_mixed_timestamps", sql_with(["activity_docs"], f"""
 SELECT event_id, "timestamp" AS ts_text, {sql_ts('"timestamp"')} AS ts_parsed,
        CASE WHEN "timestamp" IS NULL THEN TIMESTAMP '2024-01-01 00:00:00' ELSE {sql_ts('"timestamp"')} END
          AS ts_with_default
-FROM activity_docs"""))
+FROM timed""", [_NO_TIME]))
 def parse_mixed_timestamps(spark, d):
     docs = B.activity_docs(spark, d)
+    docs = docs.withColumn("timestamp", F.when(F.col("event_id") % 9 != 0, F.col("timestamp")))
     return docs.select("event_id", F.col("timestamp").alias("ts_text"),
                        parse_mixed_timestamp(F.col("timestamp")).alias("ts_parsed"),
                        parse_with_default(F.col("timestamp")).alias("ts_with_default"))
@@ -145,6 +163,10 @@ def orphan_activity(spark, d):
         "event_id", "customer_id", "customerId", "userId", "ts", "event_type", "session_duration")
 
 
+# cleaned activity with unknown and NULL ids still in it
+PREPARED_CTE = ("activity", """SELECT event_id, customer_id, ts, event_type,
+    CASE WHEN COALESCE(session_duration, 0) < 0 THEN 0.0 ELSE COALESCE(session_duration, 0.0) END AS session_duration
+    FROM (SELECT DISTINCT * FROM n) x""")
 CLEAN_ACTIVITY_CTES = [ACT_NORM, ("k", """SELECT DISTINCT * FROM n
     WHERE customer_id IN (SELECT customer_id FROM customers)"""),
                        ("clean_activity", """SELECT event_id, customer_id, ts, event_type,
@@ -194,6 +216,25 @@ CLEAN_ONB_CTES = [("clean_onboarding", f"""SELECT DISTINCT event_id,
     FROM onboarding_docs""")]
 
 
+RAW_ONB_CTES = [("onboarding", CLEAN_ONB_CTES[0][1].replace("FROM onboarding_docs", "FROM onboarding_docs_dirty"))]
+
+
+@register("quality_report_onboarding", sql_with(["onboarding_docs"], """
+SELECT (SELECT COUNT(*) FROM onboarding_docs) AS rows_before, COUNT(*) AS rows_after,
+       (SELECT COUNT(*) FROM onboarding_docs) - COUNT(*) AS duplicates_removed FROM clean_onboarding""", CLEAN_ONB_CTES))
+def quality_report_onboarding(spark, d):
+    return C.quality_report_onboarding(B.onboarding_docs(spark, d))
+
+
+# documents of another export: neither event_type nor session_duration, but a feature
+@register("clean_activity_by_feature", sql_with(["activity_docs"], f"""
+SELECT DISTINCT event_id, {sql_id('customer_id', 'customerId', 'userId')} AS customer_id, {sql_ts('"timestamp"')} AS ts,
+       event_type, 0.0::DOUBLE AS session_duration FROM activity_docs"""))
+def clean_activity_by_feature(spark, d):
+    docs = B.activity_docs(spark, d).withColumnRenamed("event_type", "feature").drop("session_duration_sec")
+    return C.prepared_activity(docs).select("event_id", "customer_id", "ts", "event_type", "session_duration")
+
+
 @register("clean_onboarding", sql_with(["onboarding_docs"],
                                        "SELECT event_id, customer_id, ts, step FROM clean_onboarding",
                                        CLEAN_ONB_CTES))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortium.catalog import register, sbround, sdiv, sround
-from cohortium.entries.activity import (ENGAGEMENT_CTE, NPS_AGG_CTE, ONB_CTE, clean_activity_df, clean_nps_df,
-                                        clean_onboarding_df, snap6)
+from cohortium.entries.activity import (ENGAGEMENT_CTE, NPS_AGG_CTE, ONB_CTE, clean_activity_df, clean_onboarding_df,
+                                        engagement_df, nps_df)
 from cohortium.entries.cleaning import CLEAN_ACTIVITY_CTES, CLEAN_NPS_CTES, CLEAN_ONB_CTES, sql_strip
+from cohortium.entries.rounding import snap6, snap6_col, snapped
 from cohortium.operators.ordinals import group_percentiles
 from cohortium.operators.scalars import attach_one_row
 from cohortium.plans import activity as A
@@ -28,13 +29,17 @@ C360_COLUMNS = [
     "onboarding_steps_completed", "total_ltv", "ticket_count", "escalated_tickets", "avg_satisfaction", "is_churned"]
 
 
+def _tickets_df(spark, d):
+    return snapped(X.ticket_summary(B.tickets(spark, d)), "avg_satisfaction")
+
+
 def customer_360_df(spark, d):
     cur = S.current_subscription_lastvalue(B.subscriptions(spark, d))
     m = X.customer_360(
         C.clean_customers(B.customers(spark, d)), cur, B.plans(spark, d),
-        A.engagement_by_customer(clean_activity_df(spark, d)), A.nps_by_customer(clean_nps_df(spark, d)),
+        engagement_df(spark, d), nps_df(spark, d),
         A.onboarding_depth(clean_onboarding_df(spark, d)), S.customer_ltv(B.invoices(spark, d)),
-        X.ticket_summary(B.tickets(spark, d)))
+        _tickets_df(spark, d))
     return m.withColumn("current_mrr", F.col("current_mrr").cast("double")).select(*C360_COLUMNS)
 
 
@@ -81,7 +86,7 @@ def c360_sql(body, extra=()):
 
 @register("ticket_summary", sql_with(["tickets"], "SELECT * FROM tickets_agg", [C360_CTES[-2]]))
 def ticket_summary(spark, d):
-    return X.ticket_summary(B.tickets(spark, d))
+    return _tickets_df(spark, d)
 
 
 @register("customer_360", c360_sql("SELECT * FROM c360"))
@@ -96,7 +101,8 @@ def master_df(spark, d):
     m = customer_360_df(spark, d)
     as_of = m.select(F.max("last_activity")).scalar()
     m = m.withColumn("recency_days", G.recency_days(F.col("last_activity"), as_of))
-    med = group_percentiles(m.withColumn("_g", F.lit(0)), ["_g"], "total_events", {"median": 0.5}, ["customer_id"])
+    med = group_percentiles(m.withColumn("_g", F.lit(0)), ["_g"], "total_events", {"median": 0.5}, ["customer_id"],
+                            few_groups=True)
     m = attach_one_row(m, med.select("median"))
     return m.withColumn("high_engagement", (F.col("total_events") > F.col("median")).cast("int")).drop("median")
 
@@ -146,10 +152,13 @@ def segment_profile(spark, d):
     return G.name_segments(G.segment_profile(master_df(spark, d), "industry"))
 
 
-@register("mart_customer_master", master_sql("SELECT " + ", ".join(
-    c for c in M.MASTER_COLUMNS if c in C360_COLUMNS + ["high_engagement", "recency_days"]) + " FROM master"))
+_IN_MASTER = C360_COLUMNS + ["high_engagement", "recency_days", "segment", "segment_name"]
+
+
+@register("mart_customer_master", master_sql("SELECT " + ", ".join(c for c in M.MASTER_COLUMNS if c in _IN_MASTER)
+          + " FROM (SELECT *, industry AS segment FROM named_master) m", NAMES_CTES))
 def mart_customer_master(spark, d):
-    return M.mart_customer_master(master_df(spark, d))
+    return M.mart_customer_master(named_master_df(spark, d).withColumn("segment", F.col("industry")))
 
 
 @register("mart_monthly_churn", sql_with(["plans", "subscriptions_end"], """
@@ -173,12 +182,16 @@ def mart_support_tickets(spark, d):
                       "is_active", "plan_id", "plan_tier")
 
 
+# the stored events cover one month: each is moved back by its id modulo 84 months
 @register("mart_monthly_engagement", sql_with(["activity_docs", "customers"], f"""
 SELECT strftime(ts, '%Y-%m') AS month, COUNT(customer_id) AS total_events,
        COUNT(DISTINCT customer_id) AS unique_users, {snap6('AVG(session_duration)')} AS avg_session_duration
-FROM clean_activity WHERE ts IS NOT NULL GROUP BY 1""", CLEAN_ACTIVITY_CTES))
+FROM (SELECT customer_id, session_duration, date_trunc('month', ts) - to_months(CAST(event_id % 84 AS INTEGER)) AS ts
+      FROM clean_activity) x WHERE ts IS NOT NULL GROUP BY 1""", CLEAN_ACTIVITY_CTES))
 def mart_monthly_engagement(spark, d):
-    return M.mart_monthly_engagement(clean_activity_df(spark, d))
+    a = clean_activity_df(spark, d)
+    moved = F.add_months(F.trunc("ts", "MM"), -(F.col("event_id") % 84).cast("int")).cast("timestamp_ntz")
+    return snapped(M.mart_monthly_engagement(a.withColumn("ts", moved)), "avg_session_duration")
 
 
 @register("mart_plans", sql_with(["plans"], "SELECT * FROM plans"))
@@ -192,13 +205,13 @@ _REASONS = ("reasons", f"""SELECT churn_reason, COUNT(customer_id) AS "count", {
 
 @register("mart_churn_reasons", c360_sql("SELECT * FROM reasons", [_REASONS]))
 def mart_churn_reasons(spark, d):
-    return M.mart_churn_reasons(customer_360_df(spark, d))
+    return snapped(M.mart_churn_reasons(customer_360_df(spark, d)), "avg_ltv")
 
 
 @register("top_churn_reason", c360_sql('SELECT * FROM reasons ORDER BY "count" DESC, churn_reason LIMIT 1',
                                        [_REASONS]))
 def top_churn_reason(spark, d):
-    return M.top_churn_reason(customer_360_df(spark, d))
+    return snapped(M.top_churn_reason(customer_360_df(spark, d)), "avg_ltv")
 
 
 def _kpi_sql(src, where=""):
@@ -208,10 +221,10 @@ def _kpi_sql(src, where=""):
        {sround('AVG(CASE WHEN is_churned = 1 THEN total_ltv END)', 2)} AS avg_ltv_churned{src}{where}"""
 
 
-@register("kpi_cards", master_sql(_kpi_sql(", COUNT(DISTINCT segment_name) AS segment_count FROM named_master"),
+@register("kpi_cards", master_sql(_kpi_sql(", COUNT(DISTINCT industry) AS segment_count FROM named_master"),
                                    NAMES_CTES))
 def kpi_cards(spark, d):
-    return M.kpi_cards(named_master_df(spark, d))
+    return M.kpi_cards(named_master_df(spark, d).withColumn("segment", F.col("industry")))
 
 
 @register("kpi_cards_by_tier", c360_sql(_kpi_sql(" FROM c360", f" WHERE plan_tier = '{TEST_TIERS[-1]}'")))
@@ -266,13 +279,33 @@ FROM (SELECT *, (mean_active - mean_churned) / sqrt(var_active / n_active + var_
             FROM c360) a) b"""))
 def welch_stats(spark, d):
     s = T.welch_stats(customer_360_df(spark, d))
-    return s.select(*[A.snap6(F.col(c)).alias(c) if c in _FLOATS else F.col(c) for c in _WELCH_COLS])
-
-
-@register("welch_test")
+    return s.select(*[snap6_col(F.col(c)).alias(c) if c in _FLOATS else F.col(c) for c in _WELCH_COLS])
+
+
+# p-values as numeric integrals: Simpson's rule over 4,000 steps from 0 to the statistic
+_SIMPSON = "SUM(CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * {f}) * x / 12000"
+_T_DENSITY = "exp(lgamma((v + 1) / 2) - lgamma(v / 2) - (v + 1) / 2 * ln(1 + power(x * i / 4000, 2) / v)) / sqrt(v * pi())"
+
+
+@register("welch_test", c360_sql(f"""
+SELECT n_active, n_churned, {snap6('t')} AS t_stat, {snap6('v')} AS welch_df, {snap6('1 - 2 * half')} AS p_two_sided,
+       {snap6('0.5 - half')} AS p_half, {snap6('CASE WHEN t >= 0 THEN 0.5 - half ELSE 0.5 + half END')} AS p_one_sided,
+       CASE WHEN 0.5 - half < 0.05 THEN 'reject H0' ELSE 'fail to reject H0' END AS decision
+FROM (SELECT any_value(n0) AS n_active, any_value(n1) AS n_churned, any_value(t) AS t, any_value(v) AS v, any_value(x) AS x,
+             {_SIMPSON.format(f=_T_DENSITY).replace('* x /', '* any_value(x) /')} AS half
+      FROM w, generate_series(0, 4000) AS s(i)) q""", [
+    ("mo", """SELECT COUNT(*) FILTER (WHERE is_churned = 0) AS n0, COUNT(*) FILTER (WHERE is_churned = 1) AS n1,
+        AVG(total_events) FILTER (WHERE is_churned = 0) - AVG(total_events) FILTER (WHERE is_churned = 1) AS gap,
+        var_samp(CAST(total_events AS DOUBLE)) FILTER (WHERE is_churned = 0) / COUNT(*) FILTER (WHERE is_churned = 0) AS e0,
+        var_samp(CAST(total_events AS DOUBLE)) FILTER (WHERE is_churned = 1) / COUNT(*) FILTER (WHERE is_churned = 1) AS e1
+        FROM c360"""),
+    ("w", """SELECT n0, n1, gap / sqrt(e0 + e1) AS t, abs(gap / sqrt(e0 + e1)) AS x,
+        power(e0 + e1, 2) / (e0 * e0 / (n0 - 1) + e1 * e1 / (n1 - 1)) AS v FROM mo"""),
+]))
 def welch_test(spark, d):
-    """With p-values (Student-t CDF): no SQL twin, rows-only check."""
-    return T.welch_test(customer_360_df(spark, d))
+    out = T.welch_test(customer_360_df(spark, d))
+    floats = ["t_stat", "welch_df", "p_two_sided", "p_half", "p_one_sided"]
+    return snapped(out, *floats).select("n_active", "n_churned", *floats, "decision")
 
 
 @register("churn_contingency", c360_sql("""
@@ -303,21 +336,29 @@ SELECT CAST(total_events > (SELECT quantile_cont(total_events, 0.5) FROM c360) A
 FROM c360 GROUP BY 1""")]))
 def chi_square_engagement(spark, d):
     out = T.chi_square_engagement(customer_360_df(spark, d)).drop("p_value")
-    return out.withColumn("chi2", A.snap6(F.col("chi2")))
+    return out.withColumn("chi2", snap6_col(F.col("chi2")))
 
 
-@register("chi_square_test")
+_CT = ("ct", """SELECT CAST(total_events > (SELECT quantile_cont(total_events, 0.5) FROM c360) AS INTEGER) AS high_engagement,
+       COUNT(*) FILTER (WHERE is_churned = 0) AS churned_0, COUNT(*) FILTER (WHERE is_churned = 1) AS churned_1
+FROM c360 GROUP BY 1""")
+
+
+@register("chi_square_test", c360_sql(f"""
+SELECT {snap6('chi2')} AS chi2, {snap6('1 - 2 * half')} AS p_value,
+       CASE WHEN 1 - 2 * half < 0.05 THEN 'reject H0' ELSE 'fail to reject H0' END AS decision
+FROM (SELECT any_value(chi2) AS chi2, {_SIMPSON.format(f="exp(-power(x * i / 4000, 2) / 2) / sqrt(2 * pi())")
+      .replace('* x /', '* any_value(x) /')} AS half
+      FROM (SELECT chi2, sqrt(chi2) AS x FROM chi) c, generate_series(0, 4000) AS s(i)) q""",
+          [_CT, ("chi", _chi_sql().replace(" AS chi2, 1 AS dof", " AS chi2"))]))
 def chi_square_test(spark, d):
-    """With the p-value (erfc): no SQL twin, rows-only check."""
-    return T.chi_square_engagement(customer_360_df(spark, d))
+    out = snapped(T.chi_square_test(customer_360_df(spark, d)), "chi2", "p_value")
+    return out.select("chi2", "p_value", "decision")
 
 
 # -- segmentation --------------------------------------------------------------
 
-@register("segment_features", c360_sql("SELECT customer_id, " + ", ".join(
-    [f"f.{c}" for c in G.FEATURES]) + ", " + ", ".join(
-    f"{snap6(f'CASE WHEN s_{c} > 0 THEN (f.{c} - m_{c}) / s_{c} ELSE 0.0 END')} AS z_{c}" for c in G.FEATURES)
-    + " FROM f, st", [
+FEATURE_CTES = [
     ("f", """SELECT customer_id,
        CAST(COALESCE(CAST(floor((epoch_us((SELECT MAX(last_activity) FROM c360)) - epoch_us(last_activity)) / 8.64e10)
                           AS BIGINT), 999) AS DOUBLE) AS recency_days,
@@ -325,13 +366,53 @@ def chi_square_test(spark, d):
        COALESCE(avg_session_duration, 0.0) AS avg_session_duration,
        CAST(COALESCE(distinct_features, 0) AS DOUBLE) AS distinct_features FROM c360"""),
     ("st", "SELECT " + ", ".join(f"AVG({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in G.FEATURES) + " FROM f"),
-]))
+]
+
+
+@register("segment_features", c360_sql("SELECT customer_id, " + ", ".join(
+    [f"f.{c}" for c in G.FEATURES]) + ", " + ", ".join(
+    f"{snap6(f'CASE WHEN s_{c} > 0 THEN (f.{c} - m_{c}) / s_{c} ELSE 0.0 END')} AS z_{c}" for c in G.FEATURES)
+    + " FROM f, st", FEATURE_CTES))
 def segment_features(spark, d):
     f = G.segment_features(customer_360_df(spark, d))
-    return f.select("customer_id", *G.FEATURES, *[A.snap6(F.col("z_" + c)).alias("z_" + c) for c in G.FEATURES])
+    return f.select("customer_id", *G.FEATURES, *[snap6_col(F.col("z_" + c)).alias("z_" + c) for c in G.FEATURES])
 
 
 @register("segment_customers")
 def segment_customers(spark, d):
     """K-means segments (k=4, best of 10 seeds): rows-only check (labels are arbitrary)."""
     return G.segment_customers(G.segment_features(customer_360_df(spark, d)))
+
+
+# K-means from given centres with a fixed number of passes, which SQL can repeat
+START_CENTRES = [[0.5, 1.0, 1.0, 0.5, 0.5], [0.0, -0.5, 0.5, 0.0, 0.0], [-0.5, 0.5, -0.5, -0.5, 0.0], [0.0, -1.0, -1.0, 0.5, -0.5]]
+PASSES = 3
+
+
+def _lloyd_sql():
+    """CTEs: z-scores, then (centres, nearest centre of each customer) per pass."""
+    cols = G.FEATURES
+    ctes = [("z", "SELECT customer_id, " + ", ".join(
+        f"CASE WHEN s_{c} > 0 THEN (f.{c} - m_{c}) / s_{c} ELSE 0.0 END AS x{i}" for i, c in enumerate(cols)) + " FROM f, st")]
+    values = ", ".join(f"({j}, " + ", ".join(f"CAST({v} AS DOUBLE)" for v in c) + ")" for j, c in enumerate(START_CENTRES))
+    names = ", ".join(f"c{i}" for i in range(len(cols)))
+    ctes.append(("cen0", f"SELECT * FROM (VALUES {values}) AS t(j, {names})"))
+    dist = " + ".join(f"(x{i} - c{i}) * (x{i} - c{i})" for i in range(len(cols)))
+    for p in range(PASSES + 1):
+        ctes.append((f"near{p}", f"SELECT customer_id, arg_min(j, (d, j)) AS j FROM (SELECT customer_id, j, {dist} AS d FROM z, cen{p}) q GROUP BY 1"))
+        if p < PASSES:
+            mean = ", ".join(f"COALESCE(AVG(x{i}), any_value(c{i})) AS c{i}" for i in range(len(cols)))
+            ctes.append((f"cen{p + 1}", f"SELECT c.j, {mean} FROM cen{p} c LEFT JOIN (near{p} JOIN z USING (customer_id)) m ON m.j = c.j GROUP BY c.j"))
+    return ctes
+
+
+_LTV = G.FEATURES.index("total_ltv")
+
+
+@register("segment_customers_fixed", c360_sql(f"""
+SELECT customer_id, CAST(place - 1 AS INTEGER) AS segment FROM near{PASSES}
+JOIN (SELECT j, ROW_NUMBER() OVER (ORDER BY c{_LTV} DESC, j) AS place FROM cen{PASSES}) o USING (j)""", FEATURE_CTES + _lloyd_sql()))
+def segment_customers_fixed(spark, d):
+    """The same k-means from given centres, three passes."""
+    f = G.segment_features(customer_360_df(spark, d))
+    return G.segment_customers(f, max_iter=PASSES, tol=-1.0, centres=START_CENTRES)

@@ -12,9 +12,10 @@ def _in(vals):
     return ", ".join(f"'{v}'" for v in vals)
 
 
-NA = ("na", """SELECT * FROM (SELECT customer_id, lower(trim(replace(replace(company_name, ' ', ''), '.', ''))) AS norm_name,
-    lower(split_part(contact_email, '@', 2)) AS email_domain FROM accounts
-    WHERE company_name IS NOT NULL AND company_name <> '') x WHERE norm_name <> ''""")
+# accounts whose name is not blank once spaces and full stops are gone
+NA = ("na", """WITH spelled AS (SELECT customer_id, contact_email, translate(company_name, ' .', '') AS packed FROM accounts)
+    SELECT customer_id, lower(packed) AS norm_name, lower(split_part(contact_email, '@', 2)) AS email_domain
+    FROM spelled WHERE length(packed) > 0""")
 NAME_CTES = [
     NA,
     ("names", "SELECT norm_name, COUNT(*) AS exact_group_size FROM na GROUP BY 1"),
@@ -66,28 +67,42 @@ def team_domain_overlap(spark, d):
     return D.team_domain_overlap(B.account_team_members(spark, d), TEST_GENERIC_TEAM_DOMAINS)
 
 
-def _score_sql():
-    nt = """CASE WHEN exact_group_size > 1 THEN 'EXACT_MATCH'
-                 WHEN n_shorter_prefix_names + n_longer_names > 0 THEN 'PREFIX_MATCH' END"""
-    corp = "COALESCE(d.is_corporate_domain AND d.domain_group_size > 1, false)"
-    shared = "COALESCE(t.shared_domains, 0)"
-    return f"""SELECT * FROM (
-  SELECT COALESCE(n.customer_id, t.customer_id) AS customer_id, n.norm_name, {nt} AS name_match_type,
-         CAST(COALESCE(n.exact_group_size, 0) AS BIGINT) AS exact_group_size,
-         CAST(COALESCE(n.n_shorter_prefix_names, 0) AS BIGINT) AS n_shorter_prefix_names,
-         CAST(COALESCE(n.n_longer_names, 0) AS BIGINT) AS n_longer_names, d.email_domain,
-         {corp} AS corporate_domain_match, CAST(COALESCE(d.domain_group_size, 0) AS BIGINT) AS domain_group_size,
-         CAST({shared} AS BIGINT) AS team_domain_overlaps, t.overlapping_domains,
-         (CASE WHEN exact_group_size > 1 THEN 50 WHEN n_shorter_prefix_names + n_longer_names > 0 THEN 30 ELSE 0 END
-          + CASE WHEN {corp} THEN 30 ELSE 0 END
-          + CASE WHEN {shared} >= 2 THEN 30 WHEN {shared} = 1 THEN 15 ELSE 0 END) AS duplicate_confidence_score
-  FROM name_sig n JOIN dom_sig d ON n.customer_id = d.customer_id
-  FULL OUTER JOIN team_sig t ON n.customer_id = t.customer_id
-) x WHERE duplicate_confidence_score >= 30 ORDER BY duplicate_confidence_score DESC, customer_id LIMIT 50"""
-
-
-@register("duplicate_candidates", sql_with(["accounts", "account_team_members"], _score_sql(),
-                                           NAME_CTES + DOMAIN_CTES + TEAM_CTES))
+# every partner of an account under each name or domain relation, pair by pair
+_OWN = f"CASE WHEN email_domain <> '' AND email_domain NOT IN ({_in(TEST_GENERIC_ACCOUNT_DOMAINS)}) THEN email_domain END"
+PAIR_CTES = [
+    ("ac", f"SELECT customer_id AS id, norm_name AS nm, {_OWN} AS dom FROM na"),
+    ("rel", """SELECT x.id, y.id AS other, 'E' AS tag, x.nm AS grp, 'both' AS side FROM ac x JOIN ac y ON x.nm = y.nm AND x.id <> y.id
+        UNION ALL SELECT x.id, y.id, 'P', y.nm, 'long' FROM ac x JOIN ac y ON starts_with(x.nm, y.nm) AND x.nm <> y.nm
+        UNION ALL SELECT x.id, y.id, 'P', x.nm, 'short' FROM ac x JOIN ac y ON starts_with(y.nm, x.nm) AND x.nm <> y.nm
+        UNION ALL SELECT x.id, y.id, 'SD', y.nm, 'long' FROM ac x JOIN ac y ON x.dom = y.dom
+          AND contains(substr(x.nm, 2), y.nm) AND length(y.nm) > 3
+        UNION ALL SELECT x.id, y.id, 'SD', x.nm, 'short' FROM ac x JOIN ac y ON x.dom = y.dom
+          AND contains(substr(y.nm, 2), x.nm) AND length(x.nm) > 3"""),
+    ("linked", """SELECT r.*, CASE tag WHEN 'E' THEN 50 WHEN 'P' THEN 30 ELSE 45 END AS base FROM rel r
+        UNION ALL SELECT r.id, r.other, r.tag || 'D', r.grp, r.side, CASE tag WHEN 'E' THEN 80 ELSE 60 END
+          FROM rel r JOIN ac x ON r.id = x.id JOIN ac y ON r.other = y.id AND x.dom = y.dom WHERE tag <> 'SD'
+        UNION ALL SELECT x.id, y.id, 'D', x.dom, 'both', 30 FROM ac x JOIN ac y ON x.dom = y.dom AND x.id <> y.id"""),
+    ("plain", "SELECT id, tag, grp, side, base, 0 AS shared, min(other) AS other FROM linked GROUP BY ALL"),
+    ("teamed", """SELECT l.id, tag, grp, side, base, COUNT(DISTINCT t.domain) AS shared, min(l.other) AS other
+        FROM linked l JOIN tm t ON l.id = t.customer_id JOIN tm u ON l.other = u.customer_id AND u.domain = t.domain GROUP BY ALL"""),
+    ("two", """SELECT domain, min(customer_id) AS m1, list_sort(list(customer_id))[2] AS m2, COUNT(*) AS n FROM tm GROUP BY domain"""),
+    ("anyone", """SELECT customer_id AS id, '*' AS tag, '' AS grp, 'both' AS side, 0 AS base, COUNT(*) AS shared,
+        min(CASE WHEN customer_id = m1 THEN m2 ELSE m1 END) AS other
+        FROM tm JOIN two USING (domain) WHERE n > 1 GROUP BY customer_id"""),
+    ("scored", """SELECT *, base + CASE WHEN shared >= 2 THEN 30 WHEN shared = 1 THEN 15 ELSE 0 END AS score
+        FROM (SELECT * FROM plain UNION ALL SELECT * FROM teamed UNION ALL SELECT * FROM anyone) s"""),
+]
+
+
+@register("duplicate_candidates", sql_with(["accounts", "account_team_members"], """
+SELECT id AS customer_id, other AS linked_id,
+       CASE tag WHEN 'E' THEN 'EXACT_MATCH' WHEN 'ED' THEN 'EXACT_MATCH' WHEN 'P' THEN 'PREFIX_MATCH'
+                WHEN 'PD' THEN 'PREFIX_MATCH' WHEN 'SD' THEN 'SUBSTRING_MATCH' END AS name_match_type,
+       tag IN ('ED', 'PD', 'SD', 'D') AS corporate_domain_match, CAST(shared AS BIGINT) AS team_domains_upper_bound,
+       score AS duplicate_confidence_score
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY score DESC, other, base DESC, shared DESC, tag DESC, grp DESC, side DESC) AS nth
+      FROM scored) r
+WHERE nth = 1 AND score >= 30 ORDER BY score DESC, id LIMIT 50""", [NA] + TEAM_CTES[:1] + PAIR_CTES))
 def duplicate_candidates(spark, d):
     return D.duplicate_candidates(_accounts(spark, d), B.account_team_members(spark, d),
                                   generic_account=TEST_GENERIC_ACCOUNT_DOMAINS, generic_team=TEST_GENERIC_TEAM_DOMAINS)

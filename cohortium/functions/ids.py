@@ -28,9 +28,14 @@ def coalesce_present(df: DataFrame, names) -> Column:
 
 
 def to_customer_id(c: Column) -> Column:
-    """``to_numeric(errors='coerce')`` then integral id: junk → NULL, '12' and 12 agree."""
+    """Integral id of a text or number: junk → NULL, '12', '12.0', '1.2e1' and 12 agree.
+
+    Digits are read as a 64-bit integer, exactly. Only other spellings go through
+    DOUBLE, and only up to 2^53, where every integer is still exact.
+    """
     num = c.try_cast("double")
-    return F.when(num == F.floor(num), num.cast("long"))
+    exact = (num == F.floor(num)) & (F.abs(num) <= F.lit(float(1 << 53)))
+    return F.coalesce(c.try_cast("long"), F.when(exact, num.cast("long")))
 
 
 def normalized_customer_id(df: DataFrame, aliases=ACTIVITY_ID_ALIASES) -> Column:

@@ -12,7 +12,7 @@ def strip_ws(c: Column) -> Column:
 
 
 def normalize_company_name(c: Column) -> Column:
-    """``LOWER(TRIM(REPLACE(REPLACE(name, ' ', ''), '.', '')))``."""
+    """The name without blanks and full stops, in lower case."""
     return F.lower(F.trim(F.replace(F.replace(c, F.lit(" "), F.lit("")), F.lit("."), F.lit(""))))
 
 

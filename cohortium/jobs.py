@@ -41,10 +41,10 @@ class Roles:
 
 
 def build_customer_360(r: Roles, flagged_ids=C.DEFAULT_FLAGGED_IDS) -> DataFrame:
-    activity = C.clean_activity(r.activity_docs, r.customers)
+    activity = C.prepared_activity(r.activity_docs)
     return X.customer_360(
         C.clean_customers(r.customers, flagged_ids), S.current_subscription_lastvalue(r.subscriptions), r.plans,
-        A.engagement_by_customer(activity), A.nps_by_customer(C.clean_nps(r.nps_docs)),
+        A.engagement_by_customer(activity, r.customers), A.nps_by_customer(C.clean_nps(r.nps_docs)),
         A.onboarding_depth(C.clean_onboarding(r.onboarding_docs)), S.customer_ltv(r.invoices),
         X.ticket_summary(r.tickets))
 
@@ -80,7 +80,7 @@ def export_dashboard(r: Roles, out_dir: str, as_of=None, k: int = 4, seeds=range
         "segment_profile": G.name_segments(G.segment_profile(master)),
     }
     paths = {}
-    bounded = {"monthly_churn_by_tier", "monthly_engagement", "plans", "churn_reasons", "kpi_cards", "welch_test",
+    bounded = {"monthly_churn_by_tier", "monthly_engagement", "plans", "kpi_cards", "welch_test",
                "chi_square_test", "churn_contingency", "segment_profile"}
     for name, df in out.items():
         paths[name] = write_mart(df, f"{out_dir}/{name}", fmt="csv", single_file=name in bounded)
@@ -93,6 +93,6 @@ def _high_engagement(c360: DataFrame) -> DataFrame:
 
     from cohortium.operators.scalars import attach_one_row
 
-    med = group_percentiles(c360.withColumn("_g", F.lit(0)), ["_g"], "total_events", {"m": 0.5}, ["customer_id"])
+    med = group_percentiles(c360.withColumn("_g", F.lit(0)), ["_g"], "total_events", {"m": 0.5}, ["customer_id"], few_groups=True)
     j = attach_one_row(c360.select("customer_id", "total_events"), med.select("m"))
     return j.select("customer_id", (F.col("total_events") > F.col("m")).cast("int").alias("high_engagement"))

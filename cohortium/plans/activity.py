@@ -27,11 +27,6 @@ ENGAGEMENT_WEIGHTS = dict(events=30, avg_duration_sec=25, event_types=25, recenc
 DEFAULT_FUNNEL = ["signup", "first_login", "workspace_created", "first_project", "invited_teammate"]
 
 
-def snap6(c):
-    """Float aggregates reported to 6 decimals (removes summation-order noise)."""
-    return F.round(c.cast("decimal(38,10)"), 6).cast("double")
-
-
 def with_tier(df: DataFrame, lookup: DataFrame) -> DataFrame:
     """``$lookup`` + first match + default 'unknown' (lookup is unique on customer_id)."""
     return df.join(lookup.select("customer_id", "plan_tier"), "customer_id", "left") \
@@ -42,39 +37,54 @@ def sessions_per_week_by_tier(activity: DataFrame, lookup: DataFrame, iso_year:
     """Sessions (duration > 0) per customer-week → mean per customer → per tier
     mean/min/max, plus p25/p50/p75 of all session durations of the tier.
 
-    Weeks without a session are not counted as 0 (as in the reference).
+    Weeks without a session are not counted as 0 (as in the reference). Events
+    without a customer or a time belong to no customer-week and are left out.
+    Sessions are counted before the tier is attached, so the join sees one row
+    per customer however many events a customer has.
     """
-    s = activity.where(F.coalesce(F.col("session_duration"), F.lit(0.0)) > 0) \
+    s = activity.where((F.coalesce(F.col("session_duration"), F.lit(0.0)) > 0)
+                       & F.col("customer_id").isNotNull() & F.col("ts").isNotNull()) \
         .select("customer_id", "event_id", "ts", F.col("session_duration").alias("dur"))
-    s = with_tier(s, lookup).withColumn("year_week", week_key(F.col("ts"), iso_year))
-    per_week = s.groupBy("customer_id", "year_week", "plan_tier").agg(F.count(F.lit(1)).alias("n"))
-    per_user = per_week.groupBy("customer_id", "plan_tier").agg(F.avg("n").alias("avg_w"))
+    per_week = s.groupBy("customer_id", week_key(F.col("ts"), iso_year).alias("year_week")).agg(F.count(F.lit(1)).alias("n"))
+    per_user = with_tier(per_week.groupBy("customer_id").agg(F.avg("n").alias("avg_w")), lookup)
     per_tier = per_user.groupBy("plan_tier").agg(
         F.count(F.lit(1)).alias("user_count"),
         snap_bround(F.avg("avg_w"), 2).alias("avg_sessions_per_user_per_week"),
         snap_bround(F.min("avg_w"), 2).alias("min_sessions_per_week"),
         snap_bround(F.max("avg_w"), 2).alias("max_sessions_per_week"))
-    pct = group_percentiles(s, ["plan_tier"], "dur", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["event_id"])
-    pct = pct.select("plan_tier", *[snap6(F.col(p)).alias(f"{p}_session_duration_sec") for p in ("p25", "p50", "p75")])
+    pct = group_percentiles(with_tier(s.select("customer_id", "event_id", "dur"), lookup), ["plan_tier"], "dur",
+                            {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["event_id"], few_groups=True)
+    pct = pct.select("plan_tier", *[F.col(p).alias(f"{p}_session_duration_sec") for p in ("p25", "p50", "p75")])
     return per_tier.join(pct, "plan_tier", "left").orderBy("plan_tier")
 
 
 def feature_dau(activity: DataFrame) -> DataFrame:
     """Distinct users per feature-day, then mean/max/min and number of active days."""
-    a = activity.where(F.col("event_type").isNotNull())
+    a = activity.where(F.col("event_type").isNotNull() & F.col("customer_id").isNotNull() & F.col("ts").isNotNull())
     daily = a.groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
         F.count_distinct("customer_id").alias("dau"))
     return daily.groupBy(F.col("event_type").alias("feature")).agg(
-        snap6(F.avg("dau")).alias("avg_dau"), F.max("dau").alias("max_dau"), F.min("dau").alias("min_dau"),
+        F.avg("dau").alias("avg_dau"), F.max("dau").alias("max_dau"), F.min("dau").alias("min_dau"),
         F.count(F.lit(1)).alias("total_days_with_activity")).orderBy(F.desc("avg_dau"), "feature")
 
 
 def feature_retention(activity: DataFrame, days: int = 7) -> DataFrame:
-    """Share of a feature's users with another use in (first use, first use + days]."""
-    a = activity.where(F.col("event_type").isNotNull()).select("event_type", "customer_id", "ts")
-    first = a.groupBy("event_type", "customer_id").agg(F.min("ts").alias("first_use"))
-    j = a.join(first, ["event_type", "customer_id"])
-    later = (F.col("ts") > F.col("first_use")) & (F.col("ts") <= F.col("first_use") + F.expr(f"INTERVAL {int(days)} DAYS"))
+    """Share of a feature's users with another use in (first use, first use + days].
+
+    Events are first reduced to the earliest and latest time per (feature, user,
+    day), so a hot user shrinks to one row per calendar day. For ``days`` >= 1 this
+    is exact: on the first day any later event counts, and of every other day the
+    earliest event decides.
+    """
+    if int(days) < 1:
+        raise ValueError("days must be at least 1")
+    a = activity.where(F.col("event_type").isNotNull() & F.col("customer_id").isNotNull() & F.col("ts").isNotNull())
+    daily = a.groupBy("event_type", "customer_id", F.col("ts").cast("date").alias("day")).agg(
+        F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    first = daily.groupBy("event_type", "customer_id").agg(F.min("lo").alias("first_use"))
+    j = daily.join(first, ["event_type", "customer_id"])
+    limit = F.col("first_use") + F.expr(f"INTERVAL {int(days)} DAYS")
+    later = F.when(F.col("lo") == F.col("first_use"), F.col("hi") > F.col("first_use")).otherwise(F.col("lo") <= limit)
     per_user = j.groupBy("event_type", "customer_id").agg(F.max(later.cast("int")).alias("retained"))
     out = per_user.groupBy(F.col("event_type").alias("feature")).agg(
         F.count(F.lit(1)).alias("total_users"), F.sum("retained").cast("long").alias("retained_users"))
@@ -116,7 +126,8 @@ def funnel_dropoff(onboarding: DataFrame, steps) -> DataFrame:
 
 def step_times(onboarding: DataFrame, steps) -> DataFrame:
     """One row per customer, first time of each listed step as a column (pivot by aggregate)."""
-    return onboarding.groupBy("customer_id").agg(*[
+    known = onboarding.where(F.col("customer_id").isNotNull() & F.col("ts").isNotNull())
+    return known.groupBy("customer_id").agg(*[
         F.min(F.when(F.col("step") == s, F.col("ts"))).alias(s) for s in steps])
 
 
@@ -131,8 +142,8 @@ def funnel_step_gaps(onboarding: DataFrame, steps) -> DataFrame:
     gaps = F.array(*[F.struct(F.lit(n).alias("gap"), hours_between(F.col(b), F.col(a)).alias("hrs"))
                      for n, (a, b) in zip(names, zip(steps, steps[1:]))])
     long = wide.select("customer_id", F.explode(gaps).alias("g")).select("customer_id", "g.gap", "g.hrs")
-    med = group_percentiles(long, ["gap"], "hrs", {"p50": 0.5}, ["customer_id"])
-    one = med.agg(*[F.max(F.when(F.col("gap") == n, snap6(F.col("p50")))).alias(f"median_{n}") for n in names])
+    med = group_percentiles(long, ["gap"], "hrs", {"p50": 0.5}, ["customer_id"], few_groups=True)
+    one = med.agg(*[F.max(F.when(F.col("gap") == n, F.col("p50"))).alias(f"median_{n}") for n in names])
     total = onboarding.agg(F.count_distinct("customer_id").alias("total_customers"))
     return attach_one_row(one, total)
 
@@ -143,7 +154,7 @@ def user_step_lists(onboarding: DataFrame) -> DataFrame:
     Reduced to (customer, step, first time) before listing, so a list is at
     most as long as the number of distinct steps.
     """
-    firsts = onboarding.where(F.col("step").isNotNull()).groupBy("customer_id", "step").agg(F.min("ts").alias("t"))
+    firsts = onboarding.where(F.col("step").isNotNull() & F.col("customer_id").isNotNull() & F.col("ts").isNotNull()).groupBy("customer_id", "step").agg(F.min("ts").alias("t"))
     lists = firsts.groupBy("customer_id").agg(F.array_sort(F.collect_list(F.struct("t", "step"))).alias("steps"))
     rendered = F.transform("steps", lambda x: F.concat(x["step"], F.lit("@"),
                                                       F.date_format(x["t"], "yyyy-MM-dd HH:mm:ss.SSSSSS")))
@@ -168,16 +179,17 @@ def top_engaged_users(activity: DataFrame, lookup: DataFrame, tier: str, as_of=N
                       caps=ENGAGEMENT_CAPS, weights=ENGAGEMENT_WEIGHTS) -> DataFrame:
     """Top-k customers of one tier by a 0-100 engagement score.
 
-    The tier filter is applied *before* aggregating (semi-join of events to
-    the tier's customers); ``as_of`` defaults to the latest event time. The
+    Events are aggregated per customer first (map-side partial), then joined to
+    the tier's customers one row each, so a hot customer never meets the join;
+    ``as_of`` defaults to the latest event time. Events without a customer are
+    left out; a customer without any event time has no recency term. The
     recency term is clamped to [0, 1] on both sides (activity after
     ``as_of`` does not push the score above 100).
     """
     as_of_c = activity.select(F.max("ts")).scalar() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
     members = lookup.where(F.col("plan_tier") == tier).select("customer_id", "plan_tier")
-    a = activity.join(members.select("customer_id"), "customer_id", "left_semi")
-    m = customer_activity_metrics(a).join(members, "customer_id")
-    days = days_between(as_of_c, F.col("last_activity"))
+    m = customer_activity_metrics(activity.where(F.col("customer_id").isNotNull())).join(members, "customer_id")
+    days = F.coalesce(days_between(as_of_c, F.col("last_activity")), F.lit(float(caps["recency_days"])))
     score = (
         F.least(F.col("total_events") / caps["events"], F.lit(1.0)) * weights["events"]
         + F.least(F.col("avg_session_duration") / caps["avg_duration_sec"], F.lit(1.0)) * weights["avg_duration_sec"]
@@ -191,22 +203,28 @@ def top_engaged_users(activity: DataFrame, lookup: DataFrame, tier: str, as_of=N
     return out.orderBy(F.desc("engagement_score"), "customer_id").limit(k)
 
 
-def engagement_by_customer(activity_clean: DataFrame) -> DataFrame:
-    """Seven per-customer metrics of the cleaned activity (durations already NULL → 0)."""
-    return activity_clean.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+def engagement_by_customer(activity_clean: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """Seven per-customer metrics of the cleaned activity (durations already NULL → 0).
+
+    With ``customers`` the activity may still hold unknown ids: it is aggregated
+    first and the known customers are kept afterwards, one row each, because a
+    semi-join before the aggregate would bring a hot customer's events into one task.
+    """
+    out = activity_clean.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_events"),
         F.count_if(F.col("session_duration") > 0).alias("total_sessions"),
-        snap6(F.avg("session_duration")).alias("avg_session_duration"),
+        F.avg("session_duration").alias("avg_session_duration"),
         F.count_distinct("event_type").alias("distinct_features"),
         F.max("ts").alias("last_activity"),
         F.min("ts").alias("first_activity"),
-        snap6(F.sum("session_duration")).alias("total_session_time"))
+        F.sum("session_duration").alias("total_session_time"))
+    return out if customers is None else out.join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
 def nps_by_customer(nps_clean: DataFrame) -> DataFrame:
     """Mean, count and latest score per customer; 'latest' = greatest (ts, response id)."""
     return nps_clean.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        snap6(F.avg("nps_score")).alias("avg_nps_mongo"),
+        F.avg("nps_score").alias("avg_nps_mongo"),
         F.count("nps_score").alias("nps_count"),
         F.max_by("nps_score", F.struct("ts", "response_id")).alias("latest_nps"))
 

@@ -14,15 +14,20 @@ from pyspark.sql import functions as F
 
 from cohortium.functions.ids import ACTIVITY_ID_ALIASES, SURVEY_ID_ALIASES, normalized_customer_id
 from cohortium.functions.text import compact_name, normalize_company_name, strip_ws
-from cohortium.functions.time import parse_mixed_timestamp
+from cohortium.functions.time import parse_mixed_timestamp, parse_with_default
 from cohortium.operators.scalars import attach_one_row
 
 # Fixed value from the reference: the one customer id flagged as a known duplicate.
 DEFAULT_FLAGGED_IDS = [1202]
 
 
-def clean_customers(customers: DataFrame, flagged_ids=DEFAULT_FLAGGED_IDS) -> DataFrame:
-    """Trim names, flag listed ids as potential duplicates, empty name → 'Unknown'."""
+def clean_customers(customers: DataFrame, flagged_ids=DEFAULT_FLAGGED_IDS, dedupe_customers: bool = False) -> DataFrame:
+    """Trim names, flag listed ids as potential duplicates, empty name → 'Unknown'.
+
+    ``dedupe_customers`` also drops the flagged rows (the reference only flags them).
+    """
+    if dedupe_customers:
+        customers = customers.where(~F.coalesce(F.col("customer_id").isin(*flagged_ids), F.lit(False)))
     c = customers.withColumns({
         "company_name": strip_ws(F.col("company_name")),
         "country_name": strip_ws(F.col("country_name")),
@@ -56,18 +61,29 @@ def quality_report_customers(customers: DataFrame, flagged_ids=DEFAULT_FLAGGED_I
     )
 
 
-def normalize_activity(docs: DataFrame, aliases=ACTIVITY_ID_ALIASES) -> DataFrame:
+def _time(docs: DataFrame, default_ts=None) -> F.Column:
+    """Parsed ``timestamp``; with ``default_ts`` a NULL one gets that time. NULL without the column."""
+    if "timestamp" not in docs.columns:
+        return F.lit(default_ts).cast("timestamp_ntz")
+    if default_ts is None:
+        return parse_mixed_timestamp(F.col("timestamp"))
+    return parse_with_default(F.col("timestamp"), default_ts)
+
+
+def normalize_activity(docs: DataFrame, aliases=ACTIVITY_ID_ALIASES, default_ts=None) -> DataFrame:
     """Id coalesce + numeric id, parsed timestamp; raw alias columns are kept (they
-    take part in the exact-duplicate test, as in the reference)."""
+    take part in the exact-duplicate test, as in the reference). Documents without
+    ``event_type`` take it from ``feature``."""
     out = docs.withColumn("customer_id", normalized_customer_id(docs, aliases))
-    ts = parse_mixed_timestamp(F.col("timestamp")) if "timestamp" in docs.columns else F.lit(None).cast("timestamp_ntz")
+    ts = _time(docs, default_ts)
     out = out.withColumn("ts", ts).drop("timestamp")
     if "session_duration_sec" in out.columns:
         out = out.withColumnRenamed("session_duration_sec", "session_duration")
     elif "session_duration" not in out.columns:
         out = out.withColumn("session_duration", F.lit(0.0))
     if "event_type" not in out.columns:
-        out = out.withColumn("event_type", F.lit(None).cast("string"))
+        named = F.col("feature").cast("string") if "feature" in out.columns else F.lit(None).cast("string")
+        out = out.withColumn("event_type", named)
     return out
 
 
@@ -82,12 +98,16 @@ def orphan_activity(docs: DataFrame, customers: DataFrame) -> DataFrame:
     return n.join(customers.select("customer_id"), "customer_id", "left_anti")
 
 
-def clean_activity(docs: DataFrame, customers: DataFrame, subset=None) -> DataFrame:
-    """Normalise → exact dedupe → known customers only → NULL/negative duration → 0."""
-    n = dedupe_exact_rows(normalize_activity(docs), subset)
-    known = n.join(customers.select("customer_id"), "customer_id", "left_semi")
+def prepared_activity(docs: DataFrame, subset=None, default_ts=None) -> DataFrame:
+    """Normalise → exact dedupe → NULL/negative duration → 0; unknown and NULL ids are kept."""
+    n = dedupe_exact_rows(normalize_activity(docs, default_ts=default_ts), subset)
     dur = F.coalesce(F.col("session_duration").cast("double"), F.lit(0.0))
-    return known.withColumn("session_duration", F.when(dur < 0, F.lit(0.0)).otherwise(dur))
+    return n.withColumn("session_duration", F.when(dur < 0, F.lit(0.0)).otherwise(dur))
+
+
+def clean_activity(docs: DataFrame, customers: DataFrame, subset=None, default_ts=None) -> DataFrame:
+    """Normalise → exact dedupe → known customers only → NULL/negative duration → 0."""
+    return prepared_activity(docs, subset, default_ts).join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
 def quality_report_activity(docs: DataFrame, customers: DataFrame) -> DataFrame:
@@ -108,16 +128,16 @@ def quality_report_activity(docs: DataFrame, customers: DataFrame) -> DataFrame:
     return attach_one_row(before, after)
 
 
-def clean_nps(docs: DataFrame, aliases=SURVEY_ID_ALIASES) -> DataFrame:
+def clean_nps(docs: DataFrame, aliases=SURVEY_ID_ALIASES, default_ts=None) -> DataFrame:
     """Id coalesce, score from ``nps_score`` else ``score`` (per row), keep 0..10."""
-    n = normalize_nps(docs, aliases)
+    n = normalize_nps(docs, aliases, default_ts)
     return n.where(F.col("nps_score").between(0, 10))
 
 
-def normalize_nps(docs: DataFrame, aliases=SURVEY_ID_ALIASES) -> DataFrame:
+def normalize_nps(docs: DataFrame, aliases=SURVEY_ID_ALIASES, default_ts=None) -> DataFrame:
     score_cols = [F.col(c) for c in ("nps_score", "score") if c in docs.columns]
     score = F.coalesce(*score_cols).try_cast("double") if score_cols else F.lit(None).cast("double")
-    ts = parse_mixed_timestamp(F.col("timestamp")) if "timestamp" in docs.columns else F.lit(None).cast("timestamp_ntz")
+    ts = _time(docs, default_ts)
     keep = [c for c in ("response_id",) if c in docs.columns]
     return docs.select(*keep, normalized_customer_id(docs, aliases).alias("customer_id"), ts.alias("ts"),
                        score.alias("nps_score"))
@@ -133,19 +153,27 @@ def quality_report_nps(docs: DataFrame) -> DataFrame:
                  F.count_if(s.between(0, 10)).alias("rows_after"))
 
 
-def clean_onboarding(docs: DataFrame, aliases=SURVEY_ID_ALIASES) -> DataFrame:
+def clean_onboarding(docs: DataFrame, aliases=SURVEY_ID_ALIASES, default_ts=None) -> DataFrame:
     """Id coalesce, parsed time, step = lower/trim of ``step`` else ``event_step``, dedupe.
 
     A missing step stays NULL (it is not turned into a step named 'nan').
     """
     step_cols = [F.col(c) for c in ("step", "event_step") if c in docs.columns]
     step = F.lower(strip_ws(F.coalesce(*step_cols))) if step_cols else F.lit("unknown")
-    ts = parse_mixed_timestamp(F.col("timestamp")) if "timestamp" in docs.columns else F.lit(None).cast("timestamp_ntz")
+    ts = _time(docs, default_ts)
     n = docs.withColumns({"customer_id": normalized_customer_id(docs, aliases), "ts": ts, "step": step}) \
         .drop("timestamp", "event_step")
     return dedupe_exact_rows(n)
 
 
+def quality_report_onboarding(docs: DataFrame) -> DataFrame:
+    """Rows before and after the exact-duplicate removal (one row)."""
+    before = docs.agg(F.count(F.lit(1)).alias("rows_before"))
+    after = clean_onboarding(docs).agg(F.count(F.lit(1)).alias("rows_after"))
+    one = attach_one_row(before, after)
+    return one.withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after"))
+
+
 def normalize_names(accounts: DataFrame) -> DataFrame:
     return accounts.select("customer_id", "company_name",
                            normalize_company_name(F.col("company_name")).alias("norm_name"))

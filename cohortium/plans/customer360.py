@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortium.plans.activity import snap6
-
 # Fixed value from the reference: metrics whose absence means zero.
 ZERO_FILLED = ["total_events", "total_sessions", "avg_session_duration", "distinct_features", "total_session_time",
                "ticket_count", "escalated_tickets", "total_ltv", "onboarding_steps_completed", "nps_count"]
@@ -23,7 +21,7 @@ def ticket_summary(tickets: DataFrame) -> DataFrame:
     return tickets.groupBy("customer_id").agg(
         F.count("ticket_id").alias("ticket_count"),
         F.sum(F.col("escalated").cast("int")).cast("long").alias("escalated_tickets"),
-        snap6(F.avg("satisfaction_score")).alias("avg_satisfaction"))
+        F.avg("satisfaction_score").alias("avg_satisfaction"))
 
 
 def customer_360(customers: DataFrame, current_sub: DataFrame, plans: DataFrame, engagement: DataFrame,

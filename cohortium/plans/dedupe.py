@@ -17,9 +17,10 @@ aggregates that are linear in the number of accounts:
   one other account also has (count and sorted list, bounded by the
   account's own domains).
 
-The reference's weights are kept and applied per account: 50 exact /
-30 prefix, +30 shared corporate domain, +30 two or more / +15 one shared
-team domain; accounts scoring at least 30 are reported, top 50 first.
+``duplicate_candidates`` scores each account's best single partner with the
+reference's weights: 50 exact / 30 prefix / 15 substring (inside a shared
+corporate domain), +30 shared corporate domain, +30 two or more / +15 one
+shared team domain; scores of at least 30 are reported, top 50 first.
 """
 
 from __future__ import annotations
@@ -91,38 +92,91 @@ def team_domain_overlap(team_members: DataFrame, generic=GENERIC_TEAM_DOMAINS) -
         F.array_join(F.array_sort(F.collect_list("domain")), ", ").alias("overlapping_domains"))
 
 
-def duplicate_candidates(accounts: DataFrame, team_members: DataFrame, min_score: int = MIN_SCORE,
-                         k: int | None = TOP_K, weights=WEIGHTS, generic_account=GENERIC_ACCOUNT_DOMAINS,
-                         generic_team=GENERIC_TEAM_DOMAINS) -> DataFrame:
-    """Per-account duplicate confidence from the four signals; ``k=None`` keeps all."""
-    return score_candidates(name_signals(accounts), domain_signals(accounts, generic_account),
-                            team_domain_overlap(team_members, generic_team), min_score, k, weights)
+def name_links(accounts: DataFrame, weights=WEIGHTS, generic=GENERIC_ACCOUNT_DOMAINS) -> DataFrame:
+    """Rows ``(customer_id, key, side, base, kind)``: whom a name or domain may link an account to.
 
+    Accounts of one ``key`` are partners if both are on side ``both``, or one is
+    ``short`` and the other ``long``. Keys with the domain in them carry its weight
+    too, so the partners of one key all hold the same signals. An account has a row
+    per prefix and (inside a corporate domain) per substring of its own name.
+    """
+    a = normalized_accounts(accounts).select("customer_id", "norm_name", "email_domain")
+    corp = (F.col("email_domain") != "") & ~F.col("email_domain").isin(*generic)
+    a = a.withColumn("dom", F.when(corp, F.col("email_domain")))
+    size = F.length("norm_name")
+
+    def rows(frame, tag, parts, side, base, kind):
+        key = F.concat_ws("|", F.lit(tag), *parts)
+        return frame.select("customer_id", key.alias("key"), F.lit(side).alias("side"), F.lit(base).alias("base"), F.lit(kind).alias("kind"))
+
+    owned = a.where("dom IS NOT NULL")
+    prefixes = a.where(size > 1).select("*", F.explode(F.sequence(F.lit(1), size - 1)).alias("k")) \
+        .withColumn("part", F.substring("norm_name", F.lit(1), F.col("k")))
+    # substrings of more than three characters that are neither the name nor one of its prefixes
+    subs = owned.where(size > 4).select("*", F.explode(F.sequence(F.lit(2), size - 3)).alias("at")) \
+        .select("*", F.explode(F.sequence(F.lit(4), size - F.col("at") + 1)).alias("k")) \
+        .withColumn("part", F.substring("norm_name", F.col("at"), F.col("k")))
+    both_dom = weights["domain"]
+    name, dom, part = F.col("norm_name"), F.col("dom"), F.col("part")
+    out = rows(a, "E", [name], "both", weights["exact"], "EXACT_MATCH")
+    for more in (
+        rows(owned, "ED", [dom, name], "both", weights["exact"] + both_dom, "EXACT_MATCH"),
+        rows(a, "P", [name], "short", weights["prefix"], "PREFIX_MATCH"),
+        rows(prefixes, "P", [part], "long", weights["prefix"], "PREFIX_MATCH"),
+        rows(owned, "PD", [dom, name], "short", weights["prefix"] + both_dom, "PREFIX_MATCH"),
+        rows(prefixes.where("dom IS NOT NULL"), "PD", [dom, part], "long", weights["prefix"] + both_dom, "PREFIX_MATCH"),
+        rows(owned.where(size > 3), "SD", [dom, name], "short", weights["substring"] + both_dom, "SUBSTRING_MATCH"),
+        rows(subs, "SD", [dom, part], "long", weights["substring"] + both_dom, "SUBSTRING_MATCH"),
+        rows(owned, "D", [dom], "both", both_dom, None),
+    ):
+        out = out.unionByName(more)
+    return out.withColumn("kind", F.col("kind").cast("string")).distinct()
+
+
+def _partnered(links: DataFrame, keys: list[str]) -> DataFrame:
+    """``links`` that have a partner on the other side, with the smallest other account id.
+
+    Groups are only aggregated (smallest and second smallest id), never listed.
+    """
+    least = links.groupBy(*keys, "side").agg(F.min("customer_id").alias("m1"))
+    rest = links.join(least, [*keys, "side"]).where("customer_id > m1") \
+        .groupBy(*keys, "side").agg(F.min("customer_id").alias("m2"))
+    least = least.join(rest, [*keys, "side"], "left")
+    other = least.withColumn("side", F.when(F.col("side") == "short", "long").when(F.col("side") == "long", "short").otherwise(F.col("side")))
+    x = links.join(other, [*keys, "side"])
+    linked = F.when((F.col("side") == "both") & (F.col("m1") == F.col("customer_id")), F.col("m2")).otherwise(F.col("m1"))
+    return x.withColumn("linked_id", linked).drop("m1", "m2").where("linked_id IS NOT NULL")
 
-def score_candidates(n: DataFrame, d: DataFrame, t: DataFrame, min_score: int = MIN_SCORE,
-                     k: int | None = TOP_K, weights=WEIGHTS) -> DataFrame:
-    """Score accounts from the name, domain and team signals.
 
-    Name and domain signals cover the same (named) accounts; the team signal is
-    full-outer-joined on the account id, so an account whose only signal is
-    shared team domains (no usable name) is still scored.
+def duplicate_candidates(accounts: DataFrame, team_members: DataFrame, min_score: int = MIN_SCORE,
+                         k: int | None = TOP_K, weights=WEIGHTS, generic_account=GENERIC_ACCOUNT_DOMAINS,
+                         generic_team=GENERIC_TEAM_DOMAINS) -> DataFrame:
+    """Each account's best single partner by the four signals; ``k=None`` keeps all.
+
+    The signals of a score all belong to one group of partners: accounts that share
+    the same name relation and, where it counts, the same corporate domain. Within it,
+    ``team_domains_upper_bound`` counts the team domains that the account shares with
+    *some* member of the group; with one such partner that is exact, with several the
+    two domains that earn the higher weight may be shared with different ones, hence
+    the name. ``linked_id`` is the smallest other account of the winning group that
+    shares a counted team domain (or, without one, of the group). No pair is listed.
     """
-    j = n.join(d, "customer_id").join(t, "customer_id", "full")
-    name_type = (F.when(F.col("exact_group_size") > 1, F.lit("EXACT_MATCH"))
-                 .when(F.col("n_shorter_prefix_names") + F.col("n_longer_names") > 0, F.lit("PREFIX_MATCH")))
-    shared = F.coalesce(F.col("shared_domains"), F.lit(0))
-    corp = F.coalesce(F.col("is_corporate_domain") & (F.col("domain_group_size") > 1), F.lit(False))
-    score = (F.when(name_type == "EXACT_MATCH", weights["exact"]).when(name_type == "PREFIX_MATCH", weights["prefix"])
-             .otherwise(0)
-             + F.when(corp, weights["domain"]).otherwise(0)
-             + F.when(shared >= 2, weights["team_two"]).when(shared == 1, weights["team_one"]).otherwise(0))
-    zero = {c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-            for c in ("exact_group_size", "n_shorter_prefix_names", "n_longer_names", "domain_group_size")}
-    out = j.select("customer_id", "norm_name", name_type.alias("name_match_type"), zero["exact_group_size"],
-                   zero["n_shorter_prefix_names"], zero["n_longer_names"], "email_domain",
-                   corp.alias("corporate_domain_match"), zero["domain_group_size"],
-                   shared.cast("long").alias("team_domain_overlaps"), "overlapping_domains",
-                   score.alias("duplicate_confidence_score"))
+    team = team_members.select("customer_id", email_domain(F.col("email")).alias("domain")) \
+        .where(F.col("customer_id").isNotNull() & (F.col("domain") != "") & ~F.col("domain").isin(*generic_team)).distinct()
+    everyone = team.select("customer_id").distinct().select(
+        "customer_id", F.lit("*").alias("key"), F.lit("both").alias("side"), F.lit(0).alias("base"), F.lit(None).cast("string").alias("kind"))
+    links = _partnered(name_links(accounts, weights, generic_account), ["key"])
+    sharing = _partnered(links.drop("linked_id").unionByName(everyone).join(team, "customer_id"), ["key", "domain"])
+    with_team = sharing.groupBy("customer_id", "key", "side", "base", "kind").agg(
+        F.count_distinct("domain").alias("shared"), F.min("linked_id").alias("linked_id"))
+    scored = links.withColumn("shared", F.lit(0).cast("long")).unionByName(with_team)
+    score = F.col("base") + F.when(F.col("shared") >= 2, weights["team_two"]).when(F.col("shared") == 1, weights["team_one"]).otherwise(0)
+    # highest score, then the smallest partner, then the stronger name relation
+    order = F.struct(score.alias("score"), (-F.col("linked_id")).alias("near"), F.col("base"), F.col("shared"), F.col("key"), F.col("side"))
+    best = scored.groupBy("customer_id").agg(F.max_by(F.struct("linked_id", "kind", "key", "shared", score.alias("score")), order).alias("b"))
+    out = best.select("customer_id", F.col("b.linked_id").alias("linked_id"), F.col("b.kind").alias("name_match_type"),
+                      F.substring_index("b.key", "|", 1).isin("ED", "PD", "SD", "D").alias("corporate_domain_match"),
+                      F.col("b.shared").alias("team_domains_upper_bound"), F.col("b.score").alias("duplicate_confidence_score"))
     out = out.where(F.col("duplicate_confidence_score") >= min_score) \
         .orderBy(F.desc("duplicate_confidence_score"), "customer_id")
     return out.limit(k) if k else out

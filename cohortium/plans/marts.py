@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from cohortium.functions.numeric import safe_div, snap_round
 from cohortium.functions.time import month_key
-from cohortium.plans.activity import snap6
 from cohortium.plans.subscriptions import CHURNED_STATUSES
 
 # Fixed values from the reference: the customer master export columns, in order.
@@ -61,7 +60,7 @@ def mart_monthly_engagement(activity_clean: DataFrame) -> DataFrame:
     a = activity_clean.where(F.col("ts").isNotNull())
     return a.groupBy(month_key(F.col("ts")).alias("month")).agg(
         F.count("customer_id").alias("total_events"), F.count_distinct("customer_id").alias("unique_users"),
-        snap6(F.avg("session_duration")).alias("avg_session_duration"))
+        F.avg("session_duration").alias("avg_session_duration"))
 
 
 def mart_plans(plans: DataFrame) -> DataFrame:
@@ -72,7 +71,7 @@ def mart_churn_reasons(master: DataFrame) -> DataFrame:
     """Churned customers per reason and their mean LTV, most frequent first."""
     c = master.where((F.col("is_churned") == 1) & F.col("churn_reason").isNotNull())
     return c.groupBy("churn_reason").agg(
-        F.count("customer_id").alias("count"), snap6(F.avg("total_ltv")).alias("avg_ltv")) \
+        F.count("customer_id").alias("count"), F.avg("total_ltv").alias("avg_ltv")) \
         .orderBy(F.desc("count"), "churn_reason")
 
 
@@ -91,8 +90,9 @@ def kpi_cards(master: DataFrame, plan_tier=None, segment_name=None) -> DataFrame
         snap_round(F.avg(F.when(F.col("is_churned") == 0, F.col("total_ltv"))), 2).alias("avg_ltv_active"),
         snap_round(F.avg(F.when(F.col("is_churned") == 1, F.col("total_ltv"))), 2).alias("avg_ltv_churned"),
     ]
-    if "segment_name" in m.columns:
-        aggs.append(F.count_distinct("segment_name").alias("segment_count"))
+    if "segment" in m.columns:
+        # segments, not names: several segments may share a name
+        aggs.append(F.count_distinct("segment").alias("segment_count"))
     return m.agg(*aggs)
 
 

@@ -42,20 +42,24 @@ def segment_features(c360: DataFrame, as_of=None) -> DataFrame:
 
 
 def segment_customers(features: DataFrame, k: int = 4, seeds=range(42, 52), max_iter: int = 300,
-                      tol: float = 1e-4) -> DataFrame:
+                      tol: float = 1e-4, centres=None) -> DataFrame:
     """K-means on the z-scores: k-means++ seeding, best of ``len(seeds)`` starts by
     inertia (ties: first start).
 
     All starts advance in the same passes over the data
     (:mod:`cohortium.operators.kmeans`). Returns (customer_id, segment) with
-    segment 0 = highest centre LTV.
+    segment 0 = highest centre LTV. ``centres`` (k points in z-score space) replaces
+    the seeding by one given start.
     """
     zcols = ["z_" + c for c in FEATURES]
     # the starts iterate over the same rows many times: cut the lineage once
     # (reliable checkpoint in the shared checkpoint folder)
     ensure_checkpoint_dir(features.sparkSession)
-    data = features.select("customer_id", *zcols).checkpoint(eager=True)
-    centres, _, _ = multi_start_kmeans(data, "customer_id", zcols, k, seeds, max_iter=max_iter, tol=tol)
+    spark = features.sparkSession
+    data = features.select("customer_id", *zcols).repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+    if centres is not None:
+        k, centres = len(centres), [centres]
+    centres, _, _ = multi_start_kmeans(data, "customer_id", zcols, k, seeds, max_iter=max_iter, tol=tol, init_centres=centres)
     if centres is None:  # no customers
         return data.select("customer_id", F.lit(None).cast("int").alias("segment"))
     ltv_pos = FEATURES.index("total_ltv")

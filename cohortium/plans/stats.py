@@ -138,7 +138,7 @@ def welch_test(df: DataFrame, value: str = "total_events", flag: str = "is_churn
 def churn_contingency(df: DataFrame, value: str = "total_events", flag: str = "is_churned") -> DataFrame:
     """2×2 table: high engagement (value > exact median) × churn flag, zero cells included."""
     med = group_percentiles(df.withColumn("_g", F.lit(0)), ["_g"], value, {"median": 0.5},
-                            ["customer_id"]).select("median")
+                            ["customer_id"], few_groups=True).select("median")
     m = attach_one_row(df, med)
     hi = (F.col(value) > F.col("median")).cast("int")
     return m.groupBy(hi.alias("high_engagement")).agg(
@@ -166,3 +166,10 @@ def chi_square_engagement(df: DataFrame, value: str = "total_events", flag: str
     chi2 = terms[0] + terms[1] + terms[2] + terms[3]
     out = c.withColumn("chi2", chi2).withColumn("dof", F.lit(1))
     return out.withColumn("p_value", chi2_1dof_sf_udf(F.col("chi2")))
+
+
+def chi_square_test(df: DataFrame, value: str = "total_events", flag: str = "is_churned",
+                    alpha: float = DEFAULT_ALPHA) -> DataFrame:
+    """:func:`chi_square_engagement` plus the decision at ``alpha``."""
+    out = chi_square_engagement(df, value, flag)
+    return out.withColumn("decision", F.when(F.col("p_value") < alpha, F.lit("reject H0")).otherwise(F.lit("fail to reject H0")))

@@ -60,13 +60,15 @@ def customer_tier_distribution(lookup: DataFrame) -> DataFrame:
     return lookup.groupBy("plan_tier").agg(F.count(F.lit(1)).alias("customers"))
 
 
-def current_subscription_lastvalue(subs: DataFrame, columns=("plan_id", "status", "mrr_usd")) -> DataFrame:
+def current_subscription_lastvalue(subs: DataFrame, columns=("plan_id", "status", "mrr_usd", "billing_cycle")) -> DataFrame:
     """pandas ``sort_values('start_date').groupby(customer).last()``.
 
     ``last()`` takes the last *non-null* value of each column separately,
     with null start dates sorted last. One ``max_by`` per column whose
-    ordering is NULL when the value is NULL (``max_by`` skips those rows).
+    ordering is NULL when the value is NULL (``max_by`` skips those rows). A
+    column that ``subs`` lacks is skipped.
     """
+    columns = [c for c in columns if c in subs.columns]
     order = F.struct(F.col("start_date").isNull(), F.col("start_date"), F.col("subscription_id"))
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns]
     out = subs.groupBy("customer_id").agg(*aggs)
@@ -95,7 +97,7 @@ def ltv_rank_by_tier(customers: DataFrame, invoices: DataFrame, subs: DataFrame,
         safe_div(F.sum("total_ltv"), F.count(F.lit(1))).alias("_tier_avg"))
     ranked = within_group_ordinals(base, ["plan_tier"], [Key("total_ltv", ascending=False)],
                                    ["customer_id"], rn_col="_rn", rank_col="ltv_rank")
-    out = ranked.join(tier, "plan_tier")
+    out = ranked.join(F.broadcast(tier), "plan_tier")  # one row per tier of the plan dimension
     ltv_d = F.col("total_ltv").cast("double")
     return out.select(
         "plan_tier", "plan_name", "customer_id", "company_name",
@@ -110,8 +112,7 @@ def plan_changes(subs: DataFrame, plans: DataFrame, tier_levels: DataFrame) -> D
     """Each subscription with the previous subscription's plan, tier, level and MRR.
 
     ``LAG(x) OVER (PARTITION BY customer ORDER BY start_date)``, nulls last
-    and subscription_id as tie-break, computed with distributed ordinals and
-    an equi-join on (customer, row number − 1).
+    and subscription_id as tie-break, computed inside range partitions.
     """
     sh = subs.join(plans_with_levels(plans, tier_levels), "plan_id")
     lagged = lag_within_groups(sh, ["customer_id"], [Key("start_date", nulls_first=False)],
@@ -277,6 +278,7 @@ def active_by_month(subs_end: DataFrame, plans: DataFrame, as_of=None) -> DataFr
         F.col("active_at_start").cast("long").alias("active_at_start"))
 
 
+# Fixed value from the reference: the text of the alert.
 ALERT = "ALERT: Churn > 2x rolling avg"
 
 

@@ -4,7 +4,7 @@ The library never creates its own cluster settings beyond what a job
 needs to be reproducible: UTC session time zone, AQE (coalescing and skew
 join) and a checkpoint directory. The checkpoint directory is read from
 ``spark.checkpoint.dir`` when the cluster names one; a local scratch folder
-is only chosen when nothing is configured (tests, local runs).
+is only chosen in local mode when nothing is configured (tests, local runs).
 """
 
 from __future__ import annotations
@@ -56,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cohortium-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

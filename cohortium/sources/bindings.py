@@ -219,6 +219,7 @@ def sql_with(roles, body: str, ctes=()) -> str:
 # events carry no duration, durations are shifted by −5 s (negatives appear),
 # and every 'purchase' event is delivered twice. No row is dropped.
 
+# The text formats that the cleaning accepts (see functions/time.py).
 _DOC_TS = {
     0: ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "%Y-%m-%dT%H:%M:%S.%fZ"),
     1: ("yyyy-MM-dd'T'HH:mm:ss'Z'", "%Y-%m-%dT%H:%M:%SZ"),
@@ -259,7 +260,8 @@ def nps_docs(spark: SparkSession, d: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"))
 
 
-def onboarding_docs(spark: SparkSession, d: str) -> DataFrame:
+def onboarding_docs(spark: SparkSession, d: str, dirty: bool = False) -> DataFrame:
+    """With ``dirty`` some ids are junk text and some times are missing."""
     e = _t(spark, d, "events")
     uid = F.col("user_id").cast("string")
     r3 = F.col("event_id") % 3
@@ -273,6 +275,10 @@ def onboarding_docs(spark: SparkSession, d: str) -> DataFrame:
         F.when(even, noisy).alias("step"),
         F.when(~even, noisy).alias("event_step"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"))
+    if dirty:
+        docs = docs.withColumns({
+            "customer_id": F.when(F.col("event_id") % 14 == 7, "none").otherwise(F.col("customer_id")),
+            "timestamp": F.when(F.col("event_id") % 13 != 5, F.col("timestamp"))})
     return docs.unionByName(docs.where(F.col("step").isNotNull() & (F.lower(F.trim("step")) == "signup")))
 
 
@@ -309,8 +315,12 @@ SQL["onboarding_docs_once"] = """SELECT event_id,
 SQL["onboarding_docs"] = """SELECT * FROM onboarding_docs_once UNION ALL
     SELECT * FROM onboarding_docs_once WHERE step IS NOT NULL AND lower(trim(step)) = 'signup'"""
 
+SQL["onboarding_docs_dirty"] = """SELECT event_id, customerId,
+    CASE WHEN event_id % 14 = 7 THEN 'none' ELSE customer_id END AS customer_id, step, event_step,
+    CASE WHEN event_id % 13 <> 5 THEN "timestamp" END AS "timestamp" FROM onboarding_docs"""
+
 # roles that need other roles first
-DEPENDS = {"activity_docs": ["activity_docs_once"], "onboarding_docs": ["onboarding_docs_once"]}
+DEPENDS = {"onboarding_docs_dirty": ["onboarding_docs_once", "onboarding_docs"], "activity_docs": ["activity_docs_once"], "onboarding_docs": ["onboarding_docs_once"]}
 
 
 # --------------------------------------------------------------------------
@@ -326,13 +336,17 @@ TEST_GENERIC_TEAM_DOMAINS = [f"nation_{i}.com" for i in range(5)]
 
 def accounts(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "part").select(
-        F.col("p_partkey").alias("customer_id"), F.col("p_name").alias("company_name"),
+        F.col("p_partkey").alias("customer_id"),
+        # some names extend others at their end or at their front
+        F.when(F.col("p_partkey") % 10 == 3, F.concat("p_name", F.lit(" works")))
+        .when(F.col("p_partkey") % 10 == 7, F.concat(F.lit("old "), "p_name")).otherwise(F.col("p_name")).alias("company_name"),
         F.concat(F.lit("sales@"), F.lower(F.replace("p_brand", F.lit("#"), F.lit(""))), F.lit(".example"))
         .alias("contact_email"))
 
 
 def account_team_members(spark: SparkSession, d: str) -> DataFrame:
-    li = _t(spark, d, "lineitem").select("l_partkey", "l_suppkey")
+    # one row per (account, supplier) before any text is built
+    li = _t(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct()
     s = _t(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = _t(spark, d, "nation").select("n_nationkey", "n_name")
     j = li.join(s, li.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
@@ -341,11 +355,13 @@ def account_team_members(spark: SparkSession, d: str) -> DataFrame:
                              F.lower("n_name"), F.lit(".com")).alias("email"))
 
 
-SQL["accounts"] = """SELECT p_partkey AS customer_id, p_name AS company_name,
+SQL["accounts"] = """SELECT p_partkey AS customer_id, CASE p_partkey % 10 WHEN 3 THEN p_name || ' works'
+    WHEN 7 THEN 'old ' || p_name ELSE p_name END AS company_name,
     'sales@' || lower(replace(p_brand, '#', '')) || '.example' AS contact_email FROM part"""
 SQL["account_team_members"] = """SELECT l.l_partkey AS customer_id,
     lower(replace(s.s_name, '#', '.')) || '@' || lower(n.n_name) || '.com' AS email
-    FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey"""
+    FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+    JOIN nation n ON s.s_nationkey = n.n_nationkey"""
 
 
 def roles(spark: SparkSession, d: str):

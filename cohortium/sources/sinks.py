@@ -27,9 +27,24 @@ def assert_unique(df: DataFrame, key: str) -> None:
 
 
 def write_lookup_table(df: DataFrame, path: str, key: str = "customer_id") -> str:
-    """Drop-and-recreate a lookup table after checking its key is unique (idempotent)."""
-    assert_unique(df, key)
-    df.write.mode("overwrite").parquet(path)
+    """Drop-and-recreate a lookup table whose key is unique (idempotent).
+
+    ``df`` runs once: it is written beside the table, what was written is checked,
+    and only then takes the table's place, so a failed check leaves the old table.
+    """
+    spark = df.sparkSession
+    staged, old = f"{path}._new", f"{path}._old"
+    df.write.mode("overwrite").parquet(staged)
+    assert_unique(spark.read.schema(df.schema).parquet(staged), key)
+    jvm = spark.sparkContext._jvm
+    place = {p: jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged, old)}
+    fs = place[path].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(place[old], True)
+    if fs.exists(place[path]) and not fs.rename(place[path], place[old]):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(place[staged], place[path]):
+        raise OSError(f"cannot move {staged} to {path}")
+    fs.delete(place[old], True)
     return path
 
 
