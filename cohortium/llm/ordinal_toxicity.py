@@ -1,8 +1,8 @@
 """Toxicity severity by cumulative-link ordinal regression over sparse text features.
 
 Features are hashed words and word beginnings; a feature's value is the logarithm of
-how often it occurs above what clean texts of that length lead to expect (0 if not
-above), so absent and ordinary features are zero. The labels only say toxic or not;
+how often it occurs above what a clean text of that length which holds it leads to
+expect (0 if not above), so absent and ordinary features are zero. The labels only say toxic or not;
 grades 1 to 3 of toxic documents are the thirds of the rate at which the strongest
 features occur in them, grade 0 is clean. P(grade <= k) = logistic(t[k] - w.x): one
 weight vector, rising thresholds t. The result is the expected grade, the likeliest
@@ -34,7 +34,8 @@ from cohortium.llm.labelled import adam, labelled_sample
 PER_CLASS = 4000
 SLOTS = 1 << 22
 STARTS = range(4, 9)
-KEPT = 400
+KEPT = 100
+RATIO = 3.0
 LEAST_DOCS = 5
 GRADES = 3
 STRONG = 2.0
@@ -109,7 +110,6 @@ class Model:
 def _fit(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
     """Weights and rising thresholds (first one and logs of the steps) by Adam on the weighted likelihood."""
     weight = weight / weight.sum()
-    rows = np.arange(len(grade))
 
     def thresholds(t):
         return np.cumsum(np.concatenate([t[:1], np.exp(t[1:])]))
@@ -132,7 +132,6 @@ def _fit(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, steps: int = 600)
         tail = np.cumsum(d_th[::-1])[::-1]
         return [x.T @ d_eta + 2e-4 * w, np.concatenate([tail[:1], tail[1:] * np.exp(t[1:])])]
 
-    del rows
     w, t = adam([np.zeros(x.shape[1]), np.concatenate([[2.0], np.zeros(GRADES - 1)])], gradients, steps, 0.05)
     return w, thresholds(t)
 
@@ -144,25 +143,30 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     totals = {r["y"]: (r["docs"], r["words"]) for r in rows.groupBy("y").agg(F.count("*").alias("docs"), F.sum("n").alias("words")).collect()}
     if set(totals) != {0, 1}:
         return None
-    (clean, clean_words), (toxic, _) = totals[0], totals[1]
+    (clean, clean_words), (toxic, toxic_words) = totals[0], totals[1]
     each = rows.select("y", "n", F.explode(F.arrays_zip("slots", "tf")).alias("f")).select("y", "n", F.col("f.slots").alias("slot"), F.col("f.tf").alias("tf"))
     # per class: documents with the feature, and its rate in them; association by both
     per = each.groupBy("slot").agg(F.count(F.when(F.col("y") == 1, 1)).alias("pos"), F.count(F.when(F.col("y") == 0, 1)).alias("neg"),
+                                   F.sum(F.when(F.col("y") == 1, F.col("tf")).otherwise(0)).alias("pos_tf"),
                                    F.sum(F.when(F.col("y") == 0, F.col("tf")).otherwise(0)).alias("neg_tf"),
+                                   F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("neg_words"),
                                    F.sum(F.when(F.col("y") == 1, F.log2(1 + F.col("tf"))).otherwise(0)).alias("pos_log"),
                                    F.sum(F.when(F.col("y") == 0, F.log2(1 + F.col("tf"))).otherwise(0)).alias("neg_log"))
     gap = F.col("pos_log") / toxic - F.col("neg_log") / clean
     score = gap / F.sqrt((F.col("pos_log") + F.col("neg_log") + 1) / (toxic + clean))
-    best = per.where(F.col("pos") >= LEAST_DOCS).where(gap > 0).orderBy(F.desc(score), "slot").limit(KEPT).toPandas()
+    ratio = (F.col("pos_tf") / max(1, toxic_words)) / ((F.col("neg_tf") + 0.5) / max(1, clean_words))
+    best = per.where((F.col("pos") >= LEAST_DOCS) & (ratio >= RATIO)).where(gap > 0).orderBy(F.desc(score), "slot").limit(KEPT).toPandas()
     if not len(best):
         return None
     slots = best["slot"].to_numpy()
-    base = (best["neg_tf"].to_numpy() + 0.5) / (clean_words + 1)
+    # the rate in clean documents that hold the feature; next to nothing if hardly any does
+    neg = best["neg"].to_numpy()
+    base = (best["neg_tf"].to_numpy() + 0.5) / (best["neg_words"].to_numpy() + 1 + clean_words / (1 + neg) ** 2)
     odds = np.log((best["pos"].to_numpy() + 0.5) / (toxic + 1)) - np.log((best["neg"].to_numpy() + 0.5) / (clean + 1))
     model = Model(slots, base, np.zeros(len(slots)), np.zeros(GRADES), 0.5)
-    kept = F.array_intersect("slots", F.array(*map(F.lit, map(int, slots))))
-    part = rows.where(F.size(kept) >= 0).select("doc_id", "y", "weight", "n", F.filter(
-        F.arrays_zip("slots", "tf"), lambda f: F.array_contains(F.array(*map(F.lit, map(int, slots))), f["slots"])).alias("f"))
+    wanted = F.array(*map(F.lit, map(int, slots)))
+    part = rows.select("doc_id", "y", "weight", "n", F.filter(
+        F.arrays_zip("slots", "tf"), lambda f: F.array_contains(wanted, f["slots"])).alias("f"))
     got = part.orderBy("doc_id").collect()  # at most about 2 x per_class rows of kept features
     x = np.zeros((len(got), len(slots)))
     rate = np.zeros(len(got))
