@@ -20,7 +20,8 @@ def test_lookup_requires_unique_key(spark):
     assert spark.read.parquet(out + "/t").count() == 2
     dup = spark.createDataFrame([(1, "free"), (1, "pro")], "customer_id long, plan_tier string")
     with pytest.raises(sinks.DuplicateKeyError):
-        sinks.write_lookup_table(dup, out + "/u")
+        sinks.write_lookup_table(dup, out + "/t")
+    assert spark.read.parquet(out + "/t").count() == 2   # a failed check leaves the old table
 
 
 def test_csv_mart_keeps_nulls(spark):

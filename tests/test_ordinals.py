@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -70,3 +72,61 @@ def test_hot_group_is_spread_over_many_tasks(spark):
     # and the numbers still run 1..n without gaps across the tasks
     rn = got.where(F.col("g") == "hot").agg(F.min("rn"), F.max("rn"), F.count_distinct("rn")).first()
     assert tuple(rn) == (1, n_hot, n_hot)
+
+
+def _expected(df):
+    w = Window.partitionBy("g").orderBy(F.col("v").asc_nulls_first(), F.col("id"))
+    wr = Window.partitionBy("g").orderBy(F.col("v").asc_nulls_first())
+    return df.select("id", F.row_number().over(w).alias("rn_e"), F.rank().over(wr).alias("rk_e"),
+                     F.lag("id").over(w).alias("prev_e"))
+
+
+SETTINGS = [{}, {"spark.sql.exchange.reuse": "false"}, {"spark.sql.adaptive.enabled": "false"}]
+
+
+@pytest.mark.parametrize("conf", SETTINGS, ids=["default", "no-reuse", "no-aqe"])
+@pytest.mark.parametrize("parts", [3, 11])
+def test_numbers_hold_whatever_stands_above(spark, conf, parts):
+    """coalesce, union and changed settings may not disturb the stored numbers."""
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = _skewed(spark, 2000)
+        exp = _expected(df)
+        num = within_group_ordinals(df, ["g"], [Key("v")], ["id"], num_partitions=parts)
+        lag = lag_within_groups(df, ["g"], [Key("v")], ["id"], ["id"], num_partitions=parts)
+        for shape in (lambda x: x, lambda x: x.coalesce(1), lambda x: x.coalesce(2), lambda x: x.limit(0).unionByName(x),
+                      lambda x: x.repartition(4).unionByName(x.limit(0))):
+            bad = shape(num).join(exp, "id").where("rn <> rn_e or rk <> rk_e").count()
+            assert bad == 0 and shape(num).count() == 2000
+            assert shape(lag).join(exp, "id").where("not (prev_id <=> prev_e)").count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_lag_needs_no_join_of_rows(spark):
+    df = _skewed(spark, 500)
+    plan = lag_within_groups(df, ["g"], [Key("v")], ["id"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_exact_large_integers_and_no_rows(spark):
+    """Lagged 64-bit integers stay exact beside NULLs; an empty frame gives no rows."""
+    big = 9007199254740993
+    df = spark.createDataFrame([(1, "a", big), (2, "a", None), (3, "a", big + 2)], "id long, g string, v long")
+    got = {r.id: r.prev_v for r in lag_within_groups(df, ["g"], [Key("id")], [], ["v"]).collect()}
+    assert got == {1: None, 2: big, 3: None}
+    assert within_group_ordinals(df.limit(0), ["g"], [Key("v")], ["id"]).count() == 0
+    assert group_percentiles(df.limit(0), ["g"], "v", {"m": 0.5}, ["id"]).count() == 0
+
+
+def test_positions_of_few_groups_are_broadcast(spark):
+    df = _skewed(spark, 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = group_percentiles(df, ["g"], "v", {"m": 0.5}, ["id"], few_groups=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan
