@@ -73,14 +73,14 @@ def winnow(texts: DataFrame, key: list[str], window: int = WINDOW, gram: int = G
     n = window - gram + 1
     rows = _grams(texts, key, 1, window)
     words = ["p", *(f"h{i}" for i in range(window))]
-    # the low bits hold how far from the window's end the gram stands: ties go to the right
-    grams = [F.xxhash64(*words[i:i + gram]) for i in range(n + 1)]
-    rows = rows.select(*key, "pos", "p", *(g.alias(f"g{i}") for i, g in enumerate(grams)))
+    hashes = {f"g{i}": F.xxhash64(*words[i:i + gram]) for i in range(n + 1)}
+    rows = _computed(rows.select(*key, "pos", "p", *words[1:]), [*key, "pos", "p"], hashes)
 
+    # the low bits hold how far from the window's end the gram stands: ties go to the right
     def smallest(first: int) -> Column:
         return F.least(*(F.col(f"g{first + j}").bitwiseAND(F.lit(~15)).bitwiseOR(F.lit(n - 1 - j)) for j in range(n)))
 
-    rows = rows.select(*key, "pos", "p", smallest(1).alias("m"), smallest(0).alias("before"))
+    rows = _computed(rows, [*key, "pos", "p"], {"m": smallest(1), "before": smallest(0)})
     place = F.col("m").bitwiseAND(F.lit(15))
     moved = place + 1 != F.col("before").bitwiseAND(F.lit(15))
     other = F.col("m").bitwiseAND(F.lit(~15)) != F.col("before").bitwiseAND(F.lit(~15))
@@ -89,6 +89,15 @@ def winnow(texts: DataFrame, key: list[str], window: int = WINDOW, gram: int = G
                        F.col("m").bitwiseAND(F.lit(~15)).alias("fp"))
 
 
+def _computed(rows: DataFrame, keep: list[str], new: dict[str, Column]) -> DataFrame:
+    """``keep`` and the ``new`` columns, each computed once per row.
+
+    The one-row ``inline`` keeps the optimiser from copying the expressions into
+    every later use (a filter would repeat all hashes several times).
+    """
+    return rows.select(*keep, F.inline(F.array(F.struct(*(c.alias(n) for n, c in new.items())))).alias(*new))
+
+
 def _whole(texts: DataFrame, key: list[str], n: int) -> DataFrame:
     """Hash of every ``n`` consecutive words."""
     rows = _grams(texts, key, 0, n)
