@@ -7,8 +7,10 @@ shared lines, however many documents share one, and no line is left out for bein
 frequent. For each pair the shared lines are aligned as patience diff does: lines
 that occur once on both sides and rise in both (longest increasing subsequence) are
 anchors, the gaps between them are aligned the same way, and equal neighbours extend
-them. Runs of aligned lines that are neighbours in both documents are blocks; blocks
-of at least ``BLOCK_CHARS`` characters are deleted from the later document.
+them. Lines that the alignment leaves out, because a block was moved or repeated, are
+aligned again in further rounds, and after ``ROUNDS`` matched one by one. Runs of
+aligned lines that are neighbours in both documents are blocks; blocks of at least
+``BLOCK_CHARS`` characters are deleted from the later document.
 
 Edge cases: NULL texts stay NULL, empty ones empty; a document without an id is
 neither earlier nor later and stays as it is; rows that repeat id and text are one
@@ -29,6 +31,7 @@ from cohortium.llm.common import stored
 
 LINE_CHARS = 25
 BLOCK_CHARS = 40
+ROUNDS = 6
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -110,6 +113,28 @@ def blocks(aligned: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
+def _rounds(later: list[tuple[int, int]], earlier: list[tuple[int, int]]):
+    """Alignments that together hold every line of ``later`` that ``earlier`` has."""
+    for _ in range(ROUNDS):
+        aligned = patience(later, earlier)
+        if not aligned:
+            break
+        yield aligned
+        done = {a for a, _ in aligned}
+        later = [x for x in later if x[0] not in done]
+    places: dict[int, list[int]] = {}
+    for b, h in earlier:
+        places.setdefault(h, []).append(b)
+    rest, last = [], -1
+    for a, h in later:
+        if own := places.get(h):
+            k = bisect_left(own, last + 1)
+            last = own[k] if k < len(own) and own[k] == last + 1 else own[0]
+            rest.append((a, last))
+    if rest:
+        yield rest
+
+
 def _doomed(matches: list[dict], least: int) -> tuple[list[int], list[int]]:
     """Lines to delete of one later document, and the partners they repeat."""
     pairs: dict[tuple, list[dict]] = {}
@@ -121,10 +146,11 @@ def _doomed(matches: list[dict], least: int) -> tuple[list[int], list[int]]:
     for (doc, _), own in pairs.items():
         later = sorted((m["pos"], m["h"]) for m in own)
         earlier = sorted({(q, m["h"]) for m in own for q in m["p_pos"]})
-        for block in blocks(patience(later, earlier)):
-            if sum(size[i] for i in block) >= least:
-                gone += block
-                partners.add(doc)
+        for aligned in _rounds(later, earlier):
+            for block in blocks(aligned):
+                if sum(size[i] for i in block) >= least:
+                    gone += block
+                    partners.add(doc)
     return sorted(gone), sorted(partners)
 
 
@@ -145,12 +171,13 @@ def deletions(documents: DataFrame, line_chars: int = LINE_CHARS, block_chars: i
     lines = (lines.withColumn("size", F.length(F.trim("line"))).where(F.col("size") >= line_chars)
              .select("doc", "th", "pos", "size", F.xxhash64(F.trim("line")).alias("h")))
     own = F.struct("doc", "th")
+    # both small tables are stored: a join straight above an aggregate on its key could not be split by skew
     shared = (lines.groupBy("h").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last")
               .select("h", F.col("first.doc").alias("p_doc"), F.col("first.th").alias("p_th")))
-    met = stored(lines.join(shared, "h"), "shared-lines")
+    met = stored(lines.join(stored(shared, "line-firsts"), "h"), "shared-lines")
     is_first = (F.col("doc") == F.col("p_doc")) & (F.col("th") == F.col("p_th"))
     places = met.where(is_first).groupBy("h").agg(F.sort_array(F.collect_set("pos")).alias("p_pos"))
-    later = met.where(~is_first).distinct().join(places, "h")
+    later = met.where(~is_first).distinct().join(stored(places, "line-places"), "h")
     each = later.groupBy("doc", "th").agg(F.collect_list(F.struct("h", "pos", "size", "p_doc", "p_th", "p_pos")).alias("matches"))
     found = each.mapInArrow(_align(block_chars), "doc long, th long, gone array<int>, partners array<long>")
     return found.where(F.size("gone") > 0)

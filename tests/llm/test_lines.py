@@ -39,6 +39,13 @@ def test_blocks_of_later_documents_go(spark):
     assert got[1]._removed == [0, 1, 2] and got[1]._partners == [0] and got[4]._partners == [1] and got[0]._removed == []
 
 
+def test_moved_and_repeated_blocks_go(spark):
+    a, b, c = (line(k) for k in range(3))
+    texts = ["\n".join([a, b, c]), "\n".join([c, line(9), a, b, a, b] + [c] * 20)]
+    got = {r.doc_id: r for r in L.dedupe_lines(documents(spark, texts)).collect()}
+    assert got[1].text == line(9) and got[0].text == texts[0]
+
+
 def test_every_holder_but_the_first_loses_a_common_line(spark):
     """No cap on frequency: a line of all documents goes from all but one."""
     texts = [f"{line(0)}\n{line(100 + i)}" for i in range(300)]

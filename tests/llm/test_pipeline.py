@@ -27,7 +27,7 @@ def test_each_stage_equals_brute_force(spark):
             assert docs.count() >= 0.99 * before.count()
         elif name == "line dedup":
             assert docs.count() == before.count()
-            # no long line is left in two documents, but where its block is too short
+            # no line that makes a block by itself is left in two documents
             first = {}
             for r in sorted(docs.collect(), key=lambda r: r.doc_id):
                 for x in {x.strip() for x in r.text.split("\n") if len(x.strip()) >= L.BLOCK_CHARS}:
