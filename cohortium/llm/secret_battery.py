@@ -139,7 +139,9 @@ def scan(documents: DataFrame, rate: float = FALSE_REJECTS) -> DataFrame:
         _found(F.col("text"), ASSIGN, r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", 0, ASSIGN_LEAST, 2),
         _found(F.col("text"), ACCESS, "AKIA[A-Z0-9]{16}", 1, ACCESS_LEAST),
         _found(F.col("text"), HEX, "[0-9a-f]{24}", 2, HEX_LEAST))
-    runs = _found(F.col("text"), RUN, RUN[:-len("={0,2}")], 3, RUN_LEAST)
+    # a run of letters and digits has the two side by side somewhere; prose hardly ever does
+    beside = F.col("text").rlike("[0-9][A-Za-z+/_-]|[A-Za-z+/_-][0-9]")
+    runs = F.when(beside, _found(F.col("text"), RUN, RUN[:-len("={0,2}")], 3, RUN_LEAST)).otherwise(F.array().cast(_SPAN))
     rows = docs.select("doc_id", base.alias("base"), runs.alias("runs"))
     mixed = F.filter("runs", lambda r: r["token"].rlike("[0-9]") & r["token"].rlike("[A-Za-z]") & ~F.exists(
         F.col("base"), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
