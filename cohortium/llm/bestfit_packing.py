@@ -36,7 +36,7 @@ SHARD_ITEMS = 20_000
 FAN_IN = 8
 CARRY = 4096
 SLACK = 16
-BATCH_CHARS = 12_000_000
+BATCH_CHARS = 8_000_000
 # fixed value: how byte-level BPE vocabularies of this family split a text before merging
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
