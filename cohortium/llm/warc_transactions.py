@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortium.llm.common import shared_path
+from cohortium.llm.common import shared_path, stored
 
 LEAST_SHARED = 100
 ARCHIVE_BYTES = 8 << 20
@@ -167,10 +167,15 @@ def assemble(records: DataFrame) -> DataFrame:
                 .where("copies > 0"))
     captures = (captures.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
                 .drop("_copy", "copies"))
-    first_pages = (captures.where(F.col("response.record_type") == "response")
-                   .select(F.col("capture_id").alias("_first"), F.col("metadata.page_id").alias("refers_to_page"))
-                   .dropDuplicates(["_first"]))
-    return captures.join(first_pages, F.col("response.refers_to") == F.col("_first"), "left").drop("_first")
+    # the pages that revisits may name; stored, so that a payload with many revisits can be split
+    first_pages = stored(captures.where(F.col("response.record_type") == "response")
+                         .select(F.col("capture_id").alias("_first"), F.col("metadata.page_id").alias("_page"))
+                         .dropDuplicates(["_first"]), "warc-pages")
+    # a response refers to nothing: its own id spreads those rows and its own page is not reported
+    refers = F.coalesce("response.refers_to", "capture_id")
+    joined = captures.join(first_pages, refers == F.col("_first"), "left")
+    page = F.when(F.col("response.refers_to").isNotNull(), F.col("_page"))
+    return joined.withColumn("refers_to_page", page).drop("_first", "_page")
 
 
 def archive_and_assemble(pages: DataFrame, with_payload: bool = True, path: str | None = None) -> DataFrame:
