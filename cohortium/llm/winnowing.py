@@ -10,8 +10,9 @@ comparing the words themselves; runs of at least ``WINDOW`` equal words count.
 Items of fewer words are one window: their documents are found by the hash of
 as many words, and extended the same way.
 
-The benchmark's fingerprints are broadcast up to ``BROADCAST_ROWS`` rows;
-beyond that the join shuffles both sides. Documents of more than ``CHUNK``
+The benchmark's fingerprints, and the keys (two numbers) of the documents that are
+hit, are broadcast up to ``BROADCAST_ROWS`` rows; beyond that the joins shuffle both
+sides. Documents of more than ``CHUNK``
 words are hashed in chunks that overlap by a window, so memory is bounded.
 
 Edge cases: NULL and blank texts have no words and no hits; an item without
@@ -135,7 +136,9 @@ def occurrences(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW
         hits = hits.unionByName(found.select(*key, *ikey, F.col("pos").alias("delta")))
     hits = stored(hits.distinct(), "hits")
     at = hits.groupBy(*key).agg(F.collect_list(F.struct(*ikey, "delta")).alias("at"))
-    near = docs.select(*key, "text").join(at, key).dropDuplicates(key)
+    # few documents are hit: their keys filter the texts before any text is shuffled
+    near = docs.select(*key, "text").join(_sized(stored(hits.select(*key).distinct(), "hit-keys"), BROADCAST_ROWS), key, "left_semi")
+    near = near.join(at.hint("merge"), key).dropDuplicates(key)
     near = near.select(*key, exact_words(F.col("text")).alias("words"), F.explode("at").alias("at")).select(*key, "words", "at.*")
     low = F.greatest(F.lit(0), -F.col("delta"))
     size = F.least(F.col("n"), F.size("words") - F.col("delta")) - low
@@ -166,7 +169,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any hit, all columns kept."""
     _, found = occurrences(documents, benchmark)
-    bad = found.select("doc", "th").distinct()
+    bad = _sized(stored(found.select("doc", "th").distinct(), "bad-keys"), BROADCAST_ROWS)
     keyed = documents.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
                                    "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
     return keyed.join(bad, (F.col("_doc") == F.col("doc")) & (F.col("_th") == F.col("th")), "left_anti").drop("_doc", "_th")
