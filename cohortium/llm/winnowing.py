@@ -83,7 +83,8 @@ def winnow(texts: DataFrame, key: list[str], window: int = WINDOW, gram: int = G
 
     rows = _computed(rows, [*key, "pos", "p"], {"m": smallest(1), "before": smallest(0)})
     place = F.col("m").bitwiseAND(F.lit(15))
-    moved = place + 1 != F.col("before").bitwiseAND(F.lit(15))
+    # a gram is one place further from the end of the window before
+    moved = place != F.col("before").bitwiseAND(F.lit(15)) + 1
     other = F.col("m").bitwiseAND(F.lit(~15)) != F.col("before").bitwiseAND(F.lit(~15))
     rows = rows.where(F.col("p").isNull() | moved | other)
     return rows.select(*key, (F.col("pos") + (n - 1) - place).cast("int").alias("pos"),

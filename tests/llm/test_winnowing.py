@@ -98,3 +98,21 @@ def test_main_path_is_native(spark):
     items, texts = cases()
     plan = W.contamination(documents(spark, texts), bench(spark, items))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("period", [2, 3])
+def test_periodic_ends(spark, period):
+    """A new minimum in the last gram that equals the gram a period earlier is kept."""
+    items = []
+    for i in range(60):
+        head, own = [f"z{i}", f"y{i}", f"x{i}"][:4 - period % 2 - 1], [f"{c}{i}" for c in "abc"[:period]]
+        items.append((i, " ".join([*head, *(own * 10)[:10 - len(head)]])))
+    texts = [f"before {t}" for _, t in items]
+    assert result(documents(spark, texts), bench(spark, items)) == naive(list(enumerate(texts)), items)
+
+
+def test_a_gram_is_kept_once(spark):
+    rnd = random.Random(9)
+    text = " ".join(f"w{rnd.randint(0, 10 ** 6)}" for _ in range(2000))
+    rows = W.winnow(documents(spark, [text]), ["doc_id"]).collect()
+    assert len(rows) == len({r.pos for r in rows}) < 2000 / 2
