@@ -1,37 +1,43 @@
 """Line deduplication by pairwise patience alignment.
 
-A line is rare enough to tell documents apart if it has at least ``LINE_CHARS``
-characters. Every such line of a later document points to the earliest document
-that holds it (smallest id): one partner per line, so the pairs number at most the
-shared lines, however many documents share one, and no line is left out for being
-frequent. For each pair the shared lines are aligned as patience diff does: lines
-that occur once on both sides and rise in both (longest increasing subsequence) are
-anchors, the gaps between them are aligned the same way, and equal neighbours extend
-them. Lines that the alignment leaves out, because a block was moved or repeated, are
-aligned again in further rounds, and after ``ROUNDS`` matched one by one. Runs of
-aligned lines that are neighbours in both documents are blocks; blocks of at least
-``BLOCK_CHARS`` characters are deleted from the later document.
+What is compared are runs of neighbouring lines: for every line that isn't blank, the
+shortest runs of at least ``BLOCK_CHARS`` characters that begin or end there, so short
+lines (verse, code) count together. Every run of a later document points to the earliest
+document that holds it (smallest id): one partner per run, so the pairs number at most
+the shared runs, however many documents share one, and no run is left out for being
+frequent. For each pair the shared runs are aligned as patience diff does: runs that
+occur once on both sides and rise in both (longest increasing subsequence) are anchors,
+the gaps between them are aligned the same way, and equal neighbours extend them. Runs
+that the alignment leaves out, because a block was moved or repeated, are aligned again
+in further rounds, and after ``ROUNDS`` matched one by one. The lines of aligned runs are
+deleted from the later document. Every line of a block of that many characters that an
+earlier document holds lies in such a run within the block.
+
+Blank lines are not compared; they go with the lines on both their sides.
 
 Edge cases: NULL texts stay NULL, empty ones empty; a document without an id is
 neither earlier nor later and stays as it is; rows that repeat id and text are one
 document and treated alike; of rows that share an id but not the text, the order of
 their hashes decides; line order and untouched lines stay byte for byte; other
-columns are kept. A text that loses all lines becomes empty.
+columns are kept. A text that loses all lines becomes empty; one of fewer characters
+than a block is never touched.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortium.llm.common import stored
 
-LINE_CHARS = 25
 BLOCK_CHARS = 40
 ROUNDS = 6
+MULTIPLIER = 0x9E3779B97F4A7C15
+BATCH_RUNS = 100_000
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -100,19 +106,6 @@ def patience(later: list[tuple[int, int]], earlier: list[tuple[int, int]]) -> li
     return sorted(out)
 
 
-def blocks(aligned: list[tuple[int, int]]) -> list[list[int]]:
-    """Places in the later document of runs that are neighbours in both."""
-    out: list[list[int]] = []
-    last = None
-    for a, b in aligned:
-        if last and (a, b) == (last[0] + 1, last[1] + 1):
-            out[-1].append(a)
-        else:
-            out.append([a])
-        last = (a, b)
-    return out
-
-
 def _rounds(later: list[tuple[int, int]], earlier: list[tuple[int, int]]):
     """Alignments that together hold every line of ``later`` that ``earlier`` has."""
     for _ in range(ROUNDS):
@@ -135,58 +128,126 @@ def _rounds(later: list[tuple[int, int]], earlier: list[tuple[int, int]]):
         yield rest
 
 
-def _doomed(matches: list[dict], least: int) -> tuple[list[int], list[int]]:
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, "u8")
+    out[:1] = 1
+    return np.cumprod(out)  # modulo 2^64
+
+
+def _runs(text: str, least: int) -> tuple[np.ndarray, ...] | None:
+    """Of each run of ``text``: hash, first and last line, the line after it that isn't
+    blank (minus the number of lines if there is none), and whether none is before it."""
+    import xxhash
+
+    lines = [x.strip(" ") for x in text.split("\n")]
+    own = np.array([i for i, x in enumerate(lines) if x], "i8")
+    before = np.concatenate([[0], np.cumsum([len(lines[i]) for i in own])]).astype("i8")
+    if before[-1] < least:
+        return None
+    n = len(own)
+    stop = np.searchsorted(before, before[:-1] + least)
+    first = np.searchsorted(before, before[1:] - least, side="right") - 1
+    begin, end = np.flatnonzero(stop <= n), np.flatnonzero(first >= 0)
+    pairs = np.unique(np.concatenate([begin * (n + 1) + stop[begin], first[end] * (n + 1) + end + 1]))
+    first, stop = np.divmod(pairs, n + 1)
+    h = np.array([xxhash.xxh64_intdigest(lines[i]) for i in own], "u8")
+    sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(h * _powers(MULTIPLIER, len(h)))])
+    runs = (sums[stop] - sums[first]) * _powers(pow(MULTIPLIER, -1, 1 << 64), len(h))[first]
+    after = np.append(own, -len(lines))[stop]
+    return runs.view("i8"), own[first], own[stop - 1], after, first == 0
+
+
+def _shingle(least: int):
+    """(doc, th, h, at, after, lead): a row per distinct run of a text, with its places."""
+    names = ["doc", "th", "h", "at", "after", "lead"]
+
+    def batch(rows):
+        doc, th, h, at, after, lead, sizes = (np.concatenate(c) for c in zip(*rows))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (at, after)]
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(th), pa.array(h), *lists, pa.array(lead)], names=names)
+
+    def run(batches):
+        rows, size = [], 0
+        for b in batches:
+            for doc, th, text in zip(*(b.column(c).to_pylist() for c in ("doc", "th", "text"))):
+                if (got := _runs(text, least)) is None:
+                    continue
+                h, lo, hi, after, lead = got
+                order = np.argsort(h, kind="stable")
+                h = h[order]
+                new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+                rows.append((np.full(len(new), doc, "i8"), np.full(len(new), th, "i8"), h[new], (lo << 32 | hi)[order],
+                             after[order].astype("i4"), np.logical_or.reduceat(lead[order], new), np.diff(np.append(new, len(h)))))
+                size += len(h)
+                if size >= BATCH_RUNS:
+                    yield batch(rows)
+                    rows, size = [], 0
+        if rows:
+            yield batch(rows)
+    return run
+
+
+def _doomed(matches: list[dict]) -> tuple[list[int], list[int]]:
     """Lines to delete of one later document, and the partners they repeat."""
     pairs: dict[tuple, list[dict]] = {}
     for m in matches:
         pairs.setdefault((m["p_doc"], m["p_th"]), []).append(m)
-    size = {m["pos"]: m["size"] for m in matches}
-    gone: list[int] = []
+    cut: set[int] = set()
     partners: set[int] = set()
     for (doc, _), own in pairs.items():
-        later = sorted((m["pos"], m["h"]) for m in own)
-        earlier = sorted({(q, m["h"]) for m in own for q in m["p_pos"]})
+        later = sorted((at, m["h"]) for m in own for at in m["at"])
+        earlier = sorted((q, m["h"]) for m in own for q in m["p_at"])
         for aligned in _rounds(later, earlier):
-            for block in blocks(aligned):
-                if sum(size[i] for i in block) >= least:
-                    gone += block
-                    partners.add(doc)
+            cut.update(a for a, _ in aligned)
+            partners.add(doc)
+    gone: set[int] = set()
+    for at in cut:
+        gone.update(range(at >> 32, (at & 0xFFFFFFFF) + 1))
+    # blank lines between two lines that go; if no other line is left, the outer ones too
+    lead, lines = False, 0
+    for m in matches:
+        for at, after in zip(m["at"], m["after"]):
+            if at in cut:
+                lead |= m["lead"]
+                lines = max(lines, -after)
+                if after in gone:
+                    gone.update(range((at & 0xFFFFFFFF) + 1, after))
+    if lead and lines and len(gone) == max(gone) - min(gone) + 1:
+        gone = set(range(lines))
     return sorted(gone), sorted(partners)
 
 
-def _align(least: int):
-    def run(batches):
-        for b in batches:
-            found = [_doomed(m, least) for m in b.column("matches").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc"), b.column("th"), pa.array([f[0] for f in found], pa.list_(pa.int32())),
-                 pa.array([f[1] for f in found], pa.list_(pa.int64()))], names=["doc", "th", "gone", "partners"])
-    return run
+def _align(batches):
+    for b in batches:
+        found = [_doomed(m) for m in b.column("matches").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc"), b.column("th"), pa.array([f[0] for f in found], pa.list_(pa.int32())),
+             pa.array([f[1] for f in found], pa.list_(pa.int64()))], names=["doc", "th", "gone", "partners"])
 
 
-def deletions(documents: DataFrame, line_chars: int = LINE_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def deletions(documents: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc, th, gone, partners) of each later document that loses lines; ``th`` is its text's hash."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
-    lines = docs.select("doc", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    lines = (lines.withColumn("size", F.length(F.trim("line"))).where(F.col("size") >= line_chars)
-             .select("doc", "th", "pos", "size", F.xxhash64(F.trim("line")).alias("h")))
+    runs = docs.select("doc", F.xxhash64("text").alias("th"), "text").mapInArrow(
+        _shingle(block_chars), "doc long, th long, h long, at array<long>, after array<int>, lead boolean")
     own = F.struct("doc", "th")
     # both small tables are stored: a join straight above an aggregate on its key could not be split by skew
-    shared = (lines.groupBy("h").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last")
+    shared = (runs.groupBy("h").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last")
               .select("h", F.col("first.doc").alias("p_doc"), F.col("first.th").alias("p_th")))
-    met = stored(lines.join(stored(shared, "line-firsts"), "h"), "shared-lines")
+    met = stored(runs.join(stored(shared, "run-firsts"), "h"), "shared-runs")
     is_first = (F.col("doc") == F.col("p_doc")) & (F.col("th") == F.col("p_th"))
-    places = met.where(is_first).groupBy("h").agg(F.sort_array(F.collect_set("pos")).alias("p_pos"))
-    later = met.where(~is_first).distinct().join(stored(places, "line-places"), "h")
-    each = later.groupBy("doc", "th").agg(F.collect_list(F.struct("h", "pos", "size", "p_doc", "p_th", "p_pos")).alias("matches"))
-    found = each.mapInArrow(_align(block_chars), "doc long, th long, gone array<int>, partners array<long>")
+    places = met.where(is_first).groupBy("h").agg(F.min("at").alias("p_at"))  # repeated rows have equal places
+    later = met.where(~is_first).distinct().join(stored(places, "run-places"), "h")
+    each = later.groupBy("doc", "th").agg(F.collect_list(F.struct("h", "at", "after", "lead", "p_doc", "p_th", "p_at")).alias("matches"))
+    found = each.mapInArrow(_align, "doc long, th long, gone array<int>, partners array<long>")
     return found.where(F.size("gone") > 0)
 
 
-def dedupe_lines(documents: DataFrame, line_chars: int = LINE_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def dedupe_lines(documents: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``documents`` with the blocks that repeat an earlier document cut from ``text``,
     plus ``_removed`` (places of the lines cut) and ``_partners`` (ids they repeat)."""
-    gone = deletions(documents, line_chars, block_chars).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "gone", "partners")
+    gone = deletions(documents, block_chars).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "gone", "partners")
     keyed = documents.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
     x = keyed.join(gone, (F.col("doc_id").cast("long") == F.col("_doc")) & (F.col("_key") == F.col("_th")), "left")
     lines = F.split(F.col("text").cast("string"), "\n", -1)

@@ -70,3 +70,40 @@ def test_ids_missing_or_repeated(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(((r.doc_id, r.text) for r in L.dedupe_lines(df).collect()), key=repr)
     assert got == sorted([(None, t), (None, t), (1, t), (1, t), (2, "")], key=repr)
+
+
+def test_short_lines_go_with_their_block(spark):
+    """An exact copy loses every line, and a passage needs no long line to be found."""
+    verse = [f"verse {k} is so short" for k in range(6)]
+    code = ["def f(x):", "    y = x", "", "    return y + 100", "}", "漢字の行", "漢字の別の行", "後の行です"]
+    copy = "\n".join(["", line(1), "short", "", line(2), "end", ""])
+    texts = ["\n".join([line(10), *verse, line(11)]), "\n".join(["own words", *verse, "others"]), copy, copy,
+             "\n".join([line(12), *code]), "\n".join([*code, line(13)]), "tiny\nline", "tiny\nline"]
+    got = {r.doc_id: r for r in L.dedupe_lines(documents(spark, texts)).collect()}
+    assert [got[i].text for i in range(8)] == [texts[0], "own words\nothers", copy, "", texts[4], line(13), texts[6], texts[7]]
+    assert got[1]._partners == [0] and got[3]._removed == list(range(7))
+
+
+def naive_lines(texts, least):
+    """Lines, by document, that lie in a run of ``least`` characters of an earlier one; blank lines left out."""
+    out, seen = [], set()
+    for t in texts:
+        own = [x.strip(" ") for x in t.split("\n") if x.strip(" ")]
+        runs = [(a, b) for a in range(len(own)) for b in range(a + 1, len(own) + 1) if sum(map(len, own[a:b])) >= least]
+        gone = {i for a, b in runs if tuple(own[a:b]) in seen for i in range(a, b)}
+        out.append([x for i, x in enumerate(own) if i not in gone])
+        seen |= {tuple(own[a:b]) for a, b in runs}
+    return out
+
+
+def test_equals_search_for_every_run(spark):
+    rnd = random.Random(8)
+    words = ["", " ", "x", "yy" * 4, "漢字" * 6, "z" * 19, "long" * 7, "longer" * 8, *(f"line {i}" * 3 for i in range(5))]
+    texts = ["\n".join(rnd.choice(words) for _ in range(rnd.randint(0, 14))) for _ in range(120)]
+    texts += [texts[7], "\n" + texts[9], "x\n" * 50, "x\n" * 70]
+    got = {r.doc_id: r for r in L.dedupe_lines(documents(spark, texts)).collect()}
+    for i, want in enumerate(naive_lines(texts, L.BLOCK_CHARS)):
+        assert [x.strip(" ") for x in got[i].text.split("\n") if x.strip(" ")] == want, i
+        lines = texts[i].split("\n")
+        assert got[i].text == "\n".join(x for k, x in enumerate(lines) if k not in set(got[i]._removed))
+        assert want or not got[i]._removed or got[i].text == ""
