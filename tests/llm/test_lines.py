@@ -107,3 +107,13 @@ def test_equals_search_for_every_run(spark):
         lines = texts[i].split("\n")
         assert got[i].text == "\n".join(x for k, x in enumerate(lines) if k not in set(got[i]._removed))
         assert want or not got[i]._removed or got[i].text == ""
+
+
+def test_a_line_found_earlier_alone_does_not_split_a_block(spark):
+    """Each of the lines is too short for a block by itself; their block has a partner in common."""
+    a, b = line(1, 4), line(2, 4)
+    assert 25 <= len(a) < L.BLOCK_CHARS and 25 <= len(b) < L.BLOCK_CHARS
+    texts = ["\n".join([line(10), a, line(11)]), "\n".join([line(12), a, b, line(13)]), "\n".join([line(14), a, b, line(15)])]
+    got = {r.doc_id: r for r in L.dedupe_lines(documents(spark, texts)).collect()}
+    assert [got[i].text for i in range(3)] == [texts[0], texts[1], line(14) + "\n" + line(15)]
+    assert got[2]._partners == [1]
