@@ -1,16 +1,18 @@
 """Toxicity severity by cumulative-link ordinal regression over sparse text features.
 
 Features are hashed words and word beginnings; a feature's value is the logarithm of
-how often it occurs above what a clean text of that length which holds it leads to
-expect (0 if not above), so absent and ordinary features are zero. The labels only say toxic or not;
+how often it occurs above what clean texts of that length lead to expect (0 if not
+above), so absent and ordinary features are zero. The labels only say toxic or not;
 grades 1 to 3 of toxic documents are the thirds of the rate at which the strongest
 features occur in them, grade 0 is clean. P(grade <= k) = logistic(t[k] - w.x): one
 weight vector, rising thresholds t. The result is the expected grade, the likeliest
 grade, P(toxic) and whether that passes the cut that best separates the sample.
 
 The model is fitted on a bounded, balanced sample (``PER_CLASS`` documents of each
-class, weighted back); features are counted over all of the sample by Spark, the
-``KEPT`` with the largest association stay.
+class, weighted back); features are counted over all of the sample by Spark. Every
+feature that ``LEAST_DOCS`` toxic documents hold, and that toxic documents hold more
+often than clean ones, is learned: the sample bounds them, no number of features does,
+and a ridge penalty keeps the weights of the many small.
 
 Edge cases: NULL and wordless texts have no features and get the clean grade's
 score; a NULL ``doc_id`` is scored; repeated rows each get their row; without labels
@@ -25,6 +27,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +37,8 @@ from cohortium.llm.labelled import adam, labelled_sample
 PER_CLASS = 4000
 SLOTS = 1 << 22
 STARTS = range(4, 9)
-KEPT = 100
-RATIO = 3.0
 LEAST_DOCS = 5
+RIDGE = 2e-3
 GRADES = 3
 STRONG = 2.0
 KNOWN_PIECES = 300_000
@@ -98,7 +100,7 @@ class Model:
         self.slots, self.base, self.weights, self.thresholds, self.cut = slots, base, weights, thresholds, cut
         self.at = {int(s): i for i, s in enumerate(slots)}
 
-    def lift(self, idx: np.ndarray, tf: np.ndarray, n: float) -> np.ndarray:
+    def lift(self, idx: np.ndarray, tf: np.ndarray, n: float | np.ndarray) -> np.ndarray:
         return np.maximum(0.0, np.log((tf + 0.5) / (n * self.base[idx] + 0.5)))
 
     def grades(self, eta: np.ndarray) -> np.ndarray:
@@ -107,7 +109,21 @@ class Model:
         return np.diff(below, axis=1, prepend=0.0, append=1.0)
 
 
-def _fit(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
+class Sparse:
+    """The features of the sample: ``values[k]`` of document ``rows[k]`` and feature ``cols[k]``."""
+
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, values: np.ndarray, shape: tuple[int, int]):
+        self.rows, self.cols, self.values, self.shape = rows, cols, values, shape
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, self.values * w[self.cols], self.shape[0])
+
+    def back(self, d: np.ndarray) -> np.ndarray:
+        """The transposed product."""
+        return np.bincount(self.cols, self.values * d[self.rows], self.shape[1])
+
+
+def _fit(x: Sparse, grade: np.ndarray, weight: np.ndarray, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
     """Weights and rising thresholds (first one and logs of the steps) by Adam on the weighted likelihood."""
     weight = weight / weight.sum()
 
@@ -130,12 +146,20 @@ def _fit(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, steps: int = 600)
         np.add.at(d_th, grade, weight * dl / p)
         d_th = d_th[1:-1]
         tail = np.cumsum(d_th[::-1])[::-1]
-        return [x.T @ d_eta + 2e-4 * w, np.concatenate([tail[:1], tail[1:] * np.exp(t[1:])])]
+        return [x.back(d_eta) + RIDGE * w, np.concatenate([tail[:1], tail[1:] * np.exp(t[1:])])]
 
     w, t = adam([np.zeros(x.shape[1]), np.concatenate([[2.0], np.zeros(GRADES - 1)])], gradients, steps, 0.05)
     return w, thresholds(t)
 
 
+def kept_features(rows: DataFrame, slots: np.ndarray) -> DataFrame:
+    """(doc_id, slots, tf): the features among ``slots`` that each document holds."""
+    wanted = F.broadcast(rows.sparkSession.createDataFrame([(int(s),) for s in slots], "slot int"))
+    each = rows.select("doc_id", F.explode(F.arrays_zip("slots", "tf")).alias("f")).select("doc_id", F.col("f.slots").alias("slot"), F.col("f.tf").alias("tf"))
+    held = each.join(wanted, "slot").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("slot", "tf"))).alias("f"))
+    return held.select("doc_id", F.col("f.slot").alias("slots"), F.col("f.tf").alias("tf"))
+
+
 def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model | None:
     sample = labelled_sample(documents, labels, "toxic", per_class)
     rows = stored(sample.select("doc_id", "y", "weight", "text").mapInArrow(
@@ -143,42 +167,31 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     totals = {r["y"]: (r["docs"], r["words"]) for r in rows.groupBy("y").agg(F.count("*").alias("docs"), F.sum("n").alias("words")).collect()}
     if set(totals) != {0, 1}:
         return None
-    (clean, clean_words), (toxic, toxic_words) = totals[0], totals[1]
-    each = rows.select("y", "n", F.explode(F.arrays_zip("slots", "tf")).alias("f")).select("y", "n", F.col("f.slots").alias("slot"), F.col("f.tf").alias("tf"))
-    # per class: documents with the feature, and its rate in them; association by both
+    (clean, clean_words), (toxic, _) = totals[0], totals[1]
+    each = rows.select("y", F.explode(F.arrays_zip("slots", "tf")).alias("f")).select("y", F.col("f.slots").alias("slot"), F.col("f.tf").alias("tf"))
+    # per class: documents with the feature, and how often clean ones hold it
     per = each.groupBy("slot").agg(F.count(F.when(F.col("y") == 1, 1)).alias("pos"), F.count(F.when(F.col("y") == 0, 1)).alias("neg"),
-                                   F.sum(F.when(F.col("y") == 1, F.col("tf")).otherwise(0)).alias("pos_tf"),
                                    F.sum(F.when(F.col("y") == 0, F.col("tf")).otherwise(0)).alias("neg_tf"),
-                                   F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("neg_words"),
                                    F.sum(F.when(F.col("y") == 1, F.log2(1 + F.col("tf"))).otherwise(0)).alias("pos_log"),
                                    F.sum(F.when(F.col("y") == 0, F.log2(1 + F.col("tf"))).otherwise(0)).alias("neg_log"))
     gap = F.col("pos_log") / toxic - F.col("neg_log") / clean
-    score = gap / F.sqrt((F.col("pos_log") + F.col("neg_log") + 1) / (toxic + clean))
-    ratio = (F.col("pos_tf") / max(1, toxic_words)) / ((F.col("neg_tf") + 0.5) / max(1, clean_words))
-    best = per.where((F.col("pos") >= LEAST_DOCS) & (ratio >= RATIO)).where(gap > 0).orderBy(F.desc(score), "slot").limit(KEPT).toPandas()
+    best = per.where((F.col("pos") >= LEAST_DOCS) & (gap > 0)).orderBy("slot").toPandas()  # bounded by the sample
     if not len(best):
         return None
     slots = best["slot"].to_numpy()
-    # the rate in clean documents that hold the feature; next to nothing if hardly any does
-    neg = best["neg"].to_numpy()
-    base = (best["neg_tf"].to_numpy() + 0.5) / (best["neg_words"].to_numpy() + 1 + clean_words / (1 + neg) ** 2)
+    base = (best["neg_tf"].to_numpy() + 0.5) / (clean_words + 1)
     odds = np.log((best["pos"].to_numpy() + 0.5) / (toxic + 1)) - np.log((best["neg"].to_numpy() + 0.5) / (clean + 1))
     model = Model(slots, base, np.zeros(len(slots)), np.zeros(GRADES), 0.5)
-    wanted = F.array(*map(F.lit, map(int, slots)))
-    part = rows.select("doc_id", "y", "weight", "n", F.filter(
-        F.arrays_zip("slots", "tf"), lambda f: F.array_contains(wanted, f["slots"])).alias("f"))
-    got = part.orderBy("doc_id").collect()  # at most about 2 x per_class rows of kept features
-    x = np.zeros((len(got), len(slots)))
-    rate = np.zeros(len(got))
-    for i, r in enumerate(got):
-        idx = np.array([model.at[f["slots"]] for f in r["f"]], int)
-        tf = np.array([f["tf"] for f in r["f"]], float)
-        x[i, idx] = model.lift(idx, tf, r["n"])
-        rate[i] = tf[odds[idx] >= STRONG].sum() / max(1, r["n"])
-    y = np.array([r["y"] for r in got])
+    got = rows.select("doc_id", "y", "weight", "n").join(kept_features(rows, slots), "doc_id", "left").orderBy("doc_id").toArrow()
+    y, n, weight = (got.column(c).to_numpy() for c in ("y", "n", "weight"))  # at most about 2 x per_class rows
+    slot, tf = (got.column(c).combine_chunks() for c in ("slots", "tf"))
+    at = np.repeat(np.arange(len(y)), pc.fill_null(pc.list_value_length(slot), 0))
+    cols = np.searchsorted(slots, slot.flatten().to_numpy())
+    tf = tf.flatten().to_numpy().astype("f8")
+    x = Sparse(at, cols, model.lift(cols, tf, n[at]), (len(y), len(slots)))
+    rate = np.bincount(at, np.where(odds[cols] >= STRONG, tf, 0.0), len(y)) / np.maximum(1, n)
     bounds = np.quantile(rate[y == 1], np.arange(1, GRADES) / GRADES)
     grade = np.where(y == 1, 1 + np.searchsorted(bounds, rate, side="right"), 0)
-    weight = np.array([r["weight"] for r in got])
     balance = np.where(y == 1, 0.5 / weight[y == 1].sum(), 0.5 / weight[y == 0].sum()) * weight
     model.weights, model.thresholds = _fit(x, grade, balance)
     p = 1 - model.grades(x @ model.weights)[:, 0]
