@@ -140,3 +140,42 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cohortium.llm.mil_quality import quality
 
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op11_block_rotation_fim", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS whole, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x
+  FROM documents
+), h AS (
+  SELECT *, CAST('0x' || substr(x, 1, 8) AS BIGINT) % (len(u) + 1) AS c1, CAST('0x' || substr(x, 9, 8) AS BIGINT) % (len(u) + 1) AS c2,
+         CASE WHEN whole = '' OR contains(whole, '<P>') OR contains(whole, '<S>') OR contains(whole, '<M>')
+                OR CAST('0x' || substr(x, 17, 8) AS BIGINT) % 100 >= 100 THEN 'plain'
+              WHEN CAST('0x' || substr(x, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), s AS (
+  SELECT *, array_to_string(u[1:least(c1, c2)], '') AS pre, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS mid,
+         array_to_string(u[greatest(c1, c2) + 1:], '') AS suf
+  FROM h
+)
+SELECT doc_id, CAST(len(u) AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN whole WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(whole) AS restored_sha256
+FROM s
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.block_rotation import fill_in_middle, restored
+
+    got = restored(fill_in_middle(table(spark, sf_dir, "documents")))
+    return got.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+@register("op12_bit_sliced_resampling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.bit_planes import importance
+
+    return importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
