@@ -179,3 +179,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cohortium.llm.bit_planes import importance
 
     return importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register("op13_token_group_jaccard")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cohortium.llm.token_groups import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
