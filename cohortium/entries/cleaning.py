@@ -55,17 +55,71 @@ def scan_table_counts(spark, d):
     return f(spark, d)
 
 
-@register("scan_json_documents", sql_with(["activity_docs"], """
+# the stored documents carry keys that no list names: a device on some, an attempt that is a
+# number or a word, a flag, a list, an object, and a key with a full stop in its name
+_EXTRA_KEYS = """CASE WHEN event_id % 4 = 1 THEN '"device":"d' || CAST(event_id % 9 AS VARCHAR(4)) || '"' END AS device_part,
+    CASE WHEN event_id % 5 = 0 THEN '"attempt":"none"' WHEN event_id % 5 < 4 THEN '"attempt":' || CAST(event_id % 7 AS VARCHAR(4)) END AS attempt_part,
+    CASE WHEN event_id % 6 = 0 THEN '"vip":true' WHEN event_id % 6 = 1 THEN '"vip":false' WHEN event_id % 6 = 2 THEN '"vip":null' END AS vip_part,
+    CASE WHEN event_id % 8 = 0 THEN '"tags":["a",' || CAST(event_id % 3 AS VARCHAR(4)) || ']' END AS tags_part,
+    CASE WHEN event_id % 8 = 4 THEN '"geo":{"zone":' || CAST(event_id % 3 AS VARCHAR(4)) || '}' END AS geo_part,
+    CASE WHEN event_id % 10 = 3 THEN '"app.version":' || CAST(event_id % 4 AS VARCHAR(4)) || '.5' END AS version_part"""
+_PARTS = "device_part, attempt_part, vip_part, tags_part, geo_part, version_part"
+_KNOWN_KEYS = ["customer_id", "customerId", "userId", "timestamp", "event_type"]
+
+
+def _document_texts(spark, d):
+    """Activity documents as JSON text, absent keys omitted, with the unlisted keys spliced in."""
+    docs = B.activity_docs(spark, d)
+    known = F.to_json(F.struct(*(c for c in docs.columns if c != "event_id")))
+    parts = docs.withColumn("known", known).selectExpr("known", *_sql_columns(_EXTRA_KEYS))
+    return parts.selectExpr(f"concat('{{\"_id\":\"x\",', concat_ws(',', substr(known, 2, length(known) - 2), {_PARTS}), '}}') AS doc")
+
+
+def _sql_columns(text):
+    return [c.strip().rstrip(",") for c in text.split("\n")]
+
+
+_DOC_TEXTS = ("texts", f"""SELECT *, {_EXTRA_KEYS} FROM activity_docs""")
+
+
+def _json_text(col, key):
+    """Value text of a rendered key in the oracle."""
+    return f"CASE WHEN {col} IS NOT NULL AND NOT ends_with({col}, ':null') THEN trim(substr({col}, {len(key) + 4}), '\"') END"
+
+
+@register("scan_json_documents", sql_with(["activity_docs"], f"""
 SELECT customer_id, customerId, NULL::VARCHAR AS customerID_, NULL::VARCHAR AS user_id, userId,
-       NULL::VARCHAR AS userID_, "timestamp", event_type, session_duration_sec FROM activity_docs"""))
+       NULL::VARCHAR AS userID_, "timestamp", event_type, session_duration_sec,
+       {_json_text('device_part', 'device')} AS device, {_json_text('attempt_part', 'attempt')} AS attempt,
+       CAST({_json_text('vip_part', 'vip')} AS BOOLEAN) AS vip, {_json_text('tags_part', 'tags')} AS tags,
+       {_json_text('geo_part', 'geo')} AS geo, CAST({_json_text('version_part', 'app.version')} AS DOUBLE) AS "app.version"
+FROM texts""", [_DOC_TEXTS]))
 def scan_json_documents(spark, d):
-    """Documents serialised to JSON text (absent keys omitted), then read back with the
-    superset of keys: keys a document lacks come back NULL; keys that differ only
-    by case keep distinct columns."""
-    from cohortium.sources.tables import parse_json_documents
-    docs = B.activity_docs(spark, d).drop("event_id")
-    text = docs.select(F.to_json(F.struct(*docs.columns)).alias("doc"))
-    return parse_json_documents(text, "doc")
+    """Documents as JSON text, then read back with the union of the keys found and the
+    expected ones: keys a document lacks come back NULL, ``_id`` is dropped, and keys that
+    differ only by case keep distinct columns."""
+    from cohortium.sources.documents import read_union
+    from cohortium.sources.tables import ACTIVITY_DOC_KEYS, NUMERIC_KEYS
+    expected = {k: "double" if k in NUMERIC_KEYS else "string" for k in ACTIVITY_DOC_KEYS}
+    return read_union(_document_texts(spark, d), "doc", expected)
+
+
+def _profile_sql(key, part, kinds):
+    cases = f"COUNT({part})" if part else f'COUNT("{key}")'
+    nulls = f"COUNT(CASE WHEN ends_with({part}, ':null') THEN 1 END)" if part else "0"
+    return f"SELECT '{key}' AS key, {cases} AS n_docs, {nulls} AS n_null, '{kinds}' AS kinds FROM texts"
+
+
+@register("document_key_profile", sql_with(["activity_docs"], " UNION ALL ".join(
+    [_profile_sql(k, None, "text") for k in _KNOWN_KEYS] +
+    ["SELECT '_id', COUNT(*), 0, 'text' FROM texts",
+     "SELECT 'session_duration_sec', COUNT(session_duration_sec), 0, 'number' FROM texts",
+     _profile_sql("device", "device_part", "text"), _profile_sql("attempt", "attempt_part", "integer,text"),
+     _profile_sql("vip", "vip_part", "boolean"), _profile_sql("tags", "tags_part", "array"),
+     _profile_sql("geo", "geo_part", "object"), _profile_sql("app.version", "version_part", "number")]), [_DOC_TEXTS]))
+def document_key_profile(spark, d):
+    from cohortium.sources.documents import key_profile
+    return key_profile(_document_texts(spark, d), "doc")
 
 
 @register("normalize_names", sql_with([], """
