@@ -13,19 +13,23 @@ sets are one class with one representative; everything below works on classes.
 3. **Groups.** The rest is partitioned by the first such token (near copies mostly agree
    on it); a group of more than ``GROUP`` sets or ``GROUP_TOKENS`` tokens is cut by a hash.
    A group is opened against itself: every pair of it is compared, and the links of a
-   spanning forest are kept. The smallest member of each component so far meets the
-   others by its first ``PIVOT_TOKENS`` tokens the same way, so that a large family of
-   near copies is one component before the next step.
+   spanning forest are kept. The smallest member of each component of ``FAMILY`` members
+   or more meets the others by its first ``PIVOT_TOKENS`` tokens the same way, so that a
+   large family of near copies is one component before the next step.
 4. **Matrix.** A row (token, group) for every prefix token of a group's members, with the
    range of their sizes and components. Queries are joined to it by their own prefix
    tokens; what has one component on both sides is left out.
-5. **Bound and open.** A query meets a group's token union: if it holds less than 0.8 of
-   the query no member can link and the group stays shut; otherwise the overlap with
-   every member is counted exactly, and a link to one member of each component is kept.
-
-Steps 3 and 5 stream rows sorted by group; a group asked by many queries is copied to
-several tasks. Links between components are found whatever the order or the slots are,
-so the components are exact (up to equal 64-bit hashes of different shingles or sets).
+5. **Bound and open.** A query first meets the parity bitmaps of a group's members: two
+   bitmaps differ in at most as many bits as the sets do in tokens, so too many differing
+   bits rule a link out, at an eighth of a byte a token. If any member is left the query
+   meets the group's token union: if that holds less than 0.8 of the query, no member can
+   link and the group stays shut; otherwise the overlap with every member is counted
+   exactly, and a link to one member of each component is kept.
+
+Steps 3 and 5 stream rows sorted by group, bitmaps first and whole sets only for what they
+leave; a group asked by many queries is copied to several tasks. Links between components
+are found whatever the order, the slots or the bitmaps are, so the components are exact
+(up to equal 64-bit hashes of different shingles or sets).
 
 Edge cases: NULL, empty and blank texts have no shingles, are linked with nothing and are
 their own component; fewer words than ``SHINGLE`` are one shingle; a NULL ``doc_id``
@@ -53,8 +57,8 @@ SLOTS = 1 << 22
 SLOT_BLOCK = 1 << 16
 GROUP = 128
 GROUP_TOKENS = 4_000_000
+FAMILY = 8
 PIVOT_TOKENS = 4
-PIVOT_ROUNDS = 2
 QUERIES = 2000
 BROADCAST_ROWS = 200_000
 KNOWN_WORDS = 500_000
@@ -172,17 +176,17 @@ def _prefixes(shared, shingle: int, percent: int):
         levels, known = shared.value, WordHashes()
 
         def batch(rows):
-            doc_id, doc, th, n, sid, prefix = zip(*rows)
-            return pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()),
-                                               pa.array(n, pa.int64()), pa.array(sid, pa.int64()), _lists(list(prefix))],
-                                              names=["doc_id", "doc", "th", "n", "sid", "prefix"])
+            doc_id, doc, th, n, sid, bits, prefix = zip(*rows)
+            longs = [pa.array(c, pa.int64()) for c in (doc_id, doc, th, n, sid)]
+            return pa.RecordBatch.from_arrays([*longs, pa.array(bits, pa.binary()), _lists(list(prefix))],
+                                              names=["doc_id", "doc", "th", "n", "sid", "bits", "prefix"])
         for b in batches:
             rows, size = [], 0
             for doc_id, doc, th, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "doc", "th", "text"))):
                 toks = tokens(text, known, shingle)
                 # equal levels stay in the order of the hashes
                 order = np.argsort(levels[_slot(toks).astype("i4")], kind="stable")
-                rows.append((doc_id, doc, th, len(toks), _set_id(toks), toks[order[:query_prefix(len(toks), percent)]] if len(toks) else toks))
+                rows.append((doc_id, doc, th, len(toks), _set_id(toks), parity_bits(toks), toks[order[:query_prefix(len(toks), percent)]] if len(toks) else toks))
                 size += len(rows[-1][-1])
                 if size > BATCH_TOKENS:
                     yield batch(rows)
@@ -208,6 +212,90 @@ def _whole_sets(shingle: int):
     return run
 
 
+# -- bitmaps -------------------------------------------------------------------
+
+
+def parity_bits(toks: np.ndarray) -> bytes:
+    """One bit per token and more (a power of two): odd or even number of tokens there."""
+    size = max(64, 1 << (len(toks) - 1).bit_length()) if len(toks) else 64
+    odd = np.bincount((toks.view("u8") & np.uint64(size - 1)).astype("i8"), minlength=size) & 1
+    return np.packbits(odd.astype("u1"), bitorder="little").tobytes()
+
+
+def _folded(words: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (last axis) of ``size`` 64-bit words: halves laid over each other."""
+    while words.shape[-1] > size:
+        half = words.shape[-1] // 2
+        words = words[..., :half] ^ words[..., half:]
+    return words
+
+
+class Screen:
+    """Bitmaps of a group's members, by their size."""
+
+    def __init__(self, members: list[tuple], percent: int):
+        self.members, self.percent = members, percent
+        by_size: dict[int, list[int]] = {}
+        for i, m in enumerate(members):
+            by_size.setdefault(len(m[3]) // 8, []).append(i)
+        self.levels = [(size, np.array(at), np.stack([np.frombuffer(members[i][3], "<u8") for i in at]),
+                        np.array([members[i][2] for i in at], "i8")) for size, at in by_size.items()]
+
+    def left(self, n: int, bits: bytes) -> np.ndarray:
+        """Members that a set of ``n`` tokens with these bits may link with."""
+        own, out = np.frombuffer(bits, "<u8"), []
+        for size, at, words, sizes in self.levels:
+            low, high = np.minimum(sizes, n), np.maximum(sizes, n)
+            near = 100 * low >= self.percent * high
+            if not near.any():
+                continue
+            common = min(size, len(own))
+            apart = np.bitwise_count(_folded(words[near], common) ^ _folded(own, common)).sum(axis=1, dtype="i8")
+            both = sizes[near] + n
+            least = (self.percent * both + 99 + self.percent) // (100 + self.percent)
+            out.append(at[near][apart <= both - 2 * least])
+        return np.concatenate(out) if out else np.zeros(0, "i8")
+
+
+def _screen(percent: int):
+    """Along rows sorted by group, members before queries: those that some bitmap leaves."""
+    def run(batches):
+        key, members, screen, kept = None, [], None, set()
+
+        def close():
+            if screen is None and len(members) > 1:  # a group that is opened against itself
+                own = Screen(members, percent)
+                for i, m in enumerate(members):
+                    rest = [j for j in own.left(m[2], m[3]).tolist() if members[j][0] != m[0]]
+                    kept.update([i, *rest] if rest else [])
+            return [(*key, False, *members[i][:2]) for i in sorted(kept)]
+
+        for b in batches:
+            out = []
+            for grp, salt, query, *row in zip(*(b.column(c).to_pylist() for c in ("grp", "salt", "query", "sid", "comp", "n", "bits"))):
+                if (grp, salt) != key:
+                    out += close()
+                    key, members, screen, kept = (grp, salt), [], None, set()
+                if not query:
+                    if not members or members[-1][0] != row[0]:
+                        members.append(row)
+                    continue
+                screen = screen or Screen(members, percent)
+                left = [j for j in screen.left(row[2], row[3]).tolist() if members[j][1] != row[1]]
+                if left:
+                    kept.update(left)
+                    out.append((grp, salt, True, *row[:2]))
+            yield _rows(out)
+        yield _rows(close())
+    return run
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
+    columns = list(zip(*rows)) if rows else [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["grp", "salt", "query", "sid", "comp"])
+
+
 # -- opening groups ------------------------------------------------------------
 
 
@@ -289,10 +377,10 @@ def _links(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["a", "b"])
 
 
-def _dealt(rows: DataFrame, percent: int) -> DataFrame:
-    rows = rows.select("grp", "salt", "query", "sid", "comp", "toks")
+def _streamed(rows: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn`` along ``rows``, sorted by group, copy of the group, and members before queries."""
     met = rows.repartition(parts(rows.sparkSession), "grp", "salt").sortWithinPartitions("grp", "salt", "query", "sid")
-    return met.mapInArrow(_open(percent), "a long, b long")
+    return met.mapInArrow(fn, schema)
 
 
 def _cut(rows: DataFrame) -> DataFrame:
@@ -303,11 +391,31 @@ def _cut(rows: DataFrame) -> DataFrame:
     return cut.select(F.xxhash64("key", part.cast("long")).alias("grp"), "sid", "n")
 
 
-def _within(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Spanning links of every group (grp, sid)."""
-    many = stored(groups.groupBy("grp").count().where("count > 1").select("grp"), "open-groups")
-    members = groups.join(many, "grp").join(sets, "sid")
-    return _dealt(members.select("grp", F.lit(0).alias("salt"), F.lit(False).alias("query"), "sid", F.lit(0).cast("long").alias("comp"), "toks"), percent)
+class Sets:
+    """Bitmaps and whole sets of classes, the latter read from the texts when asked for."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, shingle: int, percent: int):
+        self.docs, self.classes, self.shingle, self.percent = docs, classes, shingle, percent
+
+    def whole(self, sids: DataFrame) -> DataFrame:
+        """(sid, toks) of the classes ``sids``."""
+        wanted = stored(self.classes.select("sid", "who.doc", "who.th").join(_sized(stored(sids.distinct(), "asked")), "sid", "left_semi"), "wanted")
+        texts = self.docs.select("doc", "th", "text").join(_sized(wanted), ["doc", "th"])
+        return stored(texts.select("sid", "text").mapInArrow(_whole_sets(self.shingle), "sid long, toks array<long>"), "sets")
+
+    def links(self, rows: DataFrame, label: str) -> DataFrame:
+        """Links of the groups in ``rows`` (grp, salt, query, sid, comp): bitmaps first, then sets."""
+        columns = ["grp", "salt", "query", "sid", "comp"]
+        given = rows.select(*columns).join(self.classes.select("sid", "n", "bits"), "sid").select(*columns, "n", "bits")
+        left = stored(_streamed(given, _screen(self.percent), "grp long, salt int, query boolean, sid long, comp long"), "left")
+        opened = left.join(self.whole(left.select("sid")), "sid").select(*columns, "toks")
+        return stored(_streamed(opened, _open(self.percent), "a long, b long"), label)
+
+    def within(self, groups: DataFrame, label: str) -> DataFrame:
+        """Links that span what every group (grp, sid) holds."""
+        many = stored(groups.groupBy("grp").count().where("count > 1").select("grp"), "open-groups")
+        members = groups.join(many, "grp").select("grp", F.lit(0).alias("salt"), F.lit(False).alias("query"), "sid", F.lit(0).cast("long").alias("comp"))
+        return self.links(members, label)
 
 
 def _sized(df: DataFrame) -> DataFrame:
@@ -326,31 +434,27 @@ def jaccard_components(documents: DataFrame, shingle: int = SHINGLE, percent: in
     spark = documents.sparkSession
     docs = doc_texts(documents).select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("th"), "text")
     levels = spark.sparkContext.broadcast(token_levels(docs, shingle))
-    rows = stored(docs.mapInArrow(_prefixes(levels, shingle, percent), "doc_id long, doc long, th long, n long, sid long, prefix array<long>"), "prefixes")
+    rows = stored(docs.mapInArrow(_prefixes(levels, shingle, percent),
+                                  "doc_id long, doc long, th long, n long, sid long, bits binary, prefix array<long>"), "prefixes")
 
     who = F.struct("doc", "th")
-    classes = stored(rows.where("sid IS NOT NULL").groupBy("sid").agg(F.max("n").alias("n"), F.min("doc_id").alias("first_doc"), F.min(who).alias("who"),
-                                                                      F.min_by("prefix", who).alias("prefix")), "classes")
+    one = F.min_by(F.struct("n", "bits", "prefix"), who).alias("one")
+    classes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_doc"), F.min(who).alias("who"), one)
+    classes = stored(classes.select("sid", "first_doc", "who", "one.*"), "classes")
     each = classes.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     mixed = each.groupBy("token").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("token")
     active = stored(each.join(_sized(stored(mixed, "mixed-tokens")), "token", "left_semi"), "active")
     heads = stored(active.groupBy("sid").agg(F.max("n").alias("n"), F.min_by("token", "pos").alias("key")), "heads")
-
-    sids = heads.select("sid")
-    wanted = classes.select("sid", "who.doc", "who.th").join(_sized(sids), "sid", "left_semi")
-    texts = docs.select("doc", "th", "text").join(_sized(stored(wanted, "wanted")), ["doc", "th"])
-    sets = stored(texts.select("sid", "text").mapInArrow(_whole_sets(shingle), "sid long, toks array<long>"), "sets")
+    sets = Sets(docs, classes, shingle, percent)
 
     groups = stored(_cut(heads), "groups")
-    links = stored(_within(groups.select("grp", "sid"), sets, percent), "links-within")
-    labels = stored(_components(groups.select("sid", "n", "grp"), links), "labels")
-    for _ in range(PIVOT_ROUNDS):
-        pivots = labels.where("sid = comp").select("sid")
-        near = active.join(stored(pivots, "pivots"), "sid").groupBy("sid", "n").agg(
-            F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, PIVOT_TOKENS).alias("t"))
-        keys = near.select("sid", "n", F.explode("t.token").alias("key"))
-        links = stored(links.unionByName(_within(_cut(stored(keys, "pivot-keys")).select("grp", "sid").distinct(), sets, percent)), "links-pivots")
-        labels = stored(_components(groups.select("sid", "n", "grp"), links), "labels")
+    links = sets.within(groups.select("grp", "sid"), "links-within")
+    labels = stored(_components(groups, links), "labels")
+    families = stored(labels.groupBy("comp").count().where(F.col("count") >= FAMILY).select(F.col("comp").alias("sid")), "families")
+    near = active.join(families, "sid").groupBy("sid", "n").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, PIVOT_TOKENS).alias("t"))
+    pivots = _cut(stored(near.select("sid", "n", F.explode("t.token").alias("key")), "pivot-keys"))
+    links = links.unionByName(sets.within(pivots.select("grp", "sid").distinct(), "links-pivots"))
+    labels = stored(_components(groups, links), "labels")
 
     # the matrix, of tokens that still join different components
     known = active.join(labels.select("sid", "grp", "comp"), "sid")
@@ -363,11 +467,10 @@ def jaccard_components(documents: DataFrame, shingle: int = SHINGLE, percent: in
         f"grp <> other AND least <= n AND 100 * most >= {percent} * n AND NOT (c0 = comp AND c1 = comp)")
     asks = stored(asks.select(F.col("other").alias("grp"), "sid", "comp").distinct(), "asks")
 
-    shares = stored(asks.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).alias("k")), "shares")
-    salted = asks.join(shares, "grp").select("grp", F.pmod(F.xxhash64("sid", F.lit("salt")), F.col("k")).cast("int").alias("salt"), F.lit(True).alias("query"), "sid", "comp")
-    members = labels.join(shares, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("k").cast("int") - 1)).alias("salt"), F.lit(False).alias("query"), "sid", "comp")
-    across = _dealt(salted.unionByName(members).join(sets, "sid"), percent)
-    links = links.unionByName(stored(across, "links-across"))
+    shares = stored(asks.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("k")), "shares")
+    queries = asks.join(shares, "grp").select("grp", F.pmod(F.xxhash64("sid", F.lit("salt")), F.col("k")).cast("int").alias("salt"), F.lit(True).alias("query"), "sid", "comp")
+    members = labels.join(shares, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("salt"), F.lit(False).alias("query"), "sid", "comp")
+    links = links.unionByName(sets.links(queries.unionByName(members), "links-across"))
 
     final = _components(classes.select("sid", "first_doc"), links)
     final = stored(final, "final")
