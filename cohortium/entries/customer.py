@@ -9,8 +9,8 @@ from cohortium.entries.activity import (ENGAGEMENT_CTE, NPS_AGG_CTE, ONB_CTE, cl
                                         engagement_df, nps_df)
 from cohortium.entries.cleaning import CLEAN_ACTIVITY_CTES, CLEAN_NPS_CTES, CLEAN_ONB_CTES, sql_strip
 from cohortium.entries.rounding import snap6, snap6_col, snapped
-from cohortium.operators.ordinals import group_percentiles
 from cohortium.operators.scalars import attach_one_row
+from cohortium.operators.selection import few_group_percentiles
 from cohortium.plans import activity as A
 from cohortium.plans import cleaning as C
 from cohortium.plans import customer360 as X
@@ -18,6 +18,7 @@ from cohortium.plans import marts as M
 from cohortium.plans import segments as G
 from cohortium.plans import stats as T
 from cohortium.plans import subscriptions as S
+from cohortium.session import ensure_checkpoint_dir
 from cohortium.sources import bindings as B
 from cohortium.sources.bindings import TEST_TIERS, sql_with
 
@@ -97,13 +98,12 @@ def customer_360(spark, d):
 # -- derived per-customer columns used by exports and tests -------------------
 
 def master_df(spark, d):
-    """customer-360 + recency_days + high_engagement (deterministic columns only)."""
-    m = customer_360_df(spark, d)
+    """customer-360 + recency_days + high_engagement (deterministic columns only); computed once."""
+    ensure_checkpoint_dir(spark)
+    m = customer_360_df(spark, d).checkpoint()
     as_of = m.select(F.max("last_activity")).scalar()
     m = m.withColumn("recency_days", G.recency_days(F.col("last_activity"), as_of))
-    med = group_percentiles(m.withColumn("_g", F.lit(0)), ["_g"], "total_events", {"median": 0.5}, ["customer_id"],
-                            few_groups=True)
-    m = attach_one_row(m, med.select("median"))
+    m = attach_one_row(m, few_group_percentiles(m, [], "total_events", {"median": 0.5}))
     return m.withColumn("high_engagement", (F.col("total_events") > F.col("median")).cast("int")).drop("median")
 
 

@@ -82,15 +82,12 @@ PAIR_CTES = [
         UNION ALL SELECT r.id, r.other, r.tag || 'D', r.grp, r.side, CASE tag WHEN 'E' THEN 80 ELSE 60 END
           FROM rel r JOIN ac x ON r.id = x.id JOIN ac y ON r.other = y.id AND x.dom = y.dom WHERE tag <> 'SD'
         UNION ALL SELECT x.id, y.id, 'D', x.dom, 'both', 30 FROM ac x JOIN ac y ON x.dom = y.dom AND x.id <> y.id"""),
-    ("plain", "SELECT id, tag, grp, side, base, 0 AS shared, min(other) AS other FROM linked GROUP BY ALL"),
-    ("teamed", """SELECT l.id, tag, grp, side, base, COUNT(DISTINCT t.domain) AS shared, min(l.other) AS other
-        FROM linked l JOIN tm t ON l.id = t.customer_id JOIN tm u ON l.other = u.customer_id AND u.domain = t.domain GROUP BY ALL"""),
-    ("two", """SELECT domain, min(customer_id) AS m1, list_sort(list(customer_id))[2] AS m2, COUNT(*) AS n FROM tm GROUP BY domain"""),
-    ("anyone", """SELECT customer_id AS id, '*' AS tag, '' AS grp, 'both' AS side, 0 AS base, COUNT(*) AS shared,
-        min(CASE WHEN customer_id = m1 THEN m2 ELSE m1 END) AS other
-        FROM tm JOIN two USING (domain) WHERE n > 1 GROUP BY customer_id"""),
-    ("scored", """SELECT *, base + CASE WHEN shared >= 2 THEN 30 WHEN shared = 1 THEN 15 ELSE 0 END AS score
-        FROM (SELECT * FROM plain UNION ALL SELECT * FROM teamed UNION ALL SELECT * FROM anyone) s"""),
+    ("common", """SELECT t.customer_id AS id, u.customer_id AS other, COUNT(*) AS shared
+        FROM tm t JOIN tm u ON t.domain = u.domain AND t.customer_id <> u.customer_id GROUP BY ALL"""),
+    ("met", """SELECT l.id, l.other, l.tag, l.grp, l.side, l.base, COALESCE(c.shared, 0) AS shared
+        FROM linked l LEFT JOIN common c ON l.id = c.id AND l.other = c.other
+        UNION ALL SELECT id, other, '*', '', 'both', 0, shared FROM common"""),
+    ("scored", "SELECT *, base + CASE WHEN shared >= 2 THEN 30 WHEN shared = 1 THEN 15 ELSE 0 END AS score FROM met"),
 ]
 
 
@@ -98,9 +95,9 @@ PAIR_CTES = [
 SELECT id AS customer_id, other AS linked_id,
        CASE tag WHEN 'E' THEN 'EXACT_MATCH' WHEN 'ED' THEN 'EXACT_MATCH' WHEN 'P' THEN 'PREFIX_MATCH'
                 WHEN 'PD' THEN 'PREFIX_MATCH' WHEN 'SD' THEN 'SUBSTRING_MATCH' END AS name_match_type,
-       tag IN ('ED', 'PD', 'SD', 'D') AS corporate_domain_match, CAST(shared AS BIGINT) AS team_domains_upper_bound,
+       tag IN ('ED', 'PD', 'SD', 'D') AS corporate_domain_match, CAST(shared AS BIGINT) AS shared_team_domains,
        score AS duplicate_confidence_score
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY score DESC, other, base DESC, shared DESC, tag DESC, grp DESC, side DESC) AS nth
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY score DESC, other, base DESC, tag DESC, grp DESC, side DESC) AS nth
       FROM scored) r
 WHERE nth = 1 AND score >= 30 ORDER BY score DESC, id LIMIT 50""", [NA] + TEAM_CTES[:1] + PAIR_CTES))
 def duplicate_candidates(spark, d):

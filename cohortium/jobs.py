@@ -89,10 +89,8 @@ def export_dashboard(r: Roles, out_dir: str, as_of=None, k: int = 4, seeds=range
 
 def _high_engagement(c360: DataFrame) -> DataFrame:
     """customer → 1 when total_events is above the exact median (as in the chi-square test)."""
-    from cohortium.operators.ordinals import group_percentiles
-
     from cohortium.operators.scalars import attach_one_row
+    from cohortium.operators.selection import few_group_percentiles
 
-    med = group_percentiles(c360.withColumn("_g", F.lit(0)), ["_g"], "total_events", {"m": 0.5}, ["customer_id"], few_groups=True)
-    j = attach_one_row(c360.select("customer_id", "total_events"), med.select("m"))
+    j = attach_one_row(c360.select("customer_id", "total_events"), few_group_percentiles(c360, [], "total_events", {"m": 0.5}))
     return j.select("customer_id", (F.col("total_events") > F.col("m")).cast("int").alias("high_engagement"))

@@ -4,8 +4,8 @@ The document-store pipelines of the reference build per-user and per-tier
 arrays (``$push``) and filter them. Here every array is replaced by an
 aggregate: sessions per week are counted, not listed; retention joins the
 first use back instead of scanning a timestamp array; percentiles and
-medians use the distributed ordinals, so no tier or step is gathered into
-one task. The only list kept is the per-user step list, whose length is
+medians are found by selection (counting passes), so no tier or step is
+sorted or gathered into one task. The only list kept is the per-user step list, whose length is
 bounded by the number of distinct steps.
 """
 
@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from cohortium.functions.numeric import safe_div, snap_bround, snap_round
 from cohortium.functions.time import days_between, hours_between, week_key
-from cohortium.operators.ordinals import group_percentiles
+from cohortium.operators.hotkeys import lookup_join
 from cohortium.operators.scalars import attach_one_row
+from cohortium.operators.selection import few_group_percentiles
+from cohortium.session import ensure_checkpoint_dir
 
 UNKNOWN_TIER = "unknown"
 # Fixed values from the reference: engagement score caps and weights.
@@ -39,21 +41,25 @@ def sessions_per_week_by_tier(activity: DataFrame, lookup: DataFrame, iso_year:
 
     Weeks without a session are not counted as 0 (as in the reference). Events
     without a customer or a time belong to no customer-week and are left out.
-    Sessions are counted before the tier is attached, so the join sees one row
-    per customer however many events a customer has.
+    Sessions are counted before the tier is attached, so that join sees one row
+    per customer however many events a customer has. The durations themselves need
+    the tier too: rows of a customer with many of them meet a broadcast copy of its
+    one lookup row (:func:`lookup_join`). Cleaned sessions are kept once, narrow.
     """
+    ensure_checkpoint_dir(activity.sparkSession)
+    lookup = lookup.select("customer_id", "plan_tier").checkpoint()
     s = activity.where((F.coalesce(F.col("session_duration"), F.lit(0.0)) > 0)
                        & F.col("customer_id").isNotNull() & F.col("ts").isNotNull()) \
-        .select("customer_id", "event_id", "ts", F.col("session_duration").alias("dur"))
-    per_week = s.groupBy("customer_id", week_key(F.col("ts"), iso_year).alias("year_week")).agg(F.count(F.lit(1)).alias("n"))
+        .select("customer_id", week_key(F.col("ts"), iso_year).alias("year_week"), F.col("session_duration").alias("dur")).checkpoint()
+    per_week = s.groupBy("customer_id", "year_week").agg(F.count(F.lit(1)).alias("n"))
     per_user = with_tier(per_week.groupBy("customer_id").agg(F.avg("n").alias("avg_w")), lookup)
     per_tier = per_user.groupBy("plan_tier").agg(
         F.count(F.lit(1)).alias("user_count"),
         snap_bround(F.avg("avg_w"), 2).alias("avg_sessions_per_user_per_week"),
         snap_bround(F.min("avg_w"), 2).alias("min_sessions_per_week"),
         snap_bround(F.max("avg_w"), 2).alias("max_sessions_per_week"))
-    pct = group_percentiles(with_tier(s.select("customer_id", "event_id", "dur"), lookup), ["plan_tier"], "dur",
-                            {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["event_id"], few_groups=True)
+    tiered = lookup_join(s.select("customer_id", "dur"), lookup, ["customer_id"], "left").fillna(UNKNOWN_TIER, ["plan_tier"])
+    pct = few_group_percentiles(tiered, ["plan_tier"], "dur", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     pct = pct.select("plan_tier", *[F.col(p).alias(f"{p}_session_duration_sec") for p in ("p25", "p50", "p75")])
     return per_tier.join(pct, "plan_tier", "left").orderBy("plan_tier")
 
@@ -135,14 +141,14 @@ def funnel_step_gaps(onboarding: DataFrame, steps) -> DataFrame:
     """Median hours between consecutive listed steps (negative gaps kept) and total users.
 
     Medians are exact (interpolated) and distributed: the gaps are unpivoted
-    to (gap, hours) rows and numbered per gap by range partitioning.
+    to (gap, hours) rows, and the median of each gap is selected by counting.
     """
     wide = step_times(onboarding, steps)
     names = [f"{a}_to_{b}_hrs" for a, b in zip(steps, steps[1:])]
     gaps = F.array(*[F.struct(F.lit(n).alias("gap"), hours_between(F.col(b), F.col(a)).alias("hrs"))
                      for n, (a, b) in zip(names, zip(steps, steps[1:]))])
     long = wide.select("customer_id", F.explode(gaps).alias("g")).select("customer_id", "g.gap", "g.hrs")
-    med = group_percentiles(long, ["gap"], "hrs", {"p50": 0.5}, ["customer_id"], few_groups=True)
+    med = few_group_percentiles(long, ["gap"], "hrs", {"p50": 0.5})
     one = med.agg(*[F.max(F.when(F.col("gap") == n, F.col("p50"))).alias(f"median_{n}") for n in names])
     total = onboarding.agg(F.count_distinct("customer_id").alias("total_customers"))
     return attach_one_row(one, total)

@@ -8,15 +8,20 @@ pairs. Here each signal is computed per account with equi-joins and
 aggregates that are linear in the number of accounts:
 
 * exact name: size of the account's normalised-name group;
-* prefix: names that are a proper prefix of the account's name are found
-  by exploding the account's own prefixes (bounded by name length) and
-  joining them to the distinct names; the reverse direction is the same
-  exploded table grouped by prefix;
+* prefix: proper prefixes of the *distinct* names (bounded by name length)
+  are joined to the distinct names, in both directions;
+* substring (inside a corporate domain): a q-gram index of the distinct
+  names. A name is looked up by its rarest gram only, and what that finds is
+  verified, so the rows are linear in name length;
 * corporate domain: size of the account's non-generic e-mail domain group;
 * team domains: the account's distinct team-member domains that at least
   one other account also has (count and sorted list, bounded by the
   account's own domains).
 
+A name, prefix or domain may be that of a third of all accounts, so accounts
+meet these per-key results through :func:`lookup_join`, which never shuffles
+the rows of a heavy key.
+
 ``duplicate_candidates`` scores each account's best single partner with the
 reference's weights: 50 exact / 30 prefix / 15 substring (inside a shared
 corporate domain), +30 shared corporate domain, +30 two or more / +15 one
@@ -29,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortium.functions.text import email_domain, normalize_company_name
+from cohortium.operators.hotkeys import lookup_join
+from cohortium.session import ensure_checkpoint_dir
 
 # Fixed values from the reference: generic e-mail domains ignored for account e-mails.
 GENERIC_ACCOUNT_DOMAINS = ["gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "protonmail.com",
@@ -39,6 +46,8 @@ GENERIC_TEAM_DOMAINS = ["gmail.com", "yahoo.com", "hotmail.com", "outlook.com",
 WEIGHTS = dict(exact=50, prefix=30, substring=15, domain=30, team_two=30, team_one=15)
 MIN_SCORE = 30
 TOP_K = 50
+# Fixed value from the reference: names of at most three characters are no substrings.
+GRAM = 4
 
 
 def normalized_accounts(accounts: DataFrame) -> DataFrame:
@@ -49,23 +58,28 @@ def normalized_accounts(accounts: DataFrame) -> DataFrame:
     return a.where(F.col("norm_name") != "")
 
 
+def _prefixes(names: DataFrame) -> DataFrame:
+    """``names`` with every proper prefix of ``norm_name`` as ``prefix``, a row each."""
+    return names.where(F.length("norm_name") > 1) \
+        .select("*", F.explode(F.sequence(F.lit(1), F.length("norm_name") - 1)).alias("k")) \
+        .withColumn("prefix", F.substring("norm_name", F.lit(1), F.col("k"))).drop("k")
+
+
 def name_signals(accounts: DataFrame) -> DataFrame:
     """Per account: exact-name group size and the number of accounts in a proper-prefix
     relation with it (in each direction). LIKE wildcards are not interpreted."""
+    ensure_checkpoint_dir(accounts.sparkSession)
     a = normalized_accounts(accounts).select("customer_id", "norm_name")
-    names = a.groupBy("norm_name").agg(F.count(F.lit(1)).alias("exact_group_size"))
-    # every proper prefix of every account's name: at most len(name) - 1 rows per account
-    pref = a.select("customer_id", "norm_name",
-                    F.explode(F.sequence(F.lit(1), F.greatest(F.length("norm_name") - 1, F.lit(1)))).alias("k")) \
-        .where(F.col("k") < F.length("norm_name")) \
-        .select("customer_id", F.substring("norm_name", 1, F.col("k")).alias("prefix"))
+    names = a.groupBy("norm_name").agg(F.count(F.lit(1)).alias("exact_group_size")).checkpoint()
+    prefixes = _prefixes(names)
     # names that are a proper prefix of mine, weighted by how many accounts carry them
-    shorter = pref.join(names.withColumnRenamed("norm_name", "prefix"), "prefix") \
-        .groupBy("customer_id").agg(F.sum("exact_group_size").alias("n_shorter_prefix_names"))
+    sizes = names.select(F.col("norm_name").alias("prefix"), F.col("exact_group_size").alias("n"))
+    shorter = lookup_join(prefixes.select("norm_name", "prefix"), sizes, ["prefix"]) \
+        .groupBy("norm_name").agg(F.sum("n").alias("n_shorter_prefix_names"))
     # accounts whose name extends mine
-    longer = pref.groupBy("prefix").agg(F.count(F.lit(1)).alias("n_longer_names")) \
-        .withColumnRenamed("prefix", "norm_name")
-    out = a.join(names, "norm_name").join(shorter, "customer_id", "left").join(longer, "norm_name", "left")
+    longer = prefixes.groupBy(F.col("prefix").alias("norm_name")).agg(F.sum("exact_group_size").alias("n_longer_names"))
+    each = names.join(shorter, "norm_name", "left").join(longer, "norm_name", "left").checkpoint()
+    out = lookup_join(a, each, ["norm_name"])
     return out.select("customer_id", "norm_name", "exact_group_size",
                       F.coalesce("n_shorter_prefix_names", F.lit(0)).cast("long").alias("n_shorter_prefix_names"),
                       F.coalesce("n_longer_names", F.lit(0)).cast("long").alias("n_longer_names"))
@@ -76,7 +90,7 @@ def domain_signals(accounts: DataFrame, generic=GENERIC_ACCOUNT_DOMAINS) -> Data
     a = normalized_accounts(accounts).select("customer_id", "email_domain")
     corp = (F.col("email_domain") != "") & ~F.col("email_domain").isin(*generic)
     sizes = a.where(corp).groupBy("email_domain").agg(F.count(F.lit(1)).alias("domain_group_size"))
-    out = a.join(sizes, "email_domain", "left")
+    out = lookup_join(a, sizes, ["email_domain"], "left")
     return out.select("customer_id", "email_domain", corp.alias("is_corporate_domain"),
                       F.coalesce("domain_group_size", F.lit(0)).cast("long").alias("domain_group_size"))
 
@@ -85,21 +99,41 @@ def team_domain_overlap(team_members: DataFrame, generic=GENERIC_TEAM_DOMAINS) -
     """Per account: distinct team-member domains shared with at least one other account."""
     tm = team_members.select("customer_id", email_domain(F.col("email")).alias("domain")) \
         .where(~F.col("domain").isin(*generic)).distinct()
-    holders = tm.groupBy("domain").agg(F.count(F.lit(1)).alias("holders"))
-    shared = tm.join(holders, "domain").where(F.col("holders") >= 2)
-    return shared.groupBy("customer_id").agg(
+    shared = tm.groupBy("domain").agg(F.count(F.lit(1)).alias("holders")).where(F.col("holders") >= 2).select("domain")
+    return lookup_join(tm, shared, ["domain"], "left_semi").groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("shared_domains"),
         F.array_join(F.array_sort(F.collect_list("domain")), ", ").alias("overlapping_domains"))
 
 
+def grams(names: DataFrame, size: int = GRAM) -> DataFrame:
+    """Distinct (dom, norm_name, gram): the runs of ``size`` characters of each name."""
+    starts = F.sequence(F.lit(1), F.length("norm_name") - (size - 1))
+    runs = F.array_distinct(F.transform(starts, lambda i: F.substring("norm_name", i, F.lit(size))))
+    return names.where(F.length("norm_name") >= size).select("dom", "norm_name", F.explode(runs).alias("gram"))
+
+
+def contained_names(names: DataFrame) -> DataFrame:
+    """(dom, norm_name, part): names of a domain (distinct rows ``dom, norm_name``) that hold
+    another one, ``part``, of ``GRAM`` characters or more, somewhere after their start.
+
+    Every part is looked up by the one of its grams that fewest names of the domain have.
+    """
+    index = grams(names).checkpoint()
+    held = index.groupBy("dom", "gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = index.join(held, ["dom", "gram"]).groupBy("dom", F.col("norm_name").alias("part")).agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    found = index.join(rarest.checkpoint(), ["dom", "gram"])
+    return found.where(F.contains(F.substr("norm_name", F.lit(2)), F.col("part"))).select("dom", "norm_name", "part")
+
+
 def name_links(accounts: DataFrame, weights=WEIGHTS, generic=GENERIC_ACCOUNT_DOMAINS) -> DataFrame:
     """Rows ``(customer_id, key, side, base, kind)``: whom a name or domain may link an account to.
 
     Accounts of one ``key`` are partners if both are on side ``both``, or one is
     ``short`` and the other ``long``. Keys with the domain in them carry its weight
     too, so the partners of one key all hold the same signals. An account has a row
-    per prefix and (inside a corporate domain) per substring of its own name.
+    per prefix of its name and (inside a corporate domain) per name that its own contains.
     """
+    ensure_checkpoint_dir(accounts.sparkSession)
     a = normalized_accounts(accounts).select("customer_id", "norm_name", "email_domain")
     corp = (F.col("email_domain") != "") & ~F.col("email_domain").isin(*generic)
     a = a.withColumn("dom", F.when(corp, F.col("email_domain")))
@@ -110,12 +144,8 @@ def name_links(accounts: DataFrame, weights=WEIGHTS, generic=GENERIC_ACCOUNT_DOM
         return frame.select("customer_id", key.alias("key"), F.lit(side).alias("side"), F.lit(base).alias("base"), F.lit(kind).alias("kind"))
 
     owned = a.where("dom IS NOT NULL")
-    prefixes = a.where(size > 1).select("*", F.explode(F.sequence(F.lit(1), size - 1)).alias("k")) \
-        .withColumn("part", F.substring("norm_name", F.lit(1), F.col("k")))
-    # substrings of more than three characters that are neither the name nor one of its prefixes
-    subs = owned.where(size > 4).select("*", F.explode(F.sequence(F.lit(2), size - 3)).alias("at")) \
-        .select("*", F.explode(F.sequence(F.lit(4), size - F.col("at") + 1)).alias("k")) \
-        .withColumn("part", F.substring("norm_name", F.col("at"), F.col("k")))
+    prefixes = _prefixes(a).withColumnRenamed("prefix", "part")
+    subs = owned.join(contained_names(owned.select("dom", "norm_name").distinct()), ["dom", "norm_name"])
     both_dom = weights["domain"]
     name, dom, part = F.col("norm_name"), F.col("dom"), F.col("part")
     out = rows(a, "E", [name], "both", weights["exact"], "EXACT_MATCH")
@@ -136,14 +166,15 @@ def name_links(accounts: DataFrame, weights=WEIGHTS, generic=GENERIC_ACCOUNT_DOM
 def _partnered(links: DataFrame, keys: list[str]) -> DataFrame:
     """``links`` that have a partner on the other side, with the smallest other account id.
 
-    Groups are only aggregated (smallest and second smallest id), never listed.
+    Groups are only aggregated (smallest and second smallest id), never listed; the
+    results are kept, so that a join to a hot key can be split.
     """
-    least = links.groupBy(*keys, "side").agg(F.min("customer_id").alias("m1"))
-    rest = links.join(least, [*keys, "side"]).where("customer_id > m1") \
+    least = links.groupBy(*keys, "side").agg(F.min("customer_id").alias("m1")).checkpoint()
+    rest = links.where("side = 'both'").join(least, [*keys, "side"]).where("customer_id > m1") \
         .groupBy(*keys, "side").agg(F.min("customer_id").alias("m2"))
     least = least.join(rest, [*keys, "side"], "left")
     other = least.withColumn("side", F.when(F.col("side") == "short", "long").when(F.col("side") == "long", "short").otherwise(F.col("side")))
-    x = links.join(other, [*keys, "side"])
+    x = links.join(other.checkpoint(), [*keys, "side"])
     linked = F.when((F.col("side") == "both") & (F.col("m1") == F.col("customer_id")), F.col("m2")).otherwise(F.col("m1"))
     return x.withColumn("linked_id", linked).drop("m1", "m2").where("linked_id IS NOT NULL")
 
@@ -153,30 +184,42 @@ def duplicate_candidates(accounts: DataFrame, team_members: DataFrame, min_score
                          generic_team=GENERIC_TEAM_DOMAINS) -> DataFrame:
     """Each account's best single partner by the four signals; ``k=None`` keeps all.
 
-    The signals of a score all belong to one group of partners: accounts that share
-    the same name relation and, where it counts, the same corporate domain. Within it,
-    ``team_domains_upper_bound`` counts the team domains that the account shares with
-    *some* member of the group; with one such partner that is exact, with several the
-    two domains that earn the higher weight may be shared with different ones, hence
-    the name. ``linked_id`` is the smallest other account of the winning group that
-    shares a counted team domain (or, without one, of the group). No pair is listed.
+    The signals of a score all belong to one partner. Partners that share the same name
+    relation and, where it counts, the same corporate domain form a group. Within it an
+    account meets the others by each team domain (one shared) and by each *pair* of the
+    domains that it shares with any of them (two shared by the same partner). Both are
+    equi-joins on aggregated groups: no pair of accounts is listed, and rows grow with an
+    account's own domains only. ``linked_id`` is the smallest other account that earns the
+    score, ``shared_team_domains`` the exact number of team domains shared with it.
     """
+    ensure_checkpoint_dir(accounts.sparkSession)
     team = team_members.select("customer_id", email_domain(F.col("email")).alias("domain")) \
-        .where(F.col("customer_id").isNotNull() & (F.col("domain") != "") & ~F.col("domain").isin(*generic_team)).distinct()
+        .where(F.col("customer_id").isNotNull() & (F.col("domain") != "") & ~F.col("domain").isin(*generic_team)).distinct().checkpoint()
     everyone = team.select("customer_id").distinct().select(
         "customer_id", F.lit("*").alias("key"), F.lit("both").alias("side"), F.lit(0).alias("base"), F.lit(None).cast("string").alias("kind"))
-    links = _partnered(name_links(accounts, weights, generic_account), ["key"])
-    sharing = _partnered(links.drop("linked_id").unionByName(everyone).join(team, "customer_id"), ["key", "domain"])
-    with_team = sharing.groupBy("customer_id", "key", "side", "base", "kind").agg(
-        F.count_distinct("domain").alias("shared"), F.min("linked_id").alias("linked_id"))
-    scored = links.withColumn("shared", F.lit(0).cast("long")).unionByName(with_team)
-    score = F.col("base") + F.when(F.col("shared") >= 2, weights["team_two"]).when(F.col("shared") == 1, weights["team_one"]).otherwise(0)
+    group = ["customer_id", "key", "side", "base", "kind"]
+    links = _partnered(name_links(accounts, weights, generic_account).checkpoint(), ["key"]).checkpoint()
+    sharing = _partnered(links.drop("linked_id").unionByName(everyone).join(team, "customer_id").checkpoint(), ["key", "domain"]).checkpoint()
+    one = sharing.groupBy(*group).agg(F.min("linked_id").alias("linked_id"), F.array_sort(F.collect_list("domain")).alias("domains")).checkpoint()
+    firsts = one.where(F.size("domains") > 1).select(*group, "domains", F.posexplode("domains").alias("at", "domain"))
+    pairs = firsts.select(*group, "domain", F.explode(F.slice("domains", F.col("at") + 2, F.size("domains"))).alias("second"))
+    two = _partnered(pairs.checkpoint(), ["key", "domain", "second"]).groupBy(*group).agg(F.min("linked_id").alias("linked_id"))
+    scored = links.withColumn("earned", F.lit(0)) \
+        .unionByName(one.drop("domains").withColumn("earned", F.lit(weights["team_one"]))) \
+        .unionByName(two.withColumn("earned", F.lit(weights["team_two"])))
+    score = F.col("base") + F.col("earned")
     # highest score, then the smallest partner, then the stronger name relation
-    order = F.struct(score.alias("score"), (-F.col("linked_id")).alias("near"), F.col("base"), F.col("shared"), F.col("key"), F.col("side"))
-    best = scored.groupBy("customer_id").agg(F.max_by(F.struct("linked_id", "kind", "key", "shared", score.alias("score")), order).alias("b"))
-    out = best.select("customer_id", F.col("b.linked_id").alias("linked_id"), F.col("b.kind").alias("name_match_type"),
-                      F.substring_index("b.key", "|", 1).isin("ED", "PD", "SD", "D").alias("corporate_domain_match"),
-                      F.col("b.shared").alias("team_domains_upper_bound"), F.col("b.score").alias("duplicate_confidence_score"))
-    out = out.where(F.col("duplicate_confidence_score") >= min_score) \
+    order = F.struct(score.alias("score"), (-F.col("linked_id")).alias("near"), F.col("base"), F.col("key"), F.col("side"))
+    best = scored.groupBy("customer_id").agg(F.max_by(F.struct("linked_id", "kind", "key", score.alias("score")), order).alias("b"))
+    best = best.select("customer_id", F.col("b.linked_id").alias("linked_id"), F.col("b.kind").alias("name_match_type"),
+                       F.substring_index("b.key", "|", 1).isin("ED", "PD", "SD", "D").alias("corporate_domain_match"),
+                       F.col("b.score").alias("duplicate_confidence_score")).where(F.col("duplicate_confidence_score") >= min_score)
+    best = best.orderBy(F.desc("duplicate_confidence_score"), "customer_id")
+    best = (best.limit(k) if k else best).checkpoint()
+    # the domains shared with this one partner; a small id may be the partner of very many
+    theirs = team.withColumnRenamed("customer_id", "linked_id")
+    common = lookup_join(best.select("customer_id", "linked_id").join(team, "customer_id"), theirs, ["linked_id", "domain"], "left_semi")
+    out = best.join(common.groupBy("customer_id").agg(F.count(F.lit(1)).alias("shared")), "customer_id", "left")
+    return out.select("customer_id", "linked_id", "name_match_type", "corporate_domain_match",
+                      F.coalesce("shared", F.lit(0)).cast("long").alias("shared_team_domains"), "duplicate_confidence_score") \
         .orderBy(F.desc("duplicate_confidence_score"), "customer_id")
-    return out.limit(k) if k else out

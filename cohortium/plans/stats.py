@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortium.operators.ordinals import group_percentiles
 from cohortium.operators.scalars import attach_one_row
+from cohortium.operators.selection import few_group_percentiles
+from cohortium.session import ensure_checkpoint_dir
 
 # Fixed values from the reference: effect-size band edges and labels.
 EFFECT_BANDS = [(0.2, "negligible"), (0.5, "small"), (0.8, "medium")]
@@ -136,10 +137,14 @@ def welch_test(df: DataFrame, value: str = "total_events", flag: str = "is_churn
 
 
 def churn_contingency(df: DataFrame, value: str = "total_events", flag: str = "is_churned") -> DataFrame:
-    """2×2 table: high engagement (value > exact median) × churn flag, zero cells included."""
-    med = group_percentiles(df.withColumn("_g", F.lit(0)), ["_g"], value, {"median": 0.5},
-                            ["customer_id"], few_groups=True).select("median")
-    m = attach_one_row(df, med)
+    """2×2 table: high engagement (value > exact median) × churn flag, zero cells included.
+
+    The two columns are kept once, so that the customer-360 behind them is not computed
+    again for the median.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.select(value, flag).checkpoint()
+    m = attach_one_row(df, few_group_percentiles(df, [], value, {"median": 0.5}))
     hi = (F.col(value) > F.col("median")).cast("int")
     return m.groupBy(hi.alias("high_engagement")).agg(
         F.count_if(F.col(flag) == 0).alias("churned_0"), F.count_if(F.col(flag) == 1).alias("churned_1"))

@@ -38,7 +38,7 @@ def test_signals_match_brute_force(spark):
 
 
 def test_best_partner_matches_brute_force(spark):
-    """Scores never add signals of different partners, but for the stated bound on team domains."""
+    """Score, partner and number of shared team domains, for every account."""
     rows, team = _frames(spark)
     acc = spark.createDataFrame(rows, "customer_id long, company_name string, contact_email string")
     tm = spark.createDataFrame(team, "customer_id long, email string")
@@ -72,9 +72,8 @@ def test_best_partner_matches_brute_force(spark):
             assert i not in got
             continue
         r, best = got[i], max(scores.values())
-        # two counted domains may belong to two partners of one group: at most 15 above the true best
-        assert best <= r.duplicate_confidence_score <= best + (15 if r.team_domains_upper_bound >= 2 else 0), i
-        assert r.linked_id in scores
+        assert (r.duplicate_confidence_score, r.linked_id) == (best, min(j for j, x in scores.items() if x == best)), i
+        assert r.shared_team_domains == len(teams.get(i, set()) & teams.get(r.linked_id, set())), i
     assert set(got) <= everyone and not {202, 901, 902} & set(got)
 
 
@@ -104,3 +103,38 @@ def test_top_k_is_a_report(spark):
     r = D.duplicate_candidates(acc, tm).collect()
     assert len(r) == 50 and [x.customer_id for x in r] == list(range(50))
     assert all(x.duplicate_confidence_score == 80 and x.linked_id == (1 if x.customer_id == 0 else 0) for x in r)
+
+
+def test_domains_shared_with_different_partners_are_not_added(spark):
+    """1 shares t with 2 and u with 3: two domains, but no partner holds both; 4 and 5 share both."""
+    acc = spark.createDataFrame([(i, "orchid" if i < 4 else f"n{i}x", f"a@x{i}.io") for i in range(1, 6)], "customer_id long, company_name string, contact_email string")
+    tm = spark.createDataFrame([(1, "m@t.com"), (1, "m@u.com"), (2, "m@t.com"), (3, "m@u.com"), (4, "m@v.com"), (4, "m@w.com"), (5, "m@v.com"), (5, "m@w.com"),
+                                (5, "m@t.com")], "customer_id long, email string")
+    r = {x.customer_id: x for x in D.duplicate_candidates(acc, tm, min_score=0, k=None).collect()}
+    assert (r[1].duplicate_confidence_score, r[1].linked_id, r[1].shared_team_domains) == (65, 2, 1)
+    assert (r[4].duplicate_confidence_score, r[4].linked_id, r[4].shared_team_domains) == (30, 5, 2)
+
+
+def test_hot_names_and_domains(spark):
+    """A third of all accounts share a name and a team domain; heavy keys give the same rows as plain joins."""
+    n = 300
+    acc = spark.createDataFrame([(i, "same co" if i % 3 == 0 else f"firm{i}", "a@corp.io" if i % 3 == 0 else f"a@d{i}.io") for i in range(n)],
+                                "customer_id long, company_name string, contact_email string")
+    tm = spark.createDataFrame([(i, "m@hot.com") for i in range(0, n, 3)] + [(i, f"m@t{i // 2}.com") for i in range(n)], "customer_id long, email string")
+    r = {x.customer_id: x for x in D.duplicate_candidates(acc, tm, min_score=0, k=None).collect()}
+    assert len(r) == n and all(r[i].duplicate_confidence_score == 95 and r[i].linked_id == (0 if i else 3) for i in range(0, n, 3))
+    names = {x.customer_id: x for x in D.name_signals(acc).collect()}
+    assert len(names) == n and {names[i].exact_group_size for i in range(0, n, 3)} == {100} and names[1].n_longer_names == sum(
+        f"firm{j}".startswith("firm1") and j != 1 for j in range(n) if j % 3)
+    assert {x.domain_group_size for x in D.domain_signals(acc).where("customer_id % 3 = 0").collect()} == {100}
+    over = {x.customer_id: x.overlapping_domains for x in D.team_domain_overlap(tm).collect()}
+    assert over[0] == "hot.com, t0.com" and over[1] == "t0.com" and len(over) == n
+
+
+def test_contained_names_by_their_rarest_gram(spark):
+    rnd = random.Random(11)
+    names = sorted({(d, "".join(rnd.choice("ab%_") for _ in range(rnd.randrange(1, 14)))) for d in ("x", "y") for _ in range(60)})
+    df = spark.createDataFrame(names, "dom string, norm_name string")
+    got = {(r.dom, r.norm_name, r.part) for r in D.contained_names(df).collect()}
+    assert got == {(d, a, b) for d, a in names for e, b in names if d == e and len(b) > 3 and b in a[1:]}
+    assert D.grams(df).count() <= sum(max(0, len(n) - 3) for _, n in names)
