@@ -16,6 +16,7 @@ from cohortium.plans import cleaning as C
 from cohortium.plans import customer360 as X
 from cohortium.plans import marts as M
 from cohortium.plans import segments as G
+from cohortium.plans import slices as L
 from cohortium.plans import stats as T
 from cohortium.plans import subscriptions as S
 from cohortium.session import ensure_checkpoint_dir
@@ -232,6 +233,45 @@ def kpi_cards_by_tier(spark, d):
     return M.kpi_cards(customer_360_df(spark, d), plan_tier=TEST_TIERS[-1])
 
 
+_CUBE_KPIS = f"""COUNT(*) AS total_customers, CAST(SUM(is_churned) AS BIGINT) AS churned_customers,
+       {sround(sdiv('SUM(is_churned)', 'COUNT(*)') + ' * 100', 1)} AS churn_rate_pct,
+       {sround('AVG(total_ltv) FILTER (WHERE is_churned = 0)', 2)} AS avg_ltv_active,
+       {sround('AVG(total_ltv) FILTER (WHERE is_churned = 1)', 2)} AS avg_ltv_churned, COUNT(DISTINCT industry) AS segment_count"""
+
+
+def _cells(spark, d):
+    return L.kpi_cells(named_master_df(spark, d).withColumn("segment", F.col("industry")))
+
+
+@register("kpi_cube", master_sql(f"""
+SELECT CAST(GROUPING_ID(plan_tier, segment_name) AS BIGINT) AS grouping_id, plan_tier, segment_name, {_CUBE_KPIS}
+FROM named_master GROUP BY CUBE (plan_tier, segment_name)""", NAMES_CTES))
+def kpi_cube(spark, d):
+    """KPI cards for every choice of the two slicers, from one pass over the customers."""
+    return L.kpi_cube(_cells(spark, d))
+
+
+@register("kpi_cards_two_tiers", master_sql(f"""
+SELECT {_CUBE_KPIS} FROM named_master
+WHERE plan_tier IN ('{TEST_TIERS[0]}', '{TEST_TIERS[-1]}') AND segment_name IN ('{G.SEGMENT_NAMES[0]}', '{G.SEGMENT_NAMES[3]}')""", NAMES_CTES))
+def kpi_cards_two_tiers(spark, d):
+    """Several values chosen in both slicers: cells are merged, customers aren't read again."""
+    return L.kpi_choice(_cells(spark, d), [TEST_TIERS[0], TEST_TIERS[-1]], [G.SEGMENT_NAMES[0], G.SEGMENT_NAMES[3]])
+
+
+_REASON_SETS = " UNION ALL ".join(f"""SELECT CAST({gid} AS BIGINT) AS grouping_id, {tier} AS plan_tier, {name} AS segment_name, churn_reason,
+       COUNT(*) AS "count", {sround('AVG(total_ltv)', 2)} AS avg_ltv FROM gone GROUP BY ALL""" for gid, tier, name in (
+    (0, "plan_tier", "segment_name"), (1, "plan_tier", "CAST(NULL AS VARCHAR)"), (2, "CAST(NULL AS VARCHAR)", "segment_name"),
+    (3, "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)")))
+
+
+@register("churn_reason_cube", master_sql("""
+SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY grouping_id, plan_tier, segment_name ORDER BY "count" DESC, churn_reason) AS INTEGER) AS reason_rank
+FROM sliced""", NAMES_CTES + [("gone", "SELECT * FROM named_master WHERE is_churned = 1 AND churn_reason IS NOT NULL"), ("sliced", _REASON_SETS)]))
+def churn_reason_cube(spark, d):
+    return L.churn_reason_cube(named_master_df(spark, d))
+
+
 @register("segment_distribution", master_sql(
     "SELECT segment_name, COUNT(customer_id) AS customers FROM named_master WHERE segment_name IS NOT NULL GROUP BY 1",
     NAMES_CTES))
