@@ -50,7 +50,8 @@ class Tokens:
     A byte-level BPE never merges across a single space between two other
     characters. Texts are cut there, each distinct piece of a batch is encoded
     once (all in one call; token lengths tell where each ends), and the texts are
-    put together from the pieces. Texts with other spacing are encoded whole.
+    put together from the pieces. Texts with other spacing, or with an added token of the
+    file spelt out, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -62,27 +63,33 @@ class Tokens:
             spec = json.load(f)
         if spec["model"]["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec.get("normalizer"):
             raise ValueError(f"{path} is not a byte-level BPE")
-        special = {t["content"] for t in spec["added_tokens"]}
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
+            raise ValueError(f"{path}: added tokens that take in their neighbours")
+        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         # the printable stand-ins that a byte-level vocabulary has for bytes
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(b): b for b in plain}
         byte |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
-        ranks = {bytes(byte[c] for c in name): i for name, i in spec["model"]["vocab"].items() if name not in special}
+        ranks = {bytes(byte[c] for c in name): i for name, i in spec["model"]["vocab"].items() if name not in self.added}
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         ids = [spec["model"]["vocab"]["".join(m)] for m in merges]
         if ids != sorted(ids):
             raise ValueError(f"{path}: ids don't follow the merges")
-        self.bpe = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.bpe = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=self.added)
         self.sizes = np.zeros(max(ranks.values()) + 1, "i8")
         for name, i in ranks.items():
             self.sizes[i] = len(name)
 
     def encode(self, text: str) -> np.ndarray:
-        return np.array(self.bpe.encode_ordinary(text), "u4")
+        """Ids of a text; where it holds an added token, that one's id, as the file's own library gives it."""
+        return np.array(self.bpe.encode(text, allowed_special="all") if self._added(text) else self.bpe.encode_ordinary(text), "u4")
+
+    def _added(self, text: str) -> bool:
+        return any(t in text for t in self.added)
 
     def batch(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, each text followed by ``end``, and where each text begins."""
-        whole = [_odd(t) for t in texts]
+        whole = [_odd(t) or self._added(t) for t in texts]
         cut = pc.split_pattern(pa.array(["" if odd else t for t, odd in zip(texts, whole)], pa.string()), " ")
         starts = np.asarray(cut.offsets)
         coded = cut.values.dictionary_encode()

@@ -38,5 +38,16 @@ def doc_texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def packed_rows(documents: DataFrame) -> DataFrame:
+    """One column ``row``, the whole row as a struct, so that no inner name can clash with a column."""
+    return documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"))
+
+
+def text_key(prefix: str = "row.") -> list:
+    """(doc, th): the id (NULL as the smallest number) and the hash of the text of a row."""
+    doc = F.coalesce(F.col(f"{prefix}doc_id").cast("long"), F.lit(-(1 << 63)))
+    return [doc.alias("doc"), F.xxhash64(F.coalesce(F.col(f"{prefix}text").cast("string"), F.lit(""))).alias("th")]
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -7,11 +7,16 @@ document that holds it (smallest id): one partner per run, so the pairs number a
 the shared runs, however many documents share one, and no run is left out for being
 frequent. For each pair the shared runs are aligned as patience diff does: runs that
 occur once on both sides and rise in both (longest increasing subsequence) are anchors,
-the gaps between them are aligned the same way, and equal neighbours extend them. Runs
-that the alignment leaves out, because a block was moved or repeated, are aligned again
-in further rounds, and after ``ROUNDS`` matched one by one. The lines of aligned runs are
-deleted from the later document. Every line of a block of that many characters that an
-earlier document holds lies in such a run within the block.
+the gaps between them are aligned the same way, and equal neighbours extend them. What the
+alignment of a stretch of the later document leaves out, because a block was moved or
+repeated, is cut into halves, each of which is aligned with the earlier document anew; a
+moved block thus meets its place once the stretch holds little else. The lines of aligned
+runs are deleted from the later document, no others. Every line of a block of that many
+characters that an earlier document holds lies in such a run within the block.
+
+Rare and frequent runs alike choose the partner: a run that a third of all documents hold
+has one partner in each of them, the earliest, so frequency costs no pairs, and leaving
+frequent runs out would keep the most repeated passages.
 
 Blank lines are not compared; they go with the lines on both their sides.
 
@@ -19,23 +24,23 @@ Edge cases: NULL texts stay NULL, empty ones empty; a document without an id is
 neither earlier nor later and stays as it is; rows that repeat id and text are one
 document and treated alike; of rows that share an id but not the text, the order of
 their hashes decides; line order and untouched lines stay byte for byte; other
-columns are kept. A text that loses all lines becomes empty; one of fewer characters
+columns are kept, whatever their names. A text that loses all lines becomes empty; one of fewer characters
 than a block is never touched.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortium.llm.common import stored
+from cohortium.llm.common import packed_rows, stored
 
 BLOCK_CHARS = 40
-ROUNDS = 6
 MULTIPLIER = 0x9E3779B97F4A7C15
 BATCH_RUNS = 100_000
 
@@ -106,26 +111,28 @@ def patience(later: list[tuple[int, int]], earlier: list[tuple[int, int]]) -> li
     return sorted(out)
 
 
-def _rounds(later: list[tuple[int, int]], earlier: list[tuple[int, int]]):
-    """Alignments that together hold every line of ``later`` that ``earlier`` has."""
-    for _ in range(ROUNDS):
-        aligned = patience(later, earlier)
-        if not aligned:
-            break
-        yield aligned
-        done = {a for a, _ in aligned}
-        later = [x for x in later if x[0] not in done]
+def _stretches(later: list[tuple[int, int]], earlier: list[tuple[int, int]]):
+    """Alignments of ever smaller stretches of ``later``, until each run that ``earlier`` has is aligned."""
     places: dict[int, list[int]] = {}
     for b, h in earlier:
         places.setdefault(h, []).append(b)
-    rest, last = [], -1
-    for a, h in later:
-        if own := places.get(h):
-            k = bisect_left(own, last + 1)
-            last = own[k] if k < len(own) and own[k] == last + 1 else own[0]
-            rest.append((a, last))
-    if rest:
-        yield rest
+    todo = [(later, earlier)]
+    while todo:
+        stretch, other = todo.pop()
+        aligned = patience(stretch, other)
+        if aligned:
+            yield aligned
+        done = {a for a, _ in aligned}
+        rest = [x for x in stretch if x[0] not in done]
+        if not rest or len(stretch) == 1:
+            continue
+        half = (len(rest) + 1) // 2
+        for part in (rest[:half], rest[half:]):
+            # of the earlier runs only those that the part holds; as many copies of each as it can use
+            held = Counter(h for _, h in part)
+            own = sorted((b, h) for h, n in held.items() for b in places.get(h, [])[:n])
+            if own:
+                todo.append((part, own))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -198,7 +205,7 @@ def _doomed(matches: list[dict]) -> tuple[list[int], list[int]]:
     for (doc, _), own in pairs.items():
         later = sorted((at, m["h"]) for m in own for at in m["at"])
         earlier = sorted((q, m["h"]) for m in own for q in m["p_at"])
-        for aligned in _rounds(later, earlier):
+        for aligned in _stretches(later, earlier):
             cut.update(a for a, _ in aligned)
             partners.add(doc)
     gone: set[int] = set()
@@ -244,17 +251,41 @@ def deletions(documents: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame
     return found.where(F.size("gone") > 0)
 
 
-def dedupe_lines(documents: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``documents`` with the blocks that repeat an earlier document cut from ``text``,
-    plus ``_removed`` (places of the lines cut) and ``_partners`` (ids they repeat)."""
-    gone = deletions(documents, block_chars).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "gone", "partners")
-    keyed = documents.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
-    x = keyed.join(gone, (F.col("doc_id").cast("long") == F.col("_doc")) & (F.col("_key") == F.col("_th")), "left")
-    lines = F.split(F.col("text").cast("string"), "\n", -1)
+def _cut(documents: DataFrame, block_chars: int) -> DataFrame:
+    """(row, text, removed, partners) of every document: the row as it came and its text without the lines cut."""
+    keyed = packed_rows(documents).select("row", F.col("row.doc_id").cast("long").alias("doc"),
+                                          F.xxhash64(F.col("row.text").cast("string")).alias("th"))
+    x = keyed.join(deletions(documents, block_chars), ["doc", "th"], "left")
+    given = F.col("row.text").cast("string")
+    lines = F.split(given, "\n", -1)
     rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     cut = F.array_join(F.transform(rest, lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("gone").isNull(), F.col("text").cast("string")).otherwise(cut)
-    none = F.array()
-    return x.select(*(text.alias("text") if c == "text" else F.col(c) for c in documents.columns),
-                    F.coalesce("gone", none.cast("array<int>")).alias("_removed"),
-                    F.coalesce("partners", none.cast("array<bigint>")).alias("_partners"))
+    return x.select("row", F.when(F.col("gone").isNull(), given).otherwise(cut).alias("text"),
+                    F.coalesce("gone", F.array().cast("array<int>")).alias("removed"),
+                    F.coalesce("partners", F.array().cast("array<bigint>")).alias("partners"))
+
+
+def _columns(documents: DataFrame, **new) -> list:
+    """The columns of the rows, those in ``new`` replaced."""
+    return [(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in documents.columns]
+
+
+def dedupe_lines(documents: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``documents`` with the blocks that repeat an earlier document cut from ``text``,
+    plus ``_removed`` (places of the lines cut) and ``_partners`` (ids they repeat), with
+    more underscores in front where ``documents`` has columns of these names."""
+    names = []
+    for name in ("_removed", "_partners"):
+        while name.lower() in {c.lower() for c in documents.columns}:
+            name = "_" + name
+        names.append(name)
+    return _cut(documents, block_chars).select(*_columns(documents, text=F.col("text")), F.col("removed").alias(names[0]), F.col("partners").alias(names[1]))
+
+
+def cut_lines(documents: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``documents`` with its own columns alone: ``text`` without repeated blocks, ``n_chars`` (if present) following."""
+    new = {"text": F.col("text")}
+    if "n_chars" in documents.columns:
+        size = F.length("text").cast(documents.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.size("removed") > 0, size).otherwise(F.col("row.n_chars"))
+    return _cut(documents, block_chars).select(*_columns(documents, **new))

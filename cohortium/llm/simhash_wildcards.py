@@ -14,7 +14,7 @@ to the group's smallest member is exact, and no pair is missed.
 Edge cases: NULL and blank texts have fingerprint zero, linked like any other;
 fewer words than the shingle length make one shingle; a NULL ``doc_id`` belongs
 to a group but never names it; repeated rows share their class; other columns
-are ignored.
+are ignored (``keep_one_per_group`` keeps them), whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortium.llm.common import doc_texts, parts, stored
+from cohortium.llm.common import doc_texts, packed_rows, parts, stored
 from cohortium.llm.components import connected_components
 
 SHINGLE = 3
@@ -58,7 +58,7 @@ def _simhashes(shingle: int):
     def run(batches):
         for b in batches:
             fps = [simhash(t, shingle) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fps, pa.int64())], names=["doc_id", "th", "fp"])
     return run
 
 
@@ -143,27 +143,40 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BU
     return links.unionByName(stars).distinct()
 
 
-def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the
-    smallest id reachable over links of at most ``max_bits`` differing bits."""
-    docs = stored(doc_texts(documents).mapInArrow(_simhashes(shingle), "doc_id long, fp long"), "simhash")
-    fps = docs.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
+def _classified(documents: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(doc_id, th, fp, leader) of every row; ``leader`` is the smallest (doc_id, th) of its group, ``th`` a hash of the text."""
+    given = doc_texts(documents).select("doc_id", F.xxhash64("text").alias("th"), "text")
+    docs = stored(given.mapInArrow(_simhashes(shingle), "doc_id long, th long, fp long"), "simhash")
+    fps = docs.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("first"))
     roots = connected_components(fingerprint_links(fps.select("fp"), max_bits))
     classes = (fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-               .select("fp", "first_doc", F.coalesce("root", "fp").alias("root")))
+               .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     classes = stored(classes, "simhash-classes")
-    ids = classes.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    by_fp = classes.join(ids, "root").select("fp", "component_id")
-    return docs.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    leaders = stored(classes.groupBy("root").agg(F.min("first").alias("leader")), "simhash-leaders")
+    by_fp = stored(classes.join(leaders, "root").select("fp", "leader"), "simhash-by-print")
+    return docs.join(by_fp, "fp")
+
+
+def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the
+    smallest id reachable over links of at most ``max_bits`` differing bits."""
+    found = _classified(documents, shingle, max_bits)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("leader.doc_id").alias("component_id"))
 
 
 def keep_one_per_group(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document of the smallest id of each group, with all its columns.
+    """One document of each group, that of the smallest id, with all its columns.
 
-    Rows without an id are kept (nothing can name them); identical repeats of a
-    kept row become one.
+    Of an id with several texts only the one that leads its group stays. Rows without
+    an id are kept (nothing can name them). Of rows that agree in id and text one stays,
+    that of the smallest hash of all columns.
     """
-    kept = (near_duplicates(documents, shingle, max_bits).where("doc_id = component_id")
-            .select(F.col("doc_id").cast(documents.schema["doc_id"].dataType).alias("doc_id")).distinct())
-    named = documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(documents.where("doc_id IS NULL"))
+    found = _classified(documents, shingle, max_bits)
+    leads = (F.col("doc_id") == F.col("leader.doc_id")) & F.col("th").eqNullSafe(F.col("leader.th"))
+    kept = stored(found.where(leads).groupBy(F.col("doc_id").alias("doc"), "th").agg(F.count("*").alias("copies")), "simhash-kept")
+    keyed = packed_rows(documents).select("row", F.col("row.doc_id").cast("long").alias("doc"), F.xxhash64(F.col("row.text").cast("string")).alias("th"))
+    named = keyed.join(kept, ["doc", "th"])
+    once = named.where("copies = 1").select("row")
+    # only rows that are there several times are compared as a whole
+    several = named.where("copies > 1").groupBy("doc", "th").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row")
+    return once.unionByName(several).unionByName(keyed.where("doc IS NULL").select("row")).select("row.*")

@@ -13,11 +13,14 @@ as many words, and extended the same way.
 The benchmark's fingerprints, and the keys (two numbers) of the documents that are
 hit, are broadcast up to ``BROADCAST_ROWS`` rows; beyond that the joins shuffle both
 sides. Documents of more than ``CHUNK``
-words are hashed in chunks that overlap by a window, so memory is bounded.
+words are hashed in chunks that overlap by a window, and the alignments of a document are
+extended a block of ``BLOCK`` words at a time, each with only the words it may reach, so
+memory is bounded and the work on periodic text grows with its length.
 
 Edge cases: NULL and blank texts have no words and no hits; an item without
 words or id never hits; repeated items count once; repeated documents each get
-their row; a NULL ``doc_id`` is kept; other columns are ignored.
+their row; a NULL ``doc_id`` is kept; other columns are ignored, whatever their names
+(``drop_contaminated`` keeps them as they are).
 """
 
 from __future__ import annotations
@@ -25,17 +28,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortium.llm.common import doc_texts, stored
+from cohortium.llm.common import doc_texts, packed_rows, stored, text_key
 
 WINDOW = 10
 GRAM = 5
 CHUNK = 20_000
+BLOCK = 4096
 BROADCAST_ROWS = 200_000
-BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _split(text: Column) -> Column:
+    """Words as they are spelt: capitals are letters here, as if lower-cased."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BREAKS), "")
 
 
@@ -43,18 +48,19 @@ def exact_words(text: Column) -> Column:
     return _split(F.translate(text, UPPER, LOWER))
 
 
-def scan_words(text: Column) -> Column:
-    """As many words as ``exact_words`` in the same places. ``lower`` is many times
-    faster than ``translate`` and equal words stay equal under it; it may also
-    equate words that differ in a non-ASCII capital, which extension tells apart."""
-    return _split(F.lower(text))
+def word_hashes(text: Column) -> Column:
+    """A hash for each of ``exact_words``, in the same places. ``lower`` is many times
+    faster than ``translate``. It is taken of each word by itself, as the lower case of a
+    letter may depend on its neighbours (a final sigma does), so equal words have equal
+    hashes; it may also equate words that differ in a non-ASCII capital, which extension
+    tells apart."""
+    return F.transform(_split(text), lambda w: F.xxhash64(F.lower(w)))
 
 
 def _grams(texts: DataFrame, key: list[str], behind: int, ahead: int) -> DataFrame:
     """A row per word position: ``pos`` and the word hashes ``h0..`` of the next
     ``ahead`` words, with ``behind`` (0 or 1) words before them. NULL past the ends."""
-    hashes = F.transform(scan_words(F.col("text")), lambda w: F.xxhash64(w))
-    x = texts.select(*key, hashes.alias("_h"))
+    x = texts.select(*key, word_hashes(F.col("text")).alias("_h"))
     x = x.withColumn("_at", F.explode(F.sequence(F.lit(0), F.greatest(F.size("_h") - 1, F.lit(0)), F.lit(CHUNK))))
     # chunk: its own positions and the ``ahead - 1`` words after them
     chunk = F.slice("_h", F.col("_at") + 1, F.lit(CHUNK + ahead - 1))
@@ -136,14 +142,26 @@ def occurrences(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW
         found = _whole(docs, key, n).join(_sized(short, BROADCAST_ROWS), "fp")
         hits = hits.unionByName(found.select(*key, *ikey, F.col("pos").alias("delta")))
     hits = stored(hits.distinct(), "hits")
-    at = hits.groupBy(*key).agg(F.collect_list(F.struct(*ikey, "delta")).alias("at"))
     # few documents are hit: their keys filter the texts before any text is shuffled
     near = docs.select(*key, "text").join(_sized(stored(hits.select(*key).distinct(), "hit-keys"), BROADCAST_ROWS), key, "left_semi")
-    near = near.join(at.hint("merge"), key).dropDuplicates(key)
-    near = near.select(*key, exact_words(F.col("text")).alias("words"), F.explode("at").alias("at")).select(*key, "words", "at.*")
-    low = F.greatest(F.lit(0), -F.col("delta"))
-    size = F.least(F.col("n"), F.size("words") - F.col("delta")) - low
-    near = near.select(*key, *ikey, "delta", low.alias("low"), F.slice("words", F.col("delta") + low + 1, size).alias("part"))
+    longest = items.agg(F.max("n")).first()[0] or 0
+    near = near.select(*key, exact_words(F.col("text")).alias("words"))
+    # a row per block: its own words and as many more as an item may reach
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(BLOCK)), lambda b: F.struct(
+        b.alias("first"), F.slice("words", b + 1, F.lit(BLOCK + longest)).alias("words"), F.size("words").alias("size")))
+    near = near.select(*key, F.explode(blocks).alias("block")).select(*key, "block.*").dropDuplicates([*key, "first"])
+    start = F.greatest(F.col("delta"), F.lit(0))
+    at = hits.withColumn("first", start - start % BLOCK).groupBy(*key, "first").agg(F.collect_list(F.struct(*ikey, "delta")).alias("at"))
+    near = near.join(at.hint("merge"), [*key, "first"])
+
+    def part(a: Column) -> Column:
+        """An alignment with the document's words that stand against the item's."""
+        low = F.greatest(F.lit(0), -a["delta"])
+        size = F.least(a["n"], F.col("size") - a["delta"]) - low
+        return F.struct(*(a[c].alias(c) for c in (*ikey, "delta")), low.alias("low"),
+                        F.slice("words", a["delta"] + low - F.col("first") + 1, size).alias("part"))
+
+    near = near.select(*key, F.explode(F.transform("at", part)).alias("a")).select(*key, "a.*")
     near = near.join(_sized(items.select("item", "ith", F.col("words").alias("iw")), BROADCAST_ROWS // 20), ["item", "ith"])
     equal = F.array_join(F.zip_with("part", F.slice("iw", F.col("low") + 1, F.size("part")),
                                     lambda a, b: F.when(a == b, F.lit("1")).otherwise(F.lit("0"))), "")
@@ -160,7 +178,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     n_hit = words.select(*key, (F.col("start") + F.col("i")).alias("word")).distinct().groupBy(*key).agg(F.count("*").alias("n_hit"))
     items = found.groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items"))
     hit = n_hit.join(items, key)
-    every = docs.select("doc_id", *key, F.size(scan_words(F.col("text"))).cast("long").alias("n_words"))
+    every = docs.select("doc_id", *key, F.size(_split(F.col("text"))).cast("long").alias("n_words"))
     every = every.join(hit, key, "left")
     none = F.array().cast("array<string>")
     return every.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
@@ -171,6 +189,5 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any hit, all columns kept."""
     _, found = occurrences(documents, benchmark)
     bad = _sized(stored(found.select("doc", "th").distinct(), "bad-keys"), BROADCAST_ROWS)
-    keyed = documents.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
-                                   "_th": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    return keyed.join(bad, (F.col("_doc") == F.col("doc")) & (F.col("_th") == F.col("th")), "left_anti").drop("_doc", "_th")
+    keyed = packed_rows(documents).select("row", *text_key())
+    return keyed.join(bad, ["doc", "th"], "left_anti").select("row.*")

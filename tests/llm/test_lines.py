@@ -117,3 +117,55 @@ def test_a_line_found_earlier_alone_does_not_split_a_block(spark):
     got = {r.doc_id: r for r in L.dedupe_lines(documents(spark, texts)).collect()}
     assert [got[i].text for i in range(3)] == [texts[0], texts[1], line(14) + "\n" + line(15)]
     assert got[2]._partners == [1]
+
+
+def test_nothing_goes_without_the_alignment(spark, monkeypatch):
+    """The lines cut are those that patience aligns: without it no text changes."""
+    docs = [[(i, rnd_h) for i, rnd_h in enumerate(hs)] for hs in ([1, 2, 3, 1], [3, 1, 2, 9, 1])]
+    found = {a for aligned in L._stretches(docs[1], docs[0]) for a, _ in aligned}
+    assert found == {0, 1, 2, 4}
+    monkeypatch.setattr(L, "patience", lambda later, earlier: [])
+    assert not list(L._stretches(docs[1], docs[0]))
+    match = {"p_doc": 0, "p_th": 0, "h": 1, "at": [0], "after": [-1], "lead": True, "p_at": [0]}
+    assert L._doomed([match]) == ([], [])
+
+
+def test_repeats_are_aligned_in_few_steps():
+    """Every common run is aligned, with alignments whose sizes add up to little more than linear."""
+    rnd = random.Random(2)
+    for _ in range(100):
+        earlier = [(i, rnd.randint(0, 9)) for i in range(rnd.randint(1, 12))]
+        later = [(i, rnd.randint(0, 12)) for i in range(rnd.randint(1, 40))]
+        held = {h for _, h in earlier}
+        assert {a for al in L._stretches(later, earlier) for a, _ in al} == {a for a, h in later if h in held}
+    work = []
+    real = L.patience
+
+    def counted(a, b):
+        work.append(len(a) + len(b))
+        return real(a, b)
+
+    L.patience = counted
+    try:
+        n = 4000
+        later, earlier = [(i, i % 7) for i in range(n)], [(i, i % 7) for i in range(50)]
+        assert sum(len(a) for a in L._stretches(later, earlier)) == n
+    finally:
+        L.patience = real
+    assert sum(work) < 40 * n
+
+
+CLASH = ("gone", "partners", "_key", "_removed", "_partners", "doc", "th", "_doc", "_th", "row", "removed", "lines", "copies", "fp", "leader")
+
+
+def test_clashing_columns_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    block = "\n".join(line(k) for k in range(3))
+    df = documents(spark, [block, block + "\n" + line(8), "own"]).withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASH})
+    for got in (L.dedupe_lines(df), L.cut_lines(df)):
+        rows = {r.doc_id: r for r in got.collect()}
+        assert len(rows) == 3 and rows[1].text == line(8)
+        assert all(rows[i][c] == f"{c}{i}" for i in rows for c in CLASH)
+    assert L.cut_lines(df).columns == df.columns and L.dedupe_lines(df).columns == [*df.columns, "__removed", "__partners"]
+    assert {r.doc_id: r.n_chars for r in L.cut_lines(df).collect()}[1] == len(line(8))

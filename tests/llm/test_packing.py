@@ -16,9 +16,7 @@ from .frames import SF01, awkward, empty
 def tok():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def check(rows, docs, tok, capacity):
@@ -83,3 +81,10 @@ def test_batches_equal_the_library(tok):
 def test_best_fit_takes_the_fullest_bin_that_fits():
     bins, places, fills = B.best_fit(np.array([6, 5, 4, 3, 2]), 10)
     assert fills == [10, 10] and bins.tolist() == [0, 1, 0, 1, 1] and places.tolist() == [0, 0, 6, 5, 8]
+
+
+def test_added_tokens_spelt_out_in_a_text(spark, tok):
+    texts = ["hello <|endoftext|> there", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext", "x  <|endoftext|>\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(B.pack_documents(df, tokenizer_path()).collect(), list(enumerate(texts)), tok, B.CAPACITY)
+    assert B.Tokens(tokenizer_path()).encode(texts[0]).tolist().count(50256) == 1

@@ -103,3 +103,19 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001), (5, 5), (None, 3)], "a long, b long")
     got = {r.node: r.root for r in S.connected_components(links).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 1000: 1000, 1001: 1000}
+
+
+def test_one_id_with_two_texts_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    from .test_lines import CLASH
+
+    texts = [(1, "a quick brown fox jumps over it"), (5, "a quick brown fox jumps over it"), (5, "another text of its own here"), (7, "another text of its own here"),
+             (8, None), (None, "a quick brown fox jumps over it"), (9, "third one entirely different words"), (9, "third one entirely different words")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("extra", F.monotonically_increasing_id() % 2)
+    df = df.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))) for c in CLASH})
+    got = S.keep_one_per_group(df)
+    rows = got.collect()
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in rows), key=repr) == sorted([texts[0], texts[2], texts[4], texts[5], texts[6]], key=repr)
+    assert all(r[c] == f"{c}{'?' if r.doc_id is None else r.doc_id}" for r in rows for c in CLASH)

@@ -116,3 +116,36 @@ def test_a_gram_is_kept_once(spark):
     text = " ".join(f"w{rnd.randint(0, 10 ** 6)}" for _ in range(2000))
     rows = W.winnow(documents(spark, [text]), ["doc_id"]).collect()
     assert len(rows) == len({r.pos for r in rows}) < 2000 / 2
+
+
+def test_letters_whose_lower_case_depends_on_neighbours(spark):
+    """A capital sigma at a word's end: the contract's words are equal, whatever stands behind them."""
+    eleven = " ".join(f"w{i}" for i in range(9)) + " ΟΔΟΣ ΑΒ"
+    docs = documents(spark, ["ΟΔΟΣ.Α τεστ", "x " + eleven.replace("ΟΔΟΣ ΑΒ", "ΟΔΟΣ.ΑΒ") + " y", "οδος"])
+    items = spark.createDataFrame([(1, "ΟΔΟΣ"), (2, eleven)], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in W.contamination(docs, items).collect()}
+    assert got == {0: (3, 1, ["1"]), 1: (13, 11, ["1", "2"]), 2: (1, 0, [])}
+
+
+def test_periodic_texts_and_block_edges(spark, monkeypatch):
+    """Alignments in every block of a text, items that reach over a block's end."""
+    monkeypatch.setattr(W, "BLOCK", 16)
+    item = "same " * 25
+    other = " ".join(f"u{i}" for i in range(40))
+    docs = documents(spark, ["same " * 300, "q " * 13 + other + " r" * 13, other, "same " * 9, "q " * 16 + "same " * 10])
+    items = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in W.contamination(docs, items).collect()}
+    assert got == {0: (300, 300, ["1"]), 1: (66, 40, ["2"]), 2: (40, 40, ["2"]), 3: (9, 0, []), 4: (26, 10, ["1"])}
+
+
+def test_clashing_columns_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    from .test_lines import CLASH
+
+    item = " ".join(f"u{i}" for i in range(12))
+    df = documents(spark, [item, "own words only", None]).withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASH})
+    got = W.drop_contaminated(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert got.columns == df.columns
+    rows = {r.doc_id: r for r in got.collect()}
+    assert set(rows) == {1, 2} and all(rows[i][c] == f"{c}{i}" for i in rows for c in CLASH)
