@@ -7,13 +7,16 @@ next one, so a lost executor costs a re-read of that table.
 
 Edge cases follow the operators: NULL and letterless texts are rejected by language
 ID; a document whose lines all repeat earlier ones goes on with an empty text; rows
-without an id pass the near-duplicate stage; an empty table gives an empty result.
+without an id pass the near-duplicate stage; of rows that repeat id and text one passes
+it, and of documents that tie for a group's smallest id the one whose text has the
+smaller hash; very long texts go through whole, in bounded pieces; extra columns, also
+of names that the operators use inside, are kept as they are until packing; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortium.deploy import ship_package
 from cohortium.llm import bestfit_packing, kn_langid, line_alignment, simhash_wildcards, winnowing
@@ -35,12 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks of lines that repeat an earlier document are cut from ``text``; ``n_chars`` follows."""
     ship_package(spark)
-    cut = line_alignment.dedupe_lines(docs)
-    changed = F.size("_removed") > 0
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    return line_alignment.cut_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
