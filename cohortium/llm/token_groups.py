@@ -3,19 +3,19 @@
 A document is the set of its distinct shingles (64-bit hashes of ``SHINGLE`` words). Equal
 sets are one class with one representative; everything below works on classes.
 
-1. **Token order.** Shingles are counted over all documents in ``SLOTS`` hash slots. The
-   slots only order the tokens (rare ones first, equal ones by hash), so a collision
-   costs time but never a link.
+1. **Token order.** Shingles are counted over all documents in hash slots. The slots only
+   order the tokens (rare ones first, equal ones by hash), so a collision costs time but
+   never a link.
 2. **Prefixes.** Two sets of sizes a <= b that link share a token among the first
    b - ceil(0.8 b) + 1 of the larger one and the first a - ceil(8a / 9) + 1 of the smaller
    one, in any common order. Classes none of whose prefix tokens is in another class's
    prefix are done.
-3. **Groups.** The rest is partitioned by the first such token (near copies mostly agree
-   on it); a group of more than ``GROUP`` sets or ``GROUP_TOKENS`` tokens is cut by a hash.
-   A group is opened against itself: every pair of it is compared, and the links of a
-   spanning forest are kept. The smallest member of each component of ``FAMILY`` members
-   or more meets the others by its first ``PIVOT_TOKENS`` tokens the same way, so that a
-   large family of near copies is one component before the next step.
+3. **Groups.** The rest is partitioned by the prefix token that most classes share (near
+   copies mostly agree on it); a group of more than ``GROUP`` sets or ``GROUP_TOKENS``
+   tokens is cut by a hash. A group is opened against itself: every pair of it is compared,
+   and the links of a spanning forest are kept. Groups that were cut are cut a second time
+   by another hash, so that the parts of a large family of near copies meet, and the family
+   is mostly one component before the next step.
 4. **Matrix.** A row (token, group) for every prefix token of a group's members, with the
    range of their sizes and components. Queries are joined to it by their own prefix
    tokens; what has one component on both sides is left out.
@@ -40,6 +40,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -53,12 +54,11 @@ from cohortium.llm.components import connected_components
 
 SHINGLE = 5
 PERCENT = 80
-SLOTS = 1 << 22
+SLOT_TOKENS = 8
+MIN_SLOTS, MAX_SLOTS = 1 << 16, 1 << 25
 SLOT_BLOCK = 1 << 16
 GROUP = 128
 GROUP_TOKENS = 4_000_000
-FAMILY = 8
-PIVOT_TOKENS = 4
 QUERIES = 2000
 BROADCAST_ROWS = 200_000
 KNOWN_WORDS = 500_000
@@ -102,24 +102,24 @@ def query_prefix(n: int, percent: int = PERCENT) -> int:
 # -- token order ---------------------------------------------------------------
 
 
-def _slot(toks: np.ndarray) -> np.ndarray:
-    return toks.view("u8") >> np.uint64(64 - SLOTS.bit_length() + 1)
+def _slot(toks: np.ndarray, slots: int) -> np.ndarray:
+    return (toks.view("u8") >> np.uint64(64 - slots.bit_length() + 1)).astype("i4")
 
 
-def _count_slots(shingle: int):
+def _count_slots(shingle: int, slots: int):
     def run(batches):
-        known, sums = WordHashes(), np.zeros(SLOTS, "i4")
+        known, sums = WordHashes(), np.zeros(slots, "i4")
         for b in batches:
             held, size = [], 0
             for text in b.column("text").to_pylist():
-                held.append(_slot(tokens(text, known, shingle)).astype("i4"))
+                held.append(_slot(tokens(text, known, shingle), slots))
                 size += len(held[-1])
-                if size > SLOTS:
-                    sums += np.bincount(np.concatenate(held), minlength=SLOTS).astype("i4")
+                if size > slots // 4:
+                    np.add.at(sums, np.concatenate(held), 1)
                     held, size = [], 0
             if size:
-                sums += np.bincount(np.concatenate(held), minlength=SLOTS).astype("i4")
-        for block in range(SLOTS // SLOT_BLOCK):
+                np.add.at(sums, np.concatenate(held), 1)
+        for block in range(slots // SLOT_BLOCK):
             part = sums[block * SLOT_BLOCK:(block + 1) * SLOT_BLOCK]
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], names=["block", "counts"])
@@ -137,17 +137,23 @@ def _sum_slots(batches):
 
 
 def token_levels(texts: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
-    """How frequent the tokens of each slot are, as a small number: 0 up to eight times the
-    mean of all slots, one more for every doubling. ``SLOTS`` numbers to the driver."""
+    """How frequent the tokens of each slot are, as a small number: 0 up to some three times
+    the mean of all slots, two more for every doubling.
+
+    There is a slot for about ``SLOT_TOKENS`` shingles (``MAX_SLOTS`` at most), so that a level
+    stands for the same number of documents at every size. A number per slot to the driver.
+    """
     spark = texts.sparkSession
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    slots = min(MAX_SLOTS, max(MIN_SLOTS, 1 << round(math.log2(1 + chars / 6 / SLOT_TOKENS))))
     schema = "block int, counts binary"
-    each = texts.select("text").mapInArrow(_count_slots(shingle), schema)
-    rows = each.repartition(min(parts(spark), SLOTS // SLOT_BLOCK), "block").mapInArrow(_sum_slots, schema).collect()
-    counts = np.zeros(SLOTS, "f4")
+    each = texts.select("text").mapInArrow(_count_slots(shingle, slots), schema)
+    rows = each.repartition(min(parts(spark), slots // SLOT_BLOCK), "block").mapInArrow(_sum_slots, schema).collect()
+    counts = np.zeros(slots, "f4")
     for r in rows:
         counts[r.block * SLOT_BLOCK:(r.block + 1) * SLOT_BLOCK] = np.frombuffer(r.counts, "f4")
-    unit = 4 * max(0.5, float(counts.mean(dtype="f8")))
-    return np.log2(np.maximum(1.0, counts / unit)).astype("u1")
+    mean = max(0.5, float(counts.mean(dtype="f8")))
+    return (2 * np.log2(np.maximum(1.0, counts / (2 * mean)))).astype("u1")
 
 
 # -- sets and prefixes ---------------------------------------------------------
@@ -185,7 +191,7 @@ def _prefixes(shared, shingle: int, percent: int):
             for doc_id, doc, th, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "doc", "th", "text"))):
                 toks = tokens(text, known, shingle)
                 # equal levels stay in the order of the hashes
-                order = np.argsort(levels[_slot(toks).astype("i4")], kind="stable")
+                order = np.argsort(levels[_slot(toks, len(levels))], kind="stable")
                 rows.append((doc_id, doc, th, len(toks), _set_id(toks), parity_bits(toks), toks[order[:query_prefix(len(toks), percent)]] if len(toks) else toks))
                 size += len(rows[-1][-1])
                 if size > BATCH_TOKENS:
@@ -383,11 +389,10 @@ def _streamed(rows: DataFrame, fn, schema: str) -> DataFrame:
     return met.mapInArrow(fn, schema)
 
 
-def _cut(rows: DataFrame) -> DataFrame:
-    """(grp, sid) of rows (key, sid, n): groups by key, large ones cut by a hash."""
-    sizes = rows.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / GROUP_TOKENS)).alias("k")).where("k > 1")
-    cut = rows.join(stored(sizes, "group-sizes"), "key", "left")
-    part = F.coalesce(F.pmod(F.xxhash64("sid"), F.col("k")), F.lit(0))
+def _cut(heads: DataFrame, sizes: DataFrame, seed: int) -> DataFrame:
+    """(grp, sid, n) of rows (key, sid, n): groups by key; those in ``sizes`` (key, k) cut into k by a hash."""
+    cut = heads.join(sizes, "key", "left")
+    part = F.coalesce(F.pmod(F.xxhash64("sid", F.lit(seed)), F.col("k")), F.lit(0))
     return cut.select(F.xxhash64("key", part.cast("long")).alias("grp"), "sid", "n")
 
 
@@ -442,22 +447,22 @@ def jaccard_components(documents: DataFrame, shingle: int = SHINGLE, percent: in
     classes = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_doc"), F.min(who).alias("who"), one)
     classes = stored(classes.select("sid", "first_doc", "who", "one.*"), "classes")
     each = classes.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
-    mixed = each.groupBy("token").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("token")
-    active = stored(each.join(_sized(stored(mixed, "mixed-tokens")), "token", "left_semi"), "active")
-    heads = stored(active.groupBy("sid").agg(F.max("n").alias("n"), F.min_by("token", "pos").alias("key")), "heads")
+    # a class holds a token once, so the count is that of classes
+    mixed = each.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    active = stored(each.join(_sized(stored(mixed, "mixed-tokens")), "token"), "active")
+    heads = stored(active.groupBy("sid").agg(F.max("n").alias("n"), F.max_by("token", F.struct("df", "token")).alias("key")), "heads")
     sets = Sets(docs, classes, shingle, percent)
 
-    groups = stored(_cut(heads), "groups")
+    sizes = heads.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / GROUP_TOKENS)).alias("k"))
+    sizes = stored(sizes.where("k > 1"), "group-sizes")
+    groups = stored(_cut(heads, sizes, 0), "groups")
     links = sets.within(groups.select("grp", "sid"), "links-within")
-    labels = stored(_components(groups, links), "labels")
-    families = stored(labels.groupBy("comp").count().where(F.col("count") >= FAMILY).select(F.col("comp").alias("sid")), "families")
-    near = active.join(families, "sid").groupBy("sid", "n").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, PIVOT_TOKENS).alias("t"))
-    pivots = _cut(stored(near.select("sid", "n", F.explode("t.token").alias("key")), "pivot-keys"))
-    links = links.unionByName(sets.within(pivots.select("grp", "sid").distinct(), "links-pivots"))
+    again = heads.join(sizes.select("key"), "key", "left_semi")
+    links = links.unionByName(sets.within(_cut(again, sizes, 1).select("grp", "sid"), "links-again"))
     labels = stored(_components(groups, links), "labels")
 
     # the matrix, of tokens that still join different components
-    known = active.join(labels.select("sid", "grp", "comp"), "sid")
+    known = active.drop("df").join(labels.select("sid", "grp", "comp"), "sid")
     open_tokens = known.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("token")
     known = stored(known.join(_sized(stored(open_tokens, "open-tokens")), "token", "left_semi"), "queries")
     # under its index prefix a set is found by sets that are no smaller
