@@ -9,9 +9,11 @@ from cohortium.entries.cleaning import (ACT_NORM, CLEAN_ACTIVITY_CTES, CLEAN_NPS
                                          RAW_ONB_CTES)
 from cohortium.entries.rounding import snap6, snapped
 from cohortium.entries.subscriptions import _CURRENT_SQL
+from cohortium.plans import active_users as U
 from cohortium.plans import activity as A
 from cohortium.plans import cleaning as C
 from cohortium.plans import subscriptions as S
+from cohortium.session import ensure_checkpoint_dir
 from cohortium.sources import bindings as B
 from cohortium.sources.bindings import TEST_STEPS, TEST_TIERS, sql_with
 
@@ -70,6 +72,20 @@ def feature_dau(spark, d):
     return snapped(A.feature_dau(_activity(spark, d)), "avg_dau")
 
 
+_USERS_SQL = " UNION ALL ".join(f"""SELECT '{p}' AS period, CAST(date_trunc('{p}', ts) AS DATE) AS start, {f} AS feature,
+       COUNT(DISTINCT customer_id) AS users FROM seen GROUP BY ALL""" for p in U.PERIODS for f in ("event_type", f"'{U.ALL}'"))
+
+
+@register("active_users", sql_with(["activity_docs"], _USERS_SQL, ACT_CTES + [
+    ("seen", "SELECT event_type, ts, customer_id FROM activity WHERE event_type IS NOT NULL AND customer_id IS NOT NULL AND ts IS NOT NULL")]))
+def active_users(spark, d):
+    """Daily, weekly and monthly users of every feature from one stored table of bitmaps."""
+    ensure_checkpoint_dir(spark)
+    events = _activity(spark, d).select("event_type", "ts", "customer_id").checkpoint()
+    bitmaps = U.feature_day_bitmaps(events, U.user_numbers(events)).checkpoint()
+    return U.active_users(bitmaps)
+
+
 def _retention_sql(days):
     return sql_with(["activity_docs"], f"""
 SELECT event_type AS feature, COUNT(*) AS total_users, CAST(SUM(retained) AS BIGINT) AS retained_users,

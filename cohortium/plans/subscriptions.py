@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortium.functions.numeric import safe_div, snap_round
+from cohortium.operators.intervals import points_in_spans
 from cohortium.operators.ordinals import Key, lag_within_groups, within_group_ordinals
 
 # Fixed values from the reference: tier order, lowest first.
@@ -307,3 +308,14 @@ def churn_rate_rolling(subs_end: DataFrame, plans: DataFrame, as_of=None) -> Dat
         F.when(F.col("_rate") * F.col("_n3") > F.col("_sum3") * 2, F.lit(ALERT)).otherwise(F.lit("Normal"))
         .alias("churn_flag"),
     ).orderBy("plan_tier", "churn_month")
+
+
+def tickets_in_subscription(subs_end: DataFrame, tickets: DataFrame) -> DataFrame:
+    """(subscription, ticket) pairs of a customer: tickets on a day of the subscription's span.
+
+    Spans have any length and may be open; the pairs come from an equi-join on dyadic runs
+    of days (:mod:`cohortium.operators.intervals`).
+    """
+    spans = subs_end.select("subscription_id", "customer_id", "start_date", "end_date")
+    found = points_in_spans(spans, tickets.select("ticket_id", "customer_id", "created_at"), ["customer_id"], "start_date", "end_date", "created_at")
+    return found.withColumn("days_in", F.datediff(F.col("created_at").cast("date"), "start_date"))
