@@ -20,6 +20,7 @@ from cohortium.plans import cleaning as C
 from cohortium.plans import customer360 as X
 from cohortium.plans import marts as M
 from cohortium.plans import segments as G
+from cohortium.plans import slices as L
 from cohortium.plans import stats as T
 from cohortium.plans import subscriptions as S
 from cohortium.session import ensure_checkpoint_dir
@@ -57,6 +58,8 @@ def export_dashboard(r: Roles, out_dir: str, as_of=None, k: int = 4, seeds=range
     """
     ensure_checkpoint_dir(r.customers.sparkSession)
     c360 = build_customer_360(r).checkpoint(eager=True)
+    # events are cleaned once: the engagement mart and the quality report read the stored rows
+    staged = C.staged_activity(r.activity_docs, r.customers).checkpoint(eager=True)
     feats = G.segment_features(c360, as_of)
     segs = G.segment_customers(feats, k=k, seeds=seeds)
     master = (c360.join(feats.select("customer_id", "recency_days"), "customer_id", "left")
@@ -70,7 +73,7 @@ def export_dashboard(r: Roles, out_dir: str, as_of=None, k: int = 4, seeds=range
         "monthly_churn_by_tier": M.mart_monthly_churn(r.subscriptions, r.plans),
         "support_tickets": M.mart_support_tickets(r.tickets, C.clean_customers(r.customers),
                                                   S.current_subscription_lastvalue(r.subscriptions), r.plans),
-        "monthly_engagement": M.mart_monthly_engagement(C.clean_activity(r.activity_docs, r.customers)),
+        "monthly_engagement": M.mart_monthly_engagement(C.activity_from_staged(staged)),
         "plans": M.mart_plans(r.plans),
         "churn_reasons": M.mart_churn_reasons(master),
         "kpi_cards": M.kpi_cards(master),
@@ -78,10 +81,17 @@ def export_dashboard(r: Roles, out_dir: str, as_of=None, k: int = 4, seeds=range
         "chi_square_test": T.chi_square_engagement(c360),
         "churn_contingency": T.churn_contingency(c360),
         "segment_profile": G.name_segments(G.segment_profile(master)),
+        "quality_report_activity": C.report_from_staged(staged),
+        "quality_report_nps": C.quality_report_nps(r.nps_docs),
+        "quality_report_onboarding": C.quality_report_onboarding(r.onboarding_docs),
+        "quality_report_customers": C.quality_report_customers(r.customers),
+        "kpi_cube": L.kpi_cube(L.kpi_cells(master)),
+        "churn_reason_cube": L.churn_reason_cube(master),
     }
     paths = {}
     bounded = {"monthly_churn_by_tier", "monthly_engagement", "plans", "kpi_cards", "welch_test",
-               "chi_square_test", "churn_contingency", "segment_profile"}
+               "chi_square_test", "churn_contingency", "segment_profile", "quality_report_activity", "quality_report_nps",
+               "quality_report_onboarding", "quality_report_customers", "kpi_cube", "churn_reason_cube"}
     for name, df in out.items():
         paths[name] = write_mart(df, f"{out_dir}/{name}", fmt="csv", single_file=name in bounded)
     return paths

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from cohortium.functions.ids import ACTIVITY_ID_ALIASES, SURVEY_ID_ALIASES, normalized_customer_id
 from cohortium.functions.text import compact_name, normalize_company_name, strip_ws
 from cohortium.functions.time import parse_mixed_timestamp, parse_with_default
-from cohortium.operators.scalars import attach_one_row
 
 # Fixed value from the reference: the one customer id flagged as a known duplicate.
 DEFAULT_FLAGGED_IDS = [1202]
@@ -51,14 +50,18 @@ def name_duplicates(accounts: DataFrame, key_fn=compact_name) -> DataFrame:
 
 
 def quality_report_customers(customers: DataFrame, flagged_ids=DEFAULT_FLAGGED_IDS) -> DataFrame:
-    """Defect counts before cleaning: rows, repeated names, empty/NULL names, flagged ids."""
-    d = name_duplicates(customers)
-    return d.agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        F.count_if(F.col("is_duplicate_name")).alias("duplicate_name_rows"),
-        F.count_if(F.col("company_name").isNull() | (strip_ws(F.col("company_name")) == "")).alias("empty_or_null_names"),
-        F.count_if(F.col("customer_id").isin(*flagged_ids)).alias("flagged_duplicates"),
-    )
+    """Defect counts before cleaning: rows, repeated names, empty/NULL names, flagged ids.
+
+    One scan: customers are counted per normalised name, and the names are summed up.
+    """
+    name = F.col("company_name")
+    per_name = customers.groupBy(compact_name(name)).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(name.isNull() | (strip_ws(name) == "")).alias("blank"),
+        F.count_if(F.col("customer_id").isin(*flagged_ids)).alias("flagged"))
+    return per_name.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_name_rows"),
+        F.coalesce(F.sum("blank"), F.lit(0)).alias("empty_or_null_names"), F.coalesce(F.sum("flagged"), F.lit(0)).alias("flagged_duplicates"))
 
 
 def _time(docs: DataFrame, default_ts=None) -> F.Column:
@@ -110,22 +113,46 @@ def clean_activity(docs: DataFrame, customers: DataFrame, subset=None, default_t
     return prepared_activity(docs, subset, default_ts).join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
-def quality_report_activity(docs: DataFrame, customers: DataFrame) -> DataFrame:
+def counted_rows(df: DataFrame, subset=None) -> DataFrame:
+    """:func:`dedupe_exact_rows` that remembers, in ``_copies``, how many rows became one."""
+    keys = subset or df.columns
+    rest = [F.first(c).alias(c) for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), *rest).select(*df.columns, "_copies")
+
+
+def staged_activity(docs: DataFrame, customers: DataFrame, subset=None, default_ts=None) -> DataFrame:
+    """Every distinct normalised event with ``_copies`` and ``_known`` (is its id a customer?).
+
+    Written once (see :mod:`cohortium.jobs`) this table gives the cleaned events and their
+    quality report without running the parsing, the de-duplication or the join again.
+    Counts come from stored rows, not from metrics collected along the way, which a retried
+    stage would add up twice.
+    """
+    n = counted_rows(normalize_activity(docs, default_ts=default_ts), subset)
+    known = customers.select("customer_id", F.lit(True).alias("_known")).where("customer_id IS NOT NULL").distinct()
+    return n.join(known, "customer_id", "left").select(*n.columns, F.coalesce("_known", F.lit(False)).alias("_known"))
+
+
+def activity_from_staged(staged: DataFrame) -> DataFrame:
+    """:func:`clean_activity` of the events in ``staged``."""
+    dur = F.coalesce(F.col("session_duration").cast("double"), F.lit(0.0))
+    return staged.where("_known").drop("_copies", "_known").withColumn("session_duration", F.when(dur < 0, F.lit(0.0)).otherwise(dur))
+
+
+def report_from_staged(staged: DataFrame) -> DataFrame:
     """Row and defect counts around each activity cleaning step (one row)."""
-    n = normalize_activity(docs)
-    d = dedupe_exact_rows(n)
-    ids = customers.select(F.col("customer_id").alias("_cid"), F.lit(True).alias("_known"))
-    j = d.join(ids, d.customer_id == ids._cid, "left")
-    known = F.col("_known").isNotNull()
-    before = n.agg(F.count(F.lit(1)).alias("rows_before"))
-    after = j.agg(
-        F.count(F.lit(1)).alias("rows_after_dedupe"),
+    known = F.col("_known")
+    return staged.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after_dedupe"),
         F.count_if(~known).alias("orphan_rows"),
         F.count_if(known & F.col("session_duration").isNull()).alias("null_durations"),
         F.count_if(known & (F.col("session_duration") < 0)).alias("negative_durations"),
-        F.count_if(known).alias("rows_after"),
-    )
-    return attach_one_row(before, after)
+        F.count_if(known).alias("rows_after"))
+
+
+def quality_report_activity(docs: DataFrame, customers: DataFrame) -> DataFrame:
+    """:func:`report_from_staged` in one scan of the documents."""
+    return report_from_staged(staged_activity(docs, customers))
 
 
 def clean_nps(docs: DataFrame, aliases=SURVEY_ID_ALIASES, default_ts=None) -> DataFrame:
@@ -158,19 +185,21 @@ def clean_onboarding(docs: DataFrame, aliases=SURVEY_ID_ALIASES, default_ts=None
 
     A missing step stays NULL (it is not turned into a step named 'nan').
     """
+    return dedupe_exact_rows(normalize_onboarding(docs, aliases, default_ts))
+
+
+def normalize_onboarding(docs: DataFrame, aliases=SURVEY_ID_ALIASES, default_ts=None) -> DataFrame:
     step_cols = [F.col(c) for c in ("step", "event_step") if c in docs.columns]
     step = F.lower(strip_ws(F.coalesce(*step_cols))) if step_cols else F.lit("unknown")
     ts = _time(docs, default_ts)
-    n = docs.withColumns({"customer_id": normalized_customer_id(docs, aliases), "ts": ts, "step": step}) \
+    return docs.withColumns({"customer_id": normalized_customer_id(docs, aliases), "ts": ts, "step": step}) \
         .drop("timestamp", "event_step")
-    return dedupe_exact_rows(n)
 
 
 def quality_report_onboarding(docs: DataFrame) -> DataFrame:
-    """Rows before and after the exact-duplicate removal (one row)."""
-    before = docs.agg(F.count(F.lit(1)).alias("rows_before"))
-    after = clean_onboarding(docs).agg(F.count(F.lit(1)).alias("rows_after"))
-    one = attach_one_row(before, after)
+    """Rows before and after the exact-duplicate removal (one row, one scan)."""
+    n = counted_rows(normalize_onboarding(docs))
+    one = n.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
     return one.withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after"))
 
 
