@@ -2,12 +2,18 @@
 
 The prefix array H[i] = sum of c[j] * B^j (mod p) over j < i answers whether
 two spans are equal (difference of two entries, shifted), and a binary search
-over it finds the longest common extension of two positions. A fingerprint
-keeps H at block ends, counted from the start and from the end, on a grid of
-power-of-two steps (at most ``GRID`` blocks), the length and a 62-bit hash of
-the whole text. Two fingerprints are compared on the coarser of their grids:
-their longest common prefix and suffix by binary search, then every further
-block that lies at the same distance from the start or from the end.
+over it finds the longest common extension of two positions, forwards or back.
+The stored fingerprint keeps H at block ends, counted from the start and from the
+end, on a grid of power-of-two steps (at most ``GRID`` blocks), the length and a
+62-bit hash of the whole text.
+
+How alike two documents are is found on their whole prefix arrays, which the sorted
+stream holds for a document and the next one: the common beginning and end, and then
+every stretch that both hold, wherever it stands. Stretches are met at anchors (``GRAM`` characters whose
+hash, taken from the prefix array, is the smallest of some ``ANCHOR`` neighbours, so they
+are chosen by content and not by place, and every common stretch of GRAM + ANCHOR - 1
+characters holds one) and extended both ways; likeness is the part of the longer text that such stretches cover in both. So
+neither shifted text nor edits scattered over it hide what is common.
 
 Edge cases: NULL text is empty; two empty texts are alike (1.0), an empty and
 a non-empty one are not (0.0). NULL ``doc_id`` orders as the smallest; rows of
@@ -17,6 +23,7 @@ equal id are ordered by their text's hash. A single document is its own next.
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +36,8 @@ P = (1 << 31) - 1
 BASES = (911_382_323, 972_663_749)
 GRID = 64
 BLOCK = 1 << 16
+GRAM = 24
+ANCHOR = 24
 
 _NEXT = "doc_id long, text string, next_text string"
 
@@ -80,14 +89,101 @@ class PrefixHashes:
 
     def common_extension(self, i: int, other: PrefixHashes, j: int) -> int:
         """Length of the longest common run from ``i`` here and ``j`` there."""
-        low, high = 0, min(self.n - i, other.n - j)
-        while low < high:
-            mid = (low + high + 1) // 2
-            if self.span(i, i + mid) == other.span(j, j + mid):
-                low = mid
-            else:
-                high = mid - 1
-        return low
+        return _longest(min(self.n - i, other.n - j), lambda m: self.span(i, i + m) == other.span(j, j + m))
+
+    def common_extension_back(self, i: int, other: PrefixHashes, j: int) -> int:
+        """Length of the longest common run that ends before ``i`` here and ``j`` there."""
+        return _longest(min(i, j), lambda m: self.span(i - m, i) == other.span(j - m, j))
+
+    @cached_property
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places whose next ``GRAM`` characters are an anchor, and the hashes of those."""
+        n = self.n - GRAM + 1
+        if n < 1:
+            return np.zeros(0, "i8"), np.zeros(0, "i8")
+        h = np.empty(n, "i8")
+        for start in range(0, n, BLOCK):
+            place = np.arange(start, min(start + BLOCK, n))
+            h[start:start + BLOCK] = self.spans(place, place + GRAM)
+        key = (h * 0x9E3779B1) >> 7 & 0xFFFFFFFF  # an order that the characters have no part in
+        least = _sliding(key, min(ANCHOR, n), np.minimum)
+        # the smallest key of some window: the largest of the minima around it is its own
+        pad = np.full(len(key) - len(least), -1)
+        own = _sliding(np.concatenate([pad, least, pad]), min(ANCHOR, n), np.maximum) == key
+        at = np.flatnonzero(own)
+        return at, h[at]
+
+
+def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
+    """``best`` (minimum or maximum) of every ``width`` neighbours, from running ones inside blocks of ``width``."""
+    n = len(x)
+    blocks = np.concatenate([x, np.repeat(x[-1:], -n % width)]).reshape(-1, width)
+    ahead = best.accumulate(blocks, axis=1).ravel()[:n]
+    behind = best.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()[:n]
+    return best(behind[:n - width + 1], ahead[width - 1:])
+
+
+def _longest(limit: int, same) -> int:
+    """The largest m up to ``limit`` for which ``same`` holds; it holds for all smaller ones too."""
+    low, high, step = 0, limit, 64
+    # a short run is told by a few steps, a long one by doubling
+    while low < high and step < high:
+        if not same(step):
+            high = step - 1
+            break
+        low, step = step, 2 * step
+    while low < high:
+        mid = (low + high + 1) // 2
+        if same(mid):
+            low = mid
+        else:
+            high = mid - 1
+    return low
+
+
+def _covered(spans: list[tuple[int, int]]) -> int:
+    """How many places the spans cover together."""
+    out = stop = 0
+    for a, b in sorted(spans):
+        out += max(0, b - max(a, stop))
+        stop = max(stop, b)
+    return out
+
+
+def overlap(x: PrefixHashes, y: PrefixHashes) -> float:
+    """Part of the longer text that stretches held by both cover, 0 to 1."""
+    if x.n == y.n and x.whole == y.whole:
+        return 1.0
+    if not x.n or not y.n:
+        return 0.0
+    if (x.n, x.whole) > (y.n, y.whole):  # the same result both ways round
+        x, y = y, x
+    head = x.common_extension(0, y, 0)
+    tail = min(x.common_extension_back(x.n, y, y.n), x.n - head)
+    found = [(0, 0, head), (x.n - tail, y.n - tail, tail)]
+    at, h = x.anchors
+    other_at, other_h = y.anchors
+    order = np.lexsort((other_at, other_h))
+    other_at, other_h = other_at[order], other_h[order]
+    low, high = np.searchsorted(other_h, h, "left"), np.searchsorted(other_h, h, "right")
+    meets = np.flatnonzero((high > low) & (at >= head) & (at < x.n - tail))
+    done, shift = head, 0
+    for k in meets.tolist():
+        i = int(at[k])
+        if i < done:
+            continue
+        # of several places take the one nearest to where the last stretch went on
+        places = other_at[low[k]:high[k]]
+        near = int(np.searchsorted(places, i + shift))
+        j = int(min(places[max(0, near - 1):near + 1], key=lambda p: abs(p - i - shift)))
+        ahead = x.common_extension(i, y, j)
+        if not ahead:
+            continue
+        back = min(x.common_extension_back(i, y, j), i - done)
+        found.append((i - back, j - back, back + ahead))
+        done, shift = i + ahead, j - i
+    both = min(_covered([(i, i + m) for i, _, m in found]), _covered([(j, j + m) for _, j, m in found]))
+    return both / y.n
 
 
 class Fingerprint:
@@ -98,7 +194,10 @@ class Fingerprint:
 
     @classmethod
     def of(cls, c: np.ndarray) -> Fingerprint:
-        hashes = PrefixHashes(c)
+        return cls.from_hashes(PrefixHashes(c))
+
+    @classmethod
+    def from_hashes(cls, hashes: PrefixHashes) -> Fingerprint:
         n = hashes.n
         step = 1 << max(0, (max(1, -(-n // GRID)) - 1).bit_length())
         k = np.arange(1, n // step + 1)
@@ -128,7 +227,9 @@ def _leading(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
-    """Part of the longer text that equal blocks of the other cover, 0 to 1."""
+    """Part of the longer text that equal blocks of the other cover, 0 to 1: a quick lower
+    bound from the stored grids alone, which sees blocks at one distance from the start and
+    the common end. ``overlap`` finds shifted blocks too."""
     if a.n == b.n and a.whole == b.whole:
         return 1.0
     short, long = min(a.n, b.n), max(a.n, b.n)
@@ -188,12 +289,12 @@ def with_next(documents: DataFrame, buckets: int | None = None) -> DataFrame:
 
 
 def _pairs(batches):
-    """(row, text and fingerprint of the next row) along the sorted stream."""
+    """(row, next row) along the sorted stream, each with its characters and prefix hashes."""
     last = None
     for b in batches:
         for row in zip(*(b.column(c).to_pylist() for c in ("bucket", "halo", "doc_id", "text"))):
             c = codes(row[3])
-            now = (*row, c, Fingerprint.of(c))
+            now = (*row, c, PrefixHashes(c))
             if last and not last[1] and last[0] == now[0]:
                 yield last, now
             last = now
@@ -207,12 +308,12 @@ def _fingerprints(batches):
     def batch():
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    for (_, _, doc, text, c, fp), (_, _, _, next_text, next_c, next_fp) in _pairs(batches):
+    for (_, _, doc, text, c, h), (_, _, _, next_text, next_c, next_h) in _pairs(batches):
         cut = len(c) // 3
         edited = text[:len(text) - cut] + next_text[:cut]
-        edited_fp = Fingerprint.of(np.concatenate([c[:len(c) - cut], next_c[:cut]]))
-        out.append((doc, len(c), hashlib.sha256(edited.encode("utf-8")).hexdigest(), str(fp), str(edited_fp),
-                    likeness(fp, edited_fp), likeness(fp, next_fp)))
+        edited_h = PrefixHashes(np.concatenate([c[:len(c) - cut], next_c[:cut]]))
+        out.append((doc, len(c), hashlib.sha256(edited.encode("utf-8")).hexdigest(), str(Fingerprint.from_hashes(h)),
+                    str(Fingerprint.from_hashes(edited_h)), overlap(h, edited_h), overlap(h, next_h)))
         if len(out) == 1000:
             yield batch()
             out = []

@@ -36,6 +36,66 @@ def test_likeness():
         assert near == H.likeness(H.Fingerprint.of(H.codes(other)), fp)
 
 
+def plain_overlap(a, b):
+    """Part of the longer text in common beginning, common end, or runs of GRAM characters that the other has."""
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    head = next((i for i, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
+    tail = next((i for i, (p, q) in enumerate(zip(a[::-1], b[::-1])) if p != q), min(len(a), len(b)))
+    cover = []
+    for x, y in ((a, b), (b, a)):
+        grams = {y[i:i + H.GRAM + 8] for i in range(len(y) - H.GRAM - 7)}  # an anchor may stand some places off
+        held = bytearray(len(x))
+        held[:head] = b"1" * head
+        held[len(x) - tail:] = b"1" * tail
+        for i in range(len(x) - H.GRAM - 7):
+            if x[i:i + H.GRAM + 8] in grams:
+                held[i:i + H.GRAM + 8] = b"1" * (H.GRAM + 8)
+        cover.append(held.count(b"1"))
+    return min(cover) / max(len(a), len(b))
+
+
+def near(a, b):
+    x, y = H.PrefixHashes(H.codes(a)), H.PrefixHashes(H.codes(b))
+    got = H.overlap(x, y)
+    assert got == H.overlap(y, x)
+    return got
+
+
+def test_shifted_and_scattered_edits_stay_near():
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(2, 9))) for _ in range(5000)]
+    text = " ".join(words)
+    scattered = [w if i % 60 else f"X{i}" for i, w in enumerate(words)]
+    cases = {
+        "a word in front, the last one changed": "front " + " ".join(words[:-1]) + " last", "every 60th word": " ".join(scattered),
+        "two insertions": " ".join([*words[:1000], "one", *words[1000:3000], "two", *words[3000:]]), "halves exchanged": " ".join(words[2500:] + words[:2500])}
+    for name, other in cases.items():
+        assert near(text, other) > 0.8, name
+    assert near(text, " ".join(words[:2500])) < 0.52
+    assert near(text, "".join(rnd.choice("abcdefghij ") for _ in range(30_000))) < 0.05
+    assert near("", "x") == 0 and near("", "") == 1 and near("short", "shore") == 0.8
+
+
+def test_periodic_texts():
+    assert near("ab" * 5000, "ab" * 4000) > 0.79 and near("a" * 3000, "b" * 3000) == 0
+    assert near("ab" * 2000 + "c" * 50, "ba" * 2000) > 0.95
+
+
+def test_extensions_backwards():
+    rnd = random.Random(4)
+    for _ in range(200):
+        a, b = ("".join(rnd.choice("ab") for _ in range(rnd.randrange(0, 300))) for _ in "xy")
+        b = a[rnd.randrange(0, len(a) + 1):] + b
+        i, j = rnd.randint(0, len(a)), rnd.randint(0, len(b))
+        m = 0
+        while m < min(i, j) and a[i - m - 1] == b[j - m - 1]:
+            m += 1
+        assert H.PrefixHashes(H.codes(a)).common_extension_back(i, H.PrefixHashes(H.codes(b)), j) == m
+
+
 def order(rows):
     return sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0), reverse=True)
 
@@ -45,11 +105,12 @@ def check(spark, df, ties):
     got = H.fingerprint_documents(df, buckets=5).collect()
     assert len(got) == len(docs)
     fp = {t or "": str(H.Fingerprint.of(H.codes(t or ""))) for _, t in docs}
-    edited = {}
+    edited, following = {}, {}
     for cur, nxt in zip(docs, docs[1:] + docs[:1]):
         t, u = cur.text or "", nxt.text or ""
         cut = len(t) // 3
         edited[cur.doc_id] = t[:len(t) - cut] + u[:cut]
+        following[cur.doc_id] = u
     text = {d: t or "" for d, t in docs}
     for r in got:
         assert r.n_chars == len(text[r.doc_id]) or r.doc_id in ties
@@ -57,8 +118,8 @@ def check(spark, df, ties):
             e = edited[r.doc_id]
             assert r.fingerprint == fp[text[r.doc_id]] and r.edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
             assert r.edited_fingerprint == str(H.Fingerprint.of(H.codes(e)))
-            assert r.near_edited == H.likeness(H.Fingerprint.parse(r.fingerprint), H.Fingerprint.parse(r.edited_fingerprint))
-            assert 0 <= r.near_next <= 1
+            assert abs(r.near_edited - plain_overlap(text[r.doc_id], e)) < 0.02 + 60 / max(1, len(e)), r
+            assert abs(r.near_next - plain_overlap(text[r.doc_id], following[r.doc_id])) < 0.05 + 60 / max(1, len(e)), r
 
 
 def test_query_equals_brute_force(spark):
