@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cohortium.catalog import register, sbround, sdiv, sround
@@ -19,8 +21,9 @@ from cohortium.plans import segments as G
 from cohortium.plans import slices as L
 from cohortium.plans import stats as T
 from cohortium.plans import subscriptions as S
-from cohortium.session import ensure_checkpoint_dir
+from cohortium.session import ensure_checkpoint_dir, shuffle_partitions
 from cohortium.sources import bindings as B
+from cohortium.sources.bucketed import write_bucketed
 from cohortium.sources.bindings import TEST_TIERS, sql_with
 
 C360_COLUMNS = [
@@ -96,6 +99,20 @@ def customer_360(spark, d):
     return customer_360_df(spark, d)
 
 
+@register("customer_360_bucketed", c360_sql("SELECT * FROM c360"))
+def customer_360_bucketed(spark, d):
+    """The customer-360 from inputs written once as tables bucketed by customer."""
+    prefix = f"c360_{uuid.uuid4().hex[:12]}"
+    parts = {
+        "customers": C.clean_customers(B.customers(spark, d)),
+        "subscriptions": X.with_plan(S.current_subscription_lastvalue(B.subscriptions(spark, d)), B.plans(spark, d)),
+        "engagement": engagement_df(spark, d), "nps": nps_df(spark, d), "onboarding": A.onboarding_depth(clean_onboarding_df(spark, d)),
+        "ltv": S.customer_ltv(B.invoices(spark, d)), "tickets": _tickets_df(spark, d)}
+    buckets = shuffle_partitions(spark)
+    m = X.customer_360_from_buckets(*(write_bucketed(df, f"{prefix}_{name}", "customer_id", buckets) for name, df in parts.items()))
+    return m.withColumn("current_mrr", F.col("current_mrr").cast("double")).select(*C360_COLUMNS)
+
+
 # -- derived per-customer columns used by exports and tests -------------------
 
 def master_df(spark, d):

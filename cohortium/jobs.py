@@ -24,6 +24,7 @@ from cohortium.plans import slices as L
 from cohortium.plans import stats as T
 from cohortium.plans import subscriptions as S
 from cohortium.session import ensure_checkpoint_dir
+from cohortium.sources.bucketed import write_bucketed
 from cohortium.sources.sinks import write_mart
 
 
@@ -50,6 +51,23 @@ def build_customer_360(r: Roles, flagged_ids=C.DEFAULT_FLAGGED_IDS) -> DataFrame
         X.ticket_summary(r.tickets))
 
 
+def staged_customer_360(r: Roles, prefix: str, buckets: int, flagged_ids=C.DEFAULT_FLAGGED_IDS, folder: str | None = None) -> DataFrame:
+    """The customer-360 over tables bucketed by ``customer_id`` (``<prefix>_customers`` ...).
+
+    Each input is shuffled once, when its table is written; the 360 and whatever else
+    joins these tables per customer then shuffles nothing.
+    """
+    activity = C.prepared_activity(r.activity_docs)
+    inputs = {
+        "customers": C.clean_customers(r.customers, flagged_ids),
+        "subscriptions": X.with_plan(S.current_subscription_lastvalue(r.subscriptions), r.plans),
+        "engagement": A.engagement_by_customer(activity, r.customers),
+        "nps": A.nps_by_customer(C.clean_nps(r.nps_docs)),
+        "onboarding": A.onboarding_depth(C.clean_onboarding(r.onboarding_docs)),
+        "ltv": S.customer_ltv(r.invoices), "tickets": X.ticket_summary(r.tickets)}
+    return X.customer_360_from_buckets(*(write_bucketed(df, f"{prefix}_{name}", "customer_id", buckets, folder) for name, df in inputs.items()))
+
+
 def export_dashboard(r: Roles, out_dir: str, as_of=None, k: int = 4, seeds=range(42, 52)) -> dict[str, str]:
     """Run the whole analysis and write the six marts plus the test results.
 

@@ -28,6 +28,26 @@ def customer_360(customers: DataFrame, current_sub: DataFrame, plans: DataFrame,
                  nps_agg: DataFrame, onb_steps: DataFrame, ltv: DataFrame, tickets_agg: DataFrame) -> DataFrame:
     m = customers.join(current_sub, "customer_id", "left")
     m = m.join(plans.select("plan_id", "plan_name", "plan_tier"), "plan_id", "left")
+    return zero_filled(m, engagement, nps_agg, onb_steps, ltv, tickets_agg)
+
+
+def with_plan(current_sub: DataFrame, plans: DataFrame) -> DataFrame:
+    """Current subscriptions with the name and tier of their plan."""
+    return current_sub.join(plans.select("plan_id", "plan_name", "plan_tier"), "plan_id", "left")
+
+
+def customer_360_from_buckets(customers: DataFrame, subs_with_plan: DataFrame, engagement: DataFrame, nps_agg: DataFrame,
+                              onb_steps: DataFrame, ltv: DataFrame, tickets_agg: DataFrame) -> DataFrame:
+    """:func:`customer_360` of inputs bucketed by ``customer_id`` alike: joins without an exchange.
+
+    The plan is attached before a table is written, as a join by ``plan_id`` here would deal
+    the rows anew.
+    """
+    return zero_filled(customers.join(subs_with_plan, "customer_id", "left"), engagement, nps_agg, onb_steps, ltv, tickets_agg)
+
+
+def zero_filled(m: DataFrame, engagement: DataFrame, nps_agg: DataFrame, onb_steps: DataFrame, ltv: DataFrame, tickets_agg: DataFrame) -> DataFrame:
+    """``m`` with the per-customer aggregates, absent metrics as zero, and ``is_churned``."""
     for right in (engagement, nps_agg, onb_steps, ltv, tickets_agg):
         m = m.join(right, "customer_id", "left")
     fills = {}

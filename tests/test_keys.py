@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortium import session
 from cohortium.functions.ids import to_customer_id
+from cohortium.operators.hotkeys import lookup_join
 from cohortium.plans import activity as A
 from cohortium.plans import cleaning as C
 
@@ -112,3 +113,23 @@ def test_a_cluster_needs_a_shared_folder():
     sc = types.SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(types.SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_durations_of_a_hot_customer_are_not_shuffled(spark):
+    """Half of the sessions on one customer, no broadcast by size: percentiles are right, and its rows stay spread."""
+    n = 3000
+    a = spark.range(n).select(F.col("id").alias("event_id"), F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("customer_id"),
+                              F.expr("timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, int(id % 20))").alias("ts"),
+                              F.lit("f").alias("event_type"), (F.col("id") + 1.0).alias("session_duration"))
+    lookup = spark.createDataFrame([(1, "pro"), (3, "free")], "customer_id long, plan_tier string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.plan_tier: r for r in A.sessions_per_week_by_tier(a, lookup).collect()}
+        hot = lookup_join(a.select("customer_id", "session_duration"), lookup, ["customer_id"], "left").where("customer_id = 1")
+        per_task = [r["count"] for r in hot.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    pro = sorted([i + 1.0 for i in range(0, n, 2)] + [2.0])
+    assert got["pro"].p50_session_duration_sec == pro[len(pro) // 2] and got["free"].p50_session_duration_sec == 4.0
+    assert got["unknown"].user_count == n // 2 - 2
+    assert sum(per_task) == n // 2 + 1 and max(per_task) < n // 4
