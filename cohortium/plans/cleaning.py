@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortium.functions.ids import ACTIVITY_ID_ALIASES, SURVEY_ID_ALIASES, normalized_customer_id
 from cohortium.functions.text import compact_name, normalize_company_name, strip_ws
 from cohortium.functions.time import parse_mixed_timestamp, parse_with_default
+from cohortium.sources.tables import with_columns_if_absent
 
 # Fixed value from the reference: the one customer id flagged as a known duplicate.
 DEFAULT_FLAGGED_IDS = [1202]
@@ -82,12 +83,8 @@ def normalize_activity(docs: DataFrame, aliases=ACTIVITY_ID_ALIASES, default_ts=
     out = out.withColumn("ts", ts).drop("timestamp")
     if "session_duration_sec" in out.columns:
         out = out.withColumnRenamed("session_duration_sec", "session_duration")
-    elif "session_duration" not in out.columns:
-        out = out.withColumn("session_duration", F.lit(0.0))
-    if "event_type" not in out.columns:
-        named = F.col("feature").cast("string") if "feature" in out.columns else F.lit(None).cast("string")
-        out = out.withColumn("event_type", named)
-    return out
+    named = F.col("feature").cast("string") if "feature" in out.columns else F.lit(None).cast("string")
+    return with_columns_if_absent(out, {"session_duration": F.lit(0.0), "event_type": named})
 
 
 def dedupe_exact_rows(df: DataFrame, subset=None) -> DataFrame:

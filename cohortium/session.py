@@ -26,11 +26,12 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, app: str = "cohortium",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, conf: dict[str, str] | None = None) -> SparkSession:
+    """Session with the library's settings; ``conf`` (such as :func:`cluster_conf` of the input) goes over them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in (DEFAULT_CONF | (conf or {})).items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
