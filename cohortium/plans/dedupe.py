@@ -163,8 +163,9 @@ def name_links(accounts: DataFrame, weights=WEIGHTS, generic=GENERIC_ACCOUNT_DOM
     return out.withColumn("kind", F.col("kind").cast("string")).distinct()
 
 
-def _partnered(links: DataFrame, keys: list[str]) -> DataFrame:
-    """``links`` that have a partner on the other side, with the smallest other account id.
+def _partnered(links: DataFrame, keys: list[str], asking: DataFrame | None = None) -> DataFrame:
+    """Rows of ``asking`` (default: all ``links``) that have a partner among ``links`` on the
+    other side, with the smallest other account id.
 
     Groups are only aggregated (smallest and second smallest id), never listed; the
     results are kept, so that a join to a hot key can be split.
@@ -174,7 +175,7 @@ def _partnered(links: DataFrame, keys: list[str]) -> DataFrame:
         .groupBy(*keys, "side").agg(F.min("customer_id").alias("m2"))
     least = least.join(rest, [*keys, "side"], "left")
     other = least.withColumn("side", F.when(F.col("side") == "short", "long").when(F.col("side") == "long", "short").otherwise(F.col("side")))
-    x = links.join(other.checkpoint(), [*keys, "side"])
+    x = (links if asking is None else asking).join(other.checkpoint(), [*keys, "side"])
     linked = F.when((F.col("side") == "both") & (F.col("m1") == F.col("customer_id")), F.col("m2")).otherwise(F.col("m1"))
     return x.withColumn("linked_id", linked).drop("m1", "m2").where("linked_id IS NOT NULL")
 
@@ -187,9 +188,10 @@ def duplicate_candidates(accounts: DataFrame, team_members: DataFrame, min_score
     The signals of a score all belong to one partner. Partners that share the same name
     relation and, where it counts, the same corporate domain form a group. Within it an
     account meets the others by each team domain (one shared) and by each *pair* of the
-    domains that it shares with any of them (two shared by the same partner). Both are
+    domains that it has (two shared by the same partner). Both are
     equi-joins on aggregated groups: no pair of accounts is listed, and rows grow with an
-    account's own domains only. ``linked_id`` is the smallest other account that earns the
+    account's own domains only. An account asks only in groups that could still beat, by two
+    shared domains, what it has without them. ``linked_id`` is the smallest other account that earns the
     score, ``shared_team_domains`` the exact number of team domains shared with it.
     """
     ensure_checkpoint_dir(accounts.sparkSession)
@@ -199,13 +201,29 @@ def duplicate_candidates(accounts: DataFrame, team_members: DataFrame, min_score
         "customer_id", F.lit("*").alias("key"), F.lit("both").alias("side"), F.lit(0).alias("base"), F.lit(None).cast("string").alias("kind"))
     group = ["customer_id", "key", "side", "base", "kind"]
     links = _partnered(name_links(accounts, weights, generic_account).checkpoint(), ["key"]).checkpoint()
-    sharing = _partnered(links.drop("linked_id").unionByName(everyone).join(team, "customer_id").checkpoint(), ["key", "domain"]).checkpoint()
-    one = sharing.groupBy(*group).agg(F.min("linked_id").alias("linked_id"), F.array_sort(F.collect_list("domain")).alias("domains")).checkpoint()
-    firsts = one.where(F.size("domains") > 1).select(*group, "domains", F.posexplode("domains").alias("at", "domain"))
-    pairs = firsts.select(*group, "domain", F.explode(F.slice("domains", F.col("at") + 2, F.size("domains"))).alias("second"))
-    two = _partnered(pairs.checkpoint(), ["key", "domain", "second"]).groupBy(*group).agg(F.min("linked_id").alias("linked_id"))
+    two_more = F.lit(weights["team_two"])
+
+    def may_win(rows: DataFrame, reached: DataFrame) -> DataFrame:
+        """Rows whose base and two shared domains come up to what their account has ``reached``."""
+        x = rows.join(reached, "customer_id", "left")
+        return x.where(F.col("base") + two_more >= F.coalesce("reached", F.lit(0))).drop("reached")
+
+    every = links.drop("linked_id").unionByName(everyone)
+    asking = may_win(every, links.groupBy("customer_id").agg(F.max("base").alias("reached"))).checkpoint()
+    # whoever is asked answers in that group, even where it has better ones itself
+    asked = every.join(asking.select("key").distinct(), "key", "left_semi")
+    sharing = _partnered(asked.join(team, "customer_id").checkpoint(), ["key", "domain"], asking.join(team, "customer_id")).checkpoint()
+    one = sharing.groupBy(*group).agg(F.min("linked_id").alias("linked_id"), F.count(F.lit(1)).alias("shared")).checkpoint()
+    reached = links.select("customer_id", "base").unionByName(one.select("customer_id", (F.col("base") + weights["team_one"]).alias("base")))
+    asking = may_win(one.where("shared > 1").drop("linked_id", "shared"), reached.groupBy("customer_id").agg(F.max("base").alias("reached"))).checkpoint()
+    asked = every.join(asking.select("key").distinct(), "key", "left_semi")
+    domains = team.groupBy("customer_id").agg(F.array_sort(F.collect_list("domain")).alias("domains")).where(F.size("domains") > 1)
+    firsts = domains.select("customer_id", "domains", F.posexplode("domains").alias("at", "domain"))
+    pairs = firsts.select("customer_id", "domain", F.explode(F.slice("domains", F.col("at") + 2, F.size("domains"))).alias("second")).checkpoint()
+    two = _partnered(asked.join(pairs, "customer_id"), ["key", "domain", "second"], asking.join(pairs, "customer_id")) \
+        .groupBy(*group).agg(F.min("linked_id").alias("linked_id"))
     scored = links.withColumn("earned", F.lit(0)) \
-        .unionByName(one.drop("domains").withColumn("earned", F.lit(weights["team_one"]))) \
+        .unionByName(one.drop("shared").withColumn("earned", F.lit(weights["team_one"]))) \
         .unionByName(two.withColumn("earned", F.lit(weights["team_two"])))
     score = F.col("base") + F.col("earned")
     # highest score, then the smallest partner, then the stronger name relation
