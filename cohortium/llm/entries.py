@@ -111,11 +111,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op7_randomness_secrets")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cohortium.llm.secret_battery import KINDS, scan, span_text
+    from cohortium.llm.secret_battery import KINDS, count_of, scan, span_text
 
     found = scan(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["kind"] < 3)
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    counts = [count_of(F.col("found"), k).alias(f"n_{KINDS[k]}") for k in range(4)]
     return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))
 
 

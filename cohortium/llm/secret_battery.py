@@ -156,6 +156,12 @@ def scan(documents: DataFrame, rate: float = FALSE_REJECTS) -> DataFrame:
         "doc_id", F.sort_array(F.concat("base", F.coalesce("random", F.array().cast(_SPAN)))).alias("found"))
 
 
+def count_of(spans: Column, kind: int) -> Column:
+    """Number of spans of a kind."""
+    # a lambda of two parameters would be given the index as the second
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def span_text(spans: Column) -> Column:
     names = F.array(*map(F.lit, KINDS))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -1,5 +1,6 @@
 """Secret spans against Python's regular expressions; the battery against what it should tell apart."""
 
+import hashlib
 import random
 import re
 import string
@@ -7,6 +8,7 @@ import string
 from pyspark.sql import functions as F
 
 from cohortium.llm import secret_battery as S
+from cohortium.llm.entries import QUERIES
 
 from .frames import SF01, awkward, documents, empty
 
@@ -37,6 +39,19 @@ def test_base_spans_equal_regular_expressions(spark):
     assert base(whole) == expected(whole)
 
 
+def test_query_counts_spans_of_each_kind(spark, tmp_path):
+    key = "AKIA" + "Z9" * 10
+    texts = ["deadbeef" * 4, "deadbeef" * 4 + " " + key, key + " " + key + " password=abcdef " + "0a" * 20, "token:abcdefg token:hijklmn", None, "", "prose"]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op7_randomness_secrets"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    for r, text in zip(got, texts, strict=True):
+        spans = naive(text)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == kind for _, k, _ in spans) for kind in range(3)], text
+        named = ",".join(f"{S.KINDS[k]}:{start}:{end}" for start, k, end in spans)
+        assert r.base_sha256 == hashlib.sha256(named.encode()).hexdigest()
+        assert r.n_random == r.spans.count("random:")
+
+
 def test_awkward_rows(spark):
     df = awkward(spark)
     assert base(df) == expected(df)
