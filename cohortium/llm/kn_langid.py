@@ -11,8 +11,11 @@ probabilities and back-off weights and broadcast.
 
 A text gets the language of the lowest cross-entropy per character. It is
 rejected if that cross-entropy lies further above the language's usual value
-than nearly all of a calibration sample (about ``CALIBRATION`` training texts)
-did; the tolerance narrows with the number of characters.
+than nearly all training texts (all but ``1 - TOLERANCE`` of them) lie above that of
+their own language; the tolerance narrows with the number of characters. The queries
+score every document once. The rows that this pass stores hold the training texts'
+cross-entropies in their own language too, and the usual values and the limit are
+aggregates of all of them.
 
 Edge cases: NULL texts and texts without letters are ``und`` with score 0 and
 rejected; NULL ``lang`` rows are never learned from; without training rows all
@@ -24,25 +27,30 @@ columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortium.llm.common import stored
+from cohortium.operators.selection import few_group_percentiles
 
 ORDER = 4
 SLOT_BITS = 22
 KEPT_WORDS = 150_000
 SLICE = 2_000_000
-CALIBRATION = 5000
+CHUNK = 1_000_000
 TOLERANCE = 0.9995
 MARGIN = 1.5
+LEAST_OWN = 20
 START, END = "\x02", "\x03"
 LETTERS = re.compile(r"[^\W\d_]+")
+#: bytes of UTF-8: ASCII characters that are no letters lie in no run and become blanks
+BLANKED = bytes(x if x >= 128 or chr(x).isalpha() else 32 for x in range(256))
 
 
 def _runs(piece: str) -> list[str]:
@@ -50,9 +58,28 @@ def _runs(piece: str) -> list[str]:
     return [w for w in LETTERS.findall(piece) if w.isalpha() or any(map(str.isalpha, w))]
 
 
-def _grams(words: Counter) -> dict[str, int]:
-    """Padded highest-order grams of the letter runs of white-space separated pieces."""
-    runs: Counter = Counter()
+def _slices(texts: pa.Array):
+    """Slices of the texts: (first, end, distinct pieces, place of every piece met among them, pieces per text).
+
+    Pieces are what is left of the lower-cased texts between ASCII characters that are no
+    letters; empty ones are among them.
+    """
+    first = size = 0
+    for end, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 1):
+        size += n
+        if size < SLICE and end < len(texts):
+            continue
+        part = texts.slice(first, end - first).to_pylist()
+        plain = pa.array([(t or "").lower().encode().translate(BLANKED) for t in part], pa.large_binary()).cast(pa.large_string())
+        split = pc.ascii_split_whitespace(plain)
+        met = split.flatten().dictionary_encode()
+        yield first, end, met.dictionary.to_pylist(), met.indices.to_numpy(), pc.list_value_length(split).to_numpy()
+        first, size = end, 0
+
+
+def _grams(words: dict[str, int]) -> dict[str, int]:
+    """Padded highest-order grams of the letter runs of pieces."""
+    runs: dict[str, int] = defaultdict(int)
     for piece, n in words.items():
         if piece.isalpha():
             runs[piece] += n
@@ -69,7 +96,7 @@ def _grams(words: Counter) -> dict[str, int]:
 
 def _count(batches):
     """(lang, gram, n), summed within a task as far as memory allows."""
-    words: dict[str, Counter] = defaultdict(Counter)
+    words: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
 
     def flush():
         for lang, c in words.items():
@@ -79,10 +106,13 @@ def _count(batches):
         words.clear()
 
     for b in batches:
-        for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-            words[lang].update(text.lower().split())
-        if sum(map(len, words.values())) > KEPT_WORDS:
-            yield from flush()
+        for lang in pc.unique(b.column("lang")).to_pylist():
+            for _, _, pieces, met, _ in _slices(b.column("text").filter(pc.equal(b.column("lang"), lang))):
+                counts = words[lang]
+                for piece, n in zip(pieces, np.bincount(met, minlength=len(pieces)).tolist()):
+                    counts[piece] += n
+                if sum(map(len, words.values())) > KEPT_WORDS:
+                    yield from flush()
     yield from flush()
 
 
@@ -170,7 +200,7 @@ def _xxhash_slots(grams: list[str]) -> np.ndarray:
 
 
 class Scorer:
-    """Scores texts by their white-space separated pieces, whose sums are kept per worker.
+    """Scores texts by their pieces, whose sums are kept per worker.
 
     New pieces of a slice of texts are scored together; a full cache is emptied.
     """
@@ -200,13 +230,13 @@ class Scorer:
             self.gram_p[first:first + len(new)] = self.model.gram_scores(slots, contexts)
         return self.gram_p[np.fromiter(map(self.gram_at.__getitem__, grams), "i8", len(grams))]
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: list[str]) -> None:
         new = [p for p in pieces if p not in self.at]
         if not new:
             return
         if len(self.at) + len(new) > len(self.sums):
             self.at = {}
-            new = list(pieces)
+            new = pieces
             if len(new) > len(self.sums):
                 self.sums = np.empty((2 * len(new), len(self.model.langs) + 1))
         for i in range(0, len(new), 20_000):
@@ -228,31 +258,27 @@ class Scorer:
             self.at.update((x, first + j) for j, x in enumerate(part))
             self.sums[first:first + len(part)] = sums
 
-    def totals(self, texts: list) -> np.ndarray:
+    def totals(self, texts: pa.Array) -> np.ndarray:
         """Per text: summed log probability per language, then the number of characters."""
         out = np.zeros((len(texts), len(self.model.langs) + 1))
-        lo = size = 0
-        for hi, text in enumerate(texts, 1):
-            size += len(text or "")
-            if size < SLICE and hi < len(texts):
-                continue
-            split = [(t or "").lower().split() for t in texts[lo:hi]]
-            self.learn(set().union(*split))
-            for i, pieces in enumerate(split, lo):
-                for at in range(0, len(pieces), 100_000):
-                    part = pieces[at:at + 100_000]
-                    rows = np.fromiter(map(self.at.__getitem__, part), "i8", len(part))
-                    out[i] += self.sums[rows].sum(axis=0)
-            lo, size = hi, 0
+        for first, end, pieces, met, lengths in _slices(texts):
+            self.learn(pieces)
+            row = np.fromiter(map(self.at.__getitem__, pieces), "i8", len(pieces))
+            owner = np.repeat(np.arange(end - first), lengths)
+            for at in range(0, len(met), CHUNK):
+                sums, own = self.sums[row[met[at:at + CHUNK]]], owner[at:at + CHUNK]
+                for c in range(sums.shape[1]):
+                    out[first:end, c] += np.bincount(own, sums[:, c], end - first)
         return out
 
 
-def _excess(model: Model, k: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Cross-entropy above the language's usual one, in units that shrink with length."""
-    return (h - model.usual[k, 0]) / np.sqrt(model.usual[k, 1] ** 2 + model.usual[k, 2] ** 2 / np.maximum(n, 1))
+FOUND = ["lang_pred", "score", "best", "cross_entropy", "n_letters", "own"]
+FOUND_TYPES = "lang_pred string, score double, best int, cross_entropy double, n_letters double, own struct<k:int,h:double>"
 
 
-def _predict(shared):
+def _scores(shared, text_at: list[int]):
+    """Adds the columns of ``FOUND``. The text lies at the place ``text_at`` (two steps: within
+    a struct, which is kept); the last column is the row's own language, to be measured too, or NULL."""
     scorers: list[Scorer] = []
 
     def run(batches):
@@ -260,97 +286,131 @@ def _predict(shared):
         if not scorers:
             scorers.append(Scorer(model))
         scorer = scorers[0]
-        size = len(model.langs)
+        place = {lang: k for k, lang in enumerate(model.langs)}
         for b in batches:
-            pred, score, cross, rejected = [], [], [], []
-            for total in scorer.totals(b.column("text").to_pylist()):
-                n = total[-1] if size else 0
+            text = b.column(text_at[0])
+            for i in text_at[1:]:
+                text = text.field(i)
+            pred, score, best, cross, letters, own = [], [], [], [], [], []
+            for total, lang in zip(scorer.totals(text.cast(pa.string())), b.column(b.num_columns - 1).to_pylist()):
+                n = total[-1] if place else 0
+                letters.append(float(n))
                 if not n:
-                    pred.append("und"), score.append(0.0), cross.append(None), rejected.append(True)
+                    pred.append("und"), score.append(0.0), best.append(None), cross.append(None), own.append(None)
                     continue
                 h = -total[:-1] / n
                 k = int(h.argmin())
                 pred.append(model.langs[k])
                 # posterior of the language, with characters weighed as at most 64 independent ones
                 score.append(float(1 / np.exp(-(h - h[k]) * min(n, 64)).sum()))
+                best.append(k)
                 cross.append(float(h[k]))
-                far = model.usual is not None and float(_excess(model, np.array([k]), h[k:k + 1], total[-1:])[0]) > model.limit
-                rejected.append(far)
-            keep = [c for c in b.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in keep] + [pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                                               pa.array(cross, pa.float64()), pa.array(rejected, pa.bool_())],
-                names=keep + ["lang_pred", "score", "cross_entropy", "rejected"])
+                own.append({"k": place[lang], "h": float(h[place[lang]])} if lang in place else None)
+            found = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(best, pa.int32()), pa.array(cross, pa.float64()),
+                     pa.array(letters, pa.float64()), pa.array(own, pa.struct([("k", pa.int32()), ("h", pa.float64())]))]
+            keep = [i for i in range(b.num_columns - 1) if [i] != text_at]
+            yield pa.RecordBatch.from_arrays([b.column(i) for i in keep] + found, names=[b.schema.names[i] for i in keep] + FOUND)
     return run
 
 
-def _own_entropy(shared):
-    def run(batches):
-        model: Model = shared.value
-        scorer = Scorer(model)
-        for b in batches:
-            out = []
-            for lang, total in zip(b.column("lang").to_pylist(), scorer.totals(b.column("text").to_pylist())):
-                if total[-1]:
-                    k = model.langs.index(lang)
-                    out.append((k, -total[k] / total[-1], total[-1]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.float64(), pa.float64()))],
-                                             names=["k", "h", "n"])
-    return run
+def _scored(documents: DataFrame, model: Model, keep: list[str], own: Column | None = None) -> DataFrame:
+    """``keep`` columns and those of ``FOUND``; ``own`` is a language that the row is measured in too."""
+    own = F.lit(None).cast("string") if own is None else own
+    x = documents.select(*keep, F.col("text").cast("string").alias("text"), own.alias("_own"))
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in x.schema.fields[:-2])
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    return x.mapInArrow(_scores(shared, [len(keep)]), schema + FOUND_TYPES)
 
 
-def train(training: DataFrame, calibration: int = CALIBRATION) -> Model:
-    """``training`` has text and lang; every row is counted, about ``calibration``
-    of them (chosen by a hash of the text) set the rejection limit."""
-    spark = training.sparkSession
-    training = training.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    grams = stored(gram_counts(training), "grams")
-    model = Model.of(folded_counts(grams).toPandas())  # at most 4 x 2**SLOT_BITS rows per language
-    rows = training.count()
+def _scored_rows(documents: DataFrame, model: Model, own: Column | None = None) -> DataFrame:
+    """Whole rows as the struct ``row`` (no name inside can clash), and the columns of ``FOUND``."""
+    own = F.lit(None).cast("string") if own is None else own
+    x = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"), own.alias("_own"))
+    schema = T.StructType([T.StructField("row", documents.schema), *T.StructType.fromDDL(FOUND_TYPES).fields])
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    return x.mapInArrow(_scores(shared, [0, documents.columns.index("text")]), schema)
+
+
+def _excess(model: Model, k: Column, h: Column, n: Column) -> Column:
+    """Cross-entropy above the language's usual one, in units that shrink with length."""
+    mean, wide, noise = (F.get(F.array(*(F.lit(float(v)) for v in model.usual[:, i])), k) for i in range(3))
+    return (h - mean) / F.sqrt(wide * wide + noise * noise / F.greatest(n, F.lit(1.0)))
+
+
+def _rejected(model: Model) -> Column:
+    """From the columns of ``FOUND``: without letters, or too far from every language."""
+    none = F.col("best").isNull()
+    if model.usual is None:
+        return none
+    return none | (_excess(model, F.col("best"), F.col("cross_entropy"), F.col("n_letters")) > F.lit(float(model.limit)))
+
+
+def calibrate(model: Model, scored: DataFrame) -> None:
+    """Sets the usual cross-entropies and the rejection limit from all rows of ``scored`` (stored)
+    that have an ``own`` language. The driver gets a few numbers per language."""
+    x = scored.where("own IS NOT NULL").select("own.k", "own.h", F.col("n_letters").alias("n"))
+    rows = {r["k"]: r["rows"] for r in x.groupBy("k").agg(F.count("*").alias("rows")).collect()}
     if not rows:
-        return model
-    part = min(1.0, calibration / rows)
-    sample = training.where(F.pmod(F.xxhash64("text", F.lit("calibration")), F.lit(1 << 20)) < int(part * (1 << 20)) + 1)
-    got = sample.mapInArrow(_own_entropy(spark.sparkContext.broadcast(model)), "k long, h double, n double").toPandas()
-    usual = np.zeros((len(model.langs), 3))
-    for k in range(len(model.langs)):
-        own = got[got["k"] == k] if (got["k"] == k).sum() >= 20 else got
-        if not len(own):
-            own = got.assign(h=1.0)
-        mean = float(np.average(own["h"], weights=np.sqrt(own["n"]))) if len(own) else 1.0
-        long = own[own["n"] >= own["n"].median()] if len(own) else own
-        wide = float(np.sqrt(((long["h"] - mean) ** 2).mean())) if len(long) else 1.0
-        noise = float(np.sqrt((((own["h"] - mean) ** 2 - wide ** 2).clip(lower=0) * own["n"]).mean())) if len(own) else 1.0
-        usual[k] = mean, max(wide, 1e-3), max(noise, 1e-3)
-    model.usual = usual
-    if len(got):
-        z = _excess(model, got["k"].to_numpy(), got["h"].to_numpy(), got["n"].to_numpy())
-        model.limit = MARGIN * max(1.0, float(np.quantile(z, TOLERANCE)))
+        return
+    few = [k for k in range(len(model.langs)) if rows.get(k, 0) < LEAST_OWN]
+    # group -1 is all languages together, for those of few texts
+    x = x.withColumn("g", F.explode(F.array("k", F.lit(-1)) if few else F.array("k")))
+    median = few_group_percentiles(x, ["g"], "n", {"median": 0.5})
+    mean = x.groupBy("g").agg((F.sum(F.col("h") * F.sqrt("n")) / F.sum(F.sqrt("n"))).alias("mean"))
+    x = x.join(F.broadcast(mean.join(median, "g")), "g").withColumn("square", F.pow(F.col("h") - F.col("mean"), F.lit(2)))
+    wide = x.groupBy("g").agg(F.sqrt(F.avg(F.when(F.col("n") >= F.col("median"), F.col("square")))).alias("wide"))
+    noise = F.sqrt(F.avg(F.greatest(F.col("square") - F.col("wide") * F.col("wide"), F.lit(0.0)) * F.col("n")))
+    usual = x.join(F.broadcast(wide), "g").groupBy("g", "mean", "wide").agg(noise.alias("noise"))
+    found = {r["g"]: (r["mean"], max(r["wide"], 1e-3), max(r["noise"], 1e-3)) for r in usual.collect()}
+    model.usual = np.array([found[-1 if k in few else k] for k in range(len(model.langs))])
+    z = scored.where("own IS NOT NULL").select(_excess(model, F.col("own.k"), F.col("own.h"), F.col("n_letters")).alias("z"))
+    model.limit = MARGIN * max(1.0, few_group_percentiles(z, [], "z", {"tail": TOLERANCE}).first()["tail"])
+
+
+def learn(training: DataFrame) -> Model:
+    """The models of all rows of ``training`` (text and lang), not yet calibrated."""
+    grams = stored(gram_counts(training), "grams")
+    return Model.of(folded_counts(grams).toPandas())  # at most 4 x 2**SLOT_BITS rows per language
+
+
+def train(training: DataFrame) -> Model:
+    """``training`` has text and lang; every row is counted, and scored to set the rejection limit."""
+    model = learn(training)
+    calibrate(model, stored(_scored(training, model, [], F.col("lang")), "own-entropies"))
     return model
 
 
 def identify(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` columns plus ``lang_pred``, ``score``, ``cross_entropy``, ``rejected``."""
-    spark = documents.sparkSession
-    x = documents.select(*keep, F.col("text").cast("string").alias("text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in x.schema if f.name != "text")
-    return x.mapInArrow(_predict(spark.sparkContext.broadcast(model)),
-                        f"{schema}, lang_pred string, score double, cross_entropy double, rejected boolean")
+    return _scored(documents, model, keep).select(*keep, "lang_pred", "score", "cross_entropy", _rejected(model).alias("rejected"))
 
 
 def is_held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _learned_lang() -> Column:
+    """The ``lang`` of rows that are learned from: those with a text that are not held out
+    (rows without an id can't be); NULL for others."""
+    return F.when(~is_held_out() & F.col("text").isNotNull(), F.col("lang").cast("string"))
+
+
+def _training(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("text").cast("string").alias("text"), _learned_lang().alias("lang"))
+
+
 def train_on_documents(documents: DataFrame) -> Model:
-    """Rows that are not held out; rows without an id can't be and are learned from."""
-    return train(documents.where(~is_held_out()).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")))
+    return train(_training(documents).where("lang IS NOT NULL"))
 
 
 def predict_documents(documents: DataFrame) -> DataFrame:
-    model = train_on_documents(documents)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", is_held_out().alias("held_out"))
-    return identify(docs, model, ["doc_id", "held_out"])
+    """Every document, scored once by the models of those that are not held out."""
+    model = learn(_training(documents))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", is_held_out().alias("held_out"), _learned_lang().alias("lang"))
+    keep = ["doc_id", "held_out"]
+    scored = stored(_scored(docs, model, keep, F.col("lang")), "languages")
+    calibrate(model, scored)
+    return scored.select(*keep, "lang_pred", "score", "cross_entropy", _rejected(model).alias("rejected"))
 
 
 def keep_identified(documents: DataFrame, model: Model) -> DataFrame:
@@ -358,15 +418,12 @@ def keep_identified(documents: DataFrame, model: Model) -> DataFrame:
 
     Rows pass through the tasks whole; nothing is joined back by id.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-    return documents.mapInArrow(_kept(shared, documents.columns.index("text")), documents.schema)
+    return _scored_rows(documents, model).where(~_rejected(model)).select("row.*")
 
 
-def _kept(shared, at: int):
-    def run(batches):
-        predict = _predict(shared)  # keeps its scorer over the batches
-        for b in batches:
-            text = pa.RecordBatch.from_arrays([b.column(at).cast(pa.string())], names=["text"])
-            got = next(predict(iter([text])))
-            yield b.filter(pc.invert(got.column("rejected")))
-    return run
+def keep_recognised(documents: DataFrame) -> DataFrame:
+    """:func:`keep_identified` by the documents' own models; each is scored once, and stored with its row."""
+    model = learn(_training(documents))
+    scored = stored(_scored_rows(documents, model, _learned_lang()), "recognised")
+    calibrate(model, scored)
+    return scored.where(~_rejected(model)).select("row.*")

@@ -1,7 +1,10 @@
 """Kneser-Ney models: probabilities, held-out accuracy, rejection."""
 
+import random
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from cohortium.llm import kn_langid as K
@@ -64,6 +67,40 @@ def test_held_out_accuracy_and_few_rejections(documents, model):
     assert got["rejected"].mean() < 0.005 and got["score"].between(0, 1).all()
 
 
+def test_every_training_row_sets_the_limit(spark):
+    """More rows than a sample would hold, some long; the third language has too few of its own."""
+    rnd = random.Random(3)
+    sounds = {"aa": ["ba", "lo", "ti", "mer"], "bb": ["sch", "ung", "ver", "ein"], "cc": ["xo", "ka"]}
+    rows = [(" ".join("".join(rnd.choices(sounds[x], k=rnd.randint(1, 4))) for _ in range(rnd.choice([1, 3, 9, 60]))), x)
+            for x, n in (("aa", 6000), ("bb", 5000), ("cc", 7)) for _ in range(n)]
+    rows += [("ver" * 40 + " qqq", "aa"), ("...", "bb"), (None, "aa"), ("lotimer", None)]
+    model = K.train(spark.createDataFrame(rows, "text string, lang string"))
+    own = [(x, t) for t, x in rows if t and x]
+    k = np.array([model.langs.index(x) for x, _ in own])
+    totals = K.Scorer(model).totals(pa.array([t for _, t in own]))
+    some = totals[:, -1] > 0
+    k, n, h = k[some], totals[some, -1], -totals[some, :][np.arange(some.sum()), k[some]] / totals[some, -1]
+    usual = []
+    for i in range(3):
+        mine = k == i if (k == i).sum() >= 20 else np.full(len(k), True)
+        mean = np.average(h[mine], weights=np.sqrt(n[mine]))
+        square = (h[mine] - mean) ** 2
+        wide = np.sqrt(square[n[mine] >= np.median(n[mine])].mean())
+        usual.append((mean, wide, np.sqrt((np.maximum(square - wide ** 2, 0) * n[mine]).mean())))
+    assert model.usual == pytest.approx(np.array(usual), rel=1e-6)
+    z = (h - model.usual[k, 0]) / np.sqrt(model.usual[k, 1] ** 2 + model.usual[k, 2] ** 2 / n)
+    assert model.limit == pytest.approx(K.MARGIN * max(1.0, np.quantile(z, K.TOLERANCE)), rel=1e-6)
+
+
+def test_one_scoring_pass_equals_training_apart(documents, model):
+    """The query's and the stage's rows are those of a model that was trained beforehand."""
+    got = sorted(map(tuple, K.predict_documents(documents).select("doc_id", "lang_pred", "rejected").collect()))
+    assert got == sorted(map(tuple, K.identify(documents, model, ["doc_id"]).select("doc_id", "lang_pred", "rejected").collect()))
+    kept = K.keep_recognised(documents)
+    assert kept.schema == documents.schema
+    assert sorted(kept.collect(), key=repr) == sorted(K.keep_identified(documents, model).collect(), key=repr)
+
+
 def test_foreign_text_is_rejected(spark, model):
     texts = ["zxqv kjwz pqxz vvkq zzxj qkwx xzqj vkqz " * 20, "Ωμέγα και άλφα στην αρχή " * 20, "12345 !!! ² ½", None, "The and that of it was for the are with"]
     df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
