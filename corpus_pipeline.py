@@ -31,8 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     documents (no letters, or too far from every language) go.
     """
     ship_package(spark)
-    model = kn_langid.train_on_documents(docs)
-    return kn_langid.keep_identified(docs, model)
+    return kn_langid.keep_recognised(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
