@@ -6,6 +6,9 @@ in exactly one run of each level. A span and a day inside it therefore meet unde
 key, and "which points lie in which spans" is a plain equi-join on (keys, level, run): no
 nested loop, no residual condition, and the rows are linear in spans and points whatever the
 spans' lengths. A key with very many spans and points is spread over its runs.
+
+That is some twenty rows for each point. Where a key has at most ``FEW`` spans it is cheaper to
+meet them all: a point is held against ``FEW`` spans at most, so this too is linear in the points.
 """
 
 from __future__ import annotations
@@ -13,8 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortium.session import ensure_checkpoint_dir
+
 #: days from 1970 that a date may have: 2^LEVELS (about the year 2840)
 LEVELS = 18
+#: spans of a key up to which its points are held against each of them
+FEW = 48
 
 
 def day_number(c: Column) -> Column:
@@ -51,13 +58,33 @@ def points_in_spans(spans: DataFrame, points: DataFrame, keys: list[str], first:
     ``first`` no span); ``at`` is the point's day or time. The columns of both follow, those of
     ``keys`` once. NULL keys match nothing; days before 1970 are an error.
     """
+    ensure_checkpoint_dir(spans.sparkSession)
     low, high = day_number(F.col(first)), F.coalesce(day_number(F.col(last)), F.lit((1 << LEVELS) - 1))
     checked = F.when(low < 0, F.raise_error(F.lit("span before 1970")).cast("int")).otherwise(low)
+    day = F.when(day_number(F.col(at)) < 0, F.raise_error(F.lit("point before 1970")).cast("int")).otherwise(day_number(F.col(at)))
+    spans = spans.withColumns({"_low": checked, "_high": high}).checkpoint()
+    points = points.where(F.col(at).isNotNull()).withColumn("_day", day).checkpoint()
+    many = spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FEW).select(*keys).checkpoint()
+    if many.isEmpty():
+        return _by_key(spans, points, keys)
+    met = _by_run(spans.join(many, keys, "left_semi"), points.join(many, keys, "left_semi"), keys)
+    return met.unionByName(_by_key(spans.join(many, keys, "left_anti"), points.join(many, keys, "left_anti"), keys))
+
+
+def _by_key(spans: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
+    """Every point held against all spans of its key."""
+    # the rows of a key are kept in memory for the right side only
+    met = points.join(spans, keys).where((F.col("_day") >= F.col("_low")) & (F.col("_day") <= F.col("_high")))
+    columns = [*keys, *(c for frame in (spans, points) for c in frame.columns if c not in keys)]
+    return met.select(*columns).drop("_low", "_high", "_day")
+
+
+def _by_run(spans: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
+    """Spans and points met at the one dyadic run that both have."""
     def key(run: Column) -> Column:
         return F.shiftleft(run["level"].cast("long"), 32) + run["run"]
 
-    runs = spans.select("*", F.explode(F.transform(dyadic_cover(checked, high), key)).alias("_run"))
-    day = F.when(day_number(F.col(at)) < 0, F.raise_error(F.lit("point before 1970")).cast("int")).otherwise(day_number(F.col(at)))
-    held = points.where(F.col(at).isNotNull()).select("*", F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(LEVELS)), lambda lv: key(F.struct(lv.alias("level"), F.floor(day / F.pow(F.lit(2), lv)).cast("int").alias("run"))))).alias("_run"))
-    return runs.join(held, [*keys, "_run"]).drop("_run")
+    runs = spans.select("*", F.explode(F.transform(dyadic_cover(F.col("_low"), F.col("_high")), key)).alias("_run"))
+    held = points.select("*", F.explode(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda lv: key(
+        F.struct(lv.alias("level"), F.floor(F.col("_day") / F.pow(F.lit(2), lv)).cast("int").alias("run"))))).alias("_run"))
+    return runs.join(held, [*keys, "_run"]).drop("_run", "_low", "_high", "_day")

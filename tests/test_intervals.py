@@ -45,6 +45,30 @@ def test_points_in_spans_equal_a_search(spark):
     assert "Join Inner, (" in plan and ">=" not in plan.split("Join Inner")[1].split("\n")[0]
 
 
+def test_points_of_few_spans_are_not_multiplied(spark, monkeypatch):
+    """Keys of few spans meet without the tree, whose rows for every point made the shuffle large."""
+    rnd = random.Random(5)
+    spans = [(i, k, rnd.choice([None, *range(0, 900, 7)]), rnd.choice([None, *range(0, 1200, 11)])) for k in (*range(12), None) for i in range(k * 9 if k else 5)]
+    points = [(i, rnd.choice([*range(14), None]), rnd.choice([None, *range(0, 1300)])) for i in range(900)]
+
+    def date(d):
+        return None if d is None else DAY0 + dt.timedelta(days=d)
+
+    s = spark.createDataFrame([(i, k, date(a), date(b)) for i, k, a, b in spans], "sid int, k int, a date, b date")
+    p = spark.createDataFrame([(i, k, date(d)) for i, k, d in points], "pid int, k int, at date")
+    want = sorted((k, i, j) for i, k, a, b in spans for j, q, d in points if k == q and None not in (k, a, d) and a <= d and (b is None or d <= b))
+    seen = []
+    by_run = I._by_run
+    monkeypatch.setattr(I, "_by_run", lambda s, p, keys: seen.append({r.k for r in p.select("k").collect()}) or by_run(s, p, keys))
+    out = I.points_in_spans(s, p, ["k"], "a", "b", "at")
+    assert out.columns == ["k", "sid", "a", "b", "pid", "at"]
+    assert sorted((r.k, r.sid, r.pid) for r in out.collect()) == want
+    assert seen == [{k for k in range(12) if k * 9 > I.FEW}]
+    few = I.points_in_spans(s.where("k < 4"), p, ["k"], "a", "b", "at")
+    assert few.columns == out.columns and len(seen) == 1
+    assert sorted((r.k, r.sid, r.pid) for r in few.collect()) == [w for w in want if w[0] < 4]
+
+
 def test_days_before_the_tree_are_an_error(spark):
     s = spark.createDataFrame([(1, dt.date(1960, 1, 1), None)], "k int, a date, b date")
     p = spark.createDataFrame([(1, dt.date(2020, 1, 1))], "k int, at date")
