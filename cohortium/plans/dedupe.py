@@ -180,6 +180,21 @@ def _partnered(links: DataFrame, keys: list[str], asking: DataFrame | None = Non
     return x.withColumn("linked_id", linked).drop("m1", "m2").where("linked_id IS NOT NULL")
 
 
+def _shared_domains(rows: DataFrame, domains: DataFrame) -> DataFrame:
+    """``rows`` with ``shared``, the number of team domains that ``customer_id`` and ``linked_id`` both have."""
+    theirs = domains.select(F.col("customer_id").alias("linked_id"), F.col("domains").alias("theirs"))
+    # a small id may be the partner of very many
+    x = lookup_join(rows, theirs, ["linked_id"], "left").join(domains, "customer_id", "left")
+    both = F.array_intersect("domains", "theirs")
+    return x.withColumn("shared", F.when(both.isNotNull(), F.size(both)).otherwise(0).cast("long")).drop("domains", "theirs")
+
+
+def _domain_pairs(held: DataFrame, group: list[str]) -> DataFrame:
+    """A row per pair (``domain`` before ``second``) of the sorted ``domains``."""
+    firsts = held.select(*group, "domains", F.posexplode("domains").alias("at", "domain"))
+    return firsts.select(*group, "domain", F.explode(F.slice("domains", F.col("at") + 2, F.size("domains"))).alias("second"))
+
+
 def duplicate_candidates(accounts: DataFrame, team_members: DataFrame, min_score: int = MIN_SCORE,
                          k: int | None = TOP_K, weights=WEIGHTS, generic_account=GENERIC_ACCOUNT_DOMAINS,
                          generic_team=GENERIC_TEAM_DOMAINS) -> DataFrame:
@@ -193,38 +208,60 @@ def duplicate_candidates(accounts: DataFrame, team_members: DataFrame, min_score
     account's own domains only. An account asks only in groups that could still beat, by two
     shared domains, what it has without them. ``linked_id`` is the smallest other account that earns the
     score, ``shared_team_domains`` the exact number of team domains shared with it.
+
+    Most accounts need neither step: where the smallest partner of a group, or the smallest that
+    shares a domain, shares two, no other of that group is better. So the smallest partner in
+    the best group is looked at first, and pairs are listed only for who is left, in the groups
+    and of the domains that these ask for.
     """
     ensure_checkpoint_dir(accounts.sparkSession)
-    team = team_members.select("customer_id", email_domain(F.col("email")).alias("domain")) \
-        .where(F.col("customer_id").isNotNull() & (F.col("domain") != "") & ~F.col("domain").isin(*generic_team)).distinct().checkpoint()
-    everyone = team.select("customer_id").distinct().select(
-        "customer_id", F.lit("*").alias("key"), F.lit("both").alias("side"), F.lit(0).alias("base"), F.lit(None).cast("string").alias("kind"))
+    domains = team_members.select("customer_id", email_domain(F.col("email")).alias("domain")) \
+        .where(F.col("customer_id").isNotNull() & (F.col("domain") != "") & ~F.col("domain").isin(*generic_team)) \
+        .groupBy("customer_id").agg(F.array_sort(F.collect_set("domain")).alias("domains")).checkpoint()
     group = ["customer_id", "key", "side", "base", "kind"]
     links = _partnered(name_links(accounts, weights, generic_account).checkpoint(), ["key"]).checkpoint()
-    two_more = F.lit(weights["team_two"])
+    everyone = domains.select("customer_id", F.lit("*").alias("key"), F.lit("both").alias("side"), F.lit(0).alias("base"),
+                              F.lit(None).cast("string").alias("kind"), F.lit(None).cast(links.schema["linked_id"].dataType).alias("linked_id"))
+    one_more, two_more = F.lit(weights["team_one"]), F.lit(weights["team_two"])
 
     def may_win(rows: DataFrame, reached: DataFrame) -> DataFrame:
-        """Rows whose base and two shared domains come up to what their account has ``reached``."""
+        """Rows whose base and two shared domains, with no partner before ``linked_id``, could
+        still beat the score and partner that their account has ``reached``."""
+        most = F.col("base") + two_more
         x = rows.join(reached, "customer_id", "left")
-        return x.where(F.col("base") + two_more >= F.coalesce("reached", F.lit(0))).drop("reached")
-
-    every = links.drop("linked_id").unionByName(everyone)
-    asking = may_win(every, links.groupBy("customer_id").agg(F.max("base").alias("reached"))).checkpoint()
+        tie = (most == F.col("reached")) & F.coalesce(F.col("linked_id") <= F.col("nearest"), F.lit(True))
+        return x.where(F.col("reached").isNull() | (most > F.col("reached")) | tie).drop("reached", "nearest")
+
+    # the smallest partner of the best group: nobody there is better if it shares two domains
+    first = links.groupBy("customer_id").agg(F.max_by(F.struct(*group[1:], "linked_id"), F.struct(F.col("base"), -F.col("linked_id"), F.col("key"), F.col("side"))).alias("f"))
+    first = _shared_domains(first.select("customer_id", "f.*").checkpoint(), domains)
+    first = first.withColumn("earned", F.when(F.col("shared") > 1, two_more).when(F.col("shared") == 1, one_more).otherwise(0)).checkpoint()
+    reached = first.select("customer_id", (F.col("base") + F.col("earned")).alias("reached"), F.col("linked_id").alias("nearest"),
+                           F.when(F.col("shared") > 1, F.struct("key", "side")).alias("settled"))
+    every = links.unionByName(everyone)
+    asking = may_win(every, reached).where(F.col("settled").isNull() | (F.struct("key", "side") != F.col("settled"))).select(*group).checkpoint()
     # whoever is asked answers in that group, even where it has better ones itself
-    asked = every.join(asking.select("key").distinct(), "key", "left_semi")
-    sharing = _partnered(asked.join(team, "customer_id").checkpoint(), ["key", "domain"], asking.join(team, "customer_id")).checkpoint()
-    one = sharing.groupBy(*group).agg(F.min("linked_id").alias("linked_id"), F.count(F.lit(1)).alias("shared")).checkpoint()
-    reached = links.select("customer_id", "base").unionByName(one.select("customer_id", (F.col("base") + weights["team_one"]).alias("base")))
-    asking = may_win(one.where("shared > 1").drop("linked_id", "shared"), reached.groupBy("customer_id").agg(F.max("base").alias("reached"))).checkpoint()
-    asked = every.join(asking.select("key").distinct(), "key", "left_semi")
-    domains = team.groupBy("customer_id").agg(F.array_sort(F.collect_list("domain")).alias("domains")).where(F.size("domains") > 1)
-    firsts = domains.select("customer_id", "domains", F.posexplode("domains").alias("at", "domain"))
-    pairs = firsts.select("customer_id", "domain", F.explode(F.slice("domains", F.col("at") + 2, F.size("domains"))).alias("second")).checkpoint()
-    two = _partnered(asked.join(pairs, "customer_id"), ["key", "domain", "second"], asking.join(pairs, "customer_id")) \
+    asked = every.select(*group).join(asking.select("key").distinct(), "key", "left_semi")
+    each = F.explode("domains").alias("domain")
+    sharing = _partnered(asked.join(domains, "customer_id").checkpoint().select(*group, each), ["key", "domain"],
+                         asking.join(domains, "customer_id").select(*group, each))
+    # the smallest one that shares a domain is the smallest one of every domain shared with it
+    one = sharing.groupBy(*group).agg(F.array_sort(F.collect_list("linked_id")).alias("ids")).withColumn("linked_id", F.col("ids")[0])
+    one = one.select(*group, "linked_id", F.size("ids").alias("met"), F.size(F.filter("ids", lambda i: i == F.col("linked_id"))).alias("shared"))
+    one = one.withColumn("earned", F.when(F.col("shared") > 1, two_more).otherwise(one_more)).checkpoint()
+    got = first.select("customer_id", "base", "earned", "linked_id").unionByName(one.select("customer_id", "base", "earned", "linked_id"))
+    reached = got.groupBy("customer_id").agg(F.max(F.struct((F.col("base") + F.col("earned")).alias("reached"), (-F.col("linked_id")).alias("near"))).alias("r")) \
+        .select("customer_id", "r.reached", (-F.col("r.near")).alias("nearest"))
+    asking = may_win(one.where("met > 1 AND shared = 1"), reached).select(*group).join(domains, "customer_id").checkpoint()
+    wanted = asking.select("key", each).distinct().checkpoint()
+    asked = every.select(*group).join(wanted.select("key").distinct(), "key", "left_semi")
+    held = asked.join(domains, "customer_id").select(*group, each).join(wanted, ["key", "domain"], "left_semi") \
+        .groupBy(*group).agg(F.array_sort(F.collect_list("domain")).alias("domains")).where(F.size("domains") > 1).checkpoint()
+    two = _partnered(_domain_pairs(held, group), ["key", "domain", "second"], _domain_pairs(asking, group)) \
         .groupBy(*group).agg(F.min("linked_id").alias("linked_id"))
-    scored = links.withColumn("earned", F.lit(0)) \
-        .unionByName(one.drop("shared").withColumn("earned", F.lit(weights["team_one"]))) \
-        .unionByName(two.withColumn("earned", F.lit(weights["team_two"])))
+    scored = links.withColumn("earned", F.lit(0)).unionByName(first.drop("shared")) \
+        .unionByName(one.drop("met", "shared")) \
+        .unionByName(two.withColumn("earned", two_more))
     score = F.col("base") + F.col("earned")
     # highest score, then the smallest partner, then the stronger name relation
     order = F.struct(score.alias("score"), (-F.col("linked_id")).alias("near"), F.col("base"), F.col("key"), F.col("side"))
@@ -234,10 +271,8 @@ def duplicate_candidates(accounts: DataFrame, team_members: DataFrame, min_score
                        F.col("b.score").alias("duplicate_confidence_score")).where(F.col("duplicate_confidence_score") >= min_score)
     best = best.orderBy(F.desc("duplicate_confidence_score"), "customer_id")
     best = (best.limit(k) if k else best).checkpoint()
-    # the domains shared with this one partner; a small id may be the partner of very many
-    theirs = team.withColumnRenamed("customer_id", "linked_id")
-    common = lookup_join(best.select("customer_id", "linked_id").join(team, "customer_id"), theirs, ["linked_id", "domain"], "left_semi")
-    out = best.join(common.groupBy("customer_id").agg(F.count(F.lit(1)).alias("shared")), "customer_id", "left")
-    return out.select("customer_id", "linked_id", "name_match_type", "corporate_domain_match",
-                      F.coalesce("shared", F.lit(0)).cast("long").alias("shared_team_domains"), "duplicate_confidence_score") \
+    # the domains shared with this one partner
+    return _shared_domains(best, domains).select(
+        "customer_id", "linked_id", "name_match_type", "corporate_domain_match",
+        F.col("shared").alias("shared_team_domains"), "duplicate_confidence_score") \
         .orderBy(F.desc("duplicate_confidence_score"), "customer_id")

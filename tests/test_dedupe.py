@@ -138,3 +138,54 @@ def test_contained_names_by_their_rarest_gram(spark):
     got = {(r.dom, r.norm_name, r.part) for r in D.contained_names(df).collect()}
     assert got == {(d, a, b) for d, a in names for e, b in names if d == e and len(b) > 3 and b in a[1:]}
     assert D.grams(df).count() <= sum(max(0, len(n) - 3) for _, n in names)
+
+
+def _dense(spark, seed, n=70, pool=9, most=5):
+    """Accounts of few names and domains; teams of up to ``most`` of ``pool`` domains."""
+    rnd = random.Random(seed)
+    rows = [(i, rnd.choice(["acme", "acme co", "old acme", "zed", "solo" + str(i)]), f"x@{rnd.choice(['acme.io', 'zed.dev', 'gmail.com'])}") for i in range(1, n)]
+    team = [(i, f"m@t{t}.com") for i in range(1, n + 5) for t in rnd.sample(range(pool), rnd.randrange(most + 1))]
+    team += rnd.sample(team, 20)
+    return (spark.createDataFrame(rows, "customer_id long, company_name string, contact_email string"),
+            spark.createDataFrame(team, "customer_id long, email string"), rows, team)
+
+
+def test_best_partner_with_many_team_domains(spark):
+    """Whole rows against all pairs, where nearest partners share none, one or two domains."""
+    for seed, pool, most in ((1, 9, 5), (2, 30, 4)):
+        acc, tm, rows, team = _dense(spark, seed, pool=pool, most=most)
+        got = {r.customer_id: tuple(r)[1:] for r in D.duplicate_candidates(acc, tm, min_score=0, k=None).collect()}
+        name = {i: _norm(n) for i, n, _ in rows}
+        corp = {i: e.split("@")[1] for i, _, e in rows if "gmail" not in e}
+        teams = {}
+        for i, e in team:
+            teams.setdefault(i, set()).add(e)
+        want = {}
+        for i in set(name) | set(teams):
+            for j in (set(name) | set(teams)) - {i}:
+                dom = i in corp and corp[i] == corp.get(j)
+                a, b = sorted((name.get(i, ""), name.get(j, "")), key=len)
+                kind = None if not a else "EXACT_MATCH" if a == b else "PREFIX_MATCH" if b.startswith(a) else \
+                    "SUBSTRING_MATCH" if dom and len(a) > 3 and a in b else None
+                shared = len(teams.get(i, set()) & teams.get(j, set()))
+                score = {"EXACT_MATCH": 50, "PREFIX_MATCH": 30, "SUBSTRING_MATCH": 15, None: 0}[kind] + 30 * dom + 15 * min(shared, 2)
+                if score and (score, -j) > want.get(i, ((0, 0),))[0]:
+                    want[i] = (score, -j), (j, kind, dom, shared, score)
+        assert got == {i: w for i, (_, w) in want.items()}
+
+
+def test_pairs_of_domains_only_for_who_is_left(spark, monkeypatch):
+    """The nearest partner shares two domains of nearly everyone, so only the others list pairs."""
+    n, rows = 60, {}
+    acc = spark.createDataFrame([(i, "same co", "a@corp.io") for i in range(n)], "customer_id long, company_name string, contact_email string")
+    tm = spark.createDataFrame([(i, f"m@t{t}.com") for i in range(n - 1) for t in range(12)] + [(n - 1, "m@t0.com"), (n - 1, "m@u.com")], "customer_id long, email string")
+    whole = D._partnered
+
+    def counted(links, keys, asking=None):
+        rows[len(keys)] = links.count()
+        return whole(links, keys, asking)
+
+    monkeypatch.setattr(D, "_partnered", counted)
+    r = {x.customer_id: tuple(x)[1:] for x in D.duplicate_candidates(acc, tm, min_score=0, k=None).collect()}
+    assert r == {i: (0 if i else 1, "EXACT_MATCH", True, 12, 110) for i in range(n - 1)} | {n - 1: (0, "EXACT_MATCH", True, 1, 95)}
+    assert rows[3] <= n, rows
