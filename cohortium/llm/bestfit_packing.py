@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortium.llm.common import doc_texts, stored
+from cohortium.llm.common import doc_texts, give_back, lean, stored
 
 CAPACITY = 1024
 END_ID = 2
@@ -36,7 +36,8 @@ SHARD_ITEMS = 20_000
 FAN_IN = 8
 CARRY = 4096
 SLACK = 16
-BATCH_CHARS = 8_000_000
+# what a worker has in hand at once (16 to 39 bytes a character were measured), not a limit on texts: a longer one goes whole
+BATCH_CHARS = 2_000_000
 # fixed value: how byte-level BPE vocabularies of this family split a text before merging
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -129,35 +130,41 @@ def _tokenizer(path: str) -> Tokens:
     return _tokens[path]
 
 
-def _slices(docs: list, texts: list[str]):
+def _slices(docs: pa.Array, texts: pa.Array):
+    """Slices of a batch of at most ``BATCH_CHARS`` characters, or one text; only Arrow holds the others."""
     at = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > BATCH_CHARS:
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(texts), 0).to_pylist()):
+        if size and size + n > BATCH_CHARS:
             yield docs[at:i], texts[at:i]
             at, size = i, 0
-        size += len(t)
+        size += n
     if at < len(texts):
         yield docs[at:], texts[at:]
 
 
 def _pieces(path: str, capacity: int, keep_ids: bool):
+    kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(),
+             "ids_crc32": pa.int64()} | ({"ids": pa.list_(pa.int32())} if keep_ids else {})
+
+    def cut(tokens, docs, texts):
+        flat, bounds = tokens.batch([t or "" for t in texts.to_pylist()], END_ID)
+        raw = memoryview(flat.astype("<u4").tobytes())
+        rows = []
+        for doc, first, last in zip(docs.to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+            at, size, k = first, (last - first - 1) % capacity + 1, 0
+            while at < last:
+                row = (doc, k, at - first, size, zlib.crc32(raw[4 * at:4 * (at + size)]))
+                rows.append((*row, flat[at:at + size].astype("i4")) if keep_ids else row)
+                at, size, k = at + size, capacity, k + 1
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
+
     def run(batches):
         tokens = _tokenizer(path)
-        kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(),
-                 "ids_crc32": pa.int64()} | ({"ids": pa.list_(pa.int32())} if keep_ids else {})
         for b in batches:
-            for docs, texts in _slices(b.column("doc_id").to_pylist(), [t or "" for t in b.column("text").to_pylist()]):
-                flat, bounds = tokens.batch(texts, END_ID)
-                raw = memoryview(flat.astype("<u4").tobytes())
-                rows = []
-                for doc, first, last in zip(docs, bounds[:-1].tolist(), bounds[1:].tolist()):
-                    at, size, k = first, (last - first - 1) % capacity + 1, 0
-                    while at < last:
-                        row = (doc, k, at - first, size, zlib.crc32(raw[4 * at:4 * (at + size)]))
-                        rows.append((*row, flat[at:at + size].astype("i4")) if keep_ids else row)
-                        at, size, k = at + size, capacity, k + 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
-    return run
+            for docs, texts in _slices(b.column("doc_id"), b.column("text")):
+                yield cut(tokens, docs, texts)
+                give_back()
+    return lean(run)
 
 
 def tokenized_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return what Arrow and malloc hold unused to the system."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
+def lean(fn):
+    """``fn`` for ``mapInArrow``, whose worker gives unused memory back before and after the task.
+
+    A Python worker serves one task after the other; without that it holds the most that any of them needed.
+    """
+    def run(batches):
+        give_back()
+        yield from fn(batches)
+        give_back()
+    return run
+
+
 def doc_texts(documents: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` only; extra or clashing columns are left out."""
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

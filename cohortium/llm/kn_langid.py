@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortium.llm.common import stored
+from cohortium.llm.common import lean, stored
 from cohortium.operators.selection import few_group_percentiles
 
 ORDER = 4
@@ -119,7 +119,7 @@ def _count(batches):
 def gram_counts(training: DataFrame) -> DataFrame:
     """``lang, gram, n`` over all texts of ``training`` (text and lang not NULL)."""
     rows = training.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
-    return rows.mapInArrow(_count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(lean(_count), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _slot(gram):
@@ -319,7 +319,7 @@ def _scored(documents: DataFrame, model: Model, keep: list[str], own: Column | N
     x = documents.select(*keep, F.col("text").cast("string").alias("text"), own.alias("_own"))
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in x.schema.fields[:-2])
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    return x.mapInArrow(_scores(shared, [len(keep)]), schema + FOUND_TYPES)
+    return x.mapInArrow(lean(_scores(shared, [len(keep)])), schema + FOUND_TYPES)
 
 
 def _scored_rows(documents: DataFrame, model: Model, own: Column | None = None) -> DataFrame:
@@ -328,7 +328,7 @@ def _scored_rows(documents: DataFrame, model: Model, own: Column | None = None)
     x = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"), own.alias("_own"))
     schema = T.StructType([T.StructField("row", documents.schema), *T.StructType.fromDDL(FOUND_TYPES).fields])
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    return x.mapInArrow(_scores(shared, [0, documents.columns.index("text")]), schema)
+    return x.mapInArrow(lean(_scores(shared, [0, documents.columns.index("text")])), schema)
 
 
 def _excess(model: Model, k: Column, h: Column, n: Column) -> Column:

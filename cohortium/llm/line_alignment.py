@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortium.llm.common import packed_rows, stored
+from cohortium.llm.common import lean, packed_rows, stored
 
 BLOCK_CHARS = 40
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -237,7 +237,7 @@ def deletions(documents: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame
     """(doc, th, gone, partners) of each later document that loses lines; ``th`` is its text's hash."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
     runs = docs.select("doc", F.xxhash64("text").alias("th"), "text").mapInArrow(
-        _shingle(block_chars), "doc long, th long, h long, at array<long>, after array<int>, lead boolean")
+        lean(_shingle(block_chars)), "doc long, th long, h long, at array<long>, after array<int>, lead boolean")
     own = F.struct("doc", "th")
     # both small tables are stored: a join straight above an aggregate on its key could not be split by skew
     shared = (runs.groupBy("h").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last")
@@ -247,7 +247,7 @@ def deletions(documents: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame
     places = met.where(is_first).groupBy("h").agg(F.min("at").alias("p_at"))  # repeated rows have equal places
     later = met.where(~is_first).distinct().join(stored(places, "run-places"), "h")
     each = later.groupBy("doc", "th").agg(F.collect_list(F.struct("h", "at", "after", "lead", "p_doc", "p_th", "p_at")).alias("matches"))
-    found = each.mapInArrow(_align, "doc long, th long, gone array<int>, partners array<long>")
+    found = each.mapInArrow(lean(_align), "doc long, th long, gone array<int>, partners array<long>")
     return found.where(F.size("gone") > 0)
 
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortium.llm.common import doc_texts, packed_rows, parts, stored
+from cohortium.llm.common import doc_texts, lean, packed_rows, parts, stored
 from cohortium.llm.components import connected_components
 
 SHINGLE = 3
@@ -130,7 +130,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BU
     keys = (fps.withColumn("w", F.explode(F.sequence(F.lit(0), F.lit(63))))
             .select(F.shiftleft(F.col("w").cast("long"), 32).bitwiseOR(half.bitwiseAND(clear)).alias("key"), "fp"))
     met = keys.repartition(parts(spark), "key").sortWithinPartitions("key")
-    found = stored(met.mapInArrow(_verify(max_bits, bucket), "a long, b long"), "simhash-links")
+    found = stored(met.mapInArrow(lean(_verify(max_bits, bucket)), "a long, b long"), "simhash-links")
     links = found.where("b IS NOT NULL").distinct()
     hot = found.where("b IS NULL").select(F.col("a").alias("fp")).distinct()
     pairs = F.expr("transform(filter(sequence(0, 4095), x -> x div 64 < x % 64), "
@@ -146,7 +146,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BU
 def _classified(documents: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     """(doc_id, th, fp, leader) of every row; ``leader`` is the smallest (doc_id, th) of its group, ``th`` a hash of the text."""
     given = doc_texts(documents).select("doc_id", F.xxhash64("text").alias("th"), "text")
-    docs = stored(given.mapInArrow(_simhashes(shingle), "doc_id long, th long, fp long"), "simhash")
+    docs = stored(given.mapInArrow(lean(_simhashes(shingle)), "doc_id long, th long, fp long"), "simhash")
     fps = docs.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("first"))
     roots = connected_components(fingerprint_links(fps.select("fp"), max_bits))
     classes = (fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
